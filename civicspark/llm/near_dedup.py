@@ -166,3 +166,10 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
         .select("a", "b").distinct()
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs that near_duplicates keeps, and of rows equal in id and text one."""
+    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__kept")).distinct()
+    left = docs.join(kept, F.col(id_col).cast("long") == F.col("__kept"), "left").where(F.col(id_col).isNull() | F.col("__kept").isNotNull())
+    return left.dropDuplicates([id_col, text_col]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -24,8 +24,9 @@ RATIOS = {
 }
 
 
-def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Counts over each whole text: (id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals, n_marks).
+def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: bool = False) -> DataFrame:
+    """Counts over each whole text: (id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_capitals, n_marks);
+    with `rows` also a struct `row` of all columns of docs.
 
     n_dup_lines counts \\n-split lines with a word that equal an earlier line; n_repeat_words counts the words that lie
     in a 3-word window found at least twice in the text, found by sorting window hashes only where some repeat.
@@ -33,7 +34,9 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     bare = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    whole = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if rows else []
     split = docs.select(
+        *whole,
         F.col(id_col).cast("long").alias("id"),
         F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE)).alias("w"),
         F.length(F.regexp_replace(text, SPACE, "")).cast("long").alias("word_chars"),
@@ -42,9 +45,9 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         (F.length(text) - F.length(F.regexp_replace(text, "[!?]", ""))).cast("long").alias("n_marks"),
         F.filter(F.split(text, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
     )
-    kept = ["id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_capitals", "n_marks"]
+    kept = [*["row"] * rows, "id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_capitals", "n_marks"]
     counted = split.select(
-        "id", "word_chars", "n_symbols", "n_capitals", "n_marks",
+        *["row"] * rows, "id", "word_chars", "n_symbols", "n_capitals", "n_marks",
         F.size("w").cast("long").alias("n_words"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
@@ -167,6 +170,17 @@ def _log2(p: float, n: float) -> float:
     return log2(p / (p + n))
 
 
+def _judged(ratios: DataFrame, rules: DecisionList, least_words: int, most_repeats: int) -> DataFrame:
+    failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * most_repeats)
+    judged = ratios.withColumns({"base_failed": failed, "rule": rules.verdict()})
+    return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
+def _learned(ratios: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DecisionList:
+    known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), (F.col(label_col) == 0).alias("bad"))
+    return learn(ratios.join(known, "id"), "bad", "id")
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", least_words: int = 50, most_repeats: int = 50) -> DataFrame:
     """One row per document: the statistics, base_failed, rule (number of the learned rule that rejects it) and kept.
 
@@ -175,13 +189,17 @@ def quality_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     not used, and a document with two labels counts twice. kept: neither base_failed nor rejected by a rule.
     Null or empty text: zero counts, base_failed. Null ids and repeated rows are kept as rows of their own.
     """
-    stats = cut(text_statistics(docs, id_col, text_col))
-    ratios = with_ratios(stats)
-    known = labels.where(F.col(label_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), (F.col(label_col) == 0).alias("bad"))
-    rules = learn(ratios.join(known, "id"), "bad", "id")
-    failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * most_repeats)
-    judged = ratios.withColumns({"base_failed": failed, "rule": rules.verdict()})
-    return judged.select(
-        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        (~F.col("base_failed") & F.col("rule").isNull()).alias("kept"), "rule", *[k for k in RATIOS if k != "words"],
-    )
+    ratios = with_ratios(cut(text_statistics(docs, id_col, text_col)))
+    rules = _learned(ratios, labels, id_col, label_col)
+    return _judged(ratios, rules, least_words, most_repeats).select(
+        F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule", *[k for k in RATIOS if k != "words"]
+    )
+
+
+def good_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", least_words: int = 50, most_repeats: int = 50) -> DataFrame:
+    """The rows of docs that quality_rules keeps. Learns from the statistics of a first pass, and judges each row by
+    those of a second one in the same scan that returns it, so that no text is shuffled."""
+    rules = _learned(with_ratios(cut(text_statistics(docs, id_col, text_col))), labels, id_col, label_col)
+    judged = _judged(with_ratios(text_statistics(docs, id_col, text_col, rows=True)), rules, least_words, most_repeats)
+    # as a generator: a filter would be pushed below the projections, and work out each array anew for each of its elements
+    return judged.select(F.inline(F.when(F.col("kept"), F.array("row"))))

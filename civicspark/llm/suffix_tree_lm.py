@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from civicspark.llm.words import _LOWER, _SPACE, mix, text_blocks, word_hashes, word_spans
 from civicspark.session import cut
 
-DEPTH = 5
+DEPTH = 6
 _END = mix(np.array([0x656E64], np.uint64))  # the end token's key
 END_KEY = int(_END.view(np.int64)[0])
 _FLUSH = 2_000_000
@@ -191,7 +191,7 @@ def _tree(grams: DataFrame, depth: int, least_share: float, least_gain: float, s
     return SuffixTree.build(counts, kept, depth, strength)
 
 
-def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, depth: int = DEPTH, least_share: float = 5e-5, least_gain: float = 50.0, strength: float = 4.0, head_tokens: int = 1_000_000) -> DataFrame:
+def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, depth: int = DEPTH, least_share: float = 1e-5, least_gain: float = 20.0, strength: float = 4.0, head_tokens: int = 1_000_000) -> DataFrame:
     """One row per document: (id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Learns from the documents whose crc32(id as text) mod `folds` is not `held_out`. score: log10 probability of the
