@@ -103,8 +103,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two documents are linked if 100 * |A and B| >= percent * |A or B| for their sets of `width`-word shingles.
     Documents with equal sets form a class, whose smallest id stands for it from then on, so copies never multiply.
     Members of a band bucket are compared with its smallest id (a star, so a bucket of n gives n - 1 candidates) and
-    confirmed on full sets. A bucket that still holds more than one component goes on to an exact search: its
-    documents meet on their rarest shingles (prefix filter), so no link inside a bucket is lost to the star.
+    confirmed on full sets. Members of a star that still lie in different components go on to an exact search over
+    their differences from its hub, so no link inside a bucket is lost to the star.
 
     With 24 bands of 5 rows a pair at similarity 0.8 shares no bucket with probability 7e-5, at 0.85 8e-7.
 
@@ -120,19 +120,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys = cut(first.select("id", F.explode("bands").alias("key")).distinct())
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
     buckets = cut(keys.join(hubs, "key"))
-    stars = buckets.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct()
+    stars = cut(buckets.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
     wanted = buckets.select("id").distinct()
     sets = cut(texts.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<long>"))
     links = cut(_confirmed(stars, sets, percent))
     labels = connected_components(links, "a", "b")
 
-    placed = buckets.join(labels, buckets.id == labels.node, "left").select("key", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rest = cut(placed.join(mixed, "key").select("id", "component").distinct())
-    if not rest.isEmpty():
-        more = cut(_confirmed(_prefix_pairs(rest, sets, percent), sets, percent))
-        if not more.isEmpty():
-            labels = connected_components(links.union(more), "a", "b")
+    rest = _unsettled(stars, labels)
+    more = cut(_confirmed(_difference_pairs(rest, sets, percent), sets, percent))
+    if not more.isEmpty():
+        labels = connected_components(links.union(more), "a", "b")
 
     same = classes.join(labels, classes.class_id == labels.node, "left").select("one", "two", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component"))
     return found.join(same, ["one", "two", "n_shingles"], "left").select(
@@ -144,28 +141,43 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs from different components that can be similar: they share one of their n - ceil(t n) + 1 rarest shingles."""
-    own = sets.join(rest, "id").withColumn("n", F.size("shingles")).withColumn("least", F.ceil(F.col("n") * percent / 100))
-    each = own.select("id", "component", "n", "least", F.explode("shingles").alias("s"))
-    often = each.groupBy("s").agg(F.count("*").alias("c")).where("c > 1")
-    shared = each.join(often, "s")
-    by_doc = Window.partitionBy("id")
-    prefix = (
-        shared.withColumn("alone", F.col("n") - F.count("*").over(by_doc))
-        .withColumn("rank", F.row_number().over(by_doc.orderBy("c", "s")))
-        .where("rank + alone <= n - least + 1")
-        .select("id", "component", "n", "s")
-    )
-    prefix = cut(prefix)
-    one = prefix.selectExpr("id a", "component ca", "n na", "s")
-    two = prefix.selectExpr("id b", "component cb", "n nb", "s")
-    return (
-        one.join(two, "s")
-        .where("a > b and ca <> cb")
-        .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-        .select("a", "b").distinct()
+def _unsettled(stars: DataFrame, labels: DataFrame) -> DataFrame:
+    """(hub, id, component) of the stars whose members, hub included, are not all in one component."""
+    of = lambda c: labels.selectExpr(f"node {c}", f"component of_{c}")
+    placed = stars.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("of_a", "a").alias("ca"), F.coalesce("of_b", "b").alias("cb"))
+    mixed = placed.groupBy("b").agg(F.min(F.least("ca", "cb")).alias("lo"), F.max(F.greatest("ca", "cb")).alias("hi")).where("lo < hi").select("b")
+    return placed.join(mixed, "b").selectExpr("b hub", "a id", "ca component")
+
+
+def _difference_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs of one star, from different components, that can be similar enough.
+
+    With t = percent / 100, sets x and y are linked if their difference has at most B = (1 - t) / (1 + t) (|x| + |y|)
+    elements. Let dx and dy be their differences from the hub. In a pair from different components one member isn't
+    linked to the hub, so |dx| + |dy| > B, and dx and dy must share (|dx| + |dy| - B) / 2 elements. In the order of
+    rising frequency the first shared one then stands at place r with 2 (r - 1) <= |dx| - |dy| + B in dx, and so in dy.
+    Copies that differ by their own edits share nothing so early, so a hot group makes no pairs among itself.
+    """
+    member = sets.selectExpr("id", "shingles sa")
+    centre = sets.selectExpr("id hub", "shingles sh")
+    apart = rest.join(member, "id").join(centre, "hub").select(
+        "hub", "id", "component", F.size("sa").alias("n"),
+        F.concat(F.array_except("sa", "sh"), F.transform(F.array_except("sh", "sa"), lambda x: F.bitwise_not(x))).alias("d"),
+    )
+    each = cut(apart.select("hub", "id", "component", "n", F.size("d").alias("m"), F.explode("d").alias("s")))
+    often = each.groupBy("hub", "s").agg(F.count("*").alias("c")).where("c > 1")
+    own = Window.partitionBy("hub", "id")
+    early = F.expr(f"(2L * (r - 1) - m) * {(100 + percent) * percent} <= {100 - percent}L * (n * {percent}L + n * 100L)")
+    places = cut(
+        each.join(often, ["hub", "s"])
+        .withColumn("r", F.col("m") - F.count("*").over(own) + F.row_number().over(own.orderBy("c", "s")))
+        .where(early).select("hub", "id", "component", "n", "m", "s", "r")
     )
+    one = places.selectExpr("hub", "s", "id a", "component ca", "n na", "m ma", "r ra")
+    two = places.selectExpr("hub", "s", "id b", "component cb", "n nb", "m mb", "r rb")
+    fits = [F.expr(f"(2L * (r{x} - 1) - m{x} + m{y}) * {100 + percent} <= {100 - percent}L * (na + nb)") for x, y in ("ab", "ba")]
+    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
+    return one.join(two, ["hub", "s"]).where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & sizes & fits[0] & fits[1]).select("a", "b").distinct()
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
