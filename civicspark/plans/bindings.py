@@ -103,4 +103,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def with_bindings(sql: str, *names: str) -> str:
     """SQL for the oracle, in which the domain tables `names` can be used."""
     bound = ", ".join(f"{n} AS ({BINDINGS[n].format(**{t: t for t in TABLES})})" for n in names)
-    return f"WITH {bound} {sql}" if names else sql
+    if not names:
+        return sql
+    sql = sql.strip()
+    return f"WITH {bound}, {sql[4:]}" if sql.startswith("WITH ") else f"WITH {bound} {sql}"
