@@ -164,7 +164,7 @@ class SuffixTree:
             now = state[:m] + symbols[at[:m] + k]
             total[:m] += self.log10[now]
             state[:m] = self.step[now]
-        return np.bincount(text, total, len(sizes))
+        return np.bincount(text, total, len(sizes)).astype(np.float64)
 
 
 def _tree(grams: DataFrame, depth: int, least_share: float, least_gain: float, strength: float) -> SuffixTree:
@@ -240,7 +240,7 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 place = np.minimum(np.searchsorted(keys, each), max(0, len(keys) - 1))
                 hit = keys[place] == each if len(keys) else np.zeros(len(each), bool)
                 known = hit[at]
-                base = np.bincount(doc[known], logs[place[at[known]]], docs)
+                base = np.bincount(doc[known], logs[place[at[known]]], docs).astype(np.float64)
                 n_known = np.bincount(doc[known], minlength=docs)
                 order = np.lexsort((hashes[~known], doc[~known]))
                 rest_doc, rest = doc[~known][order], hashes[~known][order]

@@ -80,7 +80,7 @@ def shingle_hashes(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np
     if not n:
         return words, np.zeros_like(first)
     runs = np.zeros(n, np.uint64)
-    for k in range(width):
+    for k in range(min(width, n)):
         runs[: n - k] += mix(words[k:] + _STEP[k])
     runs = mix(runs)
     counts = np.diff(first)
