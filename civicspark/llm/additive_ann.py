@@ -125,8 +125,8 @@ def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: s
         return spark.createDataFrame([], schema)
     dim = dims[0].d
     rows = rows.where(F.size("v") == dim)
-    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toPandas()
-    learned = train_codebooks(np.unique(np.array(drawn["v"].tolist()), axis=0), books, words)
+    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()
+    learned = train_codebooks(np.unique(np.array(drawn["v"].to_pylist()), axis=0), books, words)
     first = Window.partitionBy("v").orderBy("id")
     entries = rows.withColumn("at", F.row_number().over(first)).where(F.col("at") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("ids"))
     index = cut(entries.select("v", "ids").mapInArrow(_indexed(learned, beam, chunk), "vectors binary, codes binary, norms binary, ids array<array<long>>"))

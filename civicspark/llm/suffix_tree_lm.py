@@ -105,41 +105,57 @@ class SuffixTree:
     n: int
     start: int
     depth: int
-    contexts: list[bytes]
+    states: int
 
     @classmethod
-    def build(cls, counts: dict[bytes, dict[int, int]], kept: set[bytes], depth: int, strength: float) -> SuffixTree:
-        """counts: context (oldest byte first) -> next byte -> count; kept: contexts that passed the divergence test."""
-        states = {b""}
-        for c in kept:  # with a context go its suffixes, and its prefixes, so that one step leads from state to state
-            states |= {c[a:b] for a in range(len(c)) for b in range(a + 1, len(c) + 1)}
-        states = {c for c in states if not c or c in counts}
-        order = sorted(states, key=lambda c: (len(c), c))
-        number = {c: k for k, c in enumerate(order)}
-        seen = sorted(counts.get(b"", {}))
+    def build(cls, length: np.ndarray, context: np.ndarray, symbol: np.ndarray, n: np.ndarray, kept: np.ndarray, depth: int, strength: float) -> SuffixTree:
+        """Rows are (context, next byte, count), a context's `length` bytes as an integer, nearest byte lowest; `kept`
+        marks the contexts that passed the divergence test. States are filled length by length, as arrays."""
+        order = np.lexsort((context, length))
+        length, context, symbol, n, kept = length[order], context[order], symbol[order], n[order], kept[order]
+        new = np.ones(len(n), bool)
+        new[1:] = (length[1:] != length[:-1]) | (context[1:] != context[:-1])
+        first = np.flatnonzero(new)
+        names = [int(c).to_bytes(8, "little")[:d][::-1] for c, d in zip(context[first], length[first], strict=True)]
+        known = {name: k for k, name in enumerate(names)}
+        wanted = {b""}
+        for k in np.flatnonzero(kept[first]):  # with a context go its suffixes and prefixes, so that one step leads from state to state
+            c = names[k]
+            wanted |= {c[a:b] for a in range(len(c)) for b in range(a + 1, len(c) + 1)}
+        states = sorted((c for c in wanted if not c or c in known), key=lambda c: (len(c), c))
+        number = {c: k for k, c in enumerate(states)}
+        seen = np.unique(symbol)
         symbols = np.full(256, len(seen), np.int64)
         symbols[seen] = np.arange(len(seen))
-        n = len(seen) + 1
-        p = np.zeros((len(order), n))
-        step = np.zeros((len(order), n), np.int32)
-        for k, c in enumerate(order):
-            own = counts.get(c, {})
-            if c:
-                p[k] = strength * p[number[c[1:]]]
-            else:
-                p[k] = 0.5
-            for byte, m in own.items():
-                p[k, symbols[byte]] += m
-            p[k] /= sum(own.values()) + (strength if c else 0.5 * 256)
-            for s in range(n):
-                to = c + bytes([seen[s]]) if s < len(seen) else b""
-                while to not in number:
-                    to = to[1:]
-                step[k, s] = number[to]
+        width = len(seen) + 1
+        p = np.full((len(states), width), 0.5, np.float32)
+        step = np.zeros((len(states), width), np.int32)
+        row_state = np.array([number.get(c, -1) for c in names], np.int64)[np.cumsum(new) - 1] if len(n) else np.zeros(0, np.int64)
+        sizes = np.array([len(c) for c in states])
+        shorter = np.array([number[c[1:]] for c in states])
+        for d in range(depth + 1):
+            level = np.flatnonzero(sizes == d)
+            if not len(level):
+                continue
+            prior = 0.5 * 256 if d == 0 else strength
+            if d:
+                p[level] = strength * p[shorter[level]]
+                step[level] = step[shorter[level]]
+            rows = np.flatnonzero((row_state >= 0) & (length == d))
+            at = row_state[rows]
+            p[at, symbols[symbol[rows]]] += n[rows]
+            total = np.zeros(len(states))
+            np.add.at(total, at, n[rows])
+            p[level] /= (total[level] + prior)[:, None].astype(np.float32)
+            longer = np.flatnonzero(sizes == d + 1)
+            if len(longer):
+                step[[number[states[k][:-1]] for k in longer], symbols[[states[k][-1] for k in longer]]] = longer
         start = bytes(depth)
         while start not in number:
             start = start[1:]
-        return cls(symbols, np.log10(p).ravel(), (step * n).ravel(), n, number[start] * n, depth, order)
+        np.log10(p, out=p)
+        step *= width
+        return cls(symbols, p.ravel(), step.ravel(), width, number[start] * width, depth, len(states))
 
     def score(self, stream: np.ndarray, offsets: np.ndarray, segment: int = 512) -> np.ndarray:
         """log10 probability of each text. Texts are cut into segments that all advance together; one that isn't at a
@@ -156,7 +172,7 @@ class SuffixTree:
         for k in range(self.depth, 0, -1):
             reads = np.flatnonzero(at - offsets[:-1][text] >= segment)
             state[reads] = self.step[state[reads] + symbols[at[reads] - k]]
-        total = np.zeros(len(at))
+        total = np.zeros(len(at), np.float64)
         alive = np.searchsorted(at - stop, -np.arange(1, segment + 1), "right")
         for k, m in enumerate(alive):
             if not m:
@@ -180,15 +196,9 @@ def _tree(grams: DataFrame, depth: int, least_share: float, least_gain: float, s
     parent = table.select((F.col("d") + 1).alias("d"), F.col("context").alias("shorter"), "symbol", (F.col("n") / F.col("seen")).alias("q"))
     own = table.withColumn("shorter", F.col("context").bitwiseAND(F.element_at(F.array(F.lit(0), *[F.lit((1 << (8 * d)) - 1) for d in range(depth)]), F.col("d") + 1)))
     gain = own.join(parent, ["d", "shorter", "symbol"]).groupBy("d", "context").agg(F.sum(F.col("n") * F.log2(F.col("n") / F.col("seen") / F.col("q"))).alias("bits"))
-    rows = table.groupBy("d", "context").agg(F.collect_list(F.struct("symbol", "n")).alias("next")).join(gain.where(F.col("bits") >= least_gain).select("d", "context", F.lit(True).alias("kept")), ["d", "context"], "left")
-    counts: dict[bytes, dict[int, int]] = {}
-    kept = set()
-    for r in rows.toLocalIterator():
-        context = r.context.to_bytes(8, "little")[: r.d][::-1]
-        counts[context] = {x.symbol: x.n for x in r.next}
-        if r.kept:
-            kept.add(context)
-    return SuffixTree.build(counts, kept, depth, strength)
+    passed = gain.where(F.col("bits") >= least_gain).select("d", "context", F.lit(True).alias("kept"))
+    rows = table.join(passed, ["d", "context"], "left").select("d", "context", "symbol", "n", F.coalesce("kept", F.lit(False)).alias("kept")).toArrow()
+    return SuffixTree.build(*[rows[c].to_numpy() for c in ("d", "context", "symbol", "n", "kept")], depth, strength)
 
 
 def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, depth: int = DEPTH, least_share: float = 1e-5, least_gain: float = 20.0, strength: float = 4.0, head_tokens: int = 1_000_000) -> DataFrame:
@@ -221,9 +231,8 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     while floor > 0 and sizes.get(floor - 1, 0) <= room:
         floor -= 1
         room -= sizes.get(floor, 0)
-    head = words.where((F.col("n") >= F.lit(1 << floor)) & (F.col("key") != END_KEY)).toPandas()
-    head = head.sort_values("key")
-    shared = spark.sparkContext.broadcast((tree, head["key"].to_numpy(np.int64), head["n"].to_numpy(np.int64)))
+    head = words.where((F.col("n") >= F.lit(1 << floor)) & (F.col("key") != END_KEY)).toArrow().sort_by("key")
+    shared = spark.sparkContext.broadcast((tree, head["key"].to_numpy(), head["n"].to_numpy()))
     below = n_train + 0.5 * (v_train + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
