@@ -16,7 +16,8 @@ from civicspark.session import cut
 DEPTH = 6
 _END = mix(np.array([0x656E64], np.uint64))  # the end token's key
 END_KEY = int(_END.view(np.int64)[0])
-_FLUSH = 2_000_000
+_FLUSH = 800_000  # keys that a task holds of each kind
+_SLICE = 100_000
 _NEWLINE = 10
 
 
@@ -71,9 +72,11 @@ class _Counts:
 
 
 def _count(depth: int):
-    def rows(kind: int, counts: _Counts) -> pa.RecordBatch:
+    def rows(kind: int, counts: _Counts) -> Iterator[pa.RecordBatch]:
         keys, n = counts.merge()
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(n)], names=["kind", "key", "n"])
+        for a in range(0, max(1, len(keys)), _SLICE):
+            part = keys[a : a + _SLICE].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int32)), pa.array(part), pa.array(n[a : a + _SLICE])], names=["kind", "key", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = [_Counts(), _Counts()]
@@ -83,14 +86,14 @@ def _count(depth: int):
                 kept[0].add(word_hashes(data, starts, ends))
                 kept[0].parts.append((_END, np.array([len(offsets) - 1])))
                 kept[1].add(gram_keys(*token_bytes(data, offsets, starts, ends, first), depth))
-            for k in (0, 1):
-                if kept[k].size > _FLUSH:
-                    kept[k].merge()
-                if kept[k].size > _FLUSH:
-                    yield rows(k, kept[k])
-                    kept[k] = _Counts()
+                for k in (0, 1):
+                    if kept[k].size > _FLUSH:
+                        kept[k].merge()
+                    if len(kept[k].parts) == 1 and kept[k].size > _FLUSH // 2:
+                        yield from rows(k, kept[k])
+                        kept[k] = _Counts()
         for k in (0, 1):
-            yield rows(k, kept[k])
+            yield from rows(k, kept[k])
 
     return run
 
