@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from civicspark.llm.components import connected_components
 from civicspark.llm.words import mix, shingle_hashes, text_blocks, word_hashes, word_spans
-from civicspark.session import cut
+from civicspark.session import cut, drop_cut
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -120,9 +120,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keys = cut(first.select("id", F.explode("bands").alias("key")).distinct())
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
     buckets = cut(keys.join(hubs, "key"))
+    drop_cut(keys)
     stars = cut(buckets.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
     wanted = buckets.select("id").distinct()
     sets = cut(texts.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<long>"))
+    drop_cut(buckets)
     links = cut(_confirmed(stars, sets, percent))
     labels = connected_components(links, "a", "b")
 
@@ -131,14 +133,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if not more.isEmpty():
         labels = connected_components(links.union(more), "a", "b")
 
+    for table in (stars, sets):
+        drop_cut(table)
+
     same = classes.join(labels, classes.class_id == labels.node, "left").select("one", "two", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component"))
-    return found.join(same, ["one", "two", "n_shingles"], "left").select(
+    out = found.join(same, ["one", "two", "n_shingles"], "left").select(
         F.col("id").alias(id_col),
         "n_shingles",
         F.coalesce("component", "id").alias("component_id"),
         F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"),
         F.coalesce("class_id", "id").alias("class_id"),
     )
+    out._cut_path = found._cut_path
+    return out
 
 
 def _unsettled(stars: DataFrame, labels: DataFrame) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civicspark.llm.near_dedup import near_duplicates
+from civicspark.llm.passages import shared_passages
+from civicspark.session import cut, drop_cut
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -28,43 +30,83 @@ def paragraphs(docs: DataFrame, id_col: str, text_col: str, least_words: int) ->
     return enough.select("doc", "paragraph", "text", F.xxhash64("doc", "paragraph").alias("id"))
 
 
+def _groups(items: DataFrame, places: list[str], width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """(*places, group, first: struct of places, kept) of the items (*places, id, text) that another one repeats.
+
+    Written to the shared folder; the tables behind it are dropped.
+    """
+    near = near_duplicates(items, "id", "text", width, percent, bands, rows)
+    found = near.select("id", "component_id").distinct()
+    groups = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
+    members = items.select(*places, "id").distinct().join(found.join(groups, "component_id"), "id")
+    first = members.groupBy("component_id").agg(F.min(F.struct(*places)).alias("first"))
+    out = cut(members.join(first, "component_id").select(*places, F.col("component_id").alias("group"), "first", (F.struct(*places) == F.col("first")).alias("kept")))
+    drop_cut(near)
+    return out
+
+
+def _repeated_lines(docs: DataFrame, id_col: str, text_col: str, least_words: int, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    items = paragraphs(docs, id_col, text_col, least_words).where("doc is not null")
+    return _groups(items, ["doc", "paragraph"], width, percent, bands, rows)
+
+
+def _repeated_passages(docs: DataFrame, id_col: str, text_col: str, least_words: int, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("version"), F.col(text_col).cast("string").alias("text"))
+    spans = cut(shared_passages(texts, least_words))
+    items = spans.join(texts, ["doc", "version"]).select("doc", "start", "version", "stop", F.expr("substring(text, start + 1, stop - start)").alias("text"), F.xxhash64("doc", "version", "start").alias("id"))
+    return _groups(items, ["doc", "start", "version", "stop"], width, percent, bands, rows)
+
+
+def _without(docs: DataFrame, id_col: str, text_col: str, lists: DataFrame, match, left) -> DataFrame:
+    """docs with the text `left` where `lists` has a row for them; a document of which no word is left then goes."""
+    gone = F.col("__gone").isNotNull()
+    out = docs.join(lists, match, "left").withColumn(text_col, F.when(gone, left).otherwise(F.col(text_col))).where(~gone | F.col(text_col).rlike(WORDS))
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.when(gone, F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _without_lines(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
+    lists = found.where(~F.col("kept")).groupBy(F.col("doc").alias("__id")).agg(F.collect_set("paragraph").alias("__gone"))
+    left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
+    return _without(docs, id_col, text_col, lists, F.col(id_col).cast("long") == F.col("__id"), left)
+
+
+def _without_passages(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
+    lists = found.where(~F.col("kept")).groupBy(F.col("doc").alias("__id"), F.col("version").alias("__version")).agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("__gone"))
+    text = F.col(text_col)
+    edge = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.expr("__gone")[F.greatest(i - 1, F.lit(0))]["stop"])
+    last = lambda i: F.when(i == F.size("__gone"), F.length(text)).otherwise(F.expr("__gone")[F.least(i, F.size("__gone") - 1)]["start"])
+    between = F.transform(F.sequence(F.lit(0), F.size("__gone")), lambda i: F.substring(text, edge(i) + 1, last(i) - edge(i)))
+    match = (F.col(id_col).cast("long") == F.col("__id")) & (F.xxhash64(text_col) == F.col("__version"))
+    return _without(docs, id_col, text_col, lists, match, F.array_join(between, ""))
+
+
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 20, width: int = 5, percent: int = 80, recall: float = 0.9995) -> DataFrame:
-    """One row for each paragraph that another one repeats: (id, paragraph, group, first_doc, first_paragraph, kept).
+    """One row for each paragraph that another one repeats: (id, paragraph, start, stop, group, first_doc, kept).
 
-    Paragraphs are \\n-split lines of at least `least_words` words, compared as sets of `width`-word shingles; linked
-    at similarity percent / 100 or more, confirmed exactly, and grouped by connected components. In each group the
-    paragraph with the smallest (id, number) is kept, all others are to be removed; repeats inside one document count
-    too. Bands are tuned so that a link at the threshold shares a bucket with probability `recall`; a bucket's star is
-    completed by the exact search of near_duplicates, so that hot passages make no pairs among themselves.
+    First, paragraphs are \\n-split lines of at least `least_words` words (`paragraph` is the line's number, start and
+    stop are null). Then, in the texts without the repeats among these, they are passages of as many words that stand
+    inside other documents too, wherever in their lines (`paragraph` is null; start and stop count characters of that
+    text). Either kind is compared as sets of `width`-word shingles; linked at similarity percent / 100 or more,
+    confirmed exactly, and grouped by connected components. In each group the paragraph with the smallest (id, place)
+    is kept, all others are to be removed; lines repeated inside one document count too. Bands are tuned so that a link
+    at the threshold shares a bucket with probability `recall`; a bucket's star is completed by the exact search of
+    near_duplicates, so that hot passages make no pairs among themselves.
 
-    Null text or text without long lines: no rows. Null ids: their paragraphs take no part. Rows that repeat an id
+    Null text or text without as many words: no rows. Null ids: their paragraphs take no part. Rows that repeat an id
     count as one document. Other columns are not read.
     """
-    bands, rows = tune_bands(percent / 100, recall)
-    items = paragraphs(docs, id_col, text_col, least_words).where("doc is not null")
-    found = near_duplicates(items, "id", "text", width, percent, bands, rows).select("id", "component_id").distinct()
-    places = items.select("doc", "paragraph", "id").distinct()
-    groups = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
-    members = places.join(found.join(groups, "component_id"), "id")
-    first = members.groupBy("component_id").agg(F.min(F.struct("doc", "paragraph")).alias("first"))
-    return members.join(first, "component_id").select(
-        F.col("doc").alias(id_col),
-        "paragraph",
-        F.col("component_id").alias("group"),
-        F.col("first.doc").alias("first_doc"),
-        F.col("first.paragraph").alias("first_paragraph"),
-        ((F.col("first.doc") == F.col("doc")) & (F.col("first.paragraph") == F.col("paragraph"))).alias("kept"),
-    )
-
-
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    options = (least_words, width, percent, *tune_bands(percent / 100, recall))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    lines = _repeated_lines(texts, "id", "text", *options)
+    passages = _repeated_passages(cut(_without_lines(texts, "id", "text", lines)), "id", "text", *options)
+    last = lambda paragraph, start, stop: (F.col("doc").alias(id_col), F.expr(paragraph).cast("int").alias("paragraph"), F.expr(start).cast("int").alias("start"), F.expr(stop).cast("int").alias("stop"), "group", F.col("first.doc").alias("first_doc"), "kept")
+    return lines.select(*last("paragraph", "null", "null")).union(passages.select(*last("null", "start", "stop")))
+
+
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 20, width: int = 5, percent: int = 80, recall: float = 0.9995) -> DataFrame:
     """docs without repeated paragraphs; a document of which no word is left goes. Same columns; n_chars follows."""
-    gone = repeated_paragraphs(docs, id_col, text_col, **options).where(~F.col("kept"))
-    lists = gone.groupBy(F.col(id_col).alias("__id")).agg(F.collect_set("paragraph").alias("__gone"))
-    joined = docs.join(lists, F.col(id_col).cast("long") == F.col("__id"), "left")
-    left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(left)
-    out = joined.withColumn(text_col, text).where(F.col("__gone").isNull() | F.col(text_col).rlike(WORDS))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("__gone").isNull(), F.col("n_chars")).otherwise(F.length(text_col).cast(docs.schema["n_chars"].dataType)))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    options = (least_words, width, percent, *tune_bands(percent / 100, recall))
+    left = cut(_without_lines(docs, id_col, text_col, _repeated_lines(docs, id_col, text_col, *options)))
+    return _without_passages(left, id_col, text_col, _repeated_passages(left, id_col, text_col, *options))

@@ -189,6 +189,27 @@ def test_suffix_tree_without_training(spark):
     assert suffix_tree_scores(docs_of(spark, [])).count() == 0
 
 
+def test_passages_inside_lines(spark):
+    rng = random.Random(5)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    shared = [prose(n) for n in (55, 60, 80, 120)] + [prose(30) + "\n" + prose(10) + "\n" + prose(30)]
+    texts = [f"{prose(100)} {p} {prose(90)}\n{prose(12)}" for p in shared for _ in range(4)] + [prose(150) for _ in range(20)] + [None, "", "a a a a"]
+    found = [r for r in repeated_paragraphs(docs_of(spark, list(enumerate(texts)))).collect() if r.paragraph is None]
+    for n, p in enumerate(shared):
+        own = [r for r in found if r.doc_id // 4 == n]
+        assert {r.doc_id for r in own} == set(range(4 * n, 4 * n + 4)) and {r.doc_id for r in own if r.kept} == {4 * n}
+        assert all(texts[r.doc_id][r.start : r.stop] in p and r.first_doc == 4 * n for r in own)
+    assert {r.doc_id for r in found} == set(range(20))
+    left = {r.doc_id: r.text for r in without_repeats(docs_of(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        if i >= 20 or i % 4 == 0:
+            assert left[i] == text
+        else:
+            spans = sorted((r.start, r.stop) for r in found if r.doc_id == i)
+            assert left[i] == "".join(text[a:b] for a, b in zip([0, *(e for _, e in spans)], [*(b for b, _ in spans), len(text)], strict=True))
+            assert len(left[i].split()) <= len(text.split()) - 20
+
+
 def test_repeated_paragraphs(spark):
     assert tune_bands(0.8, 0.99)[0] <= 16
     p = [" ".join(f"p{k}w{j}" for j in range(60)) for k in range(4)]
