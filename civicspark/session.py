@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def local_session(cores: int | str = "*", partitions: int = 8, name: str = "civicspark") -> SparkSession:
     """A session for tests and benchmarks on one machine; on a cluster spark-submit gives these settings."""
@@ -38,10 +40,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it back: short lineage that survives lost executors."""
+    """Writes df as Parquet to the shared folder and reads it back: short lineage that survives lost executors.
+
+    The write's shuffle files go when it ends, not when the driver happens to collect garbage.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._cut_path = path
     return out
