@@ -117,7 +117,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = found.where("id is not null and n_shingles > 0")
     classes = known.groupBy("one", "two", "n_shingles").agg(F.min("id").alias("class_id"))
     first = known.join(classes, (known.one == classes.one) & (known.two == classes.two) & (known.n_shingles == classes.n_shingles) & (known.id == classes.class_id), "left_semi")
-    keys = cut(first.select("id", F.explode("bands").alias("key")).distinct())
+    keys = cut(first.select("id", F.explode("bands").alias("key")))
     hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
     buckets = cut(keys.join(hubs, "key"))
     drop_cut(keys)
