@@ -1,5 +1,8 @@
-"""Passages inside longer texts: texts are cut into short pieces where their own words say so, and stretches of pieces
-that other documents share are the passages to compare."""
+"""Passages inside longer texts: runs of words that stand elsewhere too, wherever in their lines.
+
+Each window of `least` words has an anchor, the least hash among its runs of SEED words, so equal windows have equal
+anchors. Windows whose anchor stands at one place only are unique; only the others are compared, as a whole.
+"""
 
 from __future__ import annotations
 
@@ -11,71 +14,146 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicspark.llm.words import mix, text_blocks, word_hashes, word_spans
+from civicspark.session import cut, drop_cut
 
+SEED = 8
 _ODD = np.uint64(0x9E3779B97F4A7C15)
-_MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def piece_starts(words: np.ndarray, radius: int) -> np.ndarray:
-    """The words of one text at which a piece starts: 0, and where the hash of three words is the least within `radius`
-    words on both sides (the first of equal ones). Equal passages are cut alike but for their outer `radius` + 2 words."""
-    n = len(words) - 2
-    if n < 2:
-        return np.zeros(min(1, len(words)), np.int64)
-    runs = mix(mix(words[:n]) + mix(words[1 : n + 1] + _ODD) + mix(words[2:] + _ODD * np.uint64(2)))
-    padded = np.r_[np.full(radius, _MOST), runs, np.full(radius, _MOST)]
-    near = np.lib.stride_tricks.sliding_window_view(padded, radius).min(axis=1)
-    least = (near[:n] > runs) & (near[radius + 1 : radius + 1 + n] >= runs)
-    least[0] = True
-    return np.flatnonzero(least)
+def grams(words: np.ndarray, k: int) -> np.ndarray:
+    """A hash of each run of `k` words."""
+    n = max(0, len(words) - k + 1)
+    out = np.zeros(n, np.uint64)
+    for j, factor in enumerate(mix(np.arange(1, k + 1, dtype=np.uint64) * _ODD) | np.uint64(1)):
+        out += words[j : j + n] * factor
+    return mix(out)
+
+
+def windows(words: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of `least` words inside a text: their first word, their anchor's first word and its hash."""
+    starts = np.flatnonzero(np.repeat(first[1:], np.diff(first)) - np.arange(len(words)) >= least)
+    if not len(starts):
+        return starts, starts, np.zeros(0, np.uint64)
+    size = min(SEED, least)
+    runs = grams(words, size)
+    at = starts + np.lib.stride_tricks.sliding_window_view(runs, least - size + 1)[starts].argmin(axis=1)
+    return starts, at, runs[at]
+
+
+def _words_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    for row, data, offsets in text_blocks(texts):
+        begins, ends, first = word_spans(data, offsets)
+        yield row, data, offsets, begins, ends, first, word_hashes(data, begins, ends)
+
+
+def _anchors(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, *_, first, words in _words_of(batch.column(2)):
+                _, at, keys = windows(words, first, least)
+                at, one = np.unique(at, return_index=True)
+                text = np.searchsorted(first, at, "right") - 1
+                rows = pa.array(row + text)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array((at - first[text]).astype(np.int32)), pa.array(keys[one].view(np.int64))], names=["doc", "version", "pos", "key"])
+
+    return run
+
+
+def _lists(column: pa.ListArray, row: int, texts: int) -> tuple[np.ndarray, pa.Array]:
+    """The text of each element, counted from `row`, and the elements."""
+    part = column.slice(row, texts)
+    sizes = np.diff(part.offsets.to_numpy())
+    return np.repeat(np.arange(texts), sizes), part.flatten()
 
 
-def _pieces(radius: int):
+def _windows(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, data, offsets in text_blocks(batch.column(2)):
-                begins, ends, first = word_spans(data, offsets)
-                words = word_hashes(data, begins, ends)
-                starts = [first[t] + piece_starts(words[first[t] : first[t + 1]], radius) for t in range(len(first) - 1)]
-                counts = [len(s) for s in starts]
-                at = np.concatenate(starts)
-                if not len(at):
-                    continue
-                size = np.diff(np.r_[at, len(words)])
-                inside = np.arange(len(words)) - np.repeat(at, size)
-                prints = mix(np.add.reduceat(mix(words + inside.astype(np.uint64) * _ODD), at) + size.astype(np.uint64))
-                points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
-                text = np.repeat(np.arange(len(counts)), counts)
-                zero = points[offsets[text]]
+            for row, *_, first, words in _words_of(batch.column(2)):
+                starts, at, _ = windows(words, first, least)
+                text, pos = _lists(batch.column(3), row, len(first) - 1)
+                shared = np.zeros(len(words), bool)
+                shared[first[text] + pos.to_numpy()] = True
+                starts = starts[shared[at]]
+                text = np.searchsorted(first, starts, "right") - 1
                 rows = pa.array(row + text)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(rows),
-                        batch.column(1).take(rows),
-                        pa.array((np.arange(len(at)) - np.repeat(np.cumsum([0, *counts])[:-1], counts)).astype(np.int32)),
-                        pa.array(size.astype(np.int32)),
-                        pa.array((points[begins[at]] - zero).astype(np.int32)),
-                        pa.array((points[ends[at + size - 1]] - zero).astype(np.int32)),
-                        pa.array(prints.view(np.int64)),
-                    ],
-                    names=["doc", "version", "piece", "words", "start", "stop", "print"],
-                )
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array((starts - first[text]).astype(np.int32)), pa.array(grams(words, least)[starts].view(np.int64))], names=["doc", "version", "pos", "key"])
 
     return run
 
 
-def shared_passages(texts: DataFrame, least_words: int, radius: int = 4) -> DataFrame:
-    """(doc, version, start, stop) of passages of `texts` (doc, version, text) that stand in other documents too.
+def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans of words as spans of characters."""
+    for batch in batches:
+        for row, data, offsets, begins, ends, first, _ in _words_of(batch.column(2)):
+            text, spans = _lists(batch.column(3), row, len(first) - 1)
+            points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+            zero, rows = points[offsets[text]], pa.array(row + text)
+            field = lambda name: spans.field(name)  # noqa: B023, E731
+            start = points[begins[first[text] + field("begin").to_numpy()]] - zero
+            stop = points[ends[first[text] + field("end").to_numpy() - 1]] - zero
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), field("group"), field("first_doc"), field("kept")],
+                names=["doc", "version", "start", "stop", "group", "first_doc", "kept"],
+            )
+
+
+def _with_texts(lists: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+    """(doc, version, text, name): each text once, with its list."""
+    return lists.join(texts, ["doc", "version"]).groupBy("doc", "version").agg(F.first("text").alias("text"), F.first(name).alias(name))
+
 
-    Pieces are grouped by fingerprint with a partial aggregate of fixed size; those of more than one doc go back to their
-    texts, where neighbours shared by the same documents join to a passage if they have `least_words` words. Places count
-    characters from 0. A passage that makes less than a piece more than that may be missed. Null docs take no part.
+def repeated_passages(texts: DataFrame, least_words: int) -> DataFrame:
+    """(doc, version, start, stop, group, first_doc, kept) of the passages of `texts` (doc, version, text) that repeat.
+
+    Each window of `least_words` words that stands at several places, in one document or more, stays at the first
+    (doc, version, place); neighbouring windows that stay join to a kept passage. Elsewhere neighbours join as long as
+    they follow the same kept passage, and the words that no kept window of their own text needs are to be removed.
+    Other places, partial copies and edits end a passage but never lose a window. Places count characters from 0;
+    removed passages can overlap. Null docs take no part.
     """
-    pieces = texts.where("doc is not null").mapInArrow(_pieces(radius), "doc long, version long, piece int, words int, start int, stop int, print long")
-    who = pieces.groupBy("print").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.bit_xor(F.xxhash64("doc", "version")).alias("all")).where("lo < hi")
-    placed = pieces.join(who, "print").dropDuplicates(["doc", "version", "piece"])
-    own = Window.partitionBy("doc", "version").orderBy("piece")
-    same = (F.lag("piece").over(own) == F.col("piece") - 1) & (F.lag("lo").over(own) == F.col("lo")) & (F.lag("hi").over(own) == F.col("hi")) & (F.lag("all").over(own) == F.col("all"))
-    runs = placed.withColumn("new", F.when(same, 0).otherwise(1)).withColumn("run", F.sum("new").over(own))
-    found = runs.groupBy("doc", "version", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("words").alias("words"))
-    return found.where(F.col("words") >= least_words).select("doc", "version", "start", "stop")
+    texts = texts.where("doc is not null")
+    anchors = texts.mapInArrow(_anchors(least_words), "doc long, version long, pos int, key long")
+    place = F.xxhash64("doc", "version", "pos")
+    often = anchors.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("key")
+    hits = anchors.join(often, "key").groupBy("doc", "version").agg(F.collect_set("pos").alias("anchors"))
+    each = cut(_with_texts(hits, texts, "anchors").mapInArrow(_windows(least_words), "doc long, version long, pos int, key long"))
+    spot = F.struct("doc", "version", "pos")
+    hubs = each.groupBy("key").agg(F.min(spot).alias("hub"), F.max(spot).alias("last")).where("hub < last").select("key", "hub")
+    placed = cut(each.join(hubs, "key").select("doc", "version", "pos", F.col("hub.doc").alias("hub_doc"), F.col("hub.version").alias("hub_version"), F.col("hub.pos").alias("hub_pos")))
+    drop_cut(each)
+    spans = _spans(placed, least_words)
+    lists = spans.groupBy("doc", "version").agg(F.collect_list(F.struct("begin", "end", "group", "first_doc", "kept")).alias("spans"))
+    out = cut(_with_texts(lists, texts, "spans").mapInArrow(_characters, "doc long, version long, start int, stop int, group long, first_doc long, kept boolean"))
+    drop_cut(placed)
+    return out
+
+
+def _runs(placed: DataFrame, least: int) -> DataFrame:
+    """(doc, version, begin, end, hub_doc, hub_version, hub_begin, floor, roof): words that follow one kept passage;
+    the words of kept windows of the same text end at floor before them and begin at roof after them."""
+    own = Window.partitionBy("doc", "version").orderBy("pos")
+    kept = F.when((F.col("hub_doc") == F.col("doc")) & (F.col("hub_version") == F.col("version")) & (F.col("hub_pos") == F.col("pos")), F.col("pos"))
+    follows = (F.lag("pos").over(own) == F.col("pos") - 1) & (F.lag("hub_pos").over(own) == F.col("hub_pos") - 1) & (F.lag("hub_doc").over(own) == F.col("hub_doc")) & (F.lag("hub_version").over(own) == F.col("hub_version"))
+    marked = placed.withColumns({
+        "new": F.when(follows, 0).otherwise(1),
+        "floor": F.last(kept, True).over(own.rowsBetween(Window.unboundedPreceding, -1)) + least,
+        "roof": F.min(kept).over(own.rowsBetween(1, Window.unboundedFollowing)),
+    }).withColumn("run", F.sum("new").over(own))
+    return marked.groupBy("doc", "version", "run", "hub_doc", "hub_version").agg(
+        F.min("pos").alias("begin"), (F.max("pos") + least).alias("end"), F.min("hub_pos").alias("hub_begin"), F.min("floor").alias("floor"), F.max("roof").alias("roof"),
+    )
+
+
+def _spans(placed: DataFrame, least: int) -> DataFrame:
+    """(doc, version, begin, end, group, first_doc, kept), counted in words."""
+    runs = cut(_runs(placed, least))
+    kept = F.expr("hub_doc = doc and hub_version = version and hub_begin = begin")
+    group = F.xxhash64("hub_doc", "hub_version", "hub_start")
+    stays = runs.where(kept).withColumn("hub_start", F.col("begin"))
+    # a run follows windows that stay, one after the other, so it lies inside one kept passage
+    windows = stays.select("hub_doc", "hub_version", F.col("begin").alias("hub_start"), F.explode(F.sequence(F.col("begin"), F.col("end") - least)).alias("hub_begin"))
+    goes = runs.where(~kept).join(windows, ["hub_doc", "hub_version", "hub_begin"])
+    goes = goes.withColumns({"begin": F.greatest("begin", "floor"), "end": F.least("end", "roof")}).where("begin < end")
+    row = lambda df, stay: df.select("doc", "version", "begin", "end", group.alias("group"), F.col("hub_doc").alias("first_doc"), F.lit(stay).alias("kept"))
+    return row(stays, True).union(row(goes, False))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicspark.llm.near_dedup import near_duplicates
-from civicspark.llm.passages import shared_passages
+from civicspark.llm.passages import repeated_passages
 from civicspark.session import cut, drop_cut
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -50,11 +50,9 @@ def _repeated_lines(docs: DataFrame, id_col: str, text_col: str, least_words: in
     return _groups(items, ["doc", "paragraph"], width, percent, bands, rows)
 
 
-def _repeated_passages(docs: DataFrame, id_col: str, text_col: str, least_words: int, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+def _repeated_passages(docs: DataFrame, id_col: str, text_col: str, least_words: int) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("version"), F.col(text_col).cast("string").alias("text"))
-    spans = cut(shared_passages(texts, least_words))
-    items = spans.join(texts, ["doc", "version"]).select("doc", "start", "version", "stop", F.expr("substring(text, start + 1, stop - start)").alias("text"), F.xxhash64("doc", "version", "start").alias("id"))
-    return _groups(items, ["doc", "start", "version", "stop"], width, percent, bands, rows)
+    return repeated_passages(texts, least_words)
 
 
 def _without(docs: DataFrame, id_col: str, text_col: str, lists: DataFrame, match, left) -> DataFrame:
@@ -73,7 +71,11 @@ def _without_lines(docs: DataFrame, id_col: str, text_col: str, found: DataFrame
 
 
 def _without_passages(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
-    lists = found.where(~F.col("kept")).groupBy(F.col("doc").alias("__id"), F.col("version").alias("__version")).agg(F.array_sort(F.collect_set(F.struct("start", "stop"))).alias("__gone"))
+    own = Window.partitionBy("doc", "version").orderBy("start", "stop")
+    new = F.coalesce(F.col("start") > F.max("stop").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)).cast("int")
+    apart = found.where(~F.col("kept")).withColumn("new", new).withColumn("part", F.sum("new").over(own))
+    apart = apart.groupBy("doc", "version", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    lists = apart.groupBy(F.col("doc").alias("__id"), F.col("version").alias("__version")).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__gone"))
     text = F.col(text_col)
     edge = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.expr("__gone")[F.greatest(i - 1, F.lit(0))]["stop"])
     last = lambda i: F.when(i == F.size("__gone"), F.length(text)).otherwise(F.expr("__gone")[F.least(i, F.size("__gone") - 1)]["start"])
@@ -86,27 +88,29 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row for each paragraph that another one repeats: (id, paragraph, start, stop, group, first_doc, kept).
 
     First, paragraphs are \\n-split lines of at least `least_words` words (`paragraph` is the line's number, start and
-    stop are null). Then, in the texts without the repeats among these, they are passages of as many words that stand
-    inside other documents too, wherever in their lines (`paragraph` is null; start and stop count characters of that
-    text). Either kind is compared as sets of `width`-word shingles; linked at similarity percent / 100 or more,
-    confirmed exactly, and grouped by connected components. In each group the paragraph with the smallest (id, place)
-    is kept, all others are to be removed; lines repeated inside one document count too. Bands are tuned so that a link
-    at the threshold shares a bucket with probability `recall`; a bucket's star is completed by the exact search of
+    stop are null), compared as sets of `width`-word shingles; linked at similarity percent / 100 or more, confirmed
+    exactly, and grouped by connected components. In each group the paragraph with the smallest (id, place) is kept,
+    all others are to be removed; lines repeated inside one document count too. Bands are tuned so that a link at the
+    threshold shares a bucket with probability `recall`; a bucket's star is completed by the exact search of
     near_duplicates, so that hot passages make no pairs among themselves.
 
+    Then, in the texts without the repeats among these, they are passages of as many words that stand elsewhere too, in
+    other documents or the same, wherever in their lines (`paragraph` is null; start and stop count characters of that
+    text): see repeated_passages.
+
     Null text or text without as many words: no rows. Null ids: their paragraphs take no part. Rows that repeat an id
     count as one document. Other columns are not read.
     """
     options = (least_words, width, percent, *tune_bands(percent / 100, recall))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     lines = _repeated_lines(texts, "id", "text", *options)
-    passages = _repeated_passages(cut(_without_lines(texts, "id", "text", lines)), "id", "text", *options)
-    last = lambda paragraph, start, stop: (F.col("doc").alias(id_col), F.expr(paragraph).cast("int").alias("paragraph"), F.expr(start).cast("int").alias("start"), F.expr(stop).cast("int").alias("stop"), "group", F.col("first.doc").alias("first_doc"), "kept")
-    return lines.select(*last("paragraph", "null", "null")).union(passages.select(*last("null", "start", "stop")))
+    passages = _repeated_passages(cut(_without_lines(texts, "id", "text", lines)), "id", "text", least_words)
+    row = lambda paragraph, start, stop, first: (F.col("doc").alias(id_col), F.expr(paragraph).cast("int").alias("paragraph"), F.expr(start).cast("int").alias("start"), F.expr(stop).cast("int").alias("stop"), "group", F.col(first).alias("first_doc"), "kept")
+    return lines.select(*row("paragraph", "null", "null", "first.doc")).union(passages.select(*row("null", "start", "stop", "first_doc")))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 20, width: int = 5, percent: int = 80, recall: float = 0.9995) -> DataFrame:
     """docs without repeated paragraphs; a document of which no word is left goes. Same columns; n_chars follows."""
     options = (least_words, width, percent, *tune_bands(percent / 100, recall))
     left = cut(_without_lines(docs, id_col, text_col, _repeated_lines(docs, id_col, text_col, *options)))
-    return _without_passages(left, id_col, text_col, _repeated_passages(left, id_col, text_col, *options))
+    return _without_passages(left, id_col, text_col, _repeated_passages(left, id_col, text_col, least_words))

@@ -210,6 +210,25 @@ def test_passages_inside_lines(spark):
             assert len(left[i].split()) <= len(text.split()) - 20
 
 
+def test_passages_beside_edited_partial_and_moved_copies(spark):
+    rng = random.Random(6)
+    prose = lambda n: "".join(rng.choices("abcdefghij", k=6)) + "".join(" " + "".join(rng.choices("abcdefghij", k=6)) for _ in range(n - 1))
+    shared, twice = [prose(60) for _ in range(6)], prose(20)
+    edited = [" ".join(["zz" if k == 30 else w for k, w in enumerate(p.split())]) for p in shared]
+    partial = [" ".join(p.split()[12:40]) for p in shared]
+    texts = [f"{prose(70)} {p} {prose(70)}" for n in range(6) for p in (edited[n], partial[n], shared[n], shared[n], partial[n])]
+    texts += [f"{prose(50)} {twice} {prose(50)} {twice} {prose(50)}", " ".join(["a"] * 100)]
+    texts += [f"{prose(50)} {p} {prose(50)}" for p in [prose(20)] * 2]
+    left = {r.doc_id: r.text.split() for r in without_repeats(docs_of(spark, list(enumerate(texts)))).collect()}
+    for n in range(0, 30, 5):
+        own = [t.split() for t in texts[n : n + 5]]
+        assert left[n] == own[0] and left[n + 1] == own[1]
+        assert left[n + 3] == own[3][:70] + own[3][130:] and left[n + 4] == own[4][:70] + own[4][98:]
+        whole = [" ".join(left[k]) for k in range(n, n + 5)]
+        assert all(sum(" ".join(shared[n // 5].split()[k : k + 20]) in t for t in whole) >= 1 for k in range(41))
+    assert [len(left[k]) for k in range(30, 34)] == [170, 20, 120, 100]
+
+
 def test_repeated_paragraphs(spark):
     assert tune_bands(0.8, 0.99)[0] <= 16
     p = [" ".join(f"p{k}w{j}" for j in range(60)) for k in range(4)]
