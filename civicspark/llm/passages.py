@@ -98,19 +98,99 @@ def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _reach(size: int) -> int:
+    """Words beside an exact run of `size` words that an edited passage around it can have at 80 percent or more."""
+    return size + 24
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of words with the hashes of their words and of those around them."""
+    for batch in batches:
+        for row, *_, first, words in _words_of(batch.column(2)):
+            text, runs = _lists(batch.column(3), row, len(first) - 1)
+            begin, end = runs.field("begin").to_numpy(), runs.field("end").to_numpy()
+            lo = np.maximum(begin - _reach(end - begin), 0)
+            hi = np.minimum(end + _reach(end - begin), np.diff(first)[text])
+            for a in range(0, len(text), 512):
+                own = slice(a, a + 512)
+                parts = [words[first[t] + x : first[t] + y].view(np.int64) for t, x, y in zip(text[own], lo[own], hi[own], strict=True)]
+                rows = pa.array(row + text[own])
+                lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int32), np.concatenate(parts))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(begin[own]), pa.array(end[own]), pa.array((begin - lo)[own].astype(np.int32)), lists],
+                    names=["doc", "version", "begin", "end", "at", "around"],
+                )
+
+
+def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width: int, percent: int) -> tuple[int, int]:
+    """Words to add before and after the equal words x[at_x : at_x + size], y[at_y : at_y + size], so that what they make
+    up with their counterpart stays similar enough: 100 * |A and B| >= percent * |A or B| of `width`-word shingles.
+
+    Goes from one equal stretch to the next on either side, while similarity lasts; an edit may skip a quarter of the words.
+    """
+    sides = [[x[:at_x][::-1], y[:at_y][::-1], 0, 0], [x[at_x + size :], y[at_y + size :], 0, 0]]
+    keys = [(grams(side[0], width), grams(side[1], width)) for side in sides]
+    common = left = right = max(1, size - width + 1)
+
+    def stretch(side: list, i: int, j: int) -> int:
+        most = min(len(side[0]) - i, len(side[1]) - j)
+        apart = side[0][i : i + most] != side[1][j : j + most]
+        return int(apart.argmax()) if apart.any() else most
+
+    for side in sides:
+        more = stretch(side, 0, 0)
+        side[2], side[3], common, left, right = more, more, common + more, left + more, right + more
+    moved = True
+    while moved:
+        moved = False
+        for side, (kx, ky) in zip(sides, keys, strict=True):
+            i, j, most = side[2], side[3], 5 + left // 4
+            _, u, v = np.intersect1d(kx[i : i + most], ky[j : j + most], return_indices=True)
+            if not len(u):
+                continue
+            best = np.maximum(u, v).argmin()
+            u, v = int(u[best]), int(v[best])
+            more = stretch(side, i + u, j + v)
+            c, a, b = common + more - width + 1, left + u + more, right + v + more
+            if c * 100 >= percent * (a + b - c):
+                side[2], side[3], common, left, right, moved = i + u + more, j + v + more, c, a, b, True
+    before, after = sides
+    one = np.unique(grams(x[at_x - before[2] : at_x + size + after[2]], width))
+    two = np.unique(grams(y[at_y - before[3] : at_y + size + after[3]], width))
+    c = len(np.intersect1d(one, two, True))
+    return (before[2], after[2]) if c * 100 >= percent * (len(one) + len(two) - c) else (0, 0)
+
+
+def _widened(width: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = {f.name: batch.column(k) for k, f in enumerate(batch.schema)}
+            begin, end, at_x, at_y = (cols[c].to_numpy() for c in ("begin", "end", "at", "hub_at"))
+            (fx, ox), (fy, oy) = ((cols[c].values.to_numpy(), cols[c].offsets.to_numpy()) for c in ("around", "hub_around"))
+            more = np.array([widened(fx[ox[k] : ox[k + 1]].view(np.uint64), fy[oy[k] : oy[k + 1]].view(np.uint64), at_x[k], at_y[k], end[k] - begin[k], width, percent) for k in range(len(begin))], np.int32).reshape(-1, 2)
+            names = ["doc", "version", "begin", "end", "hub_doc", "hub_version", "hub_start", "floor", "roof"]
+            out = cols | {"begin": pa.array(begin - more[:, 0]), "end": pa.array(end + more[:, 1])}
+            yield pa.RecordBatch.from_arrays([out[c] for c in names], names=names)
+
+    return run
+
+
 def _with_texts(lists: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """(doc, version, text, name): each text once, with its list."""
     return lists.join(texts, ["doc", "version"]).groupBy("doc", "version").agg(F.first("text").alias("text"), F.first(name).alias(name))
 
 
-def repeated_passages(texts: DataFrame, least_words: int) -> DataFrame:
+def repeated_passages(texts: DataFrame, least_words: int, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc, version, start, stop, group, first_doc, kept) of the passages of `texts` (doc, version, text) that repeat.
 
     Each window of `least_words` words that stands at several places, in one document or more, stays at the first
     (doc, version, place); neighbouring windows that stay join to a kept passage. Elsewhere neighbours join as long as
     they follow the same kept passage, and the words that no kept window of their own text needs are to be removed.
-    Other places, partial copies and edits end a passage but never lose a window. Places count characters from 0;
-    removed passages can overlap. Null docs take no part.
+    Other places, partial copies and edits end a passage but never lose a window. A passage to be removed then takes in
+    the words around it, edits included, as far as it and its counterpart in the kept text have similarity percent / 100
+    or more as sets of `width`-word shingles: near copies of 22 words or more share a window of 20, for at 80 percent
+    their equal stretches can't all be shorter. Places count characters from 0; removed passages can overlap. Null docs
+    take no part.
     """
     texts = texts.where("doc is not null")
     anchors = texts.mapInArrow(_anchors(least_words), "doc long, version long, pos int, key long")
@@ -122,7 +202,7 @@ def repeated_passages(texts: DataFrame, least_words: int) -> DataFrame:
     hubs = each.groupBy("key").agg(F.min(spot).alias("hub"), F.max(spot).alias("last")).where("hub < last").select("key", "hub")
     placed = cut(each.join(hubs, "key").select("doc", "version", "pos", F.col("hub.doc").alias("hub_doc"), F.col("hub.version").alias("hub_version"), F.col("hub.pos").alias("hub_pos")))
     drop_cut(each)
-    spans = _spans(placed, least_words)
+    spans = _spans(placed, texts, least_words, width, percent)
     lists = spans.groupBy("doc", "version").agg(F.collect_list(F.struct("begin", "end", "group", "first_doc", "kept")).alias("spans"))
     out = cut(_with_texts(lists, texts, "spans").mapInArrow(_characters, "doc long, version long, start int, stop int, group long, first_doc long, kept boolean"))
     drop_cut(placed)
@@ -145,7 +225,17 @@ def _runs(placed: DataFrame, least: int) -> DataFrame:
     )
 
 
-def _spans(placed: DataFrame, least: int) -> DataFrame:
+def _around(goes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The runs, widened over edits by comparison with the texts they follow."""
+    wanted = goes.select("doc", "version", "begin", "end").union(goes.selectExpr("hub_doc", "hub_version", "hub_begin", "hub_begin + end - begin")).distinct()
+    lists = wanted.groupBy("doc", "version").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
+    found = cut(_with_texts(lists, texts, "runs").mapInArrow(_contexts, "doc long, version long, begin int, end int, at int, around array<long>"))
+    hub = found.selectExpr("doc hub_doc", "version hub_version", "begin hub_begin", "end - begin size", "at hub_at", "around hub_around")
+    met = goes.withColumn("size", F.col("end") - F.col("begin")).join(found, ["doc", "version", "begin", "end"]).join(hub, ["hub_doc", "hub_version", "hub_begin", "size"])
+    return met.mapInArrow(_widened(width, percent), "doc long, version long, begin int, end int, hub_doc long, hub_version long, hub_start int, floor int, roof int")
+
+
+def _spans(placed: DataFrame, texts: DataFrame, least: int, width: int, percent: int) -> DataFrame:
     """(doc, version, begin, end, group, first_doc, kept), counted in words."""
     runs = cut(_runs(placed, least))
     kept = F.expr("hub_doc = doc and hub_version = version and hub_begin = begin")
@@ -154,6 +244,6 @@ def _spans(placed: DataFrame, least: int) -> DataFrame:
     # a run follows windows that stay, one after the other, so it lies inside one kept passage
     windows = stays.select("hub_doc", "hub_version", F.col("begin").alias("hub_start"), F.explode(F.sequence(F.col("begin"), F.col("end") - least)).alias("hub_begin"))
     goes = runs.where(~kept).join(windows, ["hub_doc", "hub_version", "hub_begin"])
-    goes = goes.withColumns({"begin": F.greatest("begin", "floor"), "end": F.least("end", "roof")}).where("begin < end")
+    goes = _around(goes, texts, width, percent).withColumns({"begin": F.greatest("begin", "floor"), "end": F.least("end", "roof")}).where("begin < end").distinct()
     row = lambda df, stay: df.select("doc", "version", "begin", "end", group.alias("group"), F.col("hub_doc").alias("first_doc"), F.lit(stay).alias("kept"))
     return row(stays, True).union(row(goes, False))

@@ -50,9 +50,9 @@ def _repeated_lines(docs: DataFrame, id_col: str, text_col: str, least_words: in
     return _groups(items, ["doc", "paragraph"], width, percent, bands, rows)
 
 
-def _repeated_passages(docs: DataFrame, id_col: str, text_col: str, least_words: int) -> DataFrame:
+def _repeated_passages(docs: DataFrame, id_col: str, text_col: str, least_words: int, width: int, percent: int) -> DataFrame:
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("version"), F.col(text_col).cast("string").alias("text"))
-    return repeated_passages(texts, least_words)
+    return repeated_passages(texts, least_words, width, percent)
 
 
 def _without(docs: DataFrame, id_col: str, text_col: str, lists: DataFrame, match, left) -> DataFrame:
@@ -104,7 +104,7 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     options = (least_words, width, percent, *tune_bands(percent / 100, recall))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     lines = _repeated_lines(texts, "id", "text", *options)
-    passages = _repeated_passages(cut(_without_lines(texts, "id", "text", lines)), "id", "text", least_words)
+    passages = _repeated_passages(cut(_without_lines(texts, "id", "text", lines)), "id", "text", least_words, width, percent)
     row = lambda paragraph, start, stop, first: (F.col("doc").alias(id_col), F.expr(paragraph).cast("int").alias("paragraph"), F.expr(start).cast("int").alias("start"), F.expr(stop).cast("int").alias("stop"), "group", F.col(first).alias("first_doc"), "kept")
     return lines.select(*row("paragraph", "null", "null", "first.doc")).union(passages.select(*row("null", "start", "stop", "first_doc")))
 
@@ -113,4 +113,4 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """docs without repeated paragraphs; a document of which no word is left goes. Same columns; n_chars follows."""
     options = (least_words, width, percent, *tune_bands(percent / 100, recall))
     left = cut(_without_lines(docs, id_col, text_col, _repeated_lines(docs, id_col, text_col, *options)))
-    return _without_passages(left, id_col, text_col, _repeated_passages(left, id_col, text_col, least_words))
+    return _without_passages(left, id_col, text_col, _repeated_passages(left, id_col, text_col, least_words, width, percent))

@@ -229,6 +229,23 @@ def test_passages_beside_edited_partial_and_moved_copies(spark):
     assert [len(left[k]) for k in range(30, 34)] == [170, 20, 120, 100]
 
 
+def test_edited_passages_inside_lines(spark):
+    rng = random.Random(7)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(n))
+    edits = [(60, {15: "zz"}), (60, {44: ""}), (60, {12: "zz yy"}), (110, {15: "zz", 80: "yy"}), (44, {10: "zz"})]
+    texts, sizes = [], []
+    for n, changes in edits:
+        words = prose(n).split()
+        near = [w for k, w in enumerate(words) for w in changes.get(k, w).split()]
+        texts += [f"{prose(50)} {' '.join(p)} {prose(50)}" for p in (words, near)]
+        sizes.append(len(near))
+        assert (len(shingles(" ".join(words), 5) & shingles(" ".join(near), 5)) >= 0.8 * len(shingles(" ".join(words), 5) | shingles(" ".join(near), 5))) == (n > 44)
+    left = {r.doc_id: r.text.split() for r in without_repeats(docs_of(spark, list(enumerate(texts)))).collect()}
+    for k, text in enumerate(texts):
+        words = text.split()
+        assert left[k] == (words if k % 2 == 0 else words[:50] + words[-50:] if k < 8 else words[:61] + words[-50:])
+
+
 def test_repeated_paragraphs(spark):
     assert tune_bands(0.8, 0.99)[0] <= 16
     p = [" ".join(f"p{k}w{j}" for j in range(60)) for k in range(4)]
