@@ -22,12 +22,12 @@ def tune_bands(similarity: float, recall: float, most_keys: int = 16) -> tuple[i
 
 
 def paragraphs(docs: DataFrame, id_col: str, text_col: str, least_words: int) -> DataFrame:
-    """(doc, paragraph, start, text, id): the \\n-split lines of at least `least_words` words; start counts characters."""
+    """(doc, version, paragraph, text, id): the \\n-split lines of at least `least_words` words; version is the text's hash."""
     lines = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")
     starts = "transform(lines, (x, i) -> struct(i paragraph, x text))"
-    each = docs.select(F.col(id_col).cast("long").alias("doc"), lines.alias("lines")).select("doc", F.inline(F.expr(starts)))
+    each = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("version"), lines.alias("lines")).select("doc", "version", F.inline(F.expr(starts)))
     enough = each.where(F.length("text") >= 2 * least_words - 1).where(F.size(F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+")) >= least_words)
-    return enough.select("doc", "paragraph", "text", F.xxhash64("doc", "paragraph").alias("id"))
+    return enough.select("doc", "version", "paragraph", "text", F.xxhash64("doc", "version", "paragraph").alias("id"))
 
 
 def _groups(items: DataFrame, places: list[str], width: int, percent: int, bands: int, rows: int) -> DataFrame:
@@ -47,7 +47,7 @@ def _groups(items: DataFrame, places: list[str], width: int, percent: int, bands
 
 def _repeated_lines(docs: DataFrame, id_col: str, text_col: str, least_words: int, width: int, percent: int, bands: int, rows: int) -> DataFrame:
     items = paragraphs(docs, id_col, text_col, least_words).where("doc is not null")
-    return _groups(items, ["doc", "paragraph"], width, percent, bands, rows)
+    return _groups(items, ["doc", "paragraph", "version"], width, percent, bands, rows)
 
 
 def _repeated_passages(docs: DataFrame, id_col: str, text_col: str, least_words: int, width: int, percent: int) -> DataFrame:
@@ -55,9 +55,10 @@ def _repeated_passages(docs: DataFrame, id_col: str, text_col: str, least_words:
     return repeated_passages(texts, least_words, width, percent)
 
 
-def _without(docs: DataFrame, id_col: str, text_col: str, lists: DataFrame, match, left) -> DataFrame:
+def _without(docs: DataFrame, id_col: str, text_col: str, lists: DataFrame, left) -> DataFrame:
     """docs with the text `left` where `lists` has a row for them; a document of which no word is left then goes."""
     gone = F.col("__gone").isNotNull()
+    match = (F.col(id_col).cast("long") == F.col("__id")) & (F.xxhash64(text_col) == F.col("__version"))
     out = docs.join(lists, match, "left").withColumn(text_col, F.when(gone, left).otherwise(F.col(text_col))).where(~gone | F.col(text_col).rlike(WORDS))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(gone, F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
@@ -65,9 +66,9 @@ def _without(docs: DataFrame, id_col: str, text_col: str, lists: DataFrame, matc
 
 
 def _without_lines(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
-    lists = found.where(~F.col("kept")).groupBy(F.col("doc").alias("__id")).agg(F.collect_set("paragraph").alias("__gone"))
+    lists = found.where(~F.col("kept")).groupBy(F.col("doc").alias("__id"), F.col("version").alias("__version")).agg(F.collect_set("paragraph").alias("__gone"))
     left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return _without(docs, id_col, text_col, lists, F.col(id_col).cast("long") == F.col("__id"), left)
+    return _without(docs, id_col, text_col, lists, left)
 
 
 def _without_passages(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
@@ -80,8 +81,7 @@ def _without_passages(docs: DataFrame, id_col: str, text_col: str, found: DataFr
     edge = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.expr("__gone")[F.greatest(i - 1, F.lit(0))]["stop"])
     last = lambda i: F.when(i == F.size("__gone"), F.length(text)).otherwise(F.expr("__gone")[F.least(i, F.size("__gone") - 1)]["start"])
     between = F.transform(F.sequence(F.lit(0), F.size("__gone")), lambda i: F.substring(text, edge(i) + 1, last(i) - edge(i)))
-    match = (F.col(id_col).cast("long") == F.col("__id")) & (F.xxhash64(text_col) == F.col("__version"))
-    return _without(docs, id_col, text_col, lists, match, F.array_join(between, ""))
+    return _without(docs, id_col, text_col, lists, F.array_join(between, ""))
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 20, width: int = 5, percent: int = 80, recall: float = 0.9995) -> DataFrame:

@@ -257,6 +257,13 @@ def test_repeated_paragraphs(spark):
     assert left[1].text == texts[0][1] and left[2].text == f"intro\n{p[1]}" and left[2].n_chars == len(left[2].text) and 4 not in left and left[3].text == p[2] and left[None].text == p[0]
 
 
+def test_repeated_lines_of_one_id_with_two_texts(spark):
+    p = [" ".join(f"p{k}w{j}" for j in range(30)) for k in range(4)]
+    texts = [(1, p[0]), (2, f"{p[0]}\n{p[1]}"), (2, f"{p[2]}\n{p[3]}")]
+    left = sorted(r.text for r in without_repeats(docs_of(spark, texts)).collect())
+    assert left == sorted([p[0], p[1], f"{p[2]}\n{p[3]}"])
+
+
 def test_chats_round_trip(spark):
     rng = random.Random(2)
     bits = ["### ", "\\", " </turn>\n", ": ", "#", "<", "word ", "é", "\n", ""]
