@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.functions.text import street_number
+from civicspark.functions.text import addresses_match, normalized_address, street_number
 
 
 def first_by(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
@@ -35,13 +35,53 @@ def token_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return met.groupBy(left_key, right_key).agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
 
 
-def scored_links(left: DataFrame, right: DataFrame, least: float = 50.0) -> DataFrame:
+def _same_address(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs whose addresses have one street number and share a street word; both sides have `address`, under any name."""
+    side = lambda df, s: df.withColumn(s, normalized_address(F.col("address"))).drop("address").withColumn(f"{s}_number", street_number(F.col(s))).where(f"{s}_number <> ''")
+    return side(left, "__a").join(side(right, "__b"), F.col("__a_number") == F.col("__b_number")).where(addresses_match(F.col("__a"), F.col("__b")))
+
+
+def planning_links(projects: DataFrame, plans: DataFrame) -> DataFrame:
+    """(id, project_no, method) of projects (id, apn, refs, address, name) and plans (project_no, apn, address,
+    description): by parcel number, entitlement reference, address, and two shared name words of over three letters, each
+    pair with the first method that finds it."""
+    own = lambda df, c: df.select(c, F.trim("apn").alias("parcel")).where("parcel <> ''")
+    by_apn = own(projects, "id").join(own(plans, "project_no"), "parcel")
+    by_ref = projects.select("id", F.explode("refs").alias("project_no")).join(plans.select("project_no"), "project_no")
+    by_address = _same_address(projects.select("id", "address"), plans.select("project_no", "address"))
+    by_name = token_pairs(projects, plans, "id", "project_no", "name", "description")
+    return prioritized([("apn", by_apn), ("entitlement_ref", by_ref), ("address", by_address), ("name_fuzzy", by_name)], ["id", "project_no"])
+
+
+def meeting_links(projects: DataFrame, items: DataFrame) -> DataFrame:
+    """(id, meeting_id, item, method) of projects (id, refs, address, name) and meeting items (meeting_id, project_no,
+    address, description): by case number, address, and two name words of over three letters that stand in the
+    description of an item with a case number, inside words too. `item` is the description's first 80 characters.
+
+    Words inside words need a nested loop; Spark sends the smaller side to all tasks if it fits.
+    """
+    told = items.withColumn("item", F.substring(F.coalesce("description", F.lit("")), 1, 80))
+    by_ref = projects.select("id", F.explode("refs").alias("project_no")).join(told.where("project_no <> ''"), "project_no")
+    by_address = _same_address(projects.select("id", "address"), told.select("meeting_id", "item", "address"))
+    words = F.filter(F.split(F.upper("name"), r"\W+"), lambda w: F.length(w) > 3)
+    named = projects.select("id", words.alias("words")).where("size(words) >= 2")
+    texts = told.where("project_no <> ''").select("meeting_id", "item", F.upper("description").alias("text"))
+    by_name = named.join(texts, F.size(F.filter("words", lambda w: F.contains("text", w))) >= 2)
+    return prioritized([("project_ref", by_ref), ("address", by_address), ("name_fuzzy", by_name)], ["id", "meeting_id", "item"])
+
+
+def scored_links(left: DataFrame, right: DataFrame, least: float = 50.0, overrides: DataFrame | None = None) -> DataFrame:
     """Best right row for each left row by address and name: 40 for the street number, up to 30 for shared street
     words, 25 or 10 for shared name words; rows (left_id, right_id, score) from `least` on.
 
     Both sides have (id, name, address), addresses normalized. A name alone reaches 25, so the join on street numbers
-    loses nothing while least is above 25. Ties go to the smaller right id.
+    loses nothing while least is above 25. Ties go to the smaller right id. Left rows with a row in `overrides` (left_id,
+    right_id; each left_id once) get that right_id, without score, and no other.
     """
+    if overrides is not None:
+        given = left.select(F.col("id").alias("left_id")).join(overrides, "left_id").select("left_id", "right_id", F.lit(None).cast("double").alias("score"))
+        others = left.join(overrides.select(F.col("left_id").alias("id")), "id", "left_anti")
+        return scored_links(others, right, least).unionByName(given)
     if least <= 25:
         raise ValueError("links by name alone would be lost")
     words = lambda c: F.filter(F.array_distinct(F.split(F.trim(c), r"\s+")), lambda w: w != "")

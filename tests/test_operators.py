@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from civicspark.functions import dates as D
 from civicspark.functions import text as X
-from civicspark.operators.linkage import longest_prefix, nearest_day, scored_links
+from civicspark.operators.linkage import longest_prefix, meeting_links, nearest_day, planning_links, scored_links
 from civicspark.operators.projects import group_permits, islands
 from civicspark.operators.textops import cuts, extract_records, packet_items, table_rows
 from civicspark.streaming.jobs import changed_keys
@@ -66,6 +66,24 @@ def test_links(spark):
     assert [tuple(r) for r in scored_links(left, right).collect()] == [("l", "r", 95.0)]
 
 
+def test_overrides_win_over_scores(spark):
+    left = spark.createDataFrame([("l", "HARBOR VIEW", "101 N ELM ST"), ("m", "HARBOR VIEW", "101 N ELM ST"), ("n", "X", "7 OAK ST")], "id string, name string, address string")
+    right = spark.createDataFrame([("r", "HARBOR VIEW 2", "101 N ELM ST")], "id string, name string, address string")
+    given = spark.createDataFrame([("m", "q"), ("n", "r"), ("o", "r")], "left_id string, right_id string")
+    assert sorted(tuple(r) for r in scored_links(left, right, overrides=given).collect()) == [("l", "r", 95.0), ("m", "q", None), ("n", "r", None)]
+
+
+def test_planning_and_meeting_links_by_all_methods(spark):
+    projects = [(1, "11", ["D1"], "101 N Elm Street", "Harbor View"), (2, " ", [], "7 Oak Ave", "Sea"), (3, None, [], None, "North Harbor View Homes"), (4, "", None, "", None)]
+    projects = spark.createDataFrame(projects, "id int, apn string, refs array<string>, address string, name string")
+    plans = spark.createDataFrame([("D1", "11", "101 ELM ST", "HARBOR VIEW"), ("D2", "", "7 OAK AVE", "harbor plaza"), ("D3", "11", "", "view of harbor"), ("D4", " ", "101 PINE ST", None)], "project_no string, apn string, address string, description string")
+    assert sorted(tuple(r) for r in planning_links(projects, plans).collect()) == [(1, "D1", "apn"), (1, "D3", "apn"), (2, "D2", "address"), (3, "D1", "name_fuzzy"), (3, "D3", "name_fuzzy")]
+    assert (1, "D1", "entitlement_ref") in [tuple(r) for r in planning_links(projects.withColumn("apn", F.lit("")), plans).collect()]
+    items = spark.createDataFrame([("a", "D1", "", "x"), ("b", "D9", "101 ELM ST", "y"), ("c", "D9", "", "Harborside views"), ("d", "", "", "Harbor View"), ("e", None, "7 oak avenue", None)], "meeting_id string, project_no string, address string, description string")
+    got = sorted(tuple(r) for r in meeting_links(projects, items).collect())
+    assert got == [(1, "a", "x", "project_ref"), (1, "b", "y", "address"), (1, "c", "Harborside views", "name_fuzzy"), (2, "e", "", "address"), (3, "c", "Harborside views", "name_fuzzy")]
+
+
 def test_prefix_and_nearest_day(spark):
     names = spark.createDataFrame([("12-a-agenda.txt",), ("12-b",), ("9-x",)], "name string")
     ids = spark.createDataFrame([("12",), ("12-a",)], "id string")
