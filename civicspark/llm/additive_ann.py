@@ -108,14 +108,14 @@ def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: s
     """(query_id, rank, vec_id, score): for every row whose id is divisible by `every` its k nearest other rows.
 
     Codebooks are fitted on at most `sample` vectors, taken by hash of the id; every row is indexed. Equal vectors
-    share one entry with their k + 1 smallest ids, all that a list of k can hold, so a hot vector costs one entry.
+    share one entry with their k + 1 smallest distinct ids, all that a list of k can hold, so a hot vector costs one entry.
     Entries are packed into chunks of `chunk`, queries into blocks of `query_block`; each block meets each chunk once,
     scores it by lookup tables over the codes and stored norms, and gives the k best of `rerank` entries after exact
     double-precision distances on the original vectors. The k best over all chunks are ranked, ties to smaller ids.
 
     Null ids, vectors null, empty, zero, or with null or non-finite numbers take no part, nor do vectors that differ
-    from the most common dimension. An id that repeats counts with each of its vectors as candidate; its own rows are
-    not its candidates. Without valid rows: no rows.
+    from the most common dimension. An id that repeats counts with each of its distinct vectors as candidate and as
+    query; its own rows are not its candidates. Without valid rows: no rows.
     """
     spark = vectors.sparkSession
     schema = "query_id long, rank int, vec_id long, score double"
@@ -128,9 +128,9 @@ def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: s
     drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()
     learned = train_codebooks(np.unique(np.array(drawn["v"].to_pylist()), axis=0), books, words)
     first = Window.partitionBy("v").orderBy("id")
-    entries = rows.withColumn("at", F.row_number().over(first)).where(F.col("at") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("ids"))
+    entries = rows.withColumn("at", F.dense_rank().over(first)).where(F.col("at") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("ids"))
     index = cut(entries.select("v", "ids").mapInArrow(_indexed(learned, beam, chunk), "vectors binary, codes binary, norms binary, ids array<array<long>>"))
-    asked = rows.where(F.pmod("id", F.lit(every)) == 0)
+    asked = rows.where(F.pmod("id", F.lit(every)) == 0).select("id", "v").distinct()
     blocks = max(1, -(-asked.count() // query_block))
     dealt = asked.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "v")
 

@@ -306,6 +306,12 @@ def test_neighbours_recall_ties_and_invalid_rows(spark):
     assert nearest_neighbours(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_equal_vectors_with_repeated_ids(spark):
+    rows = [(0, [1.0, 2.0])] * 30 + [(1, [1.0, 2.0])] * 30 + [(7, [1.0, 2.0]), (9, [5.0, -2.0])]
+    got = nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=3).where("query_id = 0").select("vec_id", "score").distinct()
+    assert {(r.vec_id, r.score == 0) for r in got.collect()} >= {(1, True), (7, True)}
+
+
 def test_packing_is_whole_and_equals_the_tokenizer(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
