@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from civicspark.operators import textops as O
@@ -22,6 +23,11 @@ def _place(df, name: str) -> str:
     return f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
 
 
+def _shards(df, least: int, rows: int = 100_000) -> int:
+    """Into how many JSON values df goes, so that each stays small."""
+    return max(least, -(-df.count() // rows))
+
+
 @query("SELECT doc_id, CAST(length(text) AS BIGINT) AS covered FROM documents")
 def x1_chunks(t):
     parts = O.chunks(t("documents"), "doc_id", "text", 5000, 200)
@@ -93,12 +99,12 @@ def x10_nested_flatten(t):
 
 @query("SELECT meeting_id, chunk_no, CAST(coalesce(sum(dur) OVER (PARTITION BY meeting_id ORDER BY chunk_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, length(string_agg(text, ' ') OVER (PARTITION BY meeting_id ORDER BY chunk_no ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS total FROM segments", "segments")
 def x11_transcript(t):
-    from pyspark.sql import Window
-
     w = Window.partitionBy("meeting_id").orderBy("chunk_no").rowsBetween(Window.unboundedPreceding, -1)
-    whole = t("segments").groupBy("meeting_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_no", "text"))), lambda x: x["text"]), " ").alias("joined"))
+    # the texts' characters and the blanks between them, as the joined text would have
+    total = F.sum(F.length("text")) + F.count("text") - 1
+    whole = t("segments").groupBy("meeting_id").agg(total.cast("long").alias("total"))
     starts = t("segments").select("meeting_id", "chunk_no", F.coalesce(F.sum("dur").over(w), F.lit(0)).cast("long").alias("start"))
-    return starts.join(whole.select("meeting_id", F.length("joined").cast("long").alias("total")), "meeting_id")
+    return starts.join(whole, "meeting_id")
 
 
 @query("SELECT seq, status FROM permits", "permits")
@@ -121,9 +127,10 @@ def s2_planning_lines(t):
 def s3_array_union(t):
     plans = t("planning")
     one, two = _place(plans, "s3a"), _place(plans, "s3b")
+    shards = _shards(plans, 8)
     for rows, file, path in ((plans.where("ord % 2 = 0"), "first", one), (plans, "second", two)):
-        arrays = rows.groupBy(F.pmod(F.crc32("apn"), F.lit(8))).agg(F.to_json(F.collect_list(F.struct("apn", F.lit(file).alias("file")))).alias("value"))
-        arrays.select("value").repartition(8).write.text(path)
+        arrays = rows.groupBy(F.pmod(F.xxhash64("apn", "ord"), F.lit(shards)).alias("shard")).agg(F.to_json(F.collect_list(F.struct("apn", F.lit(file).alias("file")))).alias("value"))
+        arrays.write.partitionBy("shard").text(path)  # one array a file
     return io.read_json_arrays(plans.sparkSession, [one, two], "apn string, file string", "apn").select("apn", "file")
 
 
@@ -172,7 +179,7 @@ def s8_parcel_addresses(t):
 
 @query("SELECT apn, zone_code FROM parcels", "parcels")
 def s9_lookup_object(t):
-    shard = t("parcels").groupBy(F.pmod(F.crc32("apn"), F.lit(16)).alias("shard")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("apn", F.struct(F.col("zone_code").alias("z")))))).alias("doc"))
+    shard = t("parcels").groupBy(F.pmod(F.xxhash64("apn"), F.lit(_shards(t("parcels"), 16))).alias("shard")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("apn", F.struct(F.col("zone_code").alias("z")))))).alias("doc"))
     return io.map_rows(shard, "doc", "struct<z:string>").select(F.col("key").alias("apn"), F.col("value.z").alias("zone_code"))
 
 
@@ -189,7 +196,10 @@ def s10_news_items(t):
 
 @query("SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS r FROM events) WHERE r <= 5")
 def s11_tail(t):
-    logs = t("events").groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("event_id")), lambda x: x.cast("string")), "\n").alias("text"))
+    last = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("event_id")))
+    # a log ends with its last lines; one more than asked for leaves the cut to tail_lines and the cell small
+    ends = t("events").select("user_id", "event_id", last.alias("r")).where("r <= 6")
+    logs = ends.groupBy("user_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("event_id")), lambda x: x.cast("string")), "\n").alias("text"))
     return io.tail_lines(logs, "user_id", "text", 5).select("user_id", F.col("line").cast("long").alias("event_id"))
 
 

@@ -10,7 +10,9 @@ from civicspark.functions import text as X
 from civicspark.operators.linkage import longest_prefix, meeting_links, nearest_day, planning_links, scored_links
 from civicspark.operators.projects import group_permits, islands
 from civicspark.operators.textops import cuts, extract_records, packet_items, table_rows
+from civicspark.plans import catalog, text_queries
 from civicspark.streaming.jobs import changed_keys
+from tests.oracle import SF_DIR, compare
 
 
 def one(spark, column):
@@ -113,3 +115,18 @@ def test_changed_keys(spark):
     old = spark.createDataFrame([("a", "1"), ("b", "9")], "k string, h string")
     assert sorted(r.k for r in changed_keys(new, old, "k", "h").collect()) == ["b", "c"]
     assert changed_keys(new, None, "k", "h").count() == 3
+
+
+def test_no_whole_group_in_a_cell(spark):
+    plan = lambda name: catalog.QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan("x11_transcript") and "<= 6" in plan("s11_tail")
+
+
+def test_json_values_grow_in_number(spark, monkeypatch):
+    whole = text_queries._shards
+    assert whole(spark.range(95), 8, rows=10) == 10 and whole(spark.range(5), 8, rows=10) == 8
+    asked = []
+    monkeypatch.setattr(text_queries, "_shards", lambda df, least: asked.append(least) or whole(df, least, rows=10))
+    for name in ("s3_array_union", "s9_lookup_object"):
+        compare(spark, catalog.QUERIES[name], catalog.ORACLE_SQL[name])
+    assert asked == [8, 16]
