@@ -57,8 +57,16 @@ def cut(df: DataFrame) -> DataFrame:
     return out
 
 
+def reading(df: DataFrame, *tables: DataFrame) -> DataFrame:
+    """df, marked as a reader of these tables: drop_cut(df) removes them."""
+    df._cut_tables = tables
+    return df
+
+
 def drop_cut(df: DataFrame | None) -> None:
-    """Removes a table made by cut() that nothing reads any more."""
+    """Removes a table made by cut() that nothing reads any more, and those that df is marked as reading."""
+    for table in getattr(df, "_cut_tables", ()):
+        drop_cut(table)
     path = getattr(df, "_cut_path", None)
     if path:
         spark = df.sparkSession

@@ -9,7 +9,7 @@ from civicspark.llm.near_dedup import one_of_each
 from civicspark.llm.packing import pack
 from civicspark.llm.quality_rules import good_documents
 from civicspark.llm.substring_dedup import without_repeats
-from civicspark.session import cut
+from civicspark.session import cut, drop_cut, reading
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,5 +42,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, each written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir))
-    return STAGES[-1][1](spark, docs, sf_dir)
+        out = stage(spark, docs, sf_dir)
+        kept = cut(out)
+        drop_cut(out)
+        drop_cut(docs)
+        docs = kept
+    return reading(STAGES[-1][1](spark, docs, sf_dir), docs)
