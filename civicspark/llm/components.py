@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from civicspark.session import cut, drop_cut
+from civicspark.session import cut, drop_cut, reading
 
 
-def connected_components(edges: DataFrame, left: str, right: str, most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """(node, component) for every node of an edge; component is the smallest node that can be reached.
 
     Each round is a few joins and partial aggregates over the edges, never a group in one task's memory, and ends in
-    a table in the shared folder. Null ends and loops are ignored; no edges give no rows.
+    a table in the shared folder; they end when nothing changes, after about log2(longest path) rounds. Null ends and loops are ignored; no edges give no rows.
     """
     pair = lambda a, b: (F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
     now = cut(edges.where(F.col(left) != F.col(right)).select(*pair(left, right)).distinct())
     seen = _sum(now)
-    for _ in range(most_rounds):
+    while True:
         both = now.selectExpr("hi u", "lo v").union(now.selectExpr("lo u", "hi v"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").selectExpr("v hi", "m lo").where("hi > lo").distinct()
@@ -28,9 +28,8 @@ def connected_components(edges: DataFrame, left: str, right: str, most_rounds: i
         total, now = _sum(then), then
         if total == seen:
             nodes = now.selectExpr("hi node", "lo component")
-            return nodes.union(now.selectExpr("lo node", "lo component").distinct())
+            return reading(nodes.union(now.selectExpr("lo node", "lo component").distinct()), now)
         seen = total
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
 def _sum(edges: DataFrame) -> tuple:

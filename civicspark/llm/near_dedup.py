@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicspark.llm.components import connected_components
+from civicspark.llm.joins import spread_join
 from civicspark.llm.words import mix, shingle_hashes, text_blocks, word_hashes, word_spans
-from civicspark.session import cut, drop_cut
+from civicspark.session import cut, drop_cut, reading
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -24,50 +25,76 @@ def densifying_order(bins: int) -> np.ndarray:
     return np.argsort(keys, axis=1)
 
 
-def signature(shingles: np.ndarray, bins: int, order: np.ndarray) -> np.ndarray:
-    """The least hash in each of equal ranges of hash values; an empty bin borrows from a bin drawn for it.
+def signatures(shingles: np.ndarray, offsets: np.ndarray, bins: int, order: np.ndarray) -> np.ndarray:
+    """[sets, bins]: the least hash in each of equal ranges of hash values; an empty bin borrows from a bin drawn for it.
 
-    `shingles` must be sorted, distinct and not empty.
+    Set k is shingles[offsets[k] : offsets[k + 1]]; none may be empty.
     """
-    edges = (np.arange(bins, dtype=np.float64) * (2.0**64 / bins)).astype(np.uint64)
-    at = np.searchsorted(shingles, edges)
-    last = np.r_[at[1:], len(shingles)]
-    filled = at < last
-    values = np.where(filled, shingles[np.minimum(at, len(shingles) - 1)], _EMPTY)
-    return values[order[np.arange(bins), np.argmax(filled[order], axis=1)]]
+    sizes = np.diff(offsets)
+    out = np.full((len(sizes), bins), _EMPTY)
+    place = ((shingles >> np.uint64(32)) * np.uint64(bins)) >> np.uint64(32)
+    np.minimum.at(out.reshape(-1), np.repeat(np.arange(len(sizes)) * bins, sizes) + place.astype(np.int64), shingles)
+    own = out.copy()
+    row, bin_ = np.nonzero(own == _EMPTY)
+    for k in range(1, bins):
+        if not len(row):
+            break
+        found = own[row, order[bin_, k]]
+        out[row, bin_] = found
+        left = found == _EMPTY
+        row, bin_ = row[left], bin_[left]
+    return out
+
+
+def band_keys(shingles: np.ndarray, offsets: np.ndarray, bands: int, rows: int, order: np.ndarray) -> np.ndarray:
+    """[sets, bands]: a hash of each band of the signatures."""
+    bins = signatures(shingles, offsets, bands * rows, order).reshape(-1, bands, rows)
+    place = np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mix(np.add.reduce(mix(bins + place), axis=2, dtype=np.uint64) + mix(np.arange(1, bands + 1, dtype=np.uint64)))
+
 
+def distinct_sets(runs: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of each text, sorted, one text after the other; and the number of them before each text."""
+    counts = np.diff(first)
+    text = np.repeat(np.arange(len(counts), dtype=np.uint16 if len(counts) < 65536 else np.int64), counts)
+    order = np.argsort(runs)
+    order = order[np.argsort(text[order], kind="stable")]
+    runs, text = runs[order], text[order]
+    new = np.ones(len(runs), bool)
+    new[1:] = (runs[1:] != runs[:-1]) | (text[1:] != text[:-1])
+    return runs[new], np.r_[0, np.cumsum(np.bincount(text[new], minlength=len(counts)))]
 
-def document_sets(texts: pa.Array, width: int) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    for _, data, offsets in text_blocks(texts):
+
+def document_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Blocks of texts as (first row, distinct shingle hashes, offsets)."""
+    for row, data, offsets in text_blocks(texts):
         starts, ends, first = word_spans(data, offsets)
-        runs, first = shingle_hashes(word_hashes(data, starts, ends), first, width)
-        for a, b in zip(first[:-1], first[1:], strict=True):
-            yield np.unique(runs[a:b])
+        yield row, *distinct_sets(*shingle_hashes(word_hashes(data, starts, ends), first, width))
+
+
+def fingerprints(sets: np.ndarray, offsets: np.ndarray, bands: int, rows: int, order: np.ndarray) -> dict[str, pa.Array]:
+    """n_shingles, one, two (a 128-bit fingerprint of the set) and bands of each set; an empty one has no bands."""
+    sizes = np.diff(offsets)
+    some = np.flatnonzero(sizes)
+    one, two = np.zeros((2, len(sizes)), np.uint64)
+    keys = np.zeros((0, bands), np.uint64)
+    if len(some):
+        one[some] = np.add.reduceat(mix(sets), offsets[some])
+        two[some] = np.bitwise_xor.reduceat(mix(sets + np.uint64(7)), offsets[some])
+        keys = band_keys(sets, np.r_[offsets[some], len(sets)], bands, rows, order)
+    ends = np.r_[0, np.cumsum(np.where(sizes > 0, bands, 0))].astype(np.int32)
+    return {
+        "n_shingles": pa.array(sizes.astype(np.int64)), "one": pa.array(one.view(np.int64)), "two": pa.array(two.view(np.int64)),
+        "bands": pa.ListArray.from_arrays(ends, keys.reshape(-1).view(np.int64)),
+    }
 
 
 def _signatures(width: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = densifying_order(bands * rows)
-        salt = mix(np.arange(1, bands + 1, dtype=np.uint64))
-        place = np.arange(1, rows + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
-            size, one, two, keys = [], [], [], []
-            for s in document_sets(batch.column(1), width):
-                size.append(len(s))
-                one.append(np.add.reduce(mix(s), dtype=np.uint64).view(np.int64) if len(s) else 0)
-                two.append(np.bitwise_xor.reduce(mix(s + np.uint64(7))).view(np.int64) if len(s) else 0)
-                if len(s):
-                    bins = signature(s, bands * rows, order).reshape(bands, rows)
-                    keys.append(mix(np.add.reduce(mix(bins + place), axis=1, dtype=np.uint64) + salt).view(np.int64))
-                else:
-                    keys.append(np.zeros(0, np.int64))
-            ends = np.r_[0, np.cumsum([len(k) for k in keys])].astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.ListArray.from_arrays(ends, flat)],
-                names=["id", "n_shingles", "one", "two", "bands"],
-            )
+            for row, sets, offsets in document_sets(batch.column(1), width):
+                yield pa.RecordBatch.from_pydict({"id": batch.column(0).slice(row, len(offsets) - 1), **fingerprints(sets, offsets, bands, rows, order)})
 
     return run
 
@@ -75,21 +102,18 @@ def _signatures(width: int, bands: int, rows: int):
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 512):
-                part = batch.slice(a, 512)
-                sets = [s.view(np.int64) for s in document_sets(part.column(1), width)]
-                ends = np.r_[0, np.cumsum([len(s) for s in sets])].astype(np.int32)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, np.concatenate(sets))], names=["id", "shingles"])
+            for row, sets, offsets in document_sets(batch.column(1), width):
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(offsets) - 1), pa.ListArray.from_arrays(offsets.astype(np.int32), sets.view(np.int64))], names=["id", "shingles"])
 
     return run
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
+    """The pairs (a, b) whose full sets are similar enough. A b of many pairs is spread over tasks."""
     one = sets.selectExpr("id a", "shingles sa")
     two = sets.selectExpr("id b", "shingles sb")
     return (
-        pairs.join(one, "a").join(two, "b")
+        spread_join(pairs.join(one, "a"), two, ["b"], pairs.groupBy("b").agg(F.count("*").alias("n")), ["a"])
         .where(F.least(F.size("sa"), F.size("sb")) * 100 >= F.greatest(F.size("sa"), F.size("sb")) * percent)
         .withColumn("common", F.size(F.array_intersect("sa", "sb")).cast("long"))
         .where(F.col("common") * 100 >= (F.size("sa") + F.size("sb") - F.col("common")) * percent)
@@ -111,41 +135,63 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null or empty text, or no words: empty set, linked with nothing. Null id: founds no group, always kept. Rows
     with one id count as one document with several texts, each row is returned. Other columns are not read.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = cut(texts.mapInArrow(_signatures(width, bands, rows), "id long, n_shingles long, one long, two long, bands array<long>"))
+    out = with_components(found, lambda wanted: texts.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<long>"), percent)
+    rows = out.select(
+        F.col("id").alias(id_col),
+        "n_shingles",
+        F.coalesce("component", "id").alias("component_id"),
+        F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"),
+        F.coalesce("class_id", "id").alias("class_id"),
+    )
+    return reading(rows, out)
+
+
+_CLASS = ["one", "two", "n_shingles"]
+
+
+def with_components(found: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, shared_only: bool = False) -> DataFrame:
+    """The rows of `found` (id, n_shingles, one, two, bands, ...) without bands, with class_id and component (null
+    without id or shingles); with `shared_only` those alone that have equals or links. `sets_of` gives the full sets
+    (id, shingles) of a table of ids.
+
+    Each table that is written here is dropped after its last reader. `found` and what components are read from stay.
+    """
     known = found.where("id is not null and n_shingles > 0")
-    classes = known.groupBy("one", "two", "n_shingles").agg(F.min("id").alias("class_id"))
-    first = known.join(classes, (known.one == classes.one) & (known.two == classes.two) & (known.n_shingles == classes.n_shingles) & (known.id == classes.class_id), "left_semi")
+    classes = cut(known.groupBy(*_CLASS).agg(F.min("id").alias("class_id"), F.count("*").alias("n")))
+    # class ids are unique but for ids that repeat with other texts, whose keys then stand twice
+    first = known.select("id", "bands", *_CLASS).join(classes.select(*_CLASS, F.col("class_id").alias("id")), ["id", *_CLASS], "left_semi")
     keys = cut(first.select("id", F.explode("bands").alias("key")))
-    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1").select("key", "hub")
-    buckets = cut(keys.join(hubs, "key"))
-    drop_cut(keys)
-    stars = cut(buckets.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")).distinct())
-    wanted = buckets.select("id").distinct()
-    sets = cut(texts.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<long>"))
-    drop_cut(buckets)
+    hubs = keys.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("n")).where("n > 1")
+    hubs = cut(hubs)
+    buckets = cut(spread_join(keys, hubs.select("key", "hub"), ["key"], hubs.select("key", "n"), ["id"]).select("id", "hub").distinct())
+    _drop(keys, hubs)
+    stars = cut(buckets.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")))
+    sets = cut(sets_of(buckets.select("id").distinct()))
+    _drop(buckets)
     links = cut(_confirmed(stars, sets, percent))
     labels = connected_components(links, "a", "b")
-
-    rest = _unsettled(stars, labels)
-    more = cut(_confirmed(_difference_pairs(rest, sets, percent), sets, percent))
+    rest = cut(_unsettled(stars, labels))
+    _drop(stars)
+    more = _difference_links(rest, sets, percent)
+    _drop(rest, sets)
     if not more.isEmpty():
+        _drop(labels)
         labels = connected_components(links.union(more), "a", "b")
+    _drop(links, more)
 
-    for table in (stars, sets):
-        drop_cut(table)
+    same = classes.join(labels, classes.class_id == labels.node, "left")
+    if shared_only:
+        same = same.where("n > 1 or component is not null")
+    same = same.select(*_CLASS, "class_id", F.coalesce("component", "class_id").alias("component"))
+    out = spread_join(found.drop("bands"), same, _CLASS, classes.select(*_CLASS, "n"), ["id"], how="inner" if shared_only else "left")
+    return reading(out, found, classes, labels)
 
-    same = classes.join(labels, classes.class_id == labels.node, "left").select("one", "two", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component"))
-    out = found.join(same, ["one", "two", "n_shingles"], "left").select(
-        F.col("id").alias(id_col),
-        "n_shingles",
-        F.coalesce("component", "id").alias("component_id"),
-        F.coalesce(F.col("id") == F.coalesce("component", "id"), F.lit(True)).alias("kept"),
-        F.coalesce("class_id", "id").alias("class_id"),
-    )
-    out._cut_path = found._cut_path
-    return out
+
+def _drop(*tables: DataFrame) -> None:
+    for table in tables:
+        drop_cut(table)
 
 
 def _unsettled(stars: DataFrame, labels: DataFrame) -> DataFrame:
@@ -156,8 +202,8 @@ def _unsettled(stars: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(mixed, "b").selectExpr("b hub", "a id", "ca component")
 
 
-def _difference_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs of one star, from different components, that can be similar enough.
+def _difference_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of one star, from different components, that are similar enough.
 
     With t = percent / 100, sets x and y are linked if their difference has at most B = (1 - t) / (1 + t) (|x| + |y|)
     elements. Let dx and dy be their differences from the hub. In a pair from different components one member isn't
@@ -167,7 +213,7 @@ def _difference_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFra
     """
     member = sets.selectExpr("id", "shingles sa")
     centre = sets.selectExpr("id hub", "shingles sh")
-    apart = rest.join(member, "id").join(centre, "hub").select(
+    apart = spread_join(rest.join(member, "id"), centre, ["hub"], rest.groupBy("hub").agg(F.count("*").alias("n")), ["id"]).select(
         "hub", "id", "component", F.size("sa").alias("n"),
         F.concat(F.array_except("sa", "sh"), F.transform(F.array_except("sh", "sa"), lambda x: F.bitwise_not(x))).alias("d"),
     )
@@ -184,11 +230,21 @@ def _difference_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFra
     two = places.selectExpr("hub", "s", "id b", "component cb", "n nb", "m mb", "r rb")
     fits = [F.expr(f"(2L * (r{x} - 1) - m{x} + m{y}) * {100 + percent} <= {100 - percent}L * (na + nb)") for x, y in ("ab", "ba")]
     sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return one.join(two, ["hub", "s"]).where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & sizes & fits[0] & fits[1]).select("a", "b").distinct()
+    pairs = one.join(two, ["hub", "s"]).where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & sizes & fits[0] & fits[1]).select("a", "b").distinct()
+    links = cut(_confirmed(pairs, sets, percent))
+    _drop(each, places)
+    return links
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of docs that near_duplicates keeps, and of rows equal in id and text one."""
-    kept = near_duplicates(docs, id_col, text_col, **options).where("kept").where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__kept")).distinct()
-    left = docs.join(kept, F.col(id_col).cast("long") == F.col("__kept"), "left").where(F.col(id_col).isNull() | F.col("__kept").isNotNull())
-    return left.dropDuplicates([id_col, text_col]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of docs that near_duplicates keeps, and of rows equal in id and text one.
+
+    Null ids are kept, one of each text; null and empty texts are kept by id. Columns of docs keep their names and
+    values, whatever they are called; an empty table gives none. Texts are shuffled once, by id.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(f"`{text_col}`").alias("version"))
+    found = near_duplicates(docs, id_col, text_col, **options)
+    kept = cut(found.where("kept").select(F.col(f"`{id_col}`").alias("id")).where("id is not null").distinct())
+    drop_cut(found)
+    left = rows.join(kept.withColumn("kept", F.lit(True)), "id", "left").where("id is null or kept")
+    return reading(left.dropDuplicates(["id", "version"]).select("row.*"), kept)

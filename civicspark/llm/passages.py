@@ -1,7 +1,9 @@
-"""Passages inside longer texts: runs of words that stand elsewhere too, wherever in their lines.
+"""Passages inside longer texts that stand elsewhere too, wherever in their lines.
 
-Each window of `least` words has an anchor, the least hash among its runs of SEED words, so equal windows have equal
-anchors. Windows whose anchor stands at one place only are unique; only the others are compared, as a whole.
+Each window of `least` words is compared by the MinHash of its runs of SEED words, in one band of one row: equal windows
+share it always, similar ones with the probability of their similarity, and neighbouring windows mostly have the same
+one, so that a text has about 2 / (least - SEED + 2) of them a word. A passage of 22 words or more that is similar to
+another at 80 percent has an unchanged window of 20 somewhere, so its recall is 1 there.
 """
 
 from __future__ import annotations
@@ -13,10 +15,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicspark.llm.joins import spread_join
 from civicspark.llm.words import mix, text_blocks, word_hashes, word_spans
-from civicspark.session import cut, drop_cut
+from civicspark.session import cut, drop_cut, reading
 
 SEED = 8
+TILE = 128  # words of a kept text that are compared at once
+MARGIN = 40  # words beside a tile
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -30,7 +35,7 @@ def grams(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def windows(words: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all windows of `least` words inside a text: their first word, their anchor's first word and its hash."""
+    """Of all windows of `least` words inside a text: their first word, and the first word and the hash of their least run."""
     starts = np.flatnonzero(np.repeat(first[1:], np.diff(first)) - np.arange(len(words)) >= least)
     if not len(starts):
         return starts, starts, np.zeros(0, np.uint64)
@@ -46,7 +51,7 @@ def _words_of(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray, np
         yield row, data, offsets, begins, ends, first, word_hashes(data, begins, ends)
 
 
-def _anchors(least: int):
+def _minima(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, *_, first, words in _words_of(batch.column(2)):
@@ -59,78 +64,45 @@ def _anchors(least: int):
     return run
 
 
-def _lists(column: pa.ListArray, row: int, texts: int) -> tuple[np.ndarray, pa.Array]:
-    """The text of each element, counted from `row`, and the elements."""
-    part = column.slice(row, texts)
-    sizes = np.diff(part.offsets.to_numpy())
-    return np.repeat(np.arange(texts), sizes), part.flatten()
-
-
-def _windows(least: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, *_, first, words in _words_of(batch.column(2)):
-                starts, at, _ = windows(words, first, least)
-                text, pos = _lists(batch.column(3), row, len(first) - 1)
-                shared = np.zeros(len(words), bool)
-                shared[first[text] + pos.to_numpy()] = True
-                starts = starts[shared[at]]
-                text = np.searchsorted(first, starts, "right") - 1
-                rows = pa.array(row + text)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), pa.array((starts - first[text]).astype(np.int32)), pa.array(grams(words, least)[starts].view(np.int64))], names=["doc", "version", "pos", "key"])
-
-    return run
-
-
-def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of words as spans of characters."""
+def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hashes of the words of tiles and beside them, cut to 32 bits, and where in the text these words begin and end."""
     for batch in batches:
-        for row, data, offsets, begins, ends, first, _ in _words_of(batch.column(2)):
-            text, spans = _lists(batch.column(3), row, len(first) - 1)
+        wanted = batch.column(3)
+        for row, data, offsets, begins, ends, first, words in _words_of(batch.column(2)):
             points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
-            zero, rows = points[offsets[text]], pa.array(row + text)
-            field = lambda name: spans.field(name)  # noqa: B023, E731
-            start = points[begins[first[text] + field("begin").to_numpy()]] - zero
-            stop = points[ends[first[text] + field("end").to_numpy() - 1]] - zero
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), field("group"), field("first_doc"), field("kept")],
-                names=["doc", "version", "start", "stop", "group", "first_doc", "kept"],
-            )
-
+            short, texts, tiles, spans = words.astype(np.uint32).view(np.int32), [], [], []
+            for text in range(len(first) - 1):
+                for tile in wanted[row + text].as_py():
+                    spans.append((first[text] + max(0, tile * TILE - MARGIN), min(first[text + 1], first[text] + (tile + 1) * TILE + MARGIN)))
+                    texts.append(text)
+                    tiles.append(tile)
+            for a in range(0, len(spans), 2000):
+                own, text = spans[a : a + 2000], np.array(texts[a : a + 2000])
+                sizes, rows = [y - x for x, y in own], pa.array(row + text)
+                zero = np.repeat(points[offsets[text]], sizes)
+                cut_ = lambda v: np.concatenate([v[x:y] for x, y in own])  # noqa: B023, E731
+                lists = lambda v: pa.ListArray.from_arrays(np.r_[0, np.cumsum(sizes)].astype(np.int32), v.astype(np.int32))  # noqa: B023, E731
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(tiles[a : a + 2000], pa.int32()), lists(cut_(short)), lists(points[cut_(begins)] - zero), lists(points[cut_(ends)] - zero)],
+                    names=["hub_doc", "hub_version", "tile", "words", "begins", "ends"],
+                )
 
-def _reach(size: int) -> int:
-    """Words beside an exact run of `size` words that an edited passage around it can have at 80 percent or more."""
-    return size + 24
 
+def _similar(x: np.ndarray, y: np.ndarray, width: int, percent: int) -> bool:
+    one, two = np.unique(grams(x, width)), np.unique(grams(y, width))
+    common = len(np.intersect1d(one, two, True))
+    return common * 100 >= percent * (len(one) + len(two) - common)
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of words with the hashes of their words and of those around them."""
-    for batch in batches:
-        for row, *_, first, words in _words_of(batch.column(2)):
-            text, runs = _lists(batch.column(3), row, len(first) - 1)
-            begin, end = runs.field("begin").to_numpy(), runs.field("end").to_numpy()
-            lo = np.maximum(begin - _reach(end - begin), 0)
-            hi = np.minimum(end + _reach(end - begin), np.diff(first)[text])
-            for a in range(0, len(text), 512):
-                own = slice(a, a + 512)
-                parts = [words[first[t] + x : first[t] + y].view(np.int64) for t, x, y in zip(text[own], lo[own], hi[own], strict=True)]
-                rows = pa.array(row + text[own])
-                lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int32), np.concatenate(parts))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(begin[own]), pa.array(end[own]), pa.array((begin - lo)[own].astype(np.int32)), lists],
-                    names=["doc", "version", "begin", "end", "at", "around"],
-                )
 
+def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width: int, percent: int, left_edits: bool = True) -> tuple[int, int, int, int]:
+    """(start in x, stop in x, start in y, stop in y) of the longest passages found around the equal words
+    x[at_x : at_x + size], y[at_y : at_y + size] that are similar enough: 100 * |A and B| >= percent * |A or B| of
+    `width`-word shingles.
 
-def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width: int, percent: int) -> tuple[int, int]:
-    """Words to add before and after the equal words x[at_x : at_x + size], y[at_y : at_y + size], so that what they make
-    up with their counterpart stays similar enough: 100 * |A and B| >= percent * |A or B| of `width`-word shingles.
-
-    Goes from one equal stretch to the next on either side, while similarity lasts; an edit may skip a quarter of the words.
+    Takes the equal words to both sides first. Then goes from one equal stretch to the next on either side (to the left
+    only with `left_edits`), while similarity lasts; an edit may skip a quarter of the words.
     """
     sides = [[x[:at_x][::-1], y[:at_y][::-1], 0, 0], [x[at_x + size :], y[at_y + size :], 0, 0]]
-    keys = [(grams(side[0], width), grams(side[1], width)) for side in sides]
-    common = left = right = max(1, size - width + 1)
 
     def stretch(side: list, i: int, j: int) -> int:
         most = min(len(side[0]) - i, len(side[1]) - j)
@@ -138,13 +110,18 @@ def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width
         return int(apart.argmax()) if apart.any() else most
 
     for side in sides:
-        more = stretch(side, 0, 0)
-        side[2], side[3], common, left, right = more, more, common + more, left + more, right + more
-    moved = True
+        side[2] = side[3] = stretch(side, 0, 0)
+    before, after = sides
+    exact = (at_x - before[2], at_x + size + after[2], at_y - before[3], at_y + size + after[3])
+    left = right = size + before[2] + after[2]
+    common = max(1, left - width + 1)
+    open_sides = [(side, k) for k, side in enumerate(sides) if (k or left_edits) and min(len(side[0]) - side[2], len(side[1]) - side[3]) > width]
+    keys = {k: (grams(side[0], width), grams(side[1], width)) for side, k in open_sides}
+    moved, edits = True, False
     while moved:
         moved = False
-        for side, (kx, ky) in zip(sides, keys, strict=True):
-            i, j, most = side[2], side[3], 5 + left // 4
+        for side, k in open_sides:
+            (kx, ky), (_, _, i, j), most = keys[k], side, 5 + left // 4
             _, u, v = np.intersect1d(kx[i : i + most], ky[j : j + most], return_indices=True)
             if not len(u):
                 continue
@@ -152,98 +129,151 @@ def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width
             u, v = int(u[best]), int(v[best])
             more = stretch(side, i + u, j + v)
             c, a, b = common + more - width + 1, left + u + more, right + v + more
-            if c * 100 >= percent * (a + b - c):
-                side[2], side[3], common, left, right, moved = i + u + more, j + v + more, c, a, b, True
-    before, after = sides
-    one = np.unique(grams(x[at_x - before[2] : at_x + size + after[2]], width))
-    two = np.unique(grams(y[at_y - before[3] : at_y + size + after[3]], width))
-    c = len(np.intersect1d(one, two, True))
-    return (before[2], after[2]) if c * 100 >= percent * (len(one) + len(two) - c) else (0, 0)
+            if c * 100 >= percent * (a + b - 2 * (width - 1) - c):
+                side[2], side[3], common, left, right, moved, edits = i + u + more, j + v + more, c, a, b, True, True
+    if not edits:
+        return exact
+    out = (at_x - before[2], at_x + size + after[2], at_y - before[3], at_y + size + after[3])
+    return out if _similar(x[out[0] : out[1]], y[out[2] : out[3]], width, percent) else exact
+
 
+_FOUND = "doc long, version long, start int, stop int, key long, hub_doc long, hub_version long, tile int, hub_start int, hub_stop int"
+
+
+def _verified(least: int, width: int, percent: int):
+    """For each text and its runs: passages that its counterpart confirms; and where an anchor has no such passage, the
+    windows of `least` words around it with a hash of each."""
 
-def _widened(width: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols = {f.name: batch.column(k) for k, f in enumerate(batch.schema)}
-            begin, end, at_x, at_y = (cols[c].to_numpy() for c in ("begin", "end", "at", "hub_at"))
-            (fx, ox), (fy, oy) = ((cols[c].values.to_numpy(), cols[c].offsets.to_numpy()) for c in ("around", "hub_around"))
-            more = np.array([widened(fx[ox[k] : ox[k + 1]].view(np.uint64), fy[oy[k] : oy[k + 1]].view(np.uint64), at_x[k], at_y[k], end[k] - begin[k], width, percent) for k in range(len(begin))], np.int32).reshape(-1, 2)
-            names = ["doc", "version", "begin", "end", "hub_doc", "hub_version", "hub_start", "floor", "roof"]
-            out = cols | {"begin": pa.array(begin - more[:, 0]), "end": pa.array(end + more[:, 1])}
-            yield pa.RecordBatch.from_arrays([out[c] for c in names], names=names)
+            for row, data, offsets, begins, ends, first, words in _words_of(batch.column(2)):
+                points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+                out: list[tuple] = []
+                for text in range(len(first) - 1):
+                    own = words[first[text] : first[text + 1]]
+                    short, zero = own.astype(np.uint32), points[offsets[text]]
+                    place = lambda a, b: (points[begins[first[text] + a]] - zero, points[ends[first[text] + b - 1]] - zero)  # noqa: B023, E731
+                    who, alone = (batch.column(0)[row + text].as_py(), batch.column(1)[row + text].as_py()), []
+                    gone = np.zeros(len(own), bool)
+                    for r in sorted(batch.column(3)[row + text].as_py(), key=lambda r: (r["hub_doc"], r["hub_version"], r["tile"])):
+                        hub = (r["hub_doc"], r["hub_version"])
+                        y = np.array(r["words"], np.int32).view(np.uint32)
+                        lo = max(0, r["tile"] * TILE - MARGIN)
+                        for at, at_hub in sorted((h["pos"], h["hub_pos"]) for h in r["hits"]):
+                            if gone[at : at + SEED].all():
+                                continue
+                            k = at_hub - lo
+                            base = max(0, at - k - MARGIN)
+                            x = short[base : at + len(y) - k + MARGIN]
+                            if not np.array_equal(x[at - base : at - base + SEED], y[k : k + SEED]):
+                                continue
+                            a, b, c, d = widened(x, y, at - base, k, SEED, width, percent, hub != who)
+                            if b - a < least:
+                                alone.append(at)
+                                continue
+                            gone[min(base + a, at) : base + b] = True
+                            a = max(base + a, lo + c + least if hub == who else 0)  # of overlapping repeats the first window stays
+                            if a < base + b:
+                                out.append((text, *place(a, base + b), None, *hub, r["tile"], lo + c, lo + d))
+                    alone = [at for at in alone if not gone[at : at + SEED].all()]
+                    if alone:
+                        starts, at, _ = windows(own, np.array([0, len(own)]), least)
+                        starts = starts[np.isin(at, alone)]
+                        for a, key in zip(starts.tolist(), grams(own, least)[starts].view(np.int64).tolist(), strict=True):
+                            out.append((text, *place(a, a + least), key, None, None, None, a, a + least))
+                for a in range(0, len(out), 20000):
+                    text, start, stop, key, hub_doc, hub_version, tile, c, d = zip(*out[a : a + 20000], strict=True)
+                    rows, ints = pa.array(np.array(text) + row), lambda v: pa.array(np.array(v, np.int32))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(rows), batch.column(1).take(rows), ints(start), ints(stop), pa.array(key, pa.int64()), pa.array(hub_doc, pa.int64()), pa.array(hub_version, pa.int64()), pa.array(tile, pa.int32()), ints(c), ints(d)],
+                        names=["doc", "version", "start", "stop", "key", "hub_doc", "hub_version", "tile", "hub_start", "hub_stop"],
+                    )
 
     return run
 
 
-def _with_texts(lists: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+def with_texts(lists: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     """(doc, version, text, name): each text once, with its list."""
     return lists.join(texts, ["doc", "version"]).groupBy("doc", "version").agg(F.first("text").alias("text"), F.first(name).alias(name))
 
 
-def repeated_passages(texts: DataFrame, least_words: int, width: int = 5, percent: int = 80) -> DataFrame:
+def _followers(anchors: DataFrame, more: tuple[str, ...] = ()) -> DataFrame:
+    """The anchors (doc, version, pos, key, *more) whose key stands at a smaller place too, with the smallest: hub_doc,
+    hub_version, hub_pos, and hub_* of the columns `more`."""
+    keys = cut(anchors.groupBy("key").agg(F.min("doc").alias("hub_doc"), F.count("*").alias("n")).where("n > 1"))
+    hits = cut(spread_join(anchors, keys.select("key", "hub_doc"), ["key"], keys.select("key", "n"), ["doc", "pos"]))
+    hubs = hits.where("doc = hub_doc").groupBy("key").agg(F.min(F.struct("version", "pos", *more)).alias("hub"))
+    hubs = hubs.select("key", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("version", "pos", *more)])
+    out = spread_join(hits, hubs, ["key"], keys.select("key", "n"), ["doc", "pos"]).where("not (doc = hub_doc and version = hub_version and pos = hub_pos)")
+    return reading(out, keys, hits)
+
+
+def _runs(placed: DataFrame) -> DataFrame:
+    """(doc, version, hub_doc, hub_version, tile, hits): anchors of a text, one after the other, that follow one tile of one text."""
+    own = Window.partitionBy("doc", "version").orderBy("pos")
+    before = lambda c: F.lag(c).over(own)
+    same = (before("hub_doc") == F.col("hub_doc")) & (before("hub_version") == F.col("hub_version")) & (before("tile") == F.col("tile"))
+    near = (F.col("pos") - before("pos") <= MARGIN) & (F.abs(F.col("pos") - F.col("hub_pos") - before("pos") + before("hub_pos")) <= SEED)
+    marked = placed.withColumn("tile", F.floor(F.col("hub_pos") / TILE).cast("int"))
+    marked = marked.withColumn("new", F.when(same & near, 0).otherwise(1)).withColumn("run", F.sum("new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy("doc", "version", "run", "hub_doc", "hub_version", "tile").agg(F.collect_list(F.struct("pos", "hub_pos")).alias("hits")).drop("run")
+
+
+def repeated_passages(texts: DataFrame, least: int = 20, width: int = 5, percent: int = 80) -> DataFrame:
     """(doc, version, start, stop, group, first_doc, kept) of the passages of `texts` (doc, version, text) that repeat.
 
-    Each window of `least_words` words that stands at several places, in one document or more, stays at the first
-    (doc, version, place); neighbouring windows that stay join to a kept passage. Elsewhere neighbours join as long as
-    they follow the same kept passage, and the words that no kept window of their own text needs are to be removed.
-    Other places, partial copies and edits end a passage but never lose a window. A passage to be removed then takes in
-    the words around it, edits included, as far as it and its counterpart in the kept text have similarity percent / 100
-    or more as sets of `width`-word shingles: near copies of 22 words or more share a window of 20, for at 80 percent
-    their equal stretches can't all be shorter. Places count characters from 0; removed passages can overlap. Null docs
-    take no part.
+    The windows of `least` words with one MinHash form a bucket; each is compared with the smallest (doc, version, place)
+    of its bucket, a star. The words that both share there are widened to both sides, edits included, as far as the
+    passage and its counterpart have similarity percent / 100 or more as sets of `width`-word shingles. A passage of
+    `least` words or more is to be removed, so of near copies the first stays, whatever copies the others have. Windows
+    whose star gives no passage (a common phrase in other surroundings) meet again in buckets of the whole window, so
+    no two equal windows both stay. Of a repeat that overlaps itself the first window stays.
+
+    Start and stop count characters from 0; passages can overlap. Each group, the passages that follow one kept stretch
+    of one text, also has a row of its kept passage. Null docs take no part, nor do texts of fewer words. Hot windows
+    are spread over tasks; a task holds one text with its own anchors.
     """
     texts = texts.where("doc is not null")
-    anchors = texts.mapInArrow(_anchors(least_words), "doc long, version long, pos int, key long")
-    place = F.xxhash64("doc", "version", "pos")
-    often = anchors.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("key")
-    hits = anchors.join(often, "key").groupBy("doc", "version").agg(F.collect_set("pos").alias("anchors"))
-    each = cut(_with_texts(hits, texts, "anchors").mapInArrow(_windows(least_words), "doc long, version long, pos int, key long"))
-    spot = F.struct("doc", "version", "pos")
-    hubs = each.groupBy("key").agg(F.min(spot).alias("hub"), F.max(spot).alias("last")).where("hub < last").select("key", "hub")
-    placed = cut(each.join(hubs, "key").select("doc", "version", "pos", F.col("hub.doc").alias("hub_doc"), F.col("hub.version").alias("hub_version"), F.col("hub.pos").alias("hub_pos")))
-    drop_cut(each)
-    spans = _spans(placed, texts, least_words, width, percent)
-    lists = spans.groupBy("doc", "version").agg(F.collect_list(F.struct("begin", "end", "group", "first_doc", "kept")).alias("spans"))
-    out = cut(_with_texts(lists, texts, "spans").mapInArrow(_characters, "doc long, version long, start int, stop int, group long, first_doc long, kept boolean"))
+    anchors = texts.mapInArrow(_minima(least), "doc long, version long, pos int, key long")
+    placed = _followers(anchors)
+    runs = cut(_runs(placed))
     drop_cut(placed)
+    tile = ["hub_doc", "hub_version", "tile"]
+    sizes = cut(runs.groupBy(*tile).agg(F.count("*").alias("n")))
+    wanted = sizes.groupBy(F.col("hub_doc").alias("doc"), F.col("hub_version").alias("version")).agg(F.collect_list("tile").alias("tiles"))
+    tiles = cut(with_texts(wanted, texts, "tiles").mapInArrow(_tiles, "hub_doc long, hub_version long, tile int, words array<int>, begins array<int>, ends array<int>"))
+    met = spread_join(runs, tiles.select(*tile, "words"), tile, sizes, ["doc", "version"])
+    lists = met.groupBy("doc", "version").agg(F.collect_list(F.struct(*tile, "words", "hits")).alias("runs"))
+    found = cut(with_texts(lists, texts, "runs").mapInArrow(_verified(least, width, percent), _FOUND))
+    drop_cut(runs)
+    alone = found.where("key is not null").select("doc", "version", F.col("hub_start").alias("pos"), "key", "start", "stop").distinct()
+    again = _followers(alone, ("start", "stop")).where(f"not (doc = hub_doc and version = hub_version and pos < hub_pos + {least})")
+    row = ["doc", "version", "start", "stop", *tile, "hub_from", "hub_to", "hub_start", "hub_stop"]
+    again = again.withColumnRenamed("hub_start", "hub_from").withColumnRenamed("hub_stop", "hub_to").withColumns({"tile": F.lit(None).cast("int"), "hub_start": F.col("hub_pos"), "hub_stop": F.col("hub_pos") + least})
+    none = F.lit(None).cast("int")
+    gone = cut(found.where("key is null").withColumns({"hub_from": none, "hub_to": none}).select(row).distinct().union(again.select(row)))
+    drop_cut(found)
+    drop_cut(again)
+    grouped = _grouped(gone, tiles)
+    out = cut(grouped)
+    for table in (grouped, gone, sizes, tiles):
+        drop_cut(table)
     return out
 
 
-def _runs(placed: DataFrame, least: int) -> DataFrame:
-    """(doc, version, begin, end, hub_doc, hub_version, hub_begin, floor, roof): words that follow one kept passage;
-    the words of kept windows of the same text end at floor before them and begin at roof after them."""
-    own = Window.partitionBy("doc", "version").orderBy("pos")
-    kept = F.when((F.col("hub_doc") == F.col("doc")) & (F.col("hub_version") == F.col("version")) & (F.col("hub_pos") == F.col("pos")), F.col("pos"))
-    follows = (F.lag("pos").over(own) == F.col("pos") - 1) & (F.lag("hub_pos").over(own) == F.col("hub_pos") - 1) & (F.lag("hub_doc").over(own) == F.col("hub_doc")) & (F.lag("hub_version").over(own) == F.col("hub_version"))
-    marked = placed.withColumns({
-        "new": F.when(follows, 0).otherwise(1),
-        "floor": F.last(kept, True).over(own.rowsBetween(Window.unboundedPreceding, -1)) + least,
-        "roof": F.min(kept).over(own.rowsBetween(1, Window.unboundedFollowing)),
-    }).withColumn("run", F.sum("new").over(own))
-    return marked.groupBy("doc", "version", "run", "hub_doc", "hub_version").agg(
-        F.min("pos").alias("begin"), (F.max("pos") + least).alias("end"), F.min("hub_pos").alias("hub_begin"), F.min("floor").alias("floor"), F.max("roof").alias("roof"),
-    )
-
-
-def _around(goes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The runs, widened over edits by comparison with the texts they follow."""
-    wanted = goes.select("doc", "version", "begin", "end").union(goes.selectExpr("hub_doc", "hub_version", "hub_begin", "hub_begin + end - begin")).distinct()
-    lists = wanted.groupBy("doc", "version").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
-    found = cut(_with_texts(lists, texts, "runs").mapInArrow(_contexts, "doc long, version long, begin int, end int, at int, around array<long>"))
-    hub = found.selectExpr("doc hub_doc", "version hub_version", "begin hub_begin", "end - begin size", "at hub_at", "around hub_around")
-    met = goes.withColumn("size", F.col("end") - F.col("begin")).join(found, ["doc", "version", "begin", "end"]).join(hub, ["hub_doc", "hub_version", "hub_begin", "size"])
-    return met.mapInArrow(_widened(width, percent), "doc long, version long, begin int, end int, hub_doc long, hub_version long, hub_start int, floor int, roof int")
-
-
-def _spans(placed: DataFrame, texts: DataFrame, least: int, width: int, percent: int) -> DataFrame:
-    """(doc, version, begin, end, group, first_doc, kept), counted in words."""
-    runs = cut(_runs(placed, least))
-    kept = F.expr("hub_doc = doc and hub_version = version and hub_begin = begin")
-    group = F.xxhash64("hub_doc", "hub_version", "hub_start")
-    stays = runs.where(kept).withColumn("hub_start", F.col("begin"))
-    # a run follows windows that stay, one after the other, so it lies inside one kept passage
-    windows = stays.select("hub_doc", "hub_version", F.col("begin").alias("hub_start"), F.explode(F.sequence(F.col("begin"), F.col("end") - least)).alias("hub_begin"))
-    goes = runs.where(~kept).join(windows, ["hub_doc", "hub_version", "hub_begin"])
-    goes = _around(goes, texts, width, percent).withColumns({"begin": F.greatest("begin", "floor"), "end": F.least("end", "roof")}).where("begin < end").distinct()
-    row = lambda df, stay: df.select("doc", "version", "begin", "end", group.alias("group"), F.col("hub_doc").alias("first_doc"), F.lit(stay).alias("kept"))
-    return row(stays, True).union(row(goes, False))
+def _grouped(gone: DataFrame, tiles: DataFrame) -> DataFrame:
+    """Removed passages with the group of the kept stretch they follow, and a row for each kept one."""
+    tile, claim = ["hub_doc", "hub_version", "tile"], ["hub_doc", "hub_version", "hub_start", "hub_stop"]
+    counted = gone.groupBy(*claim, "tile", "hub_from", "hub_to").agg(F.count("*").alias("n"))
+    before = F.greatest(F.lit(0), F.col("tile") * TILE - MARGIN)  # words of the text before the tile's own
+    begin, end = F.element_at("begins", F.col("hub_start") - before + 1), F.element_at("ends", F.col("hub_stop") - before)
+    placed = counted.join(tiles.drop("words"), tile, "left").select(*claim, "n", F.coalesce("hub_from", begin).alias("start"), F.coalesce("hub_to", end).alias("stop"))
+    claims = placed.groupBy(*claim).agg(F.sum("n").alias("n"), F.min("start").alias("start"), F.max("stop").alias("stop"))
+    own = Window.partitionBy("hub_doc", "hub_version").orderBy("hub_start", "hub_stop")
+    new = F.coalesce(F.col("hub_start") >= F.max("hub_stop").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    head = F.last(F.when(F.col("new"), F.col("hub_start")), True).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    claims = cut(claims.withColumn("new", new).withColumn("group", F.xxhash64("hub_doc", "hub_version", head)).drop("new"))
+    removed = spread_join(gone, claims.select(*claim, "group"), claim, claims.select(*claim, "n"), ["doc", "start"]).select("doc", "version", "start", "stop", "group", F.col("hub_doc").alias("first_doc"), F.lit(False).alias("kept"))
+    kept = claims.groupBy("group", "hub_doc", "hub_version").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    kept = kept.select(F.col("hub_doc").alias("doc"), F.col("hub_version").alias("version"), "start", "stop", "group", F.col("hub_doc").alias("first_doc"), F.lit(True).alias("kept"))
+    return reading(removed.union(kept), claims)

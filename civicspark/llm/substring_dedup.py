@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.llm.near_dedup import near_duplicates
-from civicspark.llm.passages import repeated_passages
-from civicspark.session import cut, drop_cut
+from civicspark.llm.joins import spread_join
+from civicspark.llm.near_dedup import densifying_order, distinct_sets, fingerprints, with_components
+from civicspark.llm.passages import repeated_passages, with_texts
+from civicspark.llm.words import mix, shingle_hashes, text_blocks, word_hashes, word_spans
+from civicspark.session import cut, drop_cut, reading
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
-def tune_bands(similarity: float, recall: float, most_keys: int = 16) -> tuple[int, int]:
+def tune_bands(similarity: float, recall: float, most_keys: int = 8) -> tuple[int, int]:
     """The most selective (bands, rows) of at most `most_keys` bands whose recall at `similarity` is reached."""
     fits = [(b, r) for r in range(1, 9) for b in range(1, most_keys + 1) if 1 - (1 - similarity**r) ** b >= recall]
     if not fits:
@@ -21,54 +27,88 @@ def tune_bands(similarity: float, recall: float, most_keys: int = 16) -> tuple[i
     return min(b for b, r in fits if r == rows), rows
 
 
-def paragraphs(docs: DataFrame, id_col: str, text_col: str, least_words: int) -> DataFrame:
-    """(doc, version, paragraph, text, id): the \\n-split lines of at least `least_words` words; version is the text's hash."""
-    lines = F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), "\n")
-    starts = "transform(lines, (x, i) -> struct(i paragraph, x text))"
-    each = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("version"), lines.alias("lines")).select("doc", "version", F.inline(F.expr(starts)))
-    enough = each.where(F.length("text") >= 2 * least_words - 1).where(F.size(F.split(F.btrim("text", F.lit(" \t\n\x0b\f\r")), r"[\x20\x09-\x0D]+")) >= least_words)
-    return enough.select("doc", "version", "paragraph", "text", F.xxhash64("doc", "version", "paragraph").alias("id"))
-
-
-def _groups(items: DataFrame, places: list[str], width: int, percent: int, bands: int, rows: int) -> DataFrame:
-    """(*places, group, first: struct of places, kept) of the items (*places, id, text) that another one repeats.
-
-    Written to the shared folder; the tables behind it are dropped.
-    """
-    near = near_duplicates(items, "id", "text", width, percent, bands, rows)
-    found = near.select("id", "component_id").distinct()
-    groups = found.groupBy("component_id").agg(F.count("*").alias("n")).where("n > 1").select("component_id")
-    members = items.select(*places, "id").distinct().join(found.join(groups, "component_id"), "id")
-    first = members.groupBy("component_id").agg(F.min(F.struct(*places)).alias("first"))
-    out = cut(members.join(first, "component_id").select(*places, F.col("component_id").alias("group"), "first", (F.struct(*places) == F.col("first")).alias("kept")))
+def _lines(texts: pa.Array, least: int, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Blocks of \\n-split lines of at least `least` words: (row of the text, line number, distinct shingles, offsets)."""
+    for row, data, offsets in text_blocks(texts):
+        starts = np.unique(np.r_[offsets, np.flatnonzero(data == 10) + 1])
+        text = np.searchsorted(offsets, starts[:-1], "right") - 1
+        number = np.arange(len(text)) - np.searchsorted(starts, offsets)[text]
+        begins, ends, first = word_spans(data, starts)
+        sizes = np.diff(first)
+        enough = sizes >= least
+        words = word_hashes(data, begins, ends)[np.repeat(enough, sizes)]
+        first = np.r_[0, np.cumsum(sizes[enough])]
+        yield row + text[enough], number[enough], *distinct_sets(*shingle_hashes(words, first, width))
+
+
+def _line_prints(least: int, width: int, bands: int, rows: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = densifying_order(bands * rows)
+        for batch in batches:
+            doc, version = (batch.column(k).to_numpy().view(np.uint64) for k in (0, 1))
+            for text, number, sets, offsets in _lines(batch.column(2), least, width):
+                ids = mix(mix(mix(doc[text] + np.uint64(1)) ^ version[text]) + number.astype(np.uint64))
+                places = {"doc": batch.column(0).take(pa.array(text)), "version": batch.column(1).take(pa.array(text)), "paragraph": pa.array(number.astype(np.int32))}
+                yield pa.RecordBatch.from_pydict({"id": pa.array(ids.view(np.int64)), **places, **fingerprints(sets, offsets, bands, rows, order)})
+
+    return run
+
+
+def _line_sets(least: int, width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wanted = [{w["paragraph"]: w["id"] for w in own} for own in batch.column(3).to_pylist()]
+            for text, number, sets, offsets in _lines(batch.column(2), least, width):
+                ids = [wanted[t].get(n) for t, n in zip(text.tolist(), number.tolist(), strict=True)]
+                keep = np.flatnonzero([i is not None for i in ids])
+                if len(keep):
+                    ends = np.r_[0, np.cumsum(np.diff(offsets)[keep])].astype(np.int32)
+                    own = np.concatenate([sets[offsets[k] : offsets[k + 1]] for k in keep]).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in keep], pa.int64()), pa.ListArray.from_arrays(ends, own)], names=["id", "shingles"])
+
+    return run
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(f"`{text_col}`").cast("string")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc"), F.xxhash64(text).alias("version"), text.alias("text")).where("doc is not null")
+
+
+def _repeated_lines(texts: DataFrame, least_words: int, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """(doc, paragraph, version, group, first: struct of places, kept) of the lines that another one repeats."""
+    found = cut(texts.mapInArrow(_line_prints(least_words, width, bands, rows), "id long, doc long, version long, paragraph int, n_shingles long, one long, two long, bands array<long>"))
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        lists = found.join(wanted, "id", "left_semi").groupBy("doc", "version").agg(F.collect_list(F.struct("paragraph", "id")).alias("lines"))
+        return with_texts(lists, texts, "lines").mapInArrow(_line_sets(least_words, width), "id long, shingles array<long>")
+
+    near = with_components(found, sets_of, percent, shared_only=True)
+    place = F.struct("doc", "paragraph", "version")
+    members = cut(near.select("doc", "paragraph", "version", F.col("component").alias("group")).distinct())
     drop_cut(near)
-    return out
-
-
-def _repeated_lines(docs: DataFrame, id_col: str, text_col: str, least_words: int, width: int, percent: int, bands: int, rows: int) -> DataFrame:
-    items = paragraphs(docs, id_col, text_col, least_words).where("doc is not null")
-    return _groups(items, ["doc", "paragraph", "version"], width, percent, bands, rows)
-
-
-def _repeated_passages(docs: DataFrame, id_col: str, text_col: str, least_words: int, width: int, percent: int) -> DataFrame:
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("version"), F.col(text_col).cast("string").alias("text"))
-    return repeated_passages(texts, least_words, width, percent)
+    groups = cut(members.groupBy("group").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1"))
+    out = spread_join(members, groups.select("group", "first"), ["group"], groups.select("group", "n"), ["doc", "paragraph"])
+    return reading(out.select("doc", "paragraph", "version", "group", "first", (place == F.col("first")).alias("kept")), members, groups)
 
 
 def _without(docs: DataFrame, id_col: str, text_col: str, lists: DataFrame, left) -> DataFrame:
-    """docs with the text `left` where `lists` has a row for them; a document of which no word is left then goes."""
-    gone = F.col("__gone").isNotNull()
-    match = (F.col(id_col).cast("long") == F.col("__id")) & (F.xxhash64(text_col) == F.col("__version"))
-    out = docs.join(lists, match, "left").withColumn(text_col, F.when(gone, left).otherwise(F.col(text_col))).where(~gone | F.col(text_col).rlike(WORDS))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(gone, F.length(text_col).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    """docs with the text `left(text, gone)` where `lists` (doc, version, gone) has a row; a document of which no word is
+    left then goes. Columns may have any names."""
+    text = F.col("row").getField(text_col).cast("string")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(whole, F.col(f"`{id_col}`").cast("long").alias("doc"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("version"))
+    out = rows.join(lists, ["doc", "version"], "left").select("row", "gone", F.when(F.col("gone").isNotNull(), left(text, F.col("gone"))).alias("left"))
+    out = out.where(F.col("gone").isNull() | F.col("left").rlike(WORDS))
+    types = {f.name: f.dataType for f in docs.schema}
+    new = {text_col: F.col("left").cast(types[text_col])} | ({"n_chars": F.length("left").cast(types["n_chars"])} if "n_chars" in types else {})
+    return out.select(*[F.when(F.col("gone").isNotNull(), new[c]).otherwise(F.col("row").getField(c)).alias(c) if c in new else F.col("row").getField(c).alias(c) for c in docs.columns])
 
 
 def _without_lines(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
-    lists = found.where(~F.col("kept")).groupBy(F.col("doc").alias("__id"), F.col("version").alias("__version")).agg(F.collect_set("paragraph").alias("__gone"))
-    left = F.array_join(F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return _without(docs, id_col, text_col, lists, left)
+    def left(text: Column, gone: Column) -> Column:
+        return F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(gone, i)), "\n")
+
+    return _without(docs, id_col, text_col, found.where(~F.col("kept")).groupBy("doc", "version").agg(F.collect_set("paragraph").alias("gone")), left)
 
 
 def _without_passages(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
@@ -76,12 +116,14 @@ def _without_passages(docs: DataFrame, id_col: str, text_col: str, found: DataFr
     new = F.coalesce(F.col("start") > F.max("stop").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True)).cast("int")
     apart = found.where(~F.col("kept")).withColumn("new", new).withColumn("part", F.sum("new").over(own))
     apart = apart.groupBy("doc", "version", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
-    lists = apart.groupBy(F.col("doc").alias("__id"), F.col("version").alias("__version")).agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("__gone"))
-    text = F.col(text_col)
-    edge = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.expr("__gone")[F.greatest(i - 1, F.lit(0))]["stop"])
-    last = lambda i: F.when(i == F.size("__gone"), F.length(text)).otherwise(F.expr("__gone")[F.least(i, F.size("__gone") - 1)]["start"])
-    between = F.transform(F.sequence(F.lit(0), F.size("__gone")), lambda i: F.substring(text, edge(i) + 1, last(i) - edge(i)))
-    return _without(docs, id_col, text_col, lists, F.array_join(between, ""))
+    lists = apart.groupBy("doc", "version").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("gone"))
+
+    def left(text: Column, gone: Column) -> Column:
+        edge = lambda i: F.when(i == 0, F.lit(0)).otherwise(gone[F.greatest(i - 1, F.lit(0))]["stop"])
+        last = lambda i: F.when(i == F.size(gone), F.length(text)).otherwise(gone[F.least(i, F.size(gone) - 1)]["start"])
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.size(gone)), lambda i: F.substring(text, edge(i) + 1, last(i) - edge(i))), "")
+
+    return _without(docs, id_col, text_col, lists, left)
 
 
 def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 20, width: int = 5, percent: int = 80, recall: float = 0.9995) -> DataFrame:
@@ -94,23 +136,36 @@ def repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     threshold shares a bucket with probability `recall`; a bucket's star is completed by the exact search of
     near_duplicates, so that hot passages make no pairs among themselves.
 
-    Then, in the texts without the repeats among these, they are passages of as many words that stand elsewhere too, in
-    other documents or the same, wherever in their lines (`paragraph` is null; start and stop count characters of that
-    text): see repeated_passages.
+    Then, in the texts without the repeats among these, they are passages of as many words or more that stand
+    elsewhere too, in other documents or the same, wherever in their lines (`paragraph` is null; start and stop count
+    characters of that text): see repeated_passages.
 
-    Null text or text without as many words: no rows. Null ids: their paragraphs take no part. Rows that repeat an id
-    count as one document. Other columns are not read.
+    Null text, empty text or text without as many words: no rows; an empty table gives none. Null ids: their paragraphs
+    take no part. Rows that repeat an id count as one document for each text they have. Texts of any length are read
+    whole, one at a time; a task needs some 30 times a text's bytes. Other columns are not read.
     """
-    options = (least_words, width, percent, *tune_bands(percent / 100, recall))
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    lines = _repeated_lines(texts, "id", "text", *options)
-    passages = _repeated_passages(cut(_without_lines(texts, "id", "text", lines)), "id", "text", least_words, width, percent)
+    texts = _texts(docs, id_col, text_col)
+    lines = cut(_repeated_lines_of(texts, least_words, width, percent, recall))
+    left = cut(_without_lines(texts.drop("version"), "doc", "text", lines))
+    passages = repeated_passages(_texts(left, "doc", "text"), least_words, width, percent)
+    drop_cut(left)
     row = lambda paragraph, start, stop, first: (F.col("doc").alias(id_col), F.expr(paragraph).cast("int").alias("paragraph"), F.expr(start).cast("int").alias("start"), F.expr(stop).cast("int").alias("stop"), "group", F.col(first).alias("first_doc"), "kept")
-    return lines.select(*row("paragraph", "null", "null", "first.doc")).union(passages.select(*row("null", "start", "stop", "first_doc")))
+    out = lines.select(*row("paragraph", "null", "null", "first.doc")).union(passages.select(*row("null", "start", "stop", "first_doc")))
+    return reading(out, lines, passages)
+
+
+def _repeated_lines_of(texts: DataFrame, least_words: int, width: int, percent: int, recall: float) -> DataFrame:
+    return _repeated_lines(texts, least_words, width, percent, *tune_bands(percent / 100, recall))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_words: int = 20, width: int = 5, percent: int = 80, recall: float = 0.9995) -> DataFrame:
-    """docs without repeated paragraphs; a document of which no word is left goes. Same columns; n_chars follows."""
-    options = (least_words, width, percent, *tune_bands(percent / 100, recall))
-    left = cut(_without_lines(docs, id_col, text_col, _repeated_lines(docs, id_col, text_col, *options)))
-    return _without_passages(left, id_col, text_col, _repeated_passages(left, id_col, text_col, least_words, width, percent))
+    """docs without the paragraphs that repeated_paragraphs would remove; a document of which no word is left then goes.
+
+    Same columns, whatever they are called; n_chars follows. Null ids, null and empty texts stay as they are; rows that
+    repeat an id and a text lose the same paragraphs. An empty table gives none.
+    """
+    lines = _repeated_lines_of(_texts(docs, id_col, text_col), least_words, width, percent, recall)
+    left = cut(_without_lines(docs, id_col, text_col, lines))
+    drop_cut(lines)
+    passages = repeated_passages(_texts(left, id_col, text_col), least_words, width, percent)
+    return reading(_without_passages(left, id_col, text_col, passages), left, passages)
