@@ -19,6 +19,8 @@ END_KEY = int(_END.view(np.int64)[0])
 _FLUSH = 800_000  # keys that a task holds of each kind
 _SLICE = 100_000
 _NEWLINE = 10
+_LN10 = float(np.log(10))
+_HALF = float(np.log10(0.5))
 
 
 def token_bytes(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,30 +162,40 @@ class SuffixTree:
         step *= width
         return cls(symbols, p.ravel(), step.ravel(), width, number[start] * width, depth, len(states))
 
+    def arrays(self) -> tuple:
+        """The tree as plain arrays and numbers, which executors can read without this package."""
+        return self.symbols, self.log10, self.step, self.start, self.depth
+
     def score(self, stream: np.ndarray, offsets: np.ndarray, segment: int = 512) -> np.ndarray:
-        """log10 probability of each text. Texts are cut into segments that all advance together; one that isn't at a
-        text's start reads the `depth` bytes before it first, which settles its state."""
-        sizes = np.diff(offsets)
-        per = -(-sizes // segment)
-        text = np.repeat(np.arange(len(sizes)), per)
-        at = offsets[:-1][text] + (np.arange(len(text)) - np.repeat(np.r_[0, np.cumsum(per)][:-1], per)) * segment
-        stop = np.minimum(at + segment, offsets[1:][text])
-        order = np.argsort(at - stop, kind="stable")
-        text, at, stop = text[order], at[order], stop[order]
-        symbols = self.symbols[stream]
-        state = np.where(at == offsets[:-1][text], self.start, 0)
-        for k in range(self.depth, 0, -1):
-            reads = np.flatnonzero(at - offsets[:-1][text] >= segment)
-            state[reads] = self.step[state[reads] + symbols[at[reads] - k]]
-        total = np.zeros(len(at), np.float64)
-        alive = np.searchsorted(at - stop, -np.arange(1, segment + 1), "right")
-        for k, m in enumerate(alive):
-            if not m:
-                break
-            now = state[:m] + symbols[at[:m] + k]
-            total[:m] += self.log10[now]
-            state[:m] = self.step[now]
-        return np.bincount(text, total, len(sizes)).astype(np.float64)
+        """log10 probability of each text."""
+        return np.add.reduceat(np.r_[byte_scores(self.arrays(), stream, offsets, segment), 0.0], offsets[:-1])
+
+
+def byte_scores(tree: tuple, stream: np.ndarray, offsets: np.ndarray, segment: int = 512) -> np.ndarray:
+    """log10 probability of each byte after those before it in its text. Texts are cut into segments that all advance
+    together; one that isn't at a text's start reads the `depth` bytes before it first, which settles its state."""
+    symbol_of, log10, step, begin, depth = tree
+    sizes = np.diff(offsets)
+    per = -(-sizes // segment)
+    text = np.repeat(np.arange(len(sizes)), per)
+    at = offsets[:-1][text] + (np.arange(len(text)) - np.repeat(np.r_[0, np.cumsum(per)][:-1], per)) * segment
+    stop = np.minimum(at + segment, offsets[1:][text])
+    order = np.argsort(at - stop, kind="stable")
+    text, at, stop = text[order], at[order], stop[order]
+    symbols = symbol_of[stream]
+    state = np.where(at == offsets[:-1][text], begin, 0)
+    for k in range(depth, 0, -1):
+        reads = np.flatnonzero(at - offsets[:-1][text] >= segment)
+        state[reads] = step[state[reads] + symbols[at[reads] - k]]
+    out = np.zeros(len(stream), np.float64)
+    alive = np.searchsorted(at - stop, -np.arange(1, segment + 1), "right")
+    for k, m in enumerate(alive):
+        if not m:
+            break
+        now = state[:m] + symbols[at[:m] + k]
+        out[at[:m] + k] = log10[now]
+        state[:m] = step[now]
+    return out
 
 
 def _tree(grams: DataFrame, depth: int, least_share: float, least_gain: float, strength: float) -> SuffixTree:
@@ -207,19 +219,23 @@ def _tree(grams: DataFrame, depth: int, least_share: float, least_gain: float, s
 def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 1, depth: int = DEPTH, least_share: float = 1e-5, least_gain: float = 20.0, strength: float = 4.0, head_tokens: int = 1_000_000) -> DataFrame:
     """One row per document: (id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
-    Learns from the documents whose crc32(id as text) mod `folds` is not `held_out`. score: log10 probability of the
-    text as the bytes of its lower-cased words, a blank between them and an end, under a suffix tree: contexts of up
-    to `depth` bytes that make up `least_share` of all places (so at most 1 / least_share of each length) and whose
-    next byte differs from that after the shorter context by `least_gain` bits over the corpus (count-weighted KL
-    divergence); next-byte distributions are smoothed with the shorter context's as `strength` more observations; each
-    byte is predicted by the longest kept context. base_score: the word unigram score of the contract.
-
-    Counts of words and contexts over all training documents are summed in the tasks, then shuffled. The tree is
-    broadcast (bounded as said). Counts of at most `head_tokens` frequent words are broadcast too; all other words of
-    each document meet their counts in a join, so any vocabulary works.
+    Learns from the documents whose crc32(id as text) mod `folds` is not `held_out`. score: the sum over tokens of the
+    log10 of half the token's spelled probability and half its share as a whole word (that of the base score), so
+    that every word of the training documents, however rare, is part of the model. A token is spelled as the bytes of
+    its lower-cased letters and a blank, the end as a newline, under a suffix tree: contexts of up to `depth` bytes
+    that make up `least_share` of all places and whose next byte differs from that after the shorter context by
+    `least_gain` bits over the corpus (count-weighted KL divergence). These contexts, their prefixes and their suffixes
+    are the states; next-byte distributions are smoothed with the shorter context's as `strength` more observations,
+    and each byte is predicted by the longest state that ends the bytes before it. base_score: the word unigram score
+    of the contract.
+
+    Counts of words and contexts over all training documents are summed in the tasks, then shuffled. `least_share`
+    bounds the tree, which is broadcast, to 1 / least_share contexts of each length; the table of words grows with the
+    corpus. Counts of at most `head_tokens` frequent words are broadcast too; all other words of each document meet
+    their counts in a join, so any vocabulary works. Executors need no copy of this package.
 
     Null or empty text: one end token. Null id: trained on, not held out. Rows that repeat id and text each get the
-    same, right scores. Without training documents all counts are zero. Other columns are not read.
+    same, right scores. Texts are read whole, one at a time; a task needs some 30 times a text's bytes. Without training documents all counts are zero. Other columns are not read.
     """
     spark = docs.sparkSession
     fold = F.coalesce(F.crc32(F.col(id_col).cast("string")) % folds == held_out, F.lit(False))
@@ -235,8 +251,10 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         floor -= 1
         room -= sizes.get(floor, 0)
     head = words.where((F.col("n") >= F.lit(1 << floor)) & (F.col("key") != END_KEY)).toArrow().sort_by("key")
-    shared = spark.sparkContext.broadcast((tree, head["key"].to_numpy(), head["n"].to_numpy()))
     below = n_train + 0.5 * (v_train + 1)
+    n_end = words.where(F.col("key") == END_KEY).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    end = float(np.log10((n_end + 0.5) / below))
+    shared = spark.sparkContext.broadcast((tree.arrays(), head["key"].to_numpy(), head["n"].to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, keys, counts = shared.value
@@ -248,47 +266,55 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 docs = len(offsets) - 1
                 hashes = word_hashes(data, starts, ends).view(np.int64)
                 doc = np.repeat(np.arange(docs), np.diff(first))
+                stream, edges = token_bytes(data, offsets, starts, ends, first)
+                bytes_ = byte_scores(tree, stream, edges)
+                sums = np.r_[0, np.cumsum(bytes_)]
+                sizes = ends - starts + 1
+                at = np.cumsum(sizes) - sizes + np.r_[0, np.cumsum(np.diff(first) == 0)][doc]
+                last = np.arange(len(starts)) == first[doc + 1] - 1
+                spelled = sums[at + sizes - last] - sums[at]  # of each word with the blank that ends it; the last word's newline is the end
                 each, at = np.unique(hashes, return_inverse=True)
                 place = np.minimum(np.searchsorted(keys, each), max(0, len(keys) - 1))
                 hit = keys[place] == each if len(keys) else np.zeros(len(each), bool)
                 known = hit[at]
-                base = np.bincount(doc[known], logs[place[at[known]]], docs).astype(np.float64)
+                log = logs[place[at[known]]] if len(logs) else np.zeros(0)
+                base = np.bincount(doc[known], log, docs).astype(np.float64)
+                score = np.bincount(doc[known], np.logaddexp(log * _LN10, spelled[known] * _LN10) / _LN10 + _HALF, docs).astype(np.float64)
+                score += np.logaddexp(end * _LN10, bytes_[edges[1:] - 1] * _LN10) / _LN10 + _HALF
                 n_known = np.bincount(doc[known], minlength=docs)
-                order = np.lexsort((hashes[~known], doc[~known]))
-                rest_doc, rest = doc[~known][order], hashes[~known][order]
-                new = np.ones(len(rest), bool)
-                new[1:] = (rest[1:] != rest[:-1]) | (rest_doc[1:] != rest_doc[:-1])
-                times = np.diff(np.r_[np.flatnonzero(new), len(rest)])
-                lists = np.r_[0, np.cumsum(np.bincount(rest_doc[new], minlength=docs))].astype(np.int32)
-                score = tree.score(*token_bytes(data, offsets, starts, ends, first))
+                lists = np.r_[0, np.cumsum(np.bincount(doc[~known], minlength=docs))].astype(np.int32)
                 tag = [_digest(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(row, docs), out.slice(row, docs), pa.array(tag, pa.int64()), pa.array(np.diff(first) + 1), pa.array(n_known), pa.array(base), pa.array(score),
-                     pa.ListArray.from_arrays(lists, pa.array(rest[new])), pa.ListArray.from_arrays(lists, pa.array(times.astype(np.int32)))],
-                    names=["id", "held_out", "tag", "n_tokens", "known", "base", "score", "rest", "times"],
+                     pa.ListArray.from_arrays(lists, pa.array(hashes[~known])), pa.ListArray.from_arrays(lists, pa.array(spelled[~known]))],
+                    names=["id", "held_out", "tag", "n_tokens", "known", "base", "score", "rest", "spelled"],
                 )
 
-    scored = cut(texts.select("id", "text", "out").mapInArrow(run, "id long, held_out boolean, tag long, n_tokens long, known long, base double, score double, rest array<long>, times array<int>"))
-    rest = scored.select("id", "tag", F.inline(F.arrays_zip("rest", "times"))).withColumnRenamed("rest", "key")
-    term = F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(below)))
+    scored = cut(texts.select("id", "text", "out").mapInArrow(run, "id long, held_out boolean, tag long, n_tokens long, known long, base double, score double, rest array<long>, spelled array<double>"))
+    rest = scored.select("id", "tag", F.inline(F.arrays_zip("rest", "spelled"))).withColumnRenamed("rest", "key")
+    share = (F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(below))
+    exact = lambda x: F.sum(x.cast("decimal(38,18)")).cast("double")
     sums = (
         rest.join(words, "key", "left").groupBy("id", "tag")
-        .agg(F.sum((term * F.col("times")).cast("decimal(38,18)")).cast("double").alias("more"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("found"))
+        .agg(
+            exact(F.log10(share)).alias("more"),
+            exact(F.log10((share + F.pow(F.lit(10.0), F.greatest("spelled", F.lit(-300.0)))) / 2)).alias("more_score"),
+            F.count(F.when(F.col("n") > 0, 1)).alias("found"),
+        )
     )
     rows = scored.groupBy("id", "tag").agg(F.count("*").alias("copies"))
     sums = sums.join(rows.where("copies > 1").selectExpr("id i", "tag t", "copies"), F.col("id").eqNullSafe(F.col("i")) & (F.col("tag") == F.col("t")), "left")
-    sums = sums.select(F.col("id").alias("i"), F.col("tag").alias("t"), (F.col("more") / F.coalesce("copies", F.lit(1))).alias("more"), (F.col("found") / F.coalesce("copies", F.lit(1))).cast("long").alias("found"))
-    n_end = words.where(F.col("key") == END_KEY).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    end = float(np.log10((n_end + 0.5) / below))
-    joined = scored.drop("rest", "times").join(sums, F.col("id").eqNullSafe(F.col("i")) & (F.col("tag") == F.col("t")), "left")
+    part = lambda c: (F.col(c) / F.coalesce("copies", F.lit(1))).alias(c)
+    sums = sums.select(F.col("id").alias("i"), F.col("tag").alias("t"), part("more"), part("more_score"), part("found"))
+    joined = scored.drop("rest", "spelled").join(sums, F.col("id").eqNullSafe(F.col("i")) & (F.col("tag") == F.col("t")), "left")
     return joined.select(
         F.col("id").alias(id_col),
         "held_out",
         "n_tokens",
-        (F.col("known") + F.coalesce("found", F.lit(0)) + F.lit(int(n_end > 0))).cast("long").alias("n_known"),
+        (F.col("known") + F.coalesce(F.col("found").cast("long"), F.lit(0)) + F.lit(int(n_end > 0))).cast("long").alias("n_known"),
         F.lit(int(n_train)).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more", F.lit(0.0)) + F.lit(end)).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
 
 
