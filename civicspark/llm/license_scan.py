@@ -83,7 +83,8 @@ class Scanner:
         for end, (size, where) in self.seeds.iter(text):
             for k, at in where:
                 _, n, edits, _ = self.notices[k]
-                a, b = max(0, end + 1 - size - at - edits), end + 1 - size - at + n + edits
+                # one character more in front: the matcher allows no insertion where its search starts
+                a, b = max(0, end - size - at - edits), end + 1 - size - at + n + edits
                 own = windows.setdefault(k, [])
                 if own and a <= own[-1][1]:
                     own[-1][1] = max(b, own[-1][1])
@@ -93,7 +94,8 @@ class Scanner:
         for k, own in windows.items():
             label, n, edits, pattern = self.notices[k]
             for a, b in own:
-                for m in pattern.finditer(text, a, min(len(text), b + 1)):
+                stop = text.find(" ", b + 1)  # a window ends where a word does
+                for m in pattern.finditer(text, a, len(text) if stop < 0 else stop):
                     found.append((m.start(), m.end(), label, sum(m.fuzzy_counts), n))
         return sorted(found)
 
@@ -131,7 +133,8 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     score: 1 for a base phrase or an unchanged notice, else 1 - edits / length of the closest notice, else 0.
     Null or empty text: no words, no labels, first_word and last_word null. Null ids and repeated rows are kept as
-    they are. Other columns are not read. Texts are read whole, one at a time; nothing is shuffled.
+    they are. Other columns are not read; an empty table gives no rows. Texts of any length are read whole, one at a
+    time; nothing is shuffled.
     """
     base, notices = BASE if base is None else base, NOTICES if notices is None else notices
 
