@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civicspark.llm.additive_ann import nearest_neighbours
 from civicspark.llm.chat_format import format_chats, read_back
@@ -30,7 +31,7 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "source", "mix.*")
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "source", "mix.*").withColumn("blocks", F.array_join(F.transform("blocks", lambda b: b.cast("string")), ","))
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
