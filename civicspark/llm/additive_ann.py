@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.session import cut
+from civicspark.session import cut, drop_cut
 
 
 def train_codebooks(sample: np.ndarray, books: int, words: int, rounds: int = 8) -> np.ndarray:
@@ -66,52 +66,60 @@ def _indexed(books: np.ndarray, beam: int, chunk: int):
                 part = batch.slice(at, chunk)
                 x = part.column(0).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
                 codes, norms = encode(x, books, beam)
-                ids = part.column(1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x.tobytes()], pa.binary()), pa.array([codes.tobytes()], pa.binary()), pa.array([norms.tobytes()], pa.binary()), pa.array([ids.to_pylist()], pa.list_(pa.list_(pa.int64())))],
-                    names=["vectors", "codes", "norms", "ids"],
-                )
+                ids = part.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([y.tobytes()], pa.binary()) for y in (x, codes, norms, ids)], names=["vectors", "codes", "norms", "ids"])
 
     return run
 
 
-def _searched(books: np.ndarray, k: int, rerank: int):
+def _nearer(best: tuple[np.ndarray, np.ndarray], gap: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each query the k nearest of those so far and the new ones, ties to the smaller id."""
+    gap, ids = np.concatenate([best[0], gap], 1), np.concatenate([best[1], ids], 1)
+    order = np.lexsort((ids, gap), axis=-1)[:, :k]
+    return np.take_along_axis(gap, order, 1), np.take_along_axis(ids, order, 1)
+
+
+def _searched(books: np.ndarray, shared, k: int, rerank: int, at_once: int = 256):
+    """The k nearest to each query of the block among the index entries of this task, held as two small arrays."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n_books, words, dim = books.shape
+        own, asked = shared.value
+        best = (np.full((len(own), k), np.inf), np.full((len(own), k), -1, np.int64))
         for batch in batches:
             for row in range(batch.num_rows):
-                x = np.frombuffer(batch.column("vectors")[row].as_py()).reshape(-1, dim)
-                codes = np.frombuffer(batch.column("codes")[row].as_py(), np.uint8).reshape(len(x), n_books)
-                norms = np.frombuffer(batch.column("norms")[row].as_py())
-                ids = batch.column("ids")[row].as_py()
-                q_ids = batch.column("q_ids")[row].as_py()
-                q = np.frombuffer(batch.column("q")[row].as_py()).reshape(-1, dim)
-                tables = np.einsum("qd,bwd->bqw", q, books, optimize=True)
-                near = np.repeat(norms[None, :], len(q), axis=0)
-                for b in range(n_books):
-                    near -= 2 * tables[b][:, codes[:, b]]
-                take = min(rerank, len(x))
-                best = np.argpartition(near, take - 1, axis=1)[:, :take]
-                out: list[list] = [[], [], []]
-                for i, own in enumerate(q_ids):
-                    gap = np.sqrt(((x[best[i]] - q[i]) ** 2).sum(1))
-                    found = sorted((d, v) for d, j in zip(gap.tolist(), best[i].tolist(), strict=True) for v in ids[j] if v != own)[:k]
-                    out[0] += [own] * len(found)
-                    out[1] += [v for _, v in found]
-                    out[2] += [d for d, _ in found]
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+                vectors, codes, norms, ids = (batch.column(c)[row].as_py() for c in ("vectors", "codes", "norms", "ids"))
+                norms, ids = np.frombuffer(norms), np.frombuffer(ids, np.int64)
+                x = np.frombuffer(vectors).reshape(len(ids), -1)
+                codes = np.frombuffer(codes, np.uint8).reshape(len(ids), -1)
+                take = min(rerank, len(ids))
+                for a in range(0, len(own), at_once):
+                    q, me = asked[a : a + at_once], own[a : a + at_once]
+                    near = np.repeat(norms[None, :], len(q), axis=0)
+                    for b, book in enumerate(books):
+                        near -= 2 * (q @ book.T)[:, codes[:, b]]
+                    found = np.argpartition(near, take - 1, axis=1)[:, :take]
+                    gap = np.sqrt(((x[found] - q[:, None, :]) ** 2).sum(2))
+                    gap[ids[found] == me[:, None]] = np.inf
+                    part = _nearer((best[0][a : a + at_once], best[1][a : a + at_once]), gap, ids[found], k)
+                    best[0][a : a + at_once], best[1][a : a + at_once] = part
+        query, place = np.nonzero(np.isfinite(best[0]))
+        for a in range(0, len(query), 100_000):
+            some = query[a : a + 100_000], place[a : a + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(own[some[0]]), pa.array(best[1][some]), pa.array(best[0][some])], names=["query_id", "vec_id", "score"])
 
     return run
 
 
-def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100, k: int = 10, books: int = 24, words: int = 128, beam: int = 4, sample: int = 8192, chunk: int = 4096, rerank: int = 256, query_block: int = 512) -> DataFrame:
+def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100, k: int = 10, books: int = 24, words: int = 128, beam: int = 4, sample: int = 8192, chunk: int = 4096, rerank: int = 64, query_block: int = 16384) -> DataFrame:
     """(query_id, rank, vec_id, score): for every row whose id is divisible by `every` its k nearest other rows.
 
-    Codebooks are fitted on at most `sample` vectors, taken by hash of the id; every row is indexed. Equal vectors
-    share one entry with their k + 1 smallest distinct ids, all that a list of k can hold, so a hot vector costs one entry.
-    Entries are packed into chunks of `chunk`, queries into blocks of `query_block`; each block meets each chunk once,
-    scores it by lookup tables over the codes and stored norms, and gives the k best of `rerank` entries after exact
-    double-precision distances on the original vectors. The k best over all chunks are ranked, ties to smaller ids.
+    Codebooks are fitted on at most `sample` vectors, taken by hash of the id; every row is indexed. Of equal vectors
+    the k + 1 smallest distinct ids are entries, all that a list of k can hold, so a hot vector costs no more than that.
+    Entries are packed into chunks of `chunk` and stay where they are. Queries are dealt into blocks of about
+    `query_block`, which bounds what is broadcast; each block is one pass over the index, in which a task scores its
+    chunks by lookup tables over the codes and stored norms, ranks the `rerank` best of each chunk by exact
+    double-precision distances on the original vectors, and gives the k best of all its chunks. The k best over all
+    tasks are ranked, ties to smaller ids.
 
     Null ids, vectors null, empty, zero, or with null or non-finite numbers take no part, nor do vectors that differ
     from the most common dimension. An id that repeats counts with each of its distinct vectors as candidate and as
@@ -128,24 +136,20 @@ def nearest_neighbours(vectors: DataFrame, id_col: str = "vec_id", vector_col: s
     drawn = rows.orderBy(F.xxhash64("id"), "id").limit(sample).select("v").toArrow()
     learned = train_codebooks(np.unique(np.array(drawn["v"].to_pylist()), axis=0), books, words)
     first = Window.partitionBy("v").orderBy("id")
-    entries = rows.withColumn("at", F.dense_rank().over(first)).where(F.col("at") <= k + 1).groupBy("v").agg(F.sort_array(F.collect_set("id")).alias("ids"))
-    index = cut(entries.select("v", "ids").mapInArrow(_indexed(learned, beam, chunk), "vectors binary, codes binary, norms binary, ids array<array<long>>"))
+    entries = rows.withColumns({"at": F.dense_rank().over(first), "before": F.lag("id").over(first)}).where((F.col("at") <= k + 1) & (F.col("before").isNull() | (F.col("before") != F.col("id"))))
+    index = cut(entries.select("v", "id").mapInArrow(_indexed(learned, beam, chunk), "vectors binary, codes binary, norms binary, ids binary"))
     asked = rows.where(F.pmod("id", F.lit(every)) == 0).select("id", "v").distinct()
     blocks = max(1, -(-asked.count() // query_block))
-    dealt = asked.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "v")
-
-    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            block = batch.column(0).to_numpy(zero_copy_only=False)
-            ids = batch.column(1).to_numpy(zero_copy_only=False)
-            x = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
-            for b in np.unique(block):
-                own = np.flatnonzero(block == b)
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([ids[own].tolist()], pa.list_(pa.int64())), pa.array([x[own].tobytes()], pa.binary())], names=["block", "q_ids", "q"])
-
-    queries = cut(dealt.repartition(blocks, "block").mapInArrow(bundle, "block int, q_ids array<long>, q binary"))
-    meets = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    met = meets.join(queries, "block").drop("block")
-    found = met.mapInArrow(_searched(learned, k, rerank), "query_id long, vec_id long, score double")
+    asked = cut(asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    out = None
+    for block in range(blocks):
+        own = asked.where(F.col("block") == block).select("id", "v").toArrow()
+        shared = spark.sparkContext.broadcast((own["id"].to_numpy(), np.array(own["v"].to_pylist(), np.float64).reshape(len(own), dim)))
+        found = index.mapInArrow(_searched(learned, shared, k, rerank), "query_id long, vec_id long, score double").distinct()
+        ranked = cut(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
+        shared.unpersist()
+        out = ranked if out is None else out.union(ranked)
+    drop_cut(asked)
+    drop_cut(index)
+    return out
