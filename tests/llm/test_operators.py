@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from civicspark.llm import queries
 from civicspark.llm.additive_ann import nearest_neighbours
 from civicspark.llm.chat_format import escape, format_chats, read_back, spans, unescape
-from civicspark.llm.license_scan import license_scan
+from civicspark.llm.license_scan import BASE, NOTICES, license_scan
 from civicspark.llm.mixing import mix_sources, mixed
 from civicspark.llm.near_dedup import near_duplicates, one_of_each
 from civicspark.llm.packing import Windows, encoder, pack
@@ -109,6 +109,38 @@ def test_license_scan_is_exact_on_base_and_bounded_on_notices(spark):
     assert got[5].labels == "mit" and got[6].labels == "" and got[7].n_base == 0
 
 
+def fuzzed_notices(n, seed=4):
+    rng = random.Random(seed)
+    out = []
+    for k in range(n):
+        label, said, edits = rng.choice(NOTICES)
+        said = list(said)
+        for _ in range(rng.randrange(edits + 2)):
+            at = rng.randrange(len(said))
+            said[at : at + rng.randrange(2)] = rng.choice(["", "a", "g", " "])
+        tail = list(rng.choice(NOTICES)[1])
+        tail[rng.randrange(len(tail))] = "g"
+        out.append((k, " ".join([*rng.choices(["x", "a", "the", "of"], k=rng.randrange(4)), "".join(said), *rng.choices(["all", "b"], k=rng.randrange(3)), "".join(tail)])))
+    return out
+
+
+def test_license_scan_loses_no_notice_to_its_seeds(spark):
+    import regex
+
+    patterns = [(label, regex.compile(rf"(?b)(?<![^ ])(?:{regex.escape(said, literal_spaces=True)}){{e<={edits}}}(?![^ ])")) for label, said, edits in NOTICES]
+    texts = [*fuzzed_notices(3000), (-1, None), (-2, ""), (-3, "all rights reserved " + "x " * 100_000 + "all rights reservd"), (None, "mozilla public licence")]
+    got = {r.doc_id: r for r in license_scan(docs_of(spark, texts, "labels score")).collect()}
+    assert len(got) == len(texts) and license_scan(docs_of(spark, [])).count() == 0
+    for i, text in texts:
+        plain = " ".join(re.findall("[a-z0-9]+", (text or "").lower()))
+        base = [(plain[: m.start()].count(" "), v) for k, v in BASE.items() for m in re.finditer(rf"(?<![^ ])(?={k}(?![^ ]))", plain)]
+        labels = {v for _, v in base}
+        r = got[i]
+        assert (r.n_base, r.first_word, r.base_labels) == (len(base), min((a for a, _ in base), default=None), ",".join(sorted(labels)))
+        if len(plain) < 1000:
+            assert r.labels == ",".join(sorted(labels | {label for label, p in patterns if p.search(plain)})), text
+
+
 def test_mixing_reaches_entropy_and_budget(spark):
     texts = [(k, "word " * (20 + k % 7)) for k in range(400)]
     df = docs_of(spark, texts, "weight").withColumn("source", F.when(F.col("doc_id") < 300, "big").when(F.col("doc_id") < 395, "mid").otherwise(F.lit(None).cast("string")))
@@ -128,6 +160,56 @@ def test_mixing_reaches_entropy_and_budget(spark):
     assert mixed(df.limit(0)).count() == 0
 
 
+def bisected(total, entropy, most_repeats, steps=60):
+    """Exponent, weight and epochs of each source, by plain bisection."""
+    share = {s: n / sum(total.values()) for s, n in total.items()}
+
+    def weights(a):
+        z = sum(p**a for p in share.values())
+        return {s: p**a / z for s, p in share.items()}
+
+    def edge(good):
+        lo, hi = 0.0, 1.0
+        for _ in range(steps):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if good(weights(mid)) else (lo, mid)
+        return lo
+
+    spread = edge(lambda w: -sum(x * math.log(x) for x in w.values()) >= entropy * math.log(len(w)))
+    repeats = edge(lambda w: max(w[s] / share[s] for s in w) > most_repeats)
+    w = weights(max(spread, repeats))
+    return {s: (w[s], w[s] / share[s]) for s in w}
+
+
+def test_mixing_equals_plain_bisection_and_realises_all_copies(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(["w"] * rng.randrange(1, 90)) if k % 50 else rng.choice([None, ""]), rng.choices("abcd", [60, 20, 3, 1])[0]) for k in range(600)]
+    rows += [(None, "x y", "a"), (None, "x z", "a"), (7, "same", "b"), (7, "same", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("a.b", F.lit(1)).withColumn("mix", F.lit("own"))
+    for entropy, most in ((0.9, 9.0), (0.999, 3.0)):
+        got = mix_sources(df, entropy=entropy, most_repeats=most, block_tokens=200, schedule_blocks=10).collect()
+        assert len(got) == len(rows) and set(got[0].asDict()) == {"doc_id", "text", "source", "a.b", "mix"}
+        total, times, in_block = Counter(), Counter(), Counter()
+        for r in got:
+            assert r.mix.tokens == -(-len(r.text or "") // 4) + 1
+            total[r.source] += r.mix.tokens
+            times[r.source] += r.mix.tokens * r.mix.copies
+            for b in r.mix.blocks:
+                in_block[b, r.source] += r.mix.tokens
+        want = bisected(total, entropy, most)
+        for r in got:
+            assert abs(r.mix.weight - want[r.source][0]) < 1e-4 and abs(r.mix.epochs - want[r.source][1]) < 1e-3 and len(r.mix.blocks) == r.mix.copies
+        everything = sum(total.values())
+        for s, (weight, _) in want.items():
+            assert abs(times[s] - weight * everything) <= 60
+            assert all(abs(in_block[b, s] - weight * everything / 10) <= 60 for b in range(10))
+        places = sorted((r.mix.position, r.mix.tokens) for r in got if r.source == "a")
+        assert all(a + n == b for (a, n), (b, _) in zip(places, places[1:], strict=False))
+        out = mixed(df, entropy=entropy, most_repeats=most, block_tokens=200, schedule_blocks=10)
+        assert out.columns == df.columns
+        assert Counter((r.doc_id, r.text, r.source) for r in out.collect() if r.mix == "own") == sum((Counter({(r.doc_id, r.text, r.source): r.mix.copies}) for r in got), Counter())
+
+
 def test_quality_statistics_and_rules(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     docs = docs.union(docs_of(spark, ODD))
@@ -185,6 +267,75 @@ def test_suffix_tree_base_score_and_distribution(spark, head):
     assert sum(r.score for r in held) / sum(r.n_tokens for r in held) > -6
 
 
+def naive_tree(texts, depth, least_share, least_gain, strength):
+    """log10 of the next byte after a text so far, by dictionaries of contexts."""
+    counts = {}
+    for t in texts:
+        for k in range(len(t)):
+            padded = bytes(depth) + t[:k]
+            for d in range(depth + 1):
+                counts.setdefault(padded[len(padded) - d :], Counter())[t[k]] += 1
+    total = sum(counts[b""].values()) if counts else 0
+    common = {c: n for c, n in counts.items() if sum(n.values()) >= least_share * total}
+    share = lambda c, x: common[c][x] / sum(common[c].values())
+    kept = [c for c in common if c and c[1:] in common and sum(n * math.log2(share(c, x) / share(c[1:], x)) for x, n in common[c].items()) >= least_gain]
+    states = {b""} | {c[a:b] for c in kept for a in range(len(c)) for b in range(a + 1, len(c) + 1) if c[a:b] in common}
+    symbols = len(common.get(b"", {})) + 1
+
+    def p(c, x):
+        own = common.get(c, Counter())
+        prior = 0.5 if c == b"" else strength * p(c[1:], x)
+        return (own[x] + prior) / (sum(own.values()) + (0.5 * 256 if c == b"" else strength))
+
+    def log10(past, x):
+        padded = bytes(depth) + past
+        return math.log10(p(next(padded[len(padded) - d :] for d in range(depth, -1, -1) if padded[len(padded) - d :] in states), x))
+
+    assert symbols
+    return log10
+
+
+def test_suffix_tree_score_is_that_of_a_naive_tree(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 1500").orderBy("doc_id").limit(40).select("doc_id", "text").collect()
+    rows = [(r.doc_id, r.text) for r in rows] + [(-1, None), (-2, ""), (-4, "the Zq9"), (-4, "the Zq9")]
+    tokens = {n: words((t or "").translate(LOWER)) for n, (_, t) in enumerate(rows)}
+    train = [n for n, (i, _) in enumerate(rows) if zlib.crc32(str(i).encode()) % 5 != 1]
+    counts = Counter(w for n in train for w in [*tokens[n], 0])
+    below = sum(counts.values()) + 0.5 * (len(counts) + 1)
+    log10 = naive_tree([(" ".join(tokens[n]) + "\n").encode() for n in train], 4, 1e-3, 5.0, 4.0)
+    got = {}
+    for r in suffix_tree_scores(spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit(1)), depth=4, least_share=1e-3, least_gain=5.0, head_tokens=60).collect():
+        got.setdefault(r.doc_id, []).append(r.score)
+    for n, (i, _) in enumerate(rows):
+        said, score = b"", 0.0
+        for k, w in enumerate([*tokens[n], 0]):
+            spelled = b"\n" if w == 0 else w.encode() + (b" " if k < len(tokens[n]) - 1 else b"")
+            each = 0.0
+            for x in spelled:
+                each += log10(said, x)
+                said += bytes([x])
+            score += math.log10((10**each + (counts[w] + 0.5) / below) / 2)
+        assert all(abs(g - score) < 1e-3 * max(1, abs(score)) for g in got[i]), (i, got[i], score)
+
+
+def test_suffix_tree_on_executors_without_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.path.insert(0, {0!r})\n"
+        "from civicspark.llm.suffix_tree_lm import suffix_tree_scores\n"
+        "from civicspark.session import local_session\n"
+        "spark = local_session(2, 2)\n"
+        "df = spark.createDataFrame([(1, 'a b'), (2, 'a c')], 'doc_id long, text string')\n"
+        "print('rows', suffix_tree_scores(df).count())\n"
+    ).format(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows 2" in run.stdout, run.stderr[-2000:]
+
+
 def test_suffix_tree_without_training(spark):
     assert suffix_tree_scores(docs_of(spark, [])).count() == 0
 
@@ -307,6 +458,21 @@ def test_neighbours_recall_ties_and_invalid_rows(spark):
     assert nearest_neighbours(df.limit(0)).count() == 0
 
 
+def test_neighbours_recall_at_production_parameters(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding").collect()
+    x, ids = np.array([r.embedding for r in rows], np.float64), np.array([r.vec_id for r in rows])
+    got = queries.op9_nearest_neighbours(spark, "/root/testdata/sf0.1").collect()
+    hits = total = 0
+    for n in np.flatnonzero(ids % 100 == 0):
+        gap = np.sqrt(((x - x[n]) ** 2).sum(1))
+        gap[n] = np.inf
+        best = ids[np.lexsort((ids, gap))[:10]]
+        hits += len(set(best.tolist()) & {r.vec_id for r in got if r.query_id == ids[n]})
+        total += len(best)
+    print("recall", hits / total)
+    assert total and hits >= 0.9 * total
+
+
 def test_neighbours_of_equal_vectors_with_repeated_ids(spark):
     rows = [(0, [1.0, 2.0])] * 30 + [(1, [1.0, 2.0])] * 30 + [(7, [1.0, 2.0]), (9, [5.0, -2.0])]
     got = nearest_neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=3).where("query_id = 0").select("vec_id", "score").distinct()
