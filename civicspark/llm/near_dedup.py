@@ -174,12 +174,15 @@ def with_components(found: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     labels = connected_components(links, "a", "b")
     rest = cut(_unsettled(stars, labels))
     _drop(stars)
-    more = _difference_links(rest, sets, percent)
-    _drop(rest, sets)
-    if not more.isEmpty():
-        _drop(labels)
-        labels = connected_components(links.union(more), "a", "b")
-    _drop(links, more)
+    places = _early_places(rest, sets, percent)
+    for pairs_of in (_bucket_stars, _bucket_pairs):
+        if not places.isEmpty():
+            more = cut(_confirmed(pairs_of(_in_components(places, labels), percent), sets, percent))
+            links = reading(links.union(more), links, more)
+            if not more.isEmpty():
+                _drop(labels)
+                labels = connected_components(links, "a", "b")
+    _drop(links, rest, places, sets)
 
     same = classes.join(labels, classes.class_id == labels.node, "left")
     if shared_only:
@@ -195,45 +198,66 @@ def _drop(*tables: DataFrame) -> None:
 
 
 def _unsettled(stars: DataFrame, labels: DataFrame) -> DataFrame:
-    """(hub, id, component) of the stars whose members, hub included, are not all in one component."""
+    """(centre, id) of the stars whose members, centre included, are not all in one component."""
     of = lambda c: labels.selectExpr(f"node {c}", f"component of_{c}")
     placed = stars.join(of("a"), "a", "left").join(of("b"), "b", "left").select("a", "b", F.coalesce("of_a", "a").alias("ca"), F.coalesce("of_b", "b").alias("cb"))
     mixed = placed.groupBy("b").agg(F.min(F.least("ca", "cb")).alias("lo"), F.max(F.greatest("ca", "cb")).alias("hi")).where("lo < hi").select("b")
-    return placed.join(mixed, "b").selectExpr("b hub", "a id", "ca component")
+    return placed.join(mixed, "b").selectExpr("b centre", "a id")
 
 
-def _difference_links(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (a, b) of one star, from different components, that are similar enough.
+def _early_places(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(centre, id, n, m, s, r): the elements s of the difference of each star's member from its centre that a link to
+    a member of another component would have to share first.
 
     With t = percent / 100, sets x and y are linked if their difference has at most B = (1 - t) / (1 + t) (|x| + |y|)
-    elements. Let dx and dy be their differences from the hub. In a pair from different components one member isn't
-    linked to the hub, so |dx| + |dy| > B, and dx and dy must share (|dx| + |dy| - B) / 2 elements. In the order of
+    elements. Let dx and dy be their differences from the centre. In a pair from different components one member isn't
+    linked to the centre, so |dx| + |dy| > B, and dx and dy must share (|dx| + |dy| - B) / 2 elements. In the order of
     rising frequency the first shared one then stands at place r with 2 (r - 1) <= |dx| - |dy| + B in dx, and so in dy.
     Copies that differ by their own edits share nothing so early, so a hot group makes no pairs among itself.
     """
     member = sets.selectExpr("id", "shingles sa")
-    centre = sets.selectExpr("id hub", "shingles sh")
-    apart = spread_join(rest.join(member, "id"), centre, ["hub"], rest.groupBy("hub").agg(F.count("*").alias("n")), ["id"]).select(
-        "hub", "id", "component", F.size("sa").alias("n"),
+    centre = sets.selectExpr("id centre", "shingles sh")
+    apart = spread_join(rest.join(member, "id"), centre, ["centre"], rest.groupBy("centre").agg(F.count("*").alias("n")), ["id"]).select(
+        "centre", "id", F.size("sa").alias("n"),
         F.concat(F.array_except("sa", "sh"), F.transform(F.array_except("sh", "sa"), lambda x: F.bitwise_not(x))).alias("d"),
     )
-    each = cut(apart.select("hub", "id", "component", "n", F.size("d").alias("m"), F.explode("d").alias("s")))
-    often = each.groupBy("hub", "s").agg(F.count("*").alias("c")).where("c > 1")
-    own = Window.partitionBy("hub", "id")
+    each = cut(apart.select("centre", "id", "n", F.size("d").alias("m"), F.explode("d").alias("s")))
+    often = each.groupBy("centre", "s").agg(F.count("*").alias("c")).where("c > 1")
+    own = Window.partitionBy("centre", "id")
     early = F.expr(f"(2L * (r - 1) - m) * {(100 + percent) * percent} <= {100 - percent}L * (n * {percent}L + n * 100L)")
     places = cut(
-        each.join(often, ["hub", "s"])
+        spread_join(each, often, ["centre", "s"], often.withColumnRenamed("c", "n"), ["id"])
         .withColumn("r", F.col("m") - F.count("*").over(own) + F.row_number().over(own.orderBy("c", "s")))
-        .where(early).select("hub", "id", "component", "n", "m", "s", "r")
+        .where(early).select("centre", "id", "n", "m", "s", "r")
     )
-    one = places.selectExpr("hub", "s", "id a", "component ca", "n na", "m ma", "r ra")
-    two = places.selectExpr("hub", "s", "id b", "component cb", "n nb", "m mb", "r rb")
+    _drop(each)
+    return places
+
+
+def _in_components(places: DataFrame, labels: DataFrame) -> DataFrame:
+    """The places of those (centre, s) that members of several components share, with their component and the bucket's
+    ends. Of elements that the same members share the one that comes first in all of them stands for the others."""
+    now = places.join(labels.selectExpr("node id", "component of"), "id", "left").withColumn("component", F.coalesce("of", "id")).drop("of")
+    buckets = now.groupBy("centre", "s").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("first"), F.max("id").alias("last"),
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("one"), F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 31))).alias("two"), F.sum("r").alias("rank"),
+    )
+    several = buckets.where("lo < hi").groupBy("centre", "first", "last", "size", "one", "two").agg(F.min_by("s", F.struct("rank", "s")).alias("s"))
+    return now.join(several.select("centre", "s", "first", "last"), ["centre", "s"])
+
+
+def _bucket_stars(places: DataFrame, percent: int) -> DataFrame:
+    """Each member with the smallest and the largest of its bucket (centre, s), so that most links inside are found in linear time."""
+    return places.select("id", F.explode(F.array("first", "last")).alias("b")).where("id <> b").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+
+
+def _bucket_pairs(places: DataFrame, percent: int) -> DataFrame:
+    """All pairs of a bucket (centre, s) that are still in different components and can be similar enough."""
+    one = places.selectExpr("centre", "s", "id a", "component ca", "n na", "m ma", "r ra")
+    two = places.selectExpr("centre", "s", "id b", "component cb", "n nb", "m mb", "r rb")
     fits = [F.expr(f"(2L * (r{x} - 1) - m{x} + m{y}) * {100 + percent} <= {100 - percent}L * (na + nb)") for x, y in ("ab", "ba")]
     sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    pairs = one.join(two, ["hub", "s"]).where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & sizes & fits[0] & fits[1]).select("a", "b").distinct()
-    links = cut(_confirmed(pairs, sets, percent))
-    _drop(each, places)
-    return links
+    return one.join(two, ["centre", "s"]).where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & sizes & fits[0] & fits[1]).select("a", "b").distinct()
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

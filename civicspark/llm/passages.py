@@ -122,7 +122,7 @@ def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width
         moved = False
         for side, k in open_sides:
             (kx, ky), (_, _, i, j), most = keys[k], side, 5 + left // 4
-            _, u, v = np.intersect1d(kx[i : i + most], ky[j : j + most], return_indices=True)
+            u, v = np.nonzero(kx[i : i + most, None] == ky[None, j : j + most])
             if not len(u):
                 continue
             best = np.maximum(u, v).argmin()
@@ -137,6 +137,27 @@ def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width
     return out if _similar(x[out[0] : out[1]], y[out[2] : out[3]], width, percent) else exact
 
 
+class _Runs:
+    """A column of lists of runs, read as arrays."""
+
+    def __init__(self, column: pa.ListArray):
+        runs = column.values
+        self.first = column.offsets.to_numpy()
+        self.hub_doc, self.hub_version, self.tile = (runs.field(c).to_numpy() for c in ("hub_doc", "hub_version", "tile"))
+        words, hits = runs.field("words"), runs.field("hits")
+        self.word_first, self.words = words.offsets.to_numpy(), words.values.to_numpy().view(np.uint32)
+        self.hit_first = hits.offsets.to_numpy()
+        self.pos, self.hub_pos = (hits.values.field(c).to_numpy() for c in ("pos", "hub_pos"))
+
+    def of(self, row: int) -> Iterator[tuple[tuple[int, int], int, np.ndarray, list[int], list[int]]]:
+        """The runs of one text: its kept text, tile, the tile's words, places in both; by kept text and tile."""
+        own = np.arange(self.first[row], self.first[row + 1])
+        for k in own[np.lexsort((self.tile[own], self.hub_version[own], self.hub_doc[own]))]:
+            hits = np.arange(self.hit_first[k], self.hit_first[k + 1])
+            hits = hits[np.argsort(self.pos[hits], kind="stable")]
+            yield (int(self.hub_doc[k]), int(self.hub_version[k])), int(self.tile[k]), self.words[self.word_first[k] : self.word_first[k + 1]], self.pos[hits].tolist(), self.hub_pos[hits].tolist()
+
+
 _FOUND = "doc long, version long, start int, stop int, key long, hub_doc long, hub_version long, tile int, hub_start int, hub_stop int"
 
 
@@ -146,6 +167,7 @@ def _verified(least: int, width: int, percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            docs, versions, runs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), _Runs(batch.column(3))
             for row, data, offsets, begins, ends, first, words in _words_of(batch.column(2)):
                 points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
                 out: list[tuple] = []
@@ -153,13 +175,10 @@ def _verified(least: int, width: int, percent: int):
                     own = words[first[text] : first[text + 1]]
                     short, zero = own.astype(np.uint32), points[offsets[text]]
                     place = lambda a, b: (points[begins[first[text] + a]] - zero, points[ends[first[text] + b - 1]] - zero)  # noqa: B023, E731
-                    who, alone = (batch.column(0)[row + text].as_py(), batch.column(1)[row + text].as_py()), []
-                    gone = np.zeros(len(own), bool)
-                    for r in sorted(batch.column(3)[row + text].as_py(), key=lambda r: (r["hub_doc"], r["hub_version"], r["tile"])):
-                        hub = (r["hub_doc"], r["hub_version"])
-                        y = np.array(r["words"], np.int32).view(np.uint32)
-                        lo = max(0, r["tile"] * TILE - MARGIN)
-                        for at, at_hub in sorted((h["pos"], h["hub_pos"]) for h in r["hits"]):
+                    who, alone, gone = (docs[row + text], versions[row + text]), [], np.zeros(len(own), bool)
+                    for hub, tile, y, hits, hub_hits in runs.of(row + text):
+                        lo = max(0, tile * TILE - MARGIN)
+                        for at, at_hub in zip(hits, hub_hits, strict=True):
                             if gone[at : at + SEED].all():
                                 continue
                             k = at_hub - lo
@@ -174,7 +193,7 @@ def _verified(least: int, width: int, percent: int):
                             gone[min(base + a, at) : base + b] = True
                             a = max(base + a, lo + c + least if hub == who else 0)  # of overlapping repeats the first window stays
                             if a < base + b:
-                                out.append((text, *place(a, base + b), None, *hub, r["tile"], lo + c, lo + d))
+                                out.append((text, *place(a, base + b), None, *hub, tile, lo + c, lo + d))
                     alone = [at for at in alone if not gone[at : at + SEED].all()]
                     if alone:
                         starts, at, _ = windows(own, np.array([0, len(own)]), least)
