@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from civicspark.functions.text import bound
+
 # Fixed values.
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 MONTH_NAME = "(?i)(january|february|march|april|may|june|july|august|september|october|november|december)"
@@ -27,24 +29,24 @@ def _found(text: Column, pattern: str, group: int) -> Column:
 
 def lenient_date(text: Column) -> Column:
     """M/D/YYYY becomes ISO, numbers without a range check; text without '/' passes; null is ''."""
-    text = F.coalesce(text, F.lit(""))
-    parts = F.split(text, "/")
+    return bound(F.coalesce(text, F.lit("")), lambda t: F.when(F.contains(t, F.lit("/")), bound(F.split(t, "/"), lambda p: F.when(F.size(p) == 3, _slashed(p)).otherwise(t))).otherwise(t))
+
+
+def _slashed(parts: Column) -> Column:
+    number = lambda k: F.get(parts, F.lit(k)).try_cast("int")
     iso = F.concat_ws("-", _digits(F.get(parts, F.lit(2)), 4), _digits(F.get(parts, F.lit(0)), 2), _digits(F.get(parts, F.lit(1)), 2))
-    numbers = F.get(parts, F.lit(0)).try_cast("int").isNotNull() & F.get(parts, F.lit(1)).try_cast("int").isNotNull() & F.get(parts, F.lit(2)).try_cast("int").isNotNull()
-    return F.when(F.contains(text, F.lit("/")) & (F.size(parts) == 3), F.when(numbers, iso).otherwise("")).otherwise(text)
+    return F.when(number(0).isNotNull() & number(1).isNotNull() & number(2).isNotNull(), iso).otherwise("")
 
 
 def strict_date(text: Column) -> Column:
     """As lenient_date, but null unless the result starts like an ISO date."""
-    out = lenient_date(text)
-    return F.when(out.rlike(r"^\d{4}-\d{2}-\d{2}"), out)
+    return bound(lenient_date(text), lambda out: F.when(out.rlike(r"^\d{4}-\d{2}-\d{2}"), out))
 
 
 def month_key(text: Column) -> Column:
     """YYYY-MM of either form, else null."""
-    slash = F.contains(text, F.lit("/"))
-    iso = lenient_date(text)
-    return F.when(slash & iso.rlike(r"^\d{4,}-\d{2}-\d+$"), F.regexp_extract(iso, r"^(\d+-\d{2})", 1)).when(~slash & F.contains(text, F.lit("-")) & (F.length(text) >= 7), F.substring(text, 1, 7))
+    key = lambda iso: F.when(iso.rlike(r"^\d{4,}-\d{2}-\d+$"), F.regexp_extract(iso, r"^(\d+-\d{2})", 1))
+    return bound(text, lambda t: F.when(F.contains(t, F.lit("/")), bound(lenient_date(t), key)).when(F.contains(t, F.lit("-")) & (F.length(t) >= 7), F.substring(t, 1, 7)))
 
 
 def normalized_date(text: Column) -> Column:

@@ -104,9 +104,17 @@ def occurrences(text: Column, keyword: str) -> Column:
     return ((F.length(text) - F.length(F.replace(text, F.lit(keyword), F.lit("")))) / len(keyword)).cast("int")
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with value computed once however often `use` takes it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def skip_reason(text: Column, most: int = 2_000_000) -> Column:
     """Why a text is not worth reading, else null."""
-    bare = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
+    return bound(F.btrim(text, F.lit(" \t\n\x0b\f\r")), lambda bare: _skip_reason(bare, most))
+
+
+def _skip_reason(bare: Column, most: int) -> Column:
     sample = F.substring(bare, 1, 5000)
     letters = F.length(F.regexp_replace(sample, r"[^\p{L}\s]", "")) / F.greatest(F.length(sample), F.lit(1))
     lines = F.filter(F.slice(F.split(bare, "\n"), 1, 200), lambda x: F.trim(x) != "")
@@ -124,19 +132,27 @@ def relevance(text: Column, name: Column, procedural: list[str] | None = None, s
     n = F.length(text)
     mid = F.floor(n / 2).cast("int")
     sample = F.lower(F.when(n > 24000, F.concat(F.substring(text, 1, 8000), F.substr(text, mid - 3999, F.lit(8000)), F.right(text, F.lit(8000)))).otherwise(F.substring(text, 1, 8000)))
+    return bound(sample, lambda s: bound(_keyword_counts(s, procedural, substantive), lambda c: _relevance(text, n, F.lower(name), s, c)))
+
+
+def _keyword_counts(sample: Column, procedural: list[str], substantive: list[str]) -> Column:
+    """struct(hits, kinds) of substantive keywords and (hits_p, kinds_p) of procedural ones."""
     total = lambda words: reduce(lambda a, b: a + b, [occurrences(sample, w) for w in words])
     unique = lambda words: reduce(lambda a, b: a + b, [F.contains(sample, F.lit(w)).cast("int") for w in words])
+    return F.struct(total(substantive).alias("hits"), unique(substantive).alias("kinds"), total(procedural).alias("hits_p"), unique(procedural).alias("kinds_p"))
+
+
+def _relevance(text: Column, n: Column, name: Column, sample: Column, counts: Column) -> Column:
     per = F.greatest(n, F.lit(1)) / 1000
-    hits, kinds = total(substantive), unique(substantive)
-    dense, dense_p = hits / per, total(procedural) / per
-    name = F.lower(name)
+    hits, kinds = counts["hits"], counts["kinds"]
+    dense, dense_p = hits / per, counts["hits_p"] / per
     voted = sample.rlike(r"(aye|yea|nay|yes|no)\s*[-:]\s*\d")
     minutes, agenda = F.contains(name, F.lit("minutes")), F.contains(name, F.lit("agenda"))
     verdict = lambda keep, c: F.struct(F.lit(keep).alias("keep"), (c if isinstance(c, Column) else F.lit(float(c))).alias("confidence"))
     return (
         F.when((F.length(F.btrim(text, F.lit(" \t\n\x0b\f\r"))) < 200) | name.rlike("|".join(SKIPPED_NAMES)), verdict(False, 0))
         .when(name.rlike("staff[-_]report") | voted, verdict(True, 0.9))
-        .when((kinds == 0) & (unique(procedural) >= 3), verdict(False, 0.05))
+        .when((kinds == 0) & (counts["kinds_p"] >= 3), verdict(False, 0.05))
         .when((dense < 0.5) & (dense_p > dense * 3) & ~minutes, verdict(False, 0.1))
         .when((kinds >= 2) | sample.rlike(r"item\s+\d+") | agenda, verdict(True, F.least(F.lit(0.95), F.lit(0.3) + kinds * 0.05 + dense * 0.1)))
         .when(minutes & (kinds >= 1), verdict(True, 0.5))

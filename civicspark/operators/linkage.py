@@ -35,6 +35,18 @@ def token_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     return met.groupBy(left_key, right_key).agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
 
 
+def keyword_matches(names: DataFrame, texts: DataFrame, name: str, text_key: str, text: str, least: int = 2, longer_than: int = 3) -> DataFrame:
+    """(name, text_key, hits) of names of which any `least` distinct words stand in a text, inside its words too.
+
+    Distinct words meet the texts once; names then meet the texts through their words, so no name meets a text that has
+    none of them.
+    """
+    words = F.filter(F.array_distinct(F.split(name, " ")), lambda w: F.length(w) > longer_than)
+    each = names.select(name, F.explode(words).alias("__word"))
+    holds = texts.select(text_key, text).join(each.select("__word").distinct(), F.contains(text, "__word")).select(text_key, "__word")
+    return each.join(holds, "__word").groupBy(name, text_key).agg(F.count("*").alias("hits")).where(F.col("hits") >= least)
+
+
 def _same_address(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs whose addresses have one street number and share a street word; both sides have `address`, under any name."""
     side = lambda df, s: df.withColumn(s, normalized_address(F.col("address"))).drop("address").withColumn(f"{s}_number", street_number(F.col(s))).where(f"{s}_number <> ''")

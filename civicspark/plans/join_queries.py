@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicspark.functions import text as X
-from civicspark.operators.linkage import first_by, longest_prefix, nearest_day, prioritized, scored_links, token_pairs, upsert
+from civicspark.operators.linkage import first_by, keyword_matches, longest_prefix, nearest_day, prioritized, scored_links, token_pairs, upsert
 from civicspark.plans.registry import query
 from civicspark.plans.scalar_queries import _ABBR, _ADDR
 
@@ -23,37 +23,34 @@ def j2_permit_to_project(t):
     return t("permits").join(pairs, "seq", "left").select("seq", "project")
 
 
-@query("""WITH names AS (SELECT DISTINCT 'HARBOR VIEW ' || (o_orderkey % 6) || ' NORTH' AS name, CAST(o_custkey AS STRING) AS apn FROM orders WHERE o_orderkey % 50 = 0),
+@query("""WITH names AS (SELECT DISTINCT 'HARBOR VIEW ' || (o_orderkey % 6) || ' NORTH' AS name, CAST(o_custkey AS STRING) AS apn FROM orders),
     by_apn AS (SELECT name, n.apn, min(ord) AS o FROM names n JOIN planning p USING (apn) GROUP BY ALL),
-    by_name AS (SELECT name, min(ord) AS o FROM (SELECT DISTINCT name FROM names) JOIN planning ON contains(description, 'HARBOR') AND contains(description, 'VIEW') GROUP BY 1)
+    by_name AS (SELECT name, arg_min(ord, (-hits, ord)) AS o FROM (SELECT name, ord, len(list_filter(string_split(name, ' '), lambda w: length(w) > 3 AND contains(description, w))) AS hits
+        FROM (SELECT DISTINCT name FROM names), planning) WHERE hits >= 2 GROUP BY 1)
     SELECT name, apn, coalesce(a.o, b.o) AS ord, CASE WHEN a.o IS NOT NULL THEN 'apn' ELSE 'name' END AS method FROM names LEFT JOIN by_apn a USING (name, apn) LEFT JOIN by_name b USING (name)""".replace("AS STRING", "AS VARCHAR"), "planning")
 def j3_entitlement_match(t):
-    orders = t("orders").where("o_orderkey % 50 = 0")
-    names = orders.select(F.concat(F.lit("HARBOR VIEW "), F.col("o_orderkey") % 6, F.lit(" NORTH")).alias("name"), F.col("o_custkey").cast("string").alias("apn")).distinct()
+    names = t("orders").select(F.concat(F.lit("HARBOR VIEW "), F.col("o_orderkey") % 6, F.lit(" NORTH")).alias("name"), F.col("o_custkey").cast("string").alias("apn")).distinct()
     plans = t("planning").select("ord", "apn", "description")
     by_apn = first_by(names.join(plans, "apn"), ["name", "apn"], "ord").select("name", "apn", F.col("ord").alias("o1"))
-    # few distinct names meet the entitlement list on substrings; it is a reference list, whose size Spark checks before it broadcasts
-    words = F.filter(F.split("name", " "), lambda w: F.length(w) > 3)
-    hits = F.size(F.filter("words", lambda w: F.contains("description", w)))
-    by_name = first_by(names.select("name", words.alias("words")).distinct().join(plans, F.contains("description", F.get("words", F.lit(0)))).withColumn("hits", hits).where("hits >= 2"), ["name"], F.desc("hits"), "ord").select("name", F.col("ord").alias("o2"))
+    by_name = first_by(keyword_matches(names.select("name").distinct(), plans, "name", "ord", "description"), ["name"], F.desc("hits"), "ord").select("name", F.col("ord").alias("o2"))
     return names.join(by_apn, ["name", "apn"], "left").join(by_name, "name", "left").select("name", "apn", F.coalesce("o1", "o2").alias("ord"), F.when(F.col("o1").isNotNull(), "apn").otherwise("name").alias("method"))
 
 
-@query("""WITH pr AS (SELECT seq, apn, 'D' || substr(permit_no, 5, 3) || substr(permit_no, 8) AS ref FROM permits WHERE seq % 16 = 0)
+@query("""WITH pr AS (SELECT seq, apn, 'D' || substr(permit_no, 5, 3) || substr(permit_no, 8) AS ref FROM permits)
     SELECT seq, ord, CASE WHEN bool_or(m = 1) THEN 'apn' ELSE 'entitlement_ref' END AS method FROM (
       SELECT seq, ord, 1 AS m FROM pr JOIN planning p ON pr.apn = p.apn AND pr.apn <> '' UNION ALL SELECT seq, ord, 2 FROM pr JOIN planning p ON pr.ref = p.project_no) GROUP BY seq, ord""", "permits planning")
 def j4_planning_match(t):
-    pr = t("permits").where("seq % 16 = 0").select("seq", "apn", F.concat(F.lit("D"), F.substring("permit_no", 5, 3), F.expr("substr(permit_no, 8)")).alias("ref"))
+    pr = t("permits").select("seq", "apn", F.concat(F.lit("D"), F.substring("permit_no", 5, 3), F.expr("substr(permit_no, 8)")).alias("ref"))
     plans = t("planning")
     return prioritized([("apn", pr.where("apn <> ''").join(plans, "apn")), ("entitlement_ref", pr.join(plans, pr.ref == plans.project_no))], ["seq", "ord"])
 
 
-@query("""WITH a AS (SELECT ord, year, apn, CAST(split_part(ord, '-', 1) AS BIGINT) AS permit FROM apr_filings), p AS (SELECT seq, apn FROM permits WHERE seq % 13 = 0)
+@query("""WITH a AS (SELECT ord, year, apn, CAST(split_part(ord, '-', 1) AS BIGINT) AS permit FROM apr_filings), p AS (SELECT seq, apn FROM permits)
     SELECT seq, year, apn, CASE WHEN min(m) = 1 THEN 'permit_crossref' ELSE 'apn' END AS method FROM (
       SELECT p.seq, a.year, a.apn, 1 AS m FROM p JOIN a ON p.seq = a.permit UNION ALL SELECT p.seq, a.year, a.apn, 2 FROM p JOIN a ON p.apn = a.apn AND p.apn <> '') GROUP BY ALL""", "permits apr_filings")
 def j5_filing_match(t):
     filings = t("apr_filings").select("year", "apn", F.split_part("ord", F.lit("-"), F.lit(1)).cast("long").alias("permit"))
-    permits = t("permits").where("seq % 13 = 0").select("seq", F.col("apn").alias("own"))
+    permits = t("permits").select("seq", F.col("apn").alias("own"))
     crossed = permits.join(filings, permits.seq == filings.permit)
     same = permits.where("own <> ''").join(filings, permits.own == filings.apn)
     return prioritized([("permit_crossref", crossed), ("apn", same)], ["seq", "year", "apn"])
@@ -73,12 +70,12 @@ _PLAN_A = _ADDR.format(_ABBR.format("address"))
 _PARCEL_A = _ADDR.format(_ABBR.format("address || ' ' || street"))
 
 
-@query(f"""WITH a AS (SELECT ord, {_PLAN_A} AS x FROM planning WHERE ord % 7 = 0), b AS (SELECT apn, {_PARCEL_A} AS y FROM parcels WHERE CAST(apn AS INT) % 10 = 0)
+@query(f"""WITH a AS (SELECT ord, {_PLAN_A} AS x FROM planning), b AS (SELECT apn, {_PARCEL_A} AS y FROM parcels)
     SELECT ord, apn FROM a JOIN b ON regexp_extract(x, '^(\\d+)', 1) = regexp_extract(y, '^(\\d+)', 1) AND regexp_extract(x, '^(\\d+)', 1) <> ''
       AND len(list_intersect({_STREET.format('x')}, {_STREET.format('y')})) >= 1""", "planning parcels")
 def j7_address_match(t):
-    a = t("planning").where("ord % 7 = 0").select("ord", X.normalized_address(F.col("address")).alias("x"))
-    b = t("parcels").where("cast(apn as int) % 10 = 0").select("apn", X.normalized_address(F.concat_ws(" ", "address", "street")).alias("y"))
+    a = t("planning").select("ord", X.normalized_address(F.col("address")).alias("x"))
+    b = t("parcels").select("apn", X.normalized_address(F.concat_ws(" ", "address", "street")).alias("y"))
     n = lambda c: X.street_number(F.col(c))
     return a.join(b, (n("x") == n("y")) & (n("x") != "") & X.addresses_match(F.col("x"), F.col("y"))).select("ord", "apn")
 
@@ -110,7 +107,7 @@ def j9_filing_crossref(t):
 _LIHTC_A = _ADDR.format("regexp_replace(" + _ABBR.format("proj_add") + ", '\\b(SUITE|STE|UNIT|BLDG|BUILDING|APT)\\b.*$', '')")
 
 
-@query(f"""WITH l AS (SELECT hud_id AS id, project AS name, trim({_LIHTC_A}) AS a FROM lihtc), r AS (SELECT project_no AS id, description AS name, {_PLAN_A} AS a FROM planning WHERE ord % 33 = 0),
+@query(f"""WITH l AS (SELECT hud_id AS id, project AS name, trim({_LIHTC_A}) AS a FROM lihtc), r AS (SELECT project_no AS id, description AS name, {_PLAN_A} AS a FROM planning),
     w AS (SELECT l.id AS li, r.id AS ri, list_distinct(string_split(trim(regexp_replace(l.a, '^\\d+', '')), ' ')) AS ls, list_distinct(string_split(trim(regexp_replace(r.a, '^\\d+', '')), ' ')) AS rs,
       list_intersect(list_distinct(string_split(l.name, ' ')), list_distinct(string_split(r.name, ' '))) AS nm
       FROM l JOIN r ON regexp_extract(l.a, '^(\\d+)', 1) = regexp_extract(r.a, '^(\\d+)', 1) AND regexp_extract(l.a, '^(\\d+)', 1) <> ''),
@@ -118,7 +115,7 @@ _LIHTC_A = _ADDR.format("regexp_replace(" + _ABBR.format("proj_add") + ", '\\b(S
     SELECT li AS left_id, arg_min(ri, (-score, ri)) AS right_id, max(score) AS score FROM s WHERE score >= 50 GROUP BY li""", "lihtc planning")
 def j10_scored_linkage(t):
     left = t("lihtc").select(F.col("hud_id").alias("id"), F.col("project").alias("name"), X.normalized_address(F.col("proj_add"), drop_unit=True).alias("address"))
-    right = t("planning").where("ord % 33 = 0").select(F.col("project_no").alias("id"), F.col("description").alias("name"), X.normalized_address(F.col("address")).alias("address"))
+    right = t("planning").select(F.col("project_no").alias("id"), F.col("description").alias("name"), X.normalized_address(F.col("address")).alias("address"))
     return scored_links(left, right)
 
 
@@ -235,7 +232,7 @@ def u2_difference(t):
 
 
 @query("""WITH w AS (SELECT p_partkey AS k, unnest(list_filter(list_distinct(regexp_split_to_array(upper(p_name), '\\W+')), lambda x: length(x) > 3)) AS x FROM part)
-    SELECT a.k AS a, b.k AS b, count(*) AS shared FROM w a JOIN w b ON a.x = b.x AND a.k % 10 = 1 AND b.k % 10 = 2 GROUP BY 1, 2 HAVING count(*) >= 2""")
+    SELECT a.k AS a, b.k AS b, count(*) AS shared FROM w a JOIN w b ON a.x = b.x AND a.k < b.k GROUP BY 1, 2 HAVING count(*) >= 2""")
 def u3_word_overlap(t):
-    side = lambda k, name: t("part").where(f"p_partkey % 10 = {k}").select(F.col("p_partkey").alias(name), F.col("p_name").alias(f"t{name}"))
-    return token_pairs(side(1, "a"), side(2, "b"), "a", "b", "ta", "tb")
+    side = lambda name: t("part").select(F.col("p_partkey").alias(name), F.col("p_name").alias(f"t{name}"))
+    return token_pairs(side("a"), side("b"), "a", "b", "ta", "tb").where("a < b")

@@ -107,12 +107,12 @@ def x11_transcript(t):
     return starts.join(whole, "meeting_id")
 
 
-@query("SELECT seq, status FROM permits", "permits")
+@query("SELECT seq, status, agency, CAST(year AS INT) AS year FROM permits", "permits")
 def s1_json_lines(t):
     rows = t("permits").select("seq", "status", "agency", "year")
     path = _place(rows, "s1")
     rows.write.partitionBy("agency", "year").json(path)
-    return io.read_json_lines(rows.sparkSession, f"{path}/*/*", "seq long, status string").select("seq", "status")
+    return io.read_json_lines(rows.sparkSession, f"{path}/*/*", "seq long, status string").select("seq", "status", F.col("_agency").alias("agency"), F.col("_year").alias("year"))
 
 
 @query("SELECT ord, status FROM planning", "planning")

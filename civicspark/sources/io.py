@@ -8,12 +8,16 @@ from pyspark.sql import types as T
 
 
 def read_json_lines(spark: SparkSession, paths: str | list[str], schema: str | T.StructType, agency_year: bool = True) -> DataFrame:
-    """JSON lines with a fixed schema; bad lines go; agency and year come from .../<agency>/<...year>.jsonl."""
+    """JSON lines with a fixed schema; bad lines go; agency and year come from .../agency=<agency>/year=<year>/ or .../<agency>/<...year>.jsonl."""
     rows = spark.read.schema(schema).option("mode", "DROPMALFORMED").json(paths)
     if not agency_year:
         return rows
     path = F.col("_metadata.file_path")
-    return rows.select("*", F.regexp_extract(path, r"/([^/]+)/[^/]*$", 1).alias("_agency"), F.regexp_extract(path, r"(\d{4})[^/]*$", 1).try_cast("int").alias("_year"))
+    return rows.select("*", _of_path(path, r"/agency=([^/]+)/", r"/([^/]+)/[^/]*$").alias("_agency"), _of_path(path, r"/year=(\d+)/", r"(\d{4})[^/]*$").try_cast("int").alias("_year"))
+
+
+def _of_path(path: Column, folder: str, name: str) -> Column:
+    return F.when(path.rlike(folder), F.url_decode(F.regexp_extract(path, folder, 1))).otherwise(F.regexp_extract(path, name, 1))
 
 
 def read_json_arrays(spark: SparkSession, paths: list[str], schema: str | T.StructType, key: str) -> DataFrame:

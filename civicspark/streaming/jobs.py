@@ -93,14 +93,15 @@ def changed_keys(new: DataFrame, old: DataFrame | None, key: str, print_col: str
 
 
 def merge_late(stream: DataFrame, key: str, table: str, checkpoint: str, rebuild: Callable[[DataFrame], DataFrame], published: str) -> None:
-    """Appends what arrives to `table` and rebuilds the published partitions of the keys it belongs to, from the whole
-    table: a late source changes its meeting as an early one would."""
+    """Adds what arrives to `table` and rebuilds the published partitions of the keys it belongs to, from the whole
+    table: a late source changes its meeting as an early one would. Each batch is a partition of its own, which a
+    repeated batch overwrites, so a retry adds nothing twice."""
 
-    def batch(df: DataFrame, _: int) -> None:
+    def batch(df: DataFrame, number: int) -> None:
         spark = df.sparkSession
-        df.write.mode("append").parquet(table)
+        df.withColumn("_batch", F.lit(number)).write.mode("overwrite").partitionBy("_batch").option("partitionOverwriteMode", "dynamic").parquet(table)
         keys = df.select(key).distinct()
-        rows = spark.read.parquet(table).join(keys, key, "left_semi")
+        rows = spark.read.parquet(table).drop("_batch").join(keys, key, "left_semi")
         rebuild(rows).write.mode("overwrite").partitionBy(key).option("partitionOverwriteMode", "dynamic").parquet(published)
 
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
