@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicspark.llm.components import connected_components
@@ -177,7 +177,10 @@ def with_components(found: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     places = _early_places(rest, sets, percent)
     for pairs_of in (_bucket_stars, _bucket_pairs):
         if not places.isEmpty():
-            more = cut(_confirmed(pairs_of(_in_components(places, labels), percent), sets, percent))
+            places = _in_components(places, labels, percent)
+            pairs = cut(pairs_of(places, percent))
+            more = cut(_confirmed(pairs, sets, percent))
+            _drop(pairs)
             links = reading(links.union(more), links, more)
             if not more.isEmpty():
                 _drop(labels)
@@ -234,30 +237,55 @@ def _early_places(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return places
 
 
-def _in_components(places: DataFrame, labels: DataFrame) -> DataFrame:
-    """The places of those (centre, s) that members of several components share, with their component and the bucket's
-    ends. Of elements that the same members share the one that comes first in all of them stands for the others."""
-    now = places.join(labels.selectExpr("node id", "component of"), "id", "left").withColumn("component", F.coalesce("of", "id")).drop("of")
-    buckets = now.groupBy("centre", "s").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("first"), F.max("id").alias("last"),
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("one"), F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 31))).alias("two"), F.sum("r").alias("rank"),
-    )
-    several = buckets.where("lo < hi").groupBy("centre", "first", "last", "size", "one", "two").agg(F.min_by("s", F.struct("rank", "s")).alias("s"))
-    return now.join(several.select("centre", "s", "first", "last"), ["centre", "s"])
+def _in_components(places: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """The places of those buckets (centre, s) that members of several components share, without the members that no
+    other one there can be linked to; with component, v, w and the bucket's ends. `places` is dropped.
+
+    In the notes of _early_places a pair fits a bucket if w_x + v_y <= 0 and w_y + v_x <= 0, with v = m - b n,
+    w = 2 (r - 1) - m - b n and b = (1 - t) / (1 + t). One of a pair lies outside the centre's component, so a member
+    inside is held against the smallest v and w outside, a member outside against the smallest of all. Who stays then
+    meets smaller buckets, so this is done twice. Of elements that the same members share the one that comes first in
+    all of them stands for the others.
+    """
+    of = lambda c, to: labels.selectExpr(f"node {c}", f"component {to}")
+    now = places.select("centre", "s", "id", "n", "m", "r").join(of("id", "of"), "id", "left").join(of("centre", "core"), "centre", "left")
+    now = now.withColumns({
+        "component": F.coalesce("of", "id"), "outside": F.coalesce("of", "id") != F.coalesce("core", "centre"),
+        "v": F.expr(f"{100 + percent}L * m - {100 - percent}L * n"), "w": F.expr(f"{100 + percent}L * (2 * (r - 1) - m) - {100 - percent}L * n"),
+    }).drop("of", "core")
+    held, end, source = now.columns, F.struct("component", "id", "n", "v", "w"), places
+    for _ in range(2):
+        buckets = now.groupBy("centre", "s").agg(
+            F.min(end).alias("lo"), F.max(end).alias("hi"), F.min("v").alias("v_all"), F.min("w").alias("w_all"), F.min(F.when(F.col("outside"), F.col("v"))).alias("v_out"), F.min(F.when(F.col("outside"), F.col("w"))).alias("w_out"),
+            F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("size"), F.bit_xor(F.xxhash64("id")).alias("one"), F.sum(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 31))).alias("two"), F.sum("r").alias("rank"),
+        ).where("lo.component < hi.component")
+        best = F.min_by(F.struct("s", "lo", "hi", "v_all", "w_all", "v_out", "w_out"), F.struct("rank", "s")).alias("best")
+        several = buckets.groupBy("centre", "first", "last", "size", "one", "two").agg(best).select("centre", "best.*")
+        now = cut(
+            now.join(several, ["centre", "s"])
+            .where("w + if(outside, v_all, v_out) <= 0 and v + if(outside, w_all, w_out) <= 0")
+            .select(*held, "lo", "hi")
+        )
+        drop_cut(source)
+        source, now = now, now.select(held)
+    return source
+
+
+def _fits(percent: int) -> Column:
+    """Whether members a and b of one bucket, of different components, can be linked by its element as their first shared one."""
+    return F.expr(f"ca <> cb and wa + vb <= 0 and wb + va <= 0 and least(na, nb) * 100 >= greatest(na, nb) * {percent}")
 
 
 def _bucket_stars(places: DataFrame, percent: int) -> DataFrame:
-    """Each member with the smallest and the largest of its bucket (centre, s), so that most links inside are found in linear time."""
-    return places.select("id", F.explode(F.array("first", "last")).alias("b")).where("id <> b").select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
+    """Each member with an end of its bucket (centre, s), of the first and of the last component, so that most links inside are found in linear time."""
+    ends = places.selectExpr("id a", "component ca", "n na", "v va", "w wa", "inline(array(lo, hi)) as (cb, b, nb, vb, wb)")
+    return ends.where(_fits(percent)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def _bucket_pairs(places: DataFrame, percent: int) -> DataFrame:
     """All pairs of a bucket (centre, s) that are still in different components and can be similar enough."""
-    one = places.selectExpr("centre", "s", "id a", "component ca", "n na", "m ma", "r ra")
-    two = places.selectExpr("centre", "s", "id b", "component cb", "n nb", "m mb", "r rb")
-    fits = [F.expr(f"(2L * (r{x} - 1) - m{x} + m{y}) * {100 + percent} <= {100 - percent}L * (na + nb)") for x, y in ("ab", "ba")]
-    sizes = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent
-    return one.join(two, ["centre", "s"]).where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb")) & sizes & fits[0] & fits[1]).select("a", "b").distinct()
+    one, two = (places.selectExpr("centre", "s", f"id {x}", f"component c{x}", f"n n{x}", f"v v{x}", f"w w{x}") for x in "ab")
+    return one.join(two, ["centre", "s"]).where((F.col("a") > F.col("b")) & _fits(percent)).select("a", "b").distinct()
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
