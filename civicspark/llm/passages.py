@@ -88,16 +88,16 @@ def _tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def _similar(x: np.ndarray, y: np.ndarray, width: int, percent: int) -> bool:
-    one, two = np.unique(grams(x, width)), np.unique(grams(y, width))
+def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    one, two = np.unique(one), np.unique(two)
     common = len(np.intersect1d(one, two, True))
     return common * 100 >= percent * (len(one) + len(two) - common)
 
 
-def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width: int, percent: int, left_edits: bool = True) -> tuple[int, int, int, int]:
+def widened(x: np.ndarray, y: np.ndarray, keys_x: np.ndarray, keys_y: np.ndarray, at_x: int, at_y: int, size: int, width: int, percent: int, left_edits: bool = True) -> tuple[int, int, int, int]:
     """(start in x, stop in x, start in y, stop in y) of the longest passages found around the equal words
     x[at_x : at_x + size], y[at_y : at_y + size] that are similar enough: 100 * |A and B| >= percent * |A or B| of
-    `width`-word shingles.
+    `width`-word shingles, whose hashes are `keys_x` and `keys_y`.
 
     Takes the equal words to both sides first. Then goes from one equal stretch to the next on either side (to the left
     only with `left_edits`), while similarity lasts; an edit may skip a quarter of the words.
@@ -116,7 +116,8 @@ def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width
     left = right = size + before[2] + after[2]
     common = max(1, left - width + 1)
     open_sides = [(side, k) for k, side in enumerate(sides) if (k or left_edits) and min(len(side[0]) - side[2], len(side[1]) - side[3]) > width]
-    keys = {k: (grams(side[0], width), grams(side[1], width)) for side, k in open_sides}
+    beside = lambda keys, at, k: keys[at + size :] if k else keys[: at - width + 1][::-1]
+    keys = {k: (beside(keys_x, at_x, k), beside(keys_y, at_y, k)) for _, k in open_sides}
     moved, edits = True, False
     while moved:
         moved = False
@@ -134,7 +135,7 @@ def widened(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, size: int, width
     if not edits:
         return exact
     out = (at_x - before[2], at_x + size + after[2], at_y - before[3], at_y + size + after[3])
-    return out if _similar(x[out[0] : out[1]], y[out[2] : out[3]], width, percent) else exact
+    return out if _similar(keys_x[out[0] : out[1] - width + 1], keys_y[out[2] : out[3] - width + 1], percent) else exact
 
 
 class _Runs:
@@ -174,10 +175,11 @@ def _verified(least: int, width: int, percent: int):
                 for text in range(len(first) - 1):
                     own = words[first[text] : first[text + 1]]
                     short, zero = own.astype(np.uint32), points[offsets[text]]
+                    shingles = grams(short, width)
                     place = lambda a, b: (points[begins[first[text] + a]] - zero, points[ends[first[text] + b - 1]] - zero)  # noqa: B023, E731
                     who, alone, gone = (docs[row + text], versions[row + text]), [], np.zeros(len(own), bool)
                     for hub, tile, y, hits, hub_hits in runs.of(row + text):
-                        lo = max(0, tile * TILE - MARGIN)
+                        lo, keys_y = max(0, tile * TILE - MARGIN), None
                         for at, at_hub in zip(hits, hub_hits, strict=True):
                             if gone[at : at + SEED].all():
                                 continue
@@ -186,7 +188,9 @@ def _verified(least: int, width: int, percent: int):
                             x = short[base : at + len(y) - k + MARGIN]
                             if not np.array_equal(x[at - base : at - base + SEED], y[k : k + SEED]):
                                 continue
-                            a, b, c, d = widened(x, y, at - base, k, SEED, width, percent, hub != who)
+                            keys_x = shingles[base : max(base, base + len(x) - width + 1)]
+                            keys_y = grams(y, width) if keys_y is None else keys_y
+                            a, b, c, d = widened(x, y, keys_x, keys_y, at - base, k, SEED, width, percent, hub != who)
                             if b - a < least:
                                 alone.append(at)
                                 continue
