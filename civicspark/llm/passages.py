@@ -25,18 +25,24 @@ MARGIN = 40  # words beside a tile
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def grams(words: np.ndarray, k: int) -> np.ndarray:
-    """A hash of each run of `k` words."""
+def grams(words: np.ndarray, k: int, at: np.ndarray | None = None) -> np.ndarray:
+    """A hash of each run of `k` words, or of those that start `at` these words."""
     n = max(0, len(words) - k + 1)
-    out = np.zeros(n, np.uint64)
+    out = np.zeros(n if at is None else len(at), np.uint64)
     for j, factor in enumerate(mix(np.arange(1, k + 1, dtype=np.uint64) * _ODD) | np.uint64(1)):
-        out += words[j : j + n] * factor
+        out += (words[j : j + n] if at is None else words[at + j]) * factor
     return mix(out)
 
 
-def windows(words: np.ndarray, first: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of all windows of `least` words inside a text: their first word, and the first word and the hash of their least run."""
-    starts = np.flatnonzero(np.repeat(first[1:], np.diff(first)) - np.arange(len(words)) >= least)
+def windows(words: np.ndarray, first: np.ndarray, least: int, around: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of `least` words inside a text, or those that hold a run that starts at a word of `around`: their
+    first word, and the first word and the hash of their least run."""
+    if around is None:
+        starts = np.flatnonzero(np.repeat(first[1:], np.diff(first)) - np.arange(len(words)) >= least)
+    else:
+        text = np.searchsorted(first, around, "right") - 1
+        starts = around[:, None] - np.arange(least - min(SEED, least) + 1)
+        starts = np.unique(starts[(starts >= first[text, None]) & (starts + least <= first[text + 1, None])])
     if not len(starts):
         return starts, starts, np.zeros(0, np.uint64)
     size = min(SEED, least)
@@ -150,13 +156,18 @@ class _Runs:
         self.hit_first = hits.offsets.to_numpy()
         self.pos, self.hub_pos = (hits.values.field(c).to_numpy() for c in ("pos", "hub_pos"))
 
-    def of(self, row: int) -> Iterator[tuple[tuple[int, int], int, np.ndarray, list[int], list[int]]]:
-        """The runs of one text: its kept text, tile, the tile's words, places in both; by kept text and tile."""
+    def of(self, row: int, width: int) -> Iterator[tuple[tuple[int, int], int, np.ndarray, np.ndarray, list[int], list[int]]]:
+        """The runs of one text: its kept text, tile, the tile's words and their shingles, places in both; by kept text
+        and tile. The shingles of a text's tiles are hashed at once, unless they are very many."""
         own = np.arange(self.first[row], self.first[row + 1])
+        zero = self.word_first[self.first[row]]
+        at_once = grams(self.words[zero : self.word_first[self.first[row + 1]]], width) if len(own) <= 2000 else None
         for k in own[np.lexsort((self.tile[own], self.hub_version[own], self.hub_doc[own]))]:
             hits = np.arange(self.hit_first[k], self.hit_first[k + 1])
             hits = hits[np.argsort(self.pos[hits], kind="stable")]
-            yield (int(self.hub_doc[k]), int(self.hub_version[k])), int(self.tile[k]), self.words[self.word_first[k] : self.word_first[k + 1]], self.pos[hits].tolist(), self.hub_pos[hits].tolist()
+            a, b = self.word_first[k], self.word_first[k + 1]
+            keys = grams(self.words[a:b], width) if at_once is None else at_once[a - zero : max(a, b - width + 1) - zero]
+            yield (int(self.hub_doc[k]), int(self.hub_version[k])), int(self.tile[k]), self.words[a:b], keys, self.pos[hits].tolist(), self.hub_pos[hits].tolist()
 
 
 _FOUND = "doc long, version long, start int, stop int, key long, hub_doc long, hub_version long, tile int, hub_start int, hub_stop int"
@@ -171,46 +182,54 @@ def _verified(least: int, width: int, percent: int):
             docs, versions, runs = batch.column(0).to_pylist(), batch.column(1).to_pylist(), _Runs(batch.column(3))
             for row, data, offsets, begins, ends, first, words in _words_of(batch.column(2)):
                 points = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
-                out: list[tuple] = []
-                for text in range(len(first) - 1):
-                    own = words[first[text] : first[text + 1]]
-                    short, zero = own.astype(np.uint32), points[offsets[text]]
-                    shingles = grams(short, width)
-                    place = lambda a, b: (points[begins[first[text] + a]] - zero, points[ends[first[text] + b - 1]] - zero)  # noqa: B023, E731
-                    who, alone, gone = (docs[row + text], versions[row + text]), [], np.zeros(len(own), bool)
-                    for hub, tile, y, hits, hub_hits in runs.of(row + text):
-                        lo, keys_y = max(0, tile * TILE - MARGIN), None
+                short = words.astype(np.uint32)
+                shingles, gone, alone, out = grams(short, width), bytearray(len(words)), [], []
+                for text, (begin, end) in enumerate(zip(first[:-1].tolist(), first[1:].tolist(), strict=True)):
+                    who = (docs[row + text], versions[row + text])
+                    for hub, tile, y, keys_y, hits, hub_hits in runs.of(row + text, width):
+                        lo = max(0, tile * TILE - MARGIN)
                         for at, at_hub in zip(hits, hub_hits, strict=True):
-                            if gone[at : at + SEED].all():
+                            at += begin
+                            if gone.find(0, at, at + SEED) < 0:
                                 continue
                             k = at_hub - lo
-                            base = max(0, at - k - MARGIN)
-                            x = short[base : at + len(y) - k + MARGIN]
-                            if not np.array_equal(x[at - base : at - base + SEED], y[k : k + SEED]):
+                            base = max(begin, at - k - MARGIN)
+                            x = short[base : min(end, at + len(y) - k + MARGIN)]
+                            if x[at - base : at - base + SEED].tobytes() != y[k : k + SEED].tobytes():
                                 continue
                             keys_x = shingles[base : max(base, base + len(x) - width + 1)]
-                            keys_y = grams(y, width) if keys_y is None else keys_y
                             a, b, c, d = widened(x, y, keys_x, keys_y, at - base, k, SEED, width, percent, hub != who)
                             if b - a < least:
                                 alone.append(at)
                                 continue
-                            gone[min(base + a, at) : base + b] = True
-                            a = max(base + a, lo + c + least if hub == who else 0)  # of overlapping repeats the first window stays
-                            if a < base + b:
-                                out.append((text, *place(a, base + b), None, *hub, tile, lo + c, lo + d))
-                    alone = [at for at in alone if not gone[at : at + SEED].all()]
-                    if alone:
-                        starts, at, _ = windows(own, np.array([0, len(own)]), least)
-                        starts = starts[np.isin(at, alone)]
-                        for a, key in zip(starts.tolist(), grams(own, least)[starts].view(np.int64).tolist(), strict=True):
-                            out.append((text, *place(a, a + least), key, None, None, None, a, a + least))
-                for a in range(0, len(out), 20000):
-                    text, start, stop, key, hub_doc, hub_version, tile, c, d = zip(*out[a : a + 20000], strict=True)
-                    rows, ints = pa.array(np.array(text) + row), lambda v: pa.array(np.array(v, np.int32))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(rows), batch.column(1).take(rows), ints(start), ints(stop), pa.array(key, pa.int64()), pa.array(hub_doc, pa.int64()), pa.array(hub_version, pa.int64()), pa.array(tile, pa.int32()), ints(c), ints(d)],
+                            stop = base + b
+                            gone[min(base + a, at) : stop] = bytes([1]) * (stop - min(base + a, at))
+                            a = max(base + a, begin + lo + c + least if hub == who else 0)  # of overlapping repeats the first window stays
+                            if a < stop:
+                                out.append((text, a, stop, *hub, tile, lo + c, lo + d))
+                ints = lambda v: pa.array(np.asarray(v, np.int32))
+
+                def rows(text, start, stop, key, hub_doc, hub_version, tile, c, d):
+                    zero, of = points[offsets[text]], pa.array(text + row)  # noqa: B023
+                    ends_at = (ints(points[begins[start]] - zero), ints(points[ends[stop - 1]] - zero))  # noqa: B023
+                    return pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(of), batch.column(1).take(of), *ends_at, key, hub_doc, hub_version, tile, ints(c), ints(d)],  # noqa: B023
                         names=["doc", "version", "start", "stop", "key", "hub_doc", "hub_version", "tile", "hub_start", "hub_stop"],
-                    )
+                    )
+
+                for k in range(0, len(out), 20000):
+                    text, a, b, hub_doc, hub_version, tile, c, d = (np.array(v) for v in zip(*out[k : k + 20000], strict=True))
+                    yield rows(text, a, b, pa.nulls(len(a), pa.int64()), pa.array(hub_doc), pa.array(hub_version), ints(tile), c, d)
+                alone = np.array([at for at in alone if gone.find(0, at, at + SEED) >= 0], np.int64)
+                if len(alone):
+                    mark = np.zeros(len(words), bool)
+                    mark[alone] = True
+                    starts, at, _ = windows(words, first, least, alone)
+                    starts = starts[mark[at]]
+                    for k in range(0, len(starts), 20000):
+                        a = starts[k : k + 20000]
+                        text, n = np.searchsorted(first, a, "right") - 1, len(a)
+                        yield rows(text, a, a + least, pa.array(grams(words, least, a).view(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), a - first[text], a - first[text] + least)
 
     return run
 
@@ -257,8 +276,9 @@ def repeated_passages(texts: DataFrame, least: int = 20, width: int = 5, percent
     are spread over tasks; a task holds one text with its own anchors.
     """
     texts = texts.where("doc is not null")
-    anchors = texts.mapInArrow(_minima(least), "doc long, version long, pos int, key long")
+    anchors = cut(texts.mapInArrow(_minima(least), "doc long, version long, pos int, key long"))
     placed = _followers(anchors)
+    drop_cut(anchors)
     runs = cut(_runs(placed))
     drop_cut(placed)
     tile = ["hub_doc", "hub_version", "tile"]
@@ -269,14 +289,15 @@ def repeated_passages(texts: DataFrame, least: int = 20, width: int = 5, percent
     lists = met.groupBy("doc", "version").agg(F.collect_list(F.struct(*tile, "words", "hits")).alias("runs"))
     found = cut(with_texts(lists, texts, "runs").mapInArrow(_verified(least, width, percent), _FOUND))
     drop_cut(runs)
-    alone = found.where("key is not null").select("doc", "version", F.col("hub_start").alias("pos"), "key", "start", "stop").distinct()
-    again = _followers(alone, ("start", "stop")).where(f"not (doc = hub_doc and version = hub_version and pos < hub_pos + {least})")
+    alone = cut(found.where("key is not null").select("doc", "version", F.col("hub_start").alias("pos"), "key", "start", "stop").distinct())
+    left = _followers(alone, ("start", "stop"))
+    again = left.where(f"not (doc = hub_doc and version = hub_version and pos < hub_pos + {least})")
     row = ["doc", "version", "start", "stop", *tile, "hub_from", "hub_to", "hub_start", "hub_stop"]
     again = again.withColumnRenamed("hub_start", "hub_from").withColumnRenamed("hub_stop", "hub_to").withColumns({"tile": F.lit(None).cast("int"), "hub_start": F.col("hub_pos"), "hub_stop": F.col("hub_pos") + least})
     none = F.lit(None).cast("int")
     gone = cut(found.where("key is null").withColumns({"hub_from": none, "hub_to": none}).select(row).distinct().union(again.select(row)))
-    drop_cut(found)
-    drop_cut(again)
+    for table in (found, alone, left):
+        drop_cut(table)
     grouped = _grouped(gone, tiles)
     out = cut(grouped)
     for table in (grouped, gone, sizes, tiles):
