@@ -39,17 +39,18 @@ def shared_folder(spark: SparkSession) -> str:
     return f"file://{folder}"
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, *by: str) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it back: short lineage that survives lost executors.
 
-    The write's shuffle files go when it ends, not when the driver happens to collect garbage.
+    With columns `by` there is a folder for each of their values. The write's shuffle files go when it ends, not when the
+    driver happens to collect garbage.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
     before = spark.conf.get(_CLEAN)
     spark.conf.set(_CLEAN, "true")
     try:
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
     finally:
         spark.conf.set(_CLEAN, before)
     out = spark.read.schema(df.schema).parquet(path)
