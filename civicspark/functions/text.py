@@ -18,6 +18,13 @@ UNITS = r"(\d+)\s*(?:UNIT|DU|DWELLING|APT|APARTMENT|CONDO|ROOM)"
 PLEX = r"(\d+)\s*[-\s]?PLEX"
 CASE_NUMBER = r"\b(?:D|RD|DB|ZA|CUP|RC|RRP|SC|GPA|EXT|TPM|H)\d{2}-\d{4,5}\b"
 HOUSING_TYPES = ["BLD SFD OR DUPLEX", "BLD MULTI FAMILY", "BLD MID RISE", "BLD ACCESSORY DWELLING"]
+# Addresses in permit texts, and the types and words of permits for housing in the filings' cross-reference.
+ADDRESS_IN_TEXT = r"\b(\d{2,5})\s+([NSEW]\.?\s+)?([A-Z]{3,}\s+(?:ST|AVE|BLVD|DR|LN|CT|RD|HWY|WAY|PL|CIR))"
+CROSSREF_TYPES = [
+    "BLD MULTI FAMILY", "BLD SINGLE FAMILY", "BLD ACCESSORY DWELLING", "BLD NEW RESIDENTIAL", "BLD ROOM ADDITION", "BLD MOBILE HOME",
+    "BLD DUPLEX", "BLD CONDO", "BLD APARTMENT", "BLD TOWNHOUSE",
+]
+CROSSREF_WORDS = ["UNIT", "DWELLING", "ADU", "SFR", "DUPLEX", "TRIPLEX", "CONDO", "APARTMENT", "TOWNHOME"]
 PLANNING_TYPES = ["DEVELOPMENT PLAN", "DENSITY BONUS"]
 PROCEDURAL = ["consent calendar", "roll call", "pledge of allegiance", "adjournment", "proclamation", "presentation"]
 SUBSTANTIVE = ["motion", "vote", "approved", "denied", "ordinance", "resolution", "zoning", "permit", "license", "budget", "housing"]

@@ -1,11 +1,12 @@
-"""Record linkage: keep-first, prioritized matching, token overlap, scored address linkage, prefix and day joins."""
+"""Record linkage: keep-first, prioritized matching, filings and permits, scored address linkage, prefix and day joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicspark.functions.text import addresses_match, normalized_address, street_number
+from civicspark.functions.text import ADDRESS_IN_TEXT, CASE_NUMBER, CROSSREF_TYPES, CROSSREF_WORDS, addresses_match, normalized_address, street_number
+from civicspark.operators.overlap import keyword_matches, token_pairs
 
 
 def first_by(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
@@ -23,30 +24,6 @@ def prioritized(matches: list[tuple[str, DataFrame]], keys: list[str]) -> DataFr
     return union.groupBy(*keys).agg(F.min_by("method", "__order").alias("method"))
 
 
-def token_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_text: str, right_text: str, least: int = 2, longer_than: int = 3) -> DataFrame:
-    """(left_key, right_key, shared) of texts that share at least `least` distinct words: a join on words, so that only
-    texts with a word in common meet. Words of both sides are counted in the join's partial aggregate."""
-
-    def words(df: DataFrame, key: str, text: str) -> DataFrame:
-        each = F.filter(F.array_distinct(F.split(F.upper(F.col(text)), r"\W+")), lambda w: F.length(w) > longer_than)
-        return df.select(key, F.explode(each).alias("word"))
-
-    met = words(left, left_key, left_text).join(words(right, right_key, right_text), "word")
-    return met.groupBy(left_key, right_key).agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
-
-
-def keyword_matches(names: DataFrame, texts: DataFrame, name: str, text_key: str, text: str, least: int = 2, longer_than: int = 3) -> DataFrame:
-    """(name, text_key, hits) of names of which any `least` distinct words stand in a text, inside its words too.
-
-    Distinct words meet the texts once; names then meet the texts through their words, so no name meets a text that has
-    none of them.
-    """
-    words = F.filter(F.array_distinct(F.split(name, " ")), lambda w: F.length(w) > longer_than)
-    each = names.select(name, F.explode(words).alias("__word"))
-    holds = texts.select(text_key, text).join(each.select("__word").distinct(), F.contains(text, "__word")).select(text_key, "__word")
-    return each.join(holds, "__word").groupBy(name, text_key).agg(F.count("*").alias("hits")).where(F.col("hits") >= least)
-
-
 def _same_address(left: DataFrame, right: DataFrame) -> DataFrame:
     """Pairs whose addresses have one street number and share a street word; both sides have `address`, under any name."""
     side = lambda df, s: df.withColumn(s, normalized_address(F.col("address"))).drop("address").withColumn(f"{s}_number", street_number(F.col(s))).where(f"{s}_number <> ''")
@@ -66,22 +43,87 @@ def planning_links(projects: DataFrame, plans: DataFrame) -> DataFrame:
 
 
 def meeting_links(projects: DataFrame, items: DataFrame) -> DataFrame:
-    """(id, meeting_id, item, method) of projects (id, refs, address, name) and meeting items (meeting_id, project_no,
-    address, description): by case number, address, and two name words of over three letters that stand in the
-    description of an item with a case number, inside words too. `item` is the description's first 80 characters.
-
-    Words inside words need a nested loop; Spark sends the smaller side to all tasks if it fits.
-    """
-    told = items.withColumn("item", F.substring(F.coalesce("description", F.lit("")), 1, 80))
-    by_ref = projects.select("id", F.explode("refs").alias("project_no")).join(told.where("project_no <> ''"), "project_no")
+    """(id, meeting_id, item, method) of projects (id, refs, address, name) and meeting items (meeting_id,
+    filing_numbers, address, description): by case number, address, and two name words of over three letters that stand
+    in the description of an item with a case number, inside words too. Case numbers of an item are its filing numbers
+    and those in its description; `item` is the description's first 80 characters."""
+    described = F.coalesce("description", F.lit(""))
+    cases = F.array_union(F.transform(F.coalesce("filing_numbers", F.array()), lambda x: F.upper(F.trim(x))), F.regexp_extract_all(described, F.lit(CASE_NUMBER), 0))
+    told = items.select("meeting_id", F.substring(described, 1, 80).alias("item"), "address", described.alias("description"), F.filter(cases, lambda x: x != "").alias("cases"))
+    by_ref = projects.select("id", F.explode("refs").alias("case")).join(told.select("meeting_id", "item", F.explode("cases").alias("case")), "case")
     by_address = _same_address(projects.select("id", "address"), told.select("meeting_id", "item", "address"))
-    words = F.filter(F.split(F.upper("name"), r"\W+"), lambda w: F.length(w) > 3)
-    named = projects.select("id", words.alias("words")).where("size(words) >= 2")
-    texts = told.where("project_no <> ''").select("meeting_id", "item", F.upper("description").alias("text"))
-    by_name = named.join(texts, F.size(F.filter("words", lambda w: F.contains("text", w))) >= 2)
+    named = projects.where(F.length("name") > 5).select("id", "name")
+    texts = told.where("size(cases) > 0").select(F.struct("meeting_id", "item").alias("told"), "description")
+    hits = keyword_matches(named.select("name").distinct(), texts, "name", "told", "description", split_on=r"\W+")
+    by_name = hits.join(named, "name").select("id", "told.*")
     return prioritized([("project_ref", by_ref), ("address", by_address), ("name_fuzzy", by_name)], ["id", "meeting_id", "item"])
 
 
+def entitlement_links(projects: DataFrame, entitlements: DataFrame) -> DataFrame:
+    """(id, project_no, address, apn, method) of projects (id, name, apns) and entitlements (ord, project_no,
+    project_name, description, apn, address): the first entitlement of the smallest parcel number that has one, else the
+    one whose name (its description without one) holds the most words of over three letters of the project's name, two
+    at least, the first on ties. Projects without either have no row."""
+    parcels = projects.select("id", F.explode("apns").alias("apn")).where("apn <> ''").join(entitlements.select("ord", "project_no", "address", "apn"), "apn")
+    by_apn = first_by(parcels, ["id"], "apn", "ord").select("id", "project_no", "address", "apn", F.lit("apn").alias("method"))
+    rest = projects.select("id", "name").join(by_apn.select("id"), "id", "left_anti")
+    titled = entitlements.select(F.struct("ord", "project_no", "address", "apn").alias("found"), F.coalesce(F.nullif("project_name", F.lit("")), F.col("description")).alias("title"))
+    hits = keyword_matches(rest.select("name").distinct(), titled, "name", "found", "title")
+    best = first_by(hits, ["name"], F.desc("hits"), F.col("found.ord"))
+    return by_apn.unionByName(rest.join(best, "name").select("id", "found.project_no", "found.address", "found.apn", F.lit("name").alias("method")))
+
+
+def _first_permits(keyed: DataFrame, key: str, most: int) -> DataFrame:
+    """(key, permits): the first `most` housing permits of each key in order, or the first of all where none is housing."""
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("housing"), "ord"))
+    some = keyed.withColumn("__rank", rank).where(F.col("__rank") <= most).groupBy(key).agg(F.array_sort(F.collect_list(F.struct("ord", "housing", "permit"))).alias("found"))
+    any_housing = F.exists("found", lambda x: x["housing"])
+    return some.select(key, F.transform(F.filter("found", lambda x: x["housing"] | ~any_housing), lambda x: x["permit"]).alias("permits"))
+
+
+def filing_permits(filings: DataFrame, permits: DataFrame, most: int = 20, types: list[str] | None = None, words: list[str] | None = None) -> DataFrame:
+    """(ord, permits, has_building_permit, match_method) of filings (ord, apn, address) and permits (ord, apn, type,
+    description, permit): each filing with the first `most` housing permits, or permits of any kind where there is none
+    of housing, that are found by parcel number (apn), by its address in a permit's text (addr_in_desc), or by number and
+    another word of the first such address (addr_fuzzy); unmatched filings have no permits and a null method.
+
+    Permits are gathered by key before filings meet them: a parcel or an address is one row with at most `most` permits,
+    and an address is listed by its number and each other word, where only the first address stays. So every join has
+    one row per key on one side and makes no pairs of filings and permits. Housing is a type of `types` or a word of
+    `words` in the text. Of an address that does not start with its number as a word of its own, two words must be shared.
+    """
+    types, words = types or CROSSREF_TYPES, words or CROSSREF_WORDS
+    text = F.upper(F.coalesce("description", F.lit("")))
+    housing = F.upper(F.coalesce("type", F.lit(""))).isin(types) | text.rlike("|".join(words))
+    own = permits.select("ord", "apn", text.alias("text"), housing.alias("housing"), "permit")
+    by_parcel = _first_permits(own.where("apn <> ''"), "apn", most)
+    named = own.select("ord", "housing", "permit", F.posexplode(F.regexp_extract_all("text", F.lit(ADDRESS_IN_TEXT), 0)).alias("at", "raw"))
+    named = named.withColumn("street", normalized_address(F.col("raw")))
+    by_street = _first_permits(named, "street", most)
+
+    tokens = lambda c: F.array_distinct(F.split(c, r"\s+"))
+    others = lambda c: F.array_except(tokens(c), F.array(street_number(c)))
+    two = lambda c: F.filter(F.flatten(F.transform(others(c), lambda a: F.transform(others(c), lambda b: F.when(a < b, F.concat_ws(" ", a, b))))), lambda x: x.isNotNull())
+    place = lambda c, listed: F.transform(listed, lambda w: F.concat_ws("|", street_number(c), w))
+    seen = named.groupBy("street").agg(F.min(F.struct("ord", "at")).alias("first"))
+    street = F.col("street")
+    first = seen.select("street", "first", F.explode(F.array_union(place(street, others(street)), place(street, two(street)))).alias("place"))
+    listed = first.groupBy("place").agg(F.min(F.struct("first", "street")).alias("like"))
+
+    address = normalized_address(F.col("address"))
+    asked = filings.select("ord", F.col("apn").alias("parcel"), address.alias("at"))
+    exact = asked.join(by_parcel.withColumnsRenamed({"apn": "parcel", "permits": "p1"}), "parcel", "left").join(by_street.withColumnsRenamed({"street": "at", "permits": "p2"}), "at", "left")
+    lone = F.array_contains(tokens(F.col("at")), street_number(F.col("at")))
+    places = F.when(lone, place(F.col("at"), others(F.col("at")))).otherwise(place(F.col("at"), two(F.col("at"))))
+    streets = exact.where("p1 is null and p2 is null").select("at").distinct().where(street_number(F.col("at")) != "")
+    near = streets.select("at", F.explode(places).alias("place")).join(listed, "place").groupBy("at").agg(F.min("like")["street"].alias("street"))
+    near = near.join(by_street, "street").select("at", F.col("permits").alias("p3"))
+    method = F.when(F.col("p1").isNotNull(), "apn").when(F.col("p2").isNotNull(), "addr_in_desc").when(F.col("p3").isNotNull(), "addr_fuzzy")
+    found = F.coalesce("p1", "p2", "p3")
+    none = F.array().cast(by_parcel.schema["permits"].dataType)
+    return exact.join(near, "at", "left").select("ord", F.coalesce(found, none).alias("permits"), found.isNotNull().alias("has_building_permit"), method.alias("match_method"))
+
+
 def scored_links(left: DataFrame, right: DataFrame, least: float = 50.0, overrides: DataFrame | None = None) -> DataFrame:
     """Best right row for each left row by address and name: 40 for the street number, up to 30 for shared street
     words, 25 or 10 for shared name words; rows (left_id, right_id, score) from `least` on.

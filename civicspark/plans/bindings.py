@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+
+def _word(number: str) -> str:
+    """SQL of a word of consonants that stands for a number."""
+    return f"translate(lpad(CAST({number} AS STRING), 5, '0'), '0123456789', 'BCDFGHJKLM')"
+
+
 # The specification of each binding; {table} stands for a driver table.
 BINDINGS = {
     "permits": """
@@ -86,6 +92,30 @@ SELECT event_id AS id, CAST(ts AS DATE) AS date, concat('body_', CAST(user_id %
 """,
     "segments": """
 SELECT CAST(conv_id AS STRING) AS meeting_id, turn AS chunk_no, length(text) AS dur, text FROM {conversations}
+""",
+    "named_projects": f"""
+SELECT c_custkey AS id, CAST(c_custkey AS STRING) AS apn, CAST(c_custkey * 3 AS STRING) AS second_apn,
+  concat('D24-', lpad(CAST(c_custkey AS STRING), 7, '0')) AS ref, concat('D24-', lpad(CAST(c_custkey % 100000 AS STRING), 5, '0')) AS case_no,
+  concat(CAST(100 + c_custkey % 900 AS STRING), ' ', {_word("c_custkey % 50")}, ' STREET') AS address,
+  concat('Harbor-', {_word("c_custkey")}, ' ', lower({_word("c_custkey % 300")}), CASE WHEN c_custkey % 40 = 0 THEN ' harbor' ELSE '' END) AS name
+FROM {{customer}}
+""",
+    "mentions": f"""
+SELECT o_orderkey AS seq, concat('m', CAST(o_orderkey % 40 AS STRING)) AS meeting_id, concat('D24-', lpad(CAST(o_orderkey AS STRING), 7, '0')) AS project_no,
+  CASE WHEN o_orderkey % 4 = 0 THEN concat(' d24-', lpad(CAST(o_custkey AS STRING), 7, '0'), ' ') END AS filing_number,
+  CASE WHEN o_orderkey % 9 = 0 THEN '' ELSE CAST(o_custkey + 7 AS STRING) END AS apn,
+  CASE WHEN o_orderkey % 6 = 0 THEN concat(CAST(100 + o_custkey % 900 AS STRING), ' North ', {_word("o_custkey % 50")}, ' St.') END AS address,
+  concat(CASE WHEN o_orderkey % 4 < 2 THEN concat('RESOLUTION D24-', lpad(CAST((o_custkey + 1) % 100000 AS STRING), 5, '0'), ' ') ELSE 'HEARING ' END,
+    'for the X', lower({_word("o_custkey")}), 'ville and ', {_word("o_custkey % 300")}, CASE WHEN o_orderkey % 5 = 0 THEN concat(' ', {_word("o_custkey")}) ELSE '' END,
+    CASE WHEN o_orderkey % 70 = 0 THEN ' harbor' ELSE '' END) AS description
+FROM {{orders}}
+""",
+    "entitlements": f"""
+SELECT s_suppkey AS ord, concat('RD24-', lpad(CAST(s_suppkey AS STRING), 5, '0')) AS project_no,
+  CASE WHEN s_suppkey % 3 = 0 THEN '' ELSE concat('The ', lower({_word("s_suppkey")}), 's at ', {_word("s_suppkey % 60")}) END AS project_name,
+  concat('Villas ', {_word("s_suppkey % 60")}, ' of ', {_word("s_suppkey")}, ' HARBOR') AS description,
+  CASE WHEN s_suppkey % 4 = 0 THEN '' ELSE CAST(s_suppkey * 5 AS STRING) END AS apn, concat(CAST(s_suppkey AS STRING), ' COAST HWY') AS address
+FROM {{supplier}}
 """,
 }
 

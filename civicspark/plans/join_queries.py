@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicspark.functions import text as X
-from civicspark.operators.linkage import first_by, keyword_matches, longest_prefix, nearest_day, prioritized, scored_links, token_pairs, upsert
+from civicspark.operators.linkage import entitlement_links, filing_permits, first_by, longest_prefix, meeting_links, nearest_day, planning_links, prioritized, scored_links, upsert
+from civicspark.operators.overlap import token_pairs
 from civicspark.plans.registry import query
 from civicspark.plans.scalar_queries import _ABBR, _ADDR
 
@@ -23,26 +24,31 @@ def j2_permit_to_project(t):
     return t("permits").join(pairs, "seq", "left").select("seq", "project")
 
 
-@query("""WITH names AS (SELECT DISTINCT 'HARBOR VIEW ' || (o_orderkey % 6) || ' NORTH' AS name, CAST(o_custkey AS STRING) AS apn FROM orders),
-    by_apn AS (SELECT name, n.apn, min(ord) AS o FROM names n JOIN planning p USING (apn) GROUP BY ALL),
-    by_name AS (SELECT name, arg_min(ord, (-hits, ord)) AS o FROM (SELECT name, ord, len(list_filter(string_split(name, ' '), lambda w: length(w) > 3 AND contains(description, w))) AS hits
-        FROM (SELECT DISTINCT name FROM names), planning) WHERE hits >= 2 GROUP BY 1)
-    SELECT name, apn, coalesce(a.o, b.o) AS ord, CASE WHEN a.o IS NOT NULL THEN 'apn' ELSE 'name' END AS method FROM names LEFT JOIN by_apn a USING (name, apn) LEFT JOIN by_name b USING (name)""".replace("AS STRING", "AS VARCHAR"), "planning")
+@query("""WITH apns AS (SELECT id, apn FROM named_projects UNION SELECT id, second_apn FROM named_projects), es AS (SELECT *, upper(CASE WHEN project_name = '' THEN description ELSE project_name END) AS title FROM entitlements),
+    by_apn AS (SELECT a.id, e.project_no, e.apn FROM apns a JOIN es e USING (apn) WHERE a.apn <> '' QUALIFY row_number() OVER (PARTITION BY a.id ORDER BY a.apn, e.ord) = 1),
+    words AS (SELECT id, unnest(list_filter(string_split(replace(upper(name), '-', ' '), ' '), lambda w: length(w) > 3)) AS w FROM named_projects WHERE id NOT IN (SELECT id FROM by_apn)),
+    hits AS (SELECT id, ord, count(*) AS hits FROM words JOIN es ON contains(title, w) GROUP BY id, ord HAVING count(*) >= 2)
+    SELECT id, project_no, apn, 'apn' AS method FROM by_apn UNION ALL
+    SELECT id, project_no, apn, 'name' FROM (SELECT id, arg_min(ord, (-hits, ord)) AS ord FROM hits GROUP BY id) JOIN es USING (ord)""", "named_projects entitlements")
 def j3_entitlement_match(t):
-    names = t("orders").select(F.concat(F.lit("HARBOR VIEW "), F.col("o_orderkey") % 6, F.lit(" NORTH")).alias("name"), F.col("o_custkey").cast("string").alias("apn")).distinct()
-    plans = t("planning").select("ord", "apn", "description")
-    by_apn = first_by(names.join(plans, "apn"), ["name", "apn"], "ord").select("name", "apn", F.col("ord").alias("o1"))
-    by_name = first_by(keyword_matches(names.select("name").distinct(), plans, "name", "ord", "description"), ["name"], F.desc("hits"), "ord").select("name", F.col("ord").alias("o2"))
-    return names.join(by_apn, ["name", "apn"], "left").join(by_name, "name", "left").select("name", "apn", F.coalesce("o1", "o2").alias("ord"), F.when(F.col("o1").isNotNull(), "apn").otherwise("name").alias("method"))
+    projects = t("named_projects").select("id", "name", F.array("apn", "second_apn").alias("apns"))
+    return entitlement_links(projects, t("entitlements")).drop("address")
 
 
-@query("""WITH pr AS (SELECT seq, apn, 'D' || substr(permit_no, 5, 3) || substr(permit_no, 8) AS ref FROM permits)
-    SELECT seq, ord, CASE WHEN bool_or(m = 1) THEN 'apn' ELSE 'entitlement_ref' END AS method FROM (
-      SELECT seq, ord, 1 AS m FROM pr JOIN planning p ON pr.apn = p.apn AND pr.apn <> '' UNION ALL SELECT seq, ord, 2 FROM pr JOIN planning p ON pr.ref = p.project_no) GROUP BY seq, ord""", "permits planning")
+_NORM = _ADDR.format(_ABBR)
+_MET = "regexp_extract({0}, '^(\\d+)', 1) = regexp_extract({1}, '^(\\d+)', 1) AND regexp_extract({0}, '^(\\d+)', 1) <> '' AND len(list_intersect({2}, {3})) >= 1"
+_STREET = "list_filter(list_distinct(regexp_extract_all({0}, '[A-Z]+')), lambda x: x NOT IN ('ST','AVE','BLVD','DR','LN','CT','RD','HWY','N','S','E','W','CA'))"
+_PLACES = f"""pa AS (SELECT id, {_NORM.format('address')} AS x FROM named_projects), ma AS (SELECT *, {_NORM.format('address')} AS y FROM mentions WHERE address IS NOT NULL),
+    met AS (SELECT * FROM pa JOIN ma ON {_MET.format('x', 'y', _STREET.format('x'), _STREET.format('y'))})"""
+
+
+@query(f"""WITH {_PLACES}, pw AS (SELECT id, unnest(list_filter(list_distinct(regexp_split_to_array(upper(name), '\\W+')), lambda w: length(w) > 3)) AS w FROM named_projects),
+    mw AS (SELECT project_no, unnest(list_filter(list_distinct(regexp_split_to_array(upper(description), '\\W+')), lambda w: length(w) > 3)) AS w FROM mentions),
+    u AS (SELECT id, project_no, 1 AS m FROM named_projects JOIN mentions USING (apn) WHERE apn <> '' UNION ALL SELECT id, project_no, 2 FROM named_projects JOIN mentions ON ref = project_no
+      UNION ALL SELECT id, project_no, 3 FROM met UNION ALL SELECT id, project_no, 4 FROM pw JOIN mw USING (w) GROUP BY id, project_no HAVING count(*) >= 2)
+    SELECT id, project_no, ['apn', 'entitlement_ref', 'address', 'name_fuzzy'][min(m)] AS method FROM u GROUP BY id, project_no""", "named_projects mentions")
 def j4_planning_match(t):
-    pr = t("permits").select("seq", "apn", F.concat(F.lit("D"), F.substring("permit_no", 5, 3), F.expr("substr(permit_no, 8)")).alias("ref"))
-    plans = t("planning")
-    return prioritized([("apn", pr.where("apn <> ''").join(plans, "apn")), ("entitlement_ref", pr.join(plans, pr.ref == plans.project_no))], ["seq", "ord"])
+    return planning_links(t("named_projects").withColumn("refs", F.array("ref")), t("mentions"))
 
 
 @query("""WITH a AS (SELECT ord, year, apn, CAST(split_part(ord, '-', 1) AS BIGINT) AS permit FROM apr_filings), p AS (SELECT seq, apn FROM permits)
@@ -56,16 +62,18 @@ def j5_filing_match(t):
     return prioritized([("permit_crossref", crossed), ("apn", same)], ["seq", "year", "apn"])
 
 
-@query("""WITH m AS (SELECT doc_id, meeting_id, item_id, doc_id % 40 AS k FROM doc_records), p AS (SELECT ord, ord % 40 AS k, 'item-' || CAST(ord % 9 AS VARCHAR) AS ref FROM planning)
-    SELECT ord, meeting_id, min(item_id) AS item FROM p JOIN m ON p.k = m.k AND p.ref = m.item_id GROUP BY ord, meeting_id""", "doc_records planning")
+@query(f"""WITH told AS (SELECT *, substr(description, 1, 80) AS item, list_filter(list_distinct(list_concat([upper(trim(coalesce(filing_number, '')))], regexp_extract_all(description, '\\b(?:D|RD|DB|ZA|CUP|RC|RRP|SC|GPA|EXT|TPM|H)\\d{{2}}-\\d{{4,5}}\\b'))), lambda x: x <> '') AS cases FROM mentions),
+    {_PLACES}, refs AS (SELECT id, ref AS c FROM named_projects UNION SELECT id, case_no FROM named_projects),
+    words AS (SELECT id, unnest(list_filter(regexp_split_to_array(upper(name), '\\W+'), lambda w: length(w) > 3)) AS w FROM named_projects),
+    texts AS (SELECT DISTINCT meeting_id, item, upper(description) AS text FROM told WHERE len(cases) > 0),
+    u AS (SELECT id, meeting_id, item, 1 AS m FROM refs JOIN (SELECT meeting_id, item, unnest(cases) AS c FROM told) USING (c) UNION ALL SELECT id, meeting_id, substr(description, 1, 80), 2 FROM met
+      UNION ALL SELECT id, meeting_id, item, 3 FROM words JOIN texts ON contains(text, w) GROUP BY id, meeting_id, item, text HAVING count(*) >= 2)
+    SELECT id, meeting_id, item, ['project_ref', 'address', 'name_fuzzy'][min(m)] AS method FROM u GROUP BY ALL""", "named_projects mentions")
 def j6_meeting_mentions(t):
-    mentions = t("doc_records").select("meeting_id", "item_id", (F.col("doc_id") % 40).alias("k"))
-    plans = t("planning").select("ord", (F.col("ord") % 40).alias("k"), F.concat(F.lit("item-"), F.col("ord") % 9).alias("item_id"))
-    met = plans.join(mentions, ["k", "item_id"])
-    return first_by(met.select("ord", "meeting_id", "item_id"), ["ord", "meeting_id"], "item_id").select("ord", "meeting_id", F.col("item_id").alias("item"))
+    projects = t("named_projects").withColumn("refs", F.array("ref", "case_no"))
+    return meeting_links(projects, t("mentions").withColumn("filing_numbers", F.when(F.col("filing_number").isNotNull(), F.array("filing_number"))))
 
 
-_STREET = "list_filter(list_distinct(regexp_extract_all({0}, '[A-Z]+')), lambda x: x NOT IN ('ST','AVE','BLVD','DR','LN','CT','RD','HWY','N','S','E','W','CA'))"
 _PLAN_A = _ADDR.format(_ABBR.format("address"))
 _PARCEL_A = _ADDR.format(_ABBR.format("address || ' ' || street"))
 
@@ -85,23 +93,27 @@ def j8_planning_only(t):
     return t("planning").join(t("permits").where("type = 'BLD MULTI FAMILY'"), "apn", "left_anti").select("ord")
 
 
-@query("""WITH f AS (SELECT ord, apn, CAST(split_part(ord, '-', 1) AS BIGINT) AS k FROM apr_filings),
-    a AS (SELECT ord, seq, 1 AS m, type FROM f JOIN permits p ON f.apn = p.apn AND f.apn <> ''), b AS (SELECT ord, seq, 2 AS m, type FROM f JOIN permits p ON f.k = p.seq),
-    u AS (SELECT * FROM a UNION ALL SELECT * FROM b WHERE ord NOT IN (SELECT ord FROM a)),
-    h AS (SELECT *, bool_or(type IN ('BLD SFD OR DUPLEX', 'BLD MULTI FAMILY', 'BLD MID RISE', 'BLD ACCESSORY DWELLING')) OVER (PARTITION BY ord) AS any_h FROM u),
-    r AS (SELECT ord, seq, m, row_number() OVER (PARTITION BY ord ORDER BY seq) AS rn FROM h WHERE NOT any_h OR type IN ('BLD SFD OR DUPLEX', 'BLD MULTI FAMILY', 'BLD MID RISE', 'BLD ACCESSORY DWELLING'))
-    SELECT f.ord, coalesce(string_agg(CAST(seq AS VARCHAR), ',' ORDER BY seq), '') AS permits, CASE min(m) WHEN 1 THEN 'apn' WHEN 2 THEN 'address' ELSE 'none' END AS method
-    FROM f LEFT JOIN (SELECT * FROM r WHERE rn <= 20) r USING (ord) GROUP BY f.ord""", "apr_filings permits")
+_ASKED = "CASE tot_proposed_units % 4 WHEN 0 THEN street_address WHEN 1 THEN replace(street_address, ' ELM', ' NORTH ELM') WHEN 2 THEN replace(street_address, 'ELM STREET', 'OAK PLACE') ELSE replace(street_address, ' ELM', '-B ELM') END"
+_PARCEL = "CASE WHEN unit_cat = 'ADU' THEN apn ELSE concat('P', apn) END"
+_NUM = "regexp_extract({0}, '^(\\d+)', 1)"
+
+
+@query(f"""WITH asked AS (SELECT ord, {_PARCEL} AS apn, {_ASKED} AS address FROM apr_filings), f AS (SELECT ord, apn, {_NORM.format('address')} AS a FROM asked),
+    p AS (SELECT seq, apn, upper(description) AS d, type IN ('BLD MULTI FAMILY', 'BLD ACCESSORY DWELLING') OR regexp_matches(upper(description), 'UNIT|DWELLING|ADU|SFR|DUPLEX|TRIPLEX|CONDO|APARTMENT|TOWNHOME') AS h FROM permits),
+    k AS (SELECT seq, h, unnest(regexp_extract_all(d, '\\b\\d{{2,5}}\\s+(?:[NSEW]\\.?\\s+)?[A-Z]{{3,}}\\s+(?:ST|AVE|BLVD|DR|LN|CT|RD|HWY|WAY|PL|CIR)')) AS raw FROM p),
+    s AS (SELECT seq, h, {_NORM.format('raw')} AS street FROM k), keys AS (SELECT street, min(seq) AS first FROM s GROUP BY 1),
+    m1 AS (SELECT ord, seq, h, 'apn' AS method FROM f JOIN p USING (apn) WHERE apn <> ''),
+    m2 AS (SELECT ord, seq, h, 'addr_in_desc' AS method FROM f JOIN s ON a = street WHERE ord NOT IN (SELECT ord FROM m1)),
+    near AS (SELECT a, arg_min(street, first) AS street FROM (SELECT DISTINCT a FROM f WHERE {_NUM.format('a')} <> '') JOIN keys
+      ON {_NUM.format('a')} = {_NUM.format('street')} AND len(list_intersect(list_distinct(string_split(a, ' ')), list_distinct(string_split(street, ' ')))) >= 2 GROUP BY a),
+    m3 AS (SELECT ord, seq, h, 'addr_fuzzy' AS method FROM f JOIN near USING (a) JOIN s USING (street) WHERE ord NOT IN (SELECT ord FROM m1 UNION SELECT ord FROM m2)),
+    u AS (SELECT *, bool_or(h) OVER (PARTITION BY ord) AS any_h FROM (FROM m1 UNION ALL FROM m2 UNION ALL FROM m3)),
+    r AS (SELECT * FROM u WHERE h OR NOT any_h QUALIFY row_number() OVER (PARTITION BY ord ORDER BY seq) <= 20)
+    SELECT f.ord, coalesce(string_agg(CAST(seq AS VARCHAR), ',' ORDER BY seq), '') AS permits, coalesce(min(method), 'none') AS method FROM f LEFT JOIN r USING (ord) GROUP BY f.ord""", "apr_filings permits")
 def j9_filing_crossref(t):
-    filings = t("apr_filings").select("ord", F.col("apn").alias("fapn"), F.split_part("ord", F.lit("-"), F.lit(1)).cast("long").alias("k"))
-    permits = t("permits").select("seq", "apn", "type")
-    one = filings.where("fapn <> ''").join(permits, filings.fapn == permits.apn).select("ord", "seq", "type", F.lit(1).alias("m"))
-    two = filings.join(permits, filings.k == permits.seq).join(one.select("ord").distinct(), "ord", "left_anti").select("ord", "seq", "type", F.lit(2).alias("m"))
-    hits = one.union(two).withColumn("h", F.col("type").isin(X.HOUSING_TYPES))
-    some = hits.groupBy("ord").agg(F.bool_or("h").alias("some"))
-    kept = hits.join(some, "ord").where("h or not some").groupBy("ord").agg(F.min("m").alias("m"), F.slice(F.array_sort(F.collect_list("seq")), 1, 20).alias("s"))
-    label = F.when(F.col("m") == 1, "apn").when(F.col("m") == 2, "address").otherwise("none")
-    return filings.select("ord").join(kept, "ord", "left").select("ord", F.coalesce(F.array_join("s", ","), F.lit("")).alias("permits"), label.alias("method"))
+    filings = t("apr_filings").select("ord", F.expr(_PARCEL).alias("apn"), F.expr(_ASKED).alias("address"))
+    found = filing_permits(filings, t("permits").select(F.col("seq").alias("ord"), "apn", "type", "description", F.col("seq").alias("permit")))
+    return found.select("ord", F.array_join(F.transform("permits", lambda x: x.cast("string")), ",").alias("permits"), F.coalesce("match_method", F.lit("none")).alias("method"))
 
 
 _LIHTC_A = _ADDR.format("regexp_replace(" + _ABBR.format("proj_add") + ", '\\b(SUITE|STE|UNIT|BLDG|BUILDING|APT)\\b.*$', '')")

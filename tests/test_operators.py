@@ -81,7 +81,8 @@ def test_planning_and_meeting_links_by_all_methods(spark):
     plans = spark.createDataFrame([("D1", "11", "101 ELM ST", "HARBOR VIEW"), ("D2", "", "7 OAK AVE", "harbor plaza"), ("D3", "11", "", "view of harbor"), ("D4", " ", "101 PINE ST", None)], "project_no string, apn string, address string, description string")
     assert sorted(tuple(r) for r in planning_links(projects, plans).collect()) == [(1, "D1", "apn"), (1, "D3", "apn"), (2, "D2", "address"), (3, "D1", "name_fuzzy"), (3, "D3", "name_fuzzy")]
     assert (1, "D1", "entitlement_ref") in [tuple(r) for r in planning_links(projects.withColumn("apn", F.lit("")), plans).collect()]
-    items = spark.createDataFrame([("a", "D1", "", "x"), ("b", "D9", "101 ELM ST", "y"), ("c", "D9", "", "Harborside views"), ("d", "", "", "Harbor View"), ("e", None, "7 oak avenue", None)], "meeting_id string, project_no string, address string, description string")
+    items = [("a", [" d1 "], "", "x"), ("b", ["D9"], "101 ELM ST", "y"), ("c", ["D9"], "", "Harborside views"), ("d", [], "", "Harbor View"), ("e", None, "7 oak avenue", None)]
+    items = spark.createDataFrame(items, "meeting_id string, filing_numbers array<string>, address string, description string")
     got = sorted(tuple(r) for r in meeting_links(projects, items).collect())
     assert got == [(1, "a", "x", "project_ref"), (1, "b", "y", "address"), (1, "c", "Harborside views", "name_fuzzy"), (2, "e", "", "address"), (3, "c", "Harborside views", "name_fuzzy")]
 
