@@ -92,6 +92,25 @@ SELECT event_id AS id, CAST(ts AS DATE) AS date, concat('body_', CAST(user_id %
 """,
     "segments": """
 SELECT CAST(conv_id AS STRING) AS meeting_id, turn AS chunk_no, length(text) AS dur, text FROM {conversations}
+""",
+    "pipeline_log": """
+SELECT concat('pipe_', CAST(user_id % 20 AS STRING)) AS log, event_id AS n,
+  concat(CASE WHEN event_id % 13 = 0 THEN '' ELSE concat('[', substr(CAST(ts AS STRING), 1, 19), '] [full] ') END, CASE event_type
+    WHEN 'view' THEN concat('Fetching phase ', CAST(event_id % 5 AS STRING), '...', CASE WHEN event_id % 11 = 0 THEN ' done' ELSE '' END)
+    WHEN 'click' THEN concat('phase ', CAST(event_id % 5 AS STRING), CASE WHEN event_id % 2 = 0 THEN ' fetch done' ELSE ' done' END)
+    WHEN 'signup' THEN 'Starting the pipeline' WHEN 'purchase' THEN 'Pipeline complete'
+    ELSE CASE event_id % 5 WHEN 0 THEN 'phase timed out after 1800s' WHEN 1 THEN 'python: command not found' WHEN 2 THEN 'Terminated' WHEN 3 THEN 'No new extractions' ELSE 'New extractions: 4' END END) AS line
+FROM {events}
+""",
+    "extract_log": """
+SELECT concat('ext_', CAST(user_id % 20 AS STRING)) AS log, event_id AS n, CASE event_type
+    WHEN 'view' THEN concat('  [', CAST(event_id % 100 AS STRING), '/100] doc_', CAST(user_id % 9 AS STRING), '-', CAST(event_id % 4 AS STRING), '.txt')
+    WHEN 'click' THEN concat('    Chunking: ', CAST(event_id % 7 AS STRING), ' parts')
+    WHEN 'signup' THEN CASE event_id % 4 WHEN 0 THEN '    Auth error (401)' WHEN 1 THEN '  FAILED (timeout, attempt 1/3)' WHEN 2 THEN 'JSON parse error in chunk' ELSE 'chunk timed out' END
+    WHEN 'purchase' THEN CASE event_id % 4 WHEN 0 THEN 'Rate limit: waiting' WHEN 1 THEN 'rate limit again' WHEN 2 THEN 'You have hit your session limit' ELSE 'Circuit breaker tripped' END
+    ELSE CASE event_id % 5 WHEN 0 THEN 'Terminated' WHEN 1 THEN 'Traceback (most recent call last):' WHEN 2 THEN concat('[', substr(CAST(ts AS STRING), 1, 19), '] checkpoint')
+      WHEN 3 THEN concat('Extracting structured data: ', CAST(event_id % 90 AS STRING), ' sources') ELSE concat(CAST(event_id % 3 AS STRING), ' extracted, 3 failed') END END AS line
+FROM {events}
 """,
     "named_projects": f"""
 SELECT c_custkey AS id, CAST(c_custkey AS STRING) AS apn, CAST(c_custkey * 3 AS STRING) AS second_apn,

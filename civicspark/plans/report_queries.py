@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from civicspark.functions.dates import lenient_date, month_key
 from civicspark.functions.text import HOUSING_TYPES, content_hash, estimated_units
 from civicspark.operators.linkage import first_by
+from civicspark.operators.logs import attributed_errors, blocking_files, gap_stops, health_report, phase_durations, run_durations
 from civicspark.operators.meetings import in_order, keep_substantive, majority, merged_meetings
 from civicspark.operators.projects import breakdown, build_projects, common_prefix, group_permits, income_tiers, islands, reconciled_units, status_of
 from civicspark.plans.registry import query
@@ -243,18 +244,55 @@ def a30_item_stats(t):
     return t("intel_items").groupBy("title").agg(F.count("*").alias("n")).orderBy(F.desc("n"))
 
 
-@query("SELECT CASE WHEN event_type = 'error' THEN 'failed' WHEN contains(props, '1') THEN 'rate_limit' ELSE 'other' END AS class, count(*) AS n FROM events GROUP BY 1 HAVING count(*) >= 3")
+_LOOK = "first_value(named IGNORE NULLS) OVER (PARTITION BY log ORDER BY n ROWS BETWEEN {0} PRECEDING AND 1 PRECEDING)"
+_ERRORS = f"""lines AS (SELECT log, n, trim(line) AS line, nullif(regexp_extract(line, '\\] (.+\\.txt)', 1), '') AS named FROM extract_log),
+    looked AS (SELECT *, {_LOOK.format(3)} AS f3, {_LOOK.format(5)} AS f5, {_LOOK.format(8)} AS f8 FROM lines),
+    errors AS (SELECT * FROM (SELECT log, n, CASE WHEN contains(line, 'Auth error') THEN 'auth_errors' WHEN contains(line, 'Rate limit') OR contains(line, 'rate limit') THEN 'rate_limits' WHEN contains(line, 'timed out') THEN 'timeouts'
+        WHEN contains(line, 'JSON parse error') THEN 'json_parse' WHEN starts_with(line, 'FAILED') THEN 'failures' WHEN contains(line, 'Circuit breaker') THEN 'circuit_breakers' WHEN contains(line, 'Terminated') THEN 'terminated'
+        WHEN contains(lower(line), 'session limit') THEN 'session_limit_hits' END AS kind, f3, f5, f8 FROM looked) WHERE kind IS NOT NULL),
+    placed AS (SELECT log, n, kind, CASE WHEN kind = 'auth_errors' THEN f5 WHEN kind = 'session_limit_hits' THEN f8 WHEN kind IN ('timeouts', 'json_parse', 'failures') THEN f3 END AS file FROM errors),
+    attributed AS (SELECT * FROM placed WHERE file IS NOT NULL OR kind IN ('rate_limits', 'circuit_breakers', 'terminated')),
+    blockers AS (SELECT file, count(*) AS n FROM (SELECT contains(line, 'Auth error') AS hit, last_value(named IGNORE NULLS) OVER w AS file, bool_or(contains(line, 'Chunking:')) OVER w AS flagged FROM lines
+        WINDOW w AS (PARTITION BY log ORDER BY n ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING)) WHERE hit AND flagged AND file IS NOT NULL GROUP BY file HAVING count(*) >= 2)"""
+_PHASES = """pipe AS (SELECT *, try_cast(regexp_extract(line, '^\\[(\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2})\\]', 1) AS TIMESTAMP) AS ts FROM pipeline_log),
+    phase_marks AS (SELECT log, n, ts, 0 AS done, regexp_extract(line, 'Fetching (.+?)\\.\\.\\.', 1) AS phase FROM pipe WHERE ts IS NOT NULL AND regexp_matches(line, 'Fetching (.+?)\\.\\.\\.')
+      UNION ALL SELECT log, n, ts, 1, '' FROM pipe WHERE ts IS NOT NULL AND contains(line, ' done')),
+    phases AS (SELECT log, n, phase, CAST(epoch(next) - epoch(ts) AS BIGINT) AS seconds, CASE after WHEN 1 THEN 'done' WHEN 0 THEN 'next' END AS ended_by, coalesce(epoch(next) - epoch(ts) > 1200, false) AS slow
+      FROM (SELECT *, lead(done) OVER w AS after, lead(ts) OVER w AS next FROM phase_marks WINDOW w AS (PARTITION BY log ORDER BY n, done)) WHERE done = 0),
+    run_marks AS (SELECT log, n, ts, CASE WHEN contains(line, 'Starting') THEN 0 ELSE 1 END AS done FROM pipe WHERE ts IS NOT NULL AND (contains(line, 'Starting') OR contains(line, 'Pipeline complete'))),
+    runs AS (SELECT log, n, CASE WHEN after = 1 THEN CAST(epoch(next) - epoch(ts) AS BIGINT) END AS seconds, coalesce(before = 0, false) AS overlapped
+      FROM (SELECT *, lag(done) OVER w AS before, lead(done) OVER w AS after, lead(ts) OVER w AS next FROM run_marks WINDOW w AS (PARTITION BY log ORDER BY n, done)) WHERE done = 0)"""
+
+
+@query(f"WITH {_ERRORS} SELECT kind, coalesce(file, '') AS file, count(*) AS n FROM attributed GROUP BY 1, 2 HAVING count(*) >= 2", "extract_log")
 def a31_error_patterns(t):
-    kind = F.when(F.col("event_type") == "error", "failed").when(F.contains("props", F.lit("1")), "rate_limit").otherwise("other")
-    return t("events").groupBy(kind.alias("class")).agg(F.count("*").alias("n")).where("n >= 3")
-
-
-@query("""WITH m AS (SELECT count(*) AS runs, count(CASE WHEN NOT ok THEN 1 END) AS failed, avg(detail) AS mean FROM probe_log)
-    SELECT 'failures' AS rule, failed > 0.1 * runs AS hit FROM m UNION ALL SELECT 'throughput', runs < greatest(3, 100) FROM m UNION ALL SELECT 'slow', mean > 1200 FROM m""", "probe_log")
+    return attributed_errors(t("extract_log")).groupBy("kind", F.coalesce("file", F.lit("")).alias("file")).agg(F.count("*").alias("n")).where("n >= 2")
+
+
+@query(f"WITH {_ERRORS} SELECT * FROM blockers", "extract_log")
+def a31_blocking_files(t):
+    return blocking_files(t("extract_log"))
+
+
+@query(f"""WITH {_ERRORS}, {_PHASES}, ext AS (SELECT *, row_number() OVER (PARTITION BY log ORDER BY n DESC) AS back, try_cast(regexp_extract(line, '^\\[(\\d{{4}}-\\d{{2}}-\\d{{2}} \\d{{2}}:\\d{{2}}:\\d{{2}})\\]', 1) AS TIMESTAMP) AS ts FROM lines),
+    fails AS (SELECT agency, count(*) FILTER (NOT ok) % 5 AS c FROM probe_log GROUP BY agency), recs AS (SELECT doc_id % 17 = 0 AS gone, doc_id % 2 = 0 AS dated FROM doc_records),
+    m AS (SELECT (SELECT count(*) FROM blockers) AS blocking, (SELECT count(*) FROM attributed WHERE kind = 'json_parse') AS json_parse, (SELECT count(*) FROM attributed WHERE kind = 'session_limit_hits') AS session_hits,
+      (SELECT count(*) FROM pipe WHERE contains(line, 'timed out')) AS timed_out, (SELECT count(*) FROM pipe WHERE contains(line, 'command not found')) AS not_found, (SELECT count(*) FROM pipe WHERE contains(line, 'Terminated')) AS killed,
+      (SELECT count(*) FROM pipe WHERE contains(line, 'No new extractions')) AS zero_runs, (SELECT count(*) FROM runs WHERE overlapped) AS overlapping, (SELECT count(*) FROM phases WHERE slow) AS slow_phases,
+      (SELECT count(*) FROM ext WHERE contains(line, 'Traceback') OR contains(line, 'Error:')) AS crashes, (SELECT count(*) FROM fails WHERE c >= 2) AS failing, (SELECT count(*) FROM fails WHERE c >= 3) AS given_up,
+      (SELECT count(*) FROM recs WHERE gone) AS null_dates, (SELECT count(*) FROM recs WHERE gone AND dated) AS dated_names,
+      (SELECT arg_max(CAST(regexp_extract(line, '^Extracting structured data: (\\d+) sources', 1) AS DOUBLE), n) FROM ext WHERE regexp_matches(line, '^Extracting structured data: \\d+ sources')) AS queued,
+      (SELECT (epoch(arg_max(ts, n)) - epoch(arg_min(ts, n))) / 60 FROM ext WHERE ts IS NOT NULL) AS minutes, coalesce((SELECT arg_min(CAST(regexp_extract(line, '(\\d+) extracted', 1) AS DOUBLE), n) FROM ext WHERE back <= 5 AND regexp_matches(line, '\\d+ extracted')), 0) AS extracted),
+    r AS (SELECT unnest([{{'rule': 'blocking_files', 'hit': blocking > 0, 'n': blocking::DOUBLE}}, {{'rule': 'json_parse_rate', 'hit': json_parse > 5, 'n': json_parse}}, {{'rule': 'failing_extractions', 'hit': failing > 0, 'n': failing}},
+      {{'rule': 'skipped_next_run', 'hit': given_up > 0, 'n': given_up}}, {{'rule': 'session_limit', 'hit': session_hits > 0, 'n': session_hits}}, {{'rule': 'timed_out_phases', 'hit': timed_out > 0, 'n': timed_out}},
+      {{'rule': 'command_not_found', 'hit': not_found > 0, 'n': not_found}}, {{'rule': 'overlapping_runs', 'hit': overlapping > 0, 'n': overlapping}}, {{'rule': 'slow_phases', 'hit': slow_phases > 0, 'n': slow_phases}},
+      {{'rule': 'extraction_crash', 'hit': crashes > 0, 'n': crashes}}, {{'rule': 'null_dates', 'hit': null_dates > 0, 'n': null_dates}}, {{'rule': 'null_dates_to_mend', 'hit': null_dates > dated_names, 'n': null_dates - dated_names}},
+      {{'rule': 'low_throughput', 'hit': coalesce(queued > 10 AND minutes > 30 AND extracted < greatest(3, queued * 0.05), false), 'n': extracted}}, {{'rule': 'stalled', 'hit': zero_runs >= 3, 'n': zero_runs}}, {{'rule': 'terminated', 'hit': killed > 0, 'n': killed}}]) AS x FROM m)
+    SELECT x.rule AS rule, x.hit AS hit, x.n AS n FROM r""", "pipeline_log extract_log probe_log doc_records")
 def a32_health_rules(t):
-    m = t("probe_log").agg(F.count("*").alias("runs"), F.count_if(~F.col("ok")).alias("failed"), F.avg("detail").alias("mean"))
-    rules = {"failures": F.col("failed") > 0.1 * F.col("runs"), "throughput": F.col("runs") < 100, "slow": F.col("mean") > 1200}
-    return m.select(F.inline(F.array(*[F.struct(F.lit(k).alias("rule"), v.alias("hit")) for k, v in rules.items()])))
+    failures = t("probe_log").groupBy(F.col("agency").alias("file")).agg((F.count_if(~F.col("ok")) % 5).alias("fail_count"))
+    records = t("doc_records").select(F.concat(F.lit("rec-"), F.when(F.col("doc_id") % 2 == 0, F.concat("date")).otherwise("x")).alias("file"), F.when(F.col("doc_id") % 17 != 0, F.col("date")).alias("date"))
+    return health_report(t("pipeline_log"), t("extract_log"), failures, records)
 
 
 @query("SELECT count(CASE WHEN ok THEN 1 END) AS healthy, count(CASE WHEN NOT ok THEN 1 END) AS failing, count(CASE WHEN ok THEN 1 END) = 0 AS abort FROM (SELECT agency, arg_max(ok, (ts, event_id)) AS ok FROM probe_log GROUP BY 1)", "probe_log")
@@ -270,17 +308,19 @@ def w1_islands(t):
     return islands(t("permit_seq"), ["agency"]).select("agency", "seq", "island", "island_size")
 
 
-@query("SELECT event_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS named FROM events")
+@query(f"WITH {_ERRORS} SELECT log, n, kind, file FROM attributed", "extract_log")
 def w2_look_back(t):
-    w = Window.partitionBy("user_id").orderBy("event_id").rowsBetween(-5, -1)
-    return t("events").select("event_id", F.last(F.when(F.col("event_type") == "purchase", F.col("event_id")), ignorenulls=True).over(w).alias("named"))
+    return attributed_errors(t("extract_log"))
 
 
-@query("""SELECT event_id, CAST(floor(epoch(ts)) - floor(epoch(prev)) AS BIGINT) AS seconds, floor(epoch(ts)) - floor(epoch(prev)) > 1200 AS slow FROM (SELECT event_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM events)""")
+@query(f"WITH {_PHASES} SELECT * FROM phases", "pipeline_log")
 def w3_durations(t):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    s = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(F.lag("ts").over(w).cast("timestamp"))
-    return t("events").select("event_id", s.alias("seconds")).withColumn("slow", F.col("seconds") > 1200)
+    return phase_durations(t("pipeline_log")).drop("started")
+
+
+@query(f"WITH {_PHASES} SELECT * FROM runs", "pipeline_log")
+def w3_runs(t):
+    return run_durations(t("pipeline_log")).drop("started", "completed")
 
 
 @query("""WITH i AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY agency ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM probe_log)
@@ -317,10 +357,11 @@ def w8_page_changes(t):
     return t("intel_items").select("event_id", F.coalesce(h != F.lag(h).over(Window.partitionBy("url").orderBy("ts", "event_id")), F.lit(True)).alias("changed"))
 
 
-@query("SELECT year, max(CAST(split_part(permit_no, '-', 2) AS INT)) AS high, max(CAST(split_part(permit_no, '-', 2) AS INT)) + 1 AS next FROM permits GROUP BY year", "permits")
+@query("""WITH o AS (SELECT DISTINCT year, CAST(split_part(permit_no, '-', 2) AS BIGINT) AS i FROM permits), g AS (SELECT year, i, coalesce(lag(i) OVER (PARTITION BY year ORDER BY i), 0) AS p FROM o),
+    s AS (SELECT year, max(i) AS high, coalesce(min(CASE WHEN greatest(p + 31, 52) < i THEN greatest(p + 31, 52) END), greatest(max(i) + 31, 52)) AS stop FROM g GROUP BY year)
+    SELECT year, any_value(high) AS high, any_value(high) + 1 AS next_start, any_value(stop) AS stop, max(CASE WHEN i < stop THEN i END) AS reached FROM s JOIN g USING (year) GROUP BY year""", "permits")
 def w9_high_water(t):
-    n = F.max(F.split_part("permit_no", F.lit("-"), F.lit(2)).try_cast("int"))
-    return t("permits").groupBy("year").agg(n.alias("high"), (n + 1).alias("next"))
+    return gap_stops(t("permits").withColumn("number", F.split_part("permit_no", F.lit("-"), F.lit(2))), ["year"], "number", most_misses=30)
 
 
 @query(_PROJECTS + " ORDER BY permit_count DESC, project", "permits")
