@@ -141,7 +141,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = repeated_line_keys(docs, id_col, text_col, least_chars, least_docs, batches, fanout)
     rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     gone = lambda x: F.array_contains("drop", F.struct(*_hashes(x)))
-    each = rows.join(found, "id", "left").withColumn("left", F.when(F.col("drop").isNotNull(), F.filter(_lines(F.col("text")), lambda x: ~gone(x))))
+    each = rows.join(found.hint("merge"), "id", "left").withColumn("left", F.when(F.col("drop").isNotNull(), F.filter(_lines(F.col("text")), lambda x: ~gone(x))))
     n_lines = F.size(_lines(F.col("text"))).cast("long")
     dropped = F.when(F.col("left").isNotNull(), n_lines - F.size("left")).otherwise(F.lit(0)).cast("long")
     kept = F.when(F.col("left").isNotNull(), F.array_join("left", "\n")).otherwise(F.col("text"))
