@@ -15,6 +15,7 @@ STREET_WORDS = [
 STREET_NOISE = ["ST", "AVE", "BLVD", "DR", "LN", "CT", "RD", "HWY", "N", "S", "E", "W", "CA"]
 # Units in a description, and planning case numbers.
 UNITS = r"(\d+)\s*(?:UNIT|DU|DWELLING|APT|APARTMENT|CONDO|ROOM)"
+DIGEST_UNITS = r"(\d+)\s*(?:UNIT|DU|DWELLING)"
 PLEX = r"(\d+)\s*[-\s]?PLEX"
 CASE_NUMBER = r"\b(?:D|RD|DB|ZA|CUP|RC|RRP|SC|GPA|EXT|TPM|H)\d{2}-\d{4,5}\b"
 HOUSING_TYPES = ["BLD SFD OR DUPLEX", "BLD MULTI FAMILY", "BLD MID RISE", "BLD ACCESSORY DWELLING"]
@@ -66,6 +67,11 @@ def estimated_units(description: Column) -> Column:
     return F.coalesce(units_in_text(upper), F.when(F.contains(upper, F.lit("TRIPLEX")), 3).when(F.contains(upper, F.lit("DUPLEX")), 2), F.lit(1))
 
 
+def digest_units(description: Column) -> Column:
+    """Units of a permit as the monthly digest counts them: by fewer words, else 1."""
+    return F.coalesce(F.regexp_extract(F.upper(description), DIGEST_UNITS, 1).try_cast("int"), F.lit(1))
+
+
 def slug(text: Column, most: int = 40, prefix: str = "") -> Column:
     """Lower case, other than letters and digits to '-', trimmed, cut."""
     dashed = F.btrim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "-"), F.lit("-"))

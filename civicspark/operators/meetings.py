@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicspark.functions.dates import filename_year
 from civicspark.operators.linkage import first_by
 
 
@@ -22,9 +23,9 @@ def in_order(value: Column | str, order: str) -> Column:
 
 
 def keep_substantive(records: DataFrame, key: str, procedural: str) -> DataFrame:
-    """records without procedural ones, except where a key has no other."""
-    some = records.groupBy(key).agg(F.bool_or(~F.col(procedural)).alias("__some"))
-    return records.join(some, key).where(~F.col(procedural) | ~F.col("__some")).drop("__some")
+    """records without procedural ones, except where they are the only one of their key."""
+    counts = records.groupBy(key).agg(F.count("*").alias("__n"))
+    return records.join(counts, key).where(~F.coalesce(F.col(procedural), F.lit(False)) | (F.col("__n") == 1)).drop("__n")
 
 
 def sanitized_votes(record: DataFrame) -> DataFrame:
@@ -40,15 +41,63 @@ def sanitized_votes(record: DataFrame) -> DataFrame:
     return kept.drop("__gone")
 
 
-def merged_meetings(records: DataFrame) -> DataFrame:
-    """One row per meeting: date (majority over all records), count of sources, and from substantive records of that
-    date: items in order, distinct types, procedural_only."""
-    dates = majority(records, "meeting_id", "date", "doc_id")
-    sources = records.groupBy("meeting_id").agg(F.count("*").alias("source_count"), F.bool_and("procedural_only").alias("procedural_only"))
-    used = keep_substantive(records.join(dates.withColumnRenamed("date", "canonical"), "meeting_id").where("date = canonical"), "meeting_id", "procedural_only")
-    items = first_by(used, ["meeting_id", "item_id"], "doc_id").groupBy("meeting_id").agg(in_order("item_id", "doc_id").alias("items"))
-    kinds = used.groupBy("meeting_id").agg(F.array_sort(F.collect_set("doc_type")).alias("doc_types"))
-    return dates.join(sources, "meeting_id").join(items, "meeting_id", "left").join(kinds, "meeting_id", "left")
+#: Lists of a document's record that a meeting takes from records of its own date alone, and from all of its records.
+OF_THE_DATE, OF_ALL = ["votes", "council_positions", "key_quotes"], ["housing_items", "fiscal_items", "legal_flags", "public_comments"]
+
+
+def _first_of_each(values: Column, key) -> Column:
+    """An array without values whose key stands before them; values with an empty key all stay."""
+    keys = F.transform(values, key)
+    return F.filter(values, lambda v, i: (key(v) == "") | (F.array_position(keys, key(v)) == i + 1))
+
+
+def merged_meetings(records: DataFrame, text_dates: DataFrame | None = None, order: str = "_file") -> DataFrame:
+    """One row per meeting from the records of its documents (meeting_id, date, body, agency, doc_type, procedural_only,
+    _file and the lists of OF_THE_DATE and OF_ALL), in the order of `order`.
+
+    The meeting's date is the most frequent of all its records, the first on ties. Procedural records are left out
+    unless a meeting has one record alone. A record is historical if its date differs, if its file name has another
+    year, or if `text_dates` (stem, text_date; the date in the document's text) has another year; a missing date is no
+    difference. Historical records keep their types, body, agency and the lists of OF_ALL, but their votes, positions and
+    quotes are withheld. The published date and agency are the most frequent of the records that are left, the body is
+    the smallest. Flags, comments and quotes are distinct in order, votes by item id, else by the first 80 characters of
+    the item; votes without either all stay. `sources` has (file, type, date_match) of the records used,
+    `source_count` counts all. A meeting is one row, so its documents meet in one task.
+    """
+    day = F.nullif(F.col("date"), F.lit(""))
+    dates = majority(records.withColumn("date", day), "meeting_id", "date", order).withColumnRenamed("date", "canonical")
+    counted = records.groupBy("meeting_id").agg(F.count("*").alias("source_count"))
+    used = keep_substantive(records, "meeting_id", "procedural_only").join(dates, "meeting_id", "left")
+    stem = F.regexp_replace("_file", r"\.json$", "")
+    text_year = F.lit(None).cast("string")
+    if text_dates is not None:
+        used = used.withColumn("stem", stem).join(text_dates.select("stem", "text_date"), "stem", "left")
+        text_year = F.substring("text_date", 1, 4)
+    year = F.substring("canonical", 1, 4)
+    same = (day == F.col("canonical"), filename_year(F.col("_file")) == year.try_cast("int"), text_year == year)
+    matches = F.coalesce(same[0], F.lit(True)) & F.coalesce(same[1], F.lit(True)) & F.coalesce(same[2], F.lit(True))
+    used = used.withColumn("__matches", matches)
+    listed = lambda c: F.coalesce(F.col(c), F.array())
+    told = F.struct(
+        F.col(order).alias("__order"), F.struct(F.col("_file").alias("file"), F.col("doc_type").alias("type"), F.col("__matches").alias("date_match")).alias("source"),
+        *[F.when(F.col("__matches"), listed(c)).otherwise(F.array()).alias(c) for c in OF_THE_DATE], *[listed(c).alias(c) for c in OF_ALL],
+    )
+    some = used.groupBy("meeting_id").agg(
+        F.array_sort(F.collect_list(told)).alias("all"), F.min(F.nullif(F.col("body"), F.lit(""))).alias("body"), F.array_sort(F.collect_set(F.nullif(F.col("doc_type"), F.lit("")))).alias("doc_types"),
+    )
+    together = lambda c: F.flatten(F.transform("all", lambda r: r[c]))
+    joined = some.select("meeting_id", "body", "doc_types", F.transform("all", lambda r: r["source"]).alias("sources"), *[together(c).alias(c) for c in OF_THE_DATE + OF_ALL])
+    vote_key = lambda v: F.coalesce(F.nullif(v["item_id"], F.lit("")), F.left(F.trim(F.lower(F.coalesce(v["item"], F.lit("")))), F.lit(80)))
+    empty = (F.size("votes") == 0) & (F.size("housing_items") == 0) & (F.size("fiscal_items") == 0)
+    merged = joined.withColumns({
+        "procedural_only": empty, "votes": _first_of_each(F.col("votes"), vote_key), **{c: F.array_distinct(c) for c in ("legal_flags", "public_comments", "key_quotes")},
+    })
+    published = majority(used.withColumn("date", day), "meeting_id", "date", order)
+    agency = majority(used.withColumn("agency", F.nullif(F.col("agency"), F.lit(""))), "meeting_id", "agency", order)
+    out = counted.join(merged, "meeting_id", "left").join(published, "meeting_id", "left").join(agency, "meeting_id", "left")
+    lists = [F.coalesce(c, F.array().cast(merged.schema[c].dataType)).alias(c) for c in ("doc_types", "sources", *OF_THE_DATE, *OF_ALL)]
+    unknown = lambda c: F.coalesce(c, F.lit("Unknown")).alias(c)
+    return out.select("meeting_id", F.coalesce("date", F.lit("")).alias("date"), unknown("body"), unknown("agency"), "source_count", *lists, F.coalesce("procedural_only", F.lit(True)).alias("procedural_only"))
 
 
 def merged_chunks(chunks: DataFrame, key: str = "doc_id", order: str = "chunk_no") -> DataFrame:

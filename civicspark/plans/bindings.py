@@ -75,6 +75,18 @@ SELECT d.doc_id, concat('m', CAST(d.doc_id % 40 AS STRING)) AS meeting_id,
   d.lang AS body, d.source AS agency, CASE d.doc_id % 7 WHEN 0 THEN 'agenda' WHEN 1 THEN 'minutes' ELSE 'staff_report' END AS doc_type,
   concat('item-', CAST(d.doc_id % 9 AS STRING)) AS item_id, coalesce(l.quality, 0) = 0 AS procedural_only
 FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
+""",
+    "full_records": """
+SELECT d.doc_id, concat('m', CAST(d.doc_id % 40 AS STRING)) AS meeting_id,
+  concat('m', CAST(d.doc_id % 40 AS STRING), '-', lpad(CAST(d.doc_id AS STRING), 8, '0'), '-', CASE WHEN d.doc_id % 11 = 0 THEN '2024_01_02_x' WHEN d.doc_id % 11 = 1 THEN '2026_01_02_x' ELSE 'x' END, '.json') AS file,
+  CASE WHEN d.doc_id % 13 <> 0 THEN concat('2026-', lpad(CAST(1 + (d.doc_id % 40) % 12 AS STRING), 2, '0'), CASE WHEN d.doc_id % 3 = 0 THEN '-02' ELSE '-01' END) END AS date,
+  CASE WHEN d.doc_id % 17 = 0 THEN '2025-01-01' WHEN d.doc_id % 19 = 0 THEN '2026-05-05' END AS text_date,
+  d.lang AS body, d.source AS agency, CASE d.doc_id % 7 WHEN 0 THEN 'agenda' WHEN 1 THEN 'minutes' ELSE 'staff_report' END AS doc_type,
+  CASE WHEN d.doc_id % 4 = 0 THEN '' ELSE concat('item-', CAST(d.doc_id % 9 AS STRING)) END AS vote_id, CASE WHEN d.doc_id % 8 = 0 THEN '' ELSE concat(' Motion ', CAST(d.doc_id % 3 AS STRING)) END AS vote_item,
+  CASE WHEN d.doc_id % 5 = 0 THEN concat('h', CAST(d.doc_id AS STRING)) END AS housing, CASE WHEN d.doc_id % 6 = 0 THEN concat('f', CAST(d.doc_id AS STRING)) END AS fiscal,
+  concat('Flag ', CAST(d.doc_id % 3 AS STRING)) AS legal, concat('p', CAST(d.doc_id AS STRING)) AS position, concat('c', CAST(d.doc_id % 4 AS STRING)) AS comment, concat('q', CAST(d.doc_id % 5 AS STRING)) AS quote,
+  coalesce(l.quality, 0) = 0 AS procedural_only
+FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
 """,
     "probe_log": """
 SELECT event_id, concat('agency_', CAST(user_id % 22 AS STRING)) AS agency, ts, event_type <> 'error' AS ok, value AS detail FROM {events}
@@ -155,4 +167,6 @@ def with_bindings(sql: str, *names: str) -> str:
     if not names:
         return sql
     sql = sql.strip()
+    if sql.startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {bound}, {sql[14:]}"
     return f"WITH {bound}, {sql[4:]}" if sql.startswith("WITH ") else f"WITH {bound} {sql}"

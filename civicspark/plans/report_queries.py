@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from civicspark.functions.dates import lenient_date, month_key
 from civicspark.functions.text import HOUSING_TYPES, content_hash, estimated_units
+from civicspark.operators.digest import monthly_digests
 from civicspark.operators.linkage import first_by
 from civicspark.operators.logs import attributed_errors, blocking_files, gap_stops, health_report, phase_durations, run_durations
 from civicspark.operators.meetings import in_order, keep_substantive, majority, merged_meetings
@@ -44,15 +45,52 @@ def a3_majority(t):
     return majority(t("doc_records"), "meeting_id", "date", "doc_id")
 
 
-@query("""WITH d AS (SELECT meeting_id, arg_min(date, (-n, f)) AS canonical FROM (SELECT meeting_id, date, count(*) AS n, min(doc_id) AS f FROM doc_records GROUP BY 1, 2) GROUP BY 1),
-    u AS (SELECT r.*, bool_or(NOT procedural_only) OVER (PARTITION BY r.meeting_id) AS subst FROM doc_records r JOIN d USING (meeting_id) WHERE date = canonical),
-    k AS (SELECT * FROM u WHERE NOT procedural_only OR NOT subst),
-    i AS (SELECT meeting_id, string_agg(item_id, ',' ORDER BY f) AS items FROM (SELECT meeting_id, item_id, min(doc_id) AS f FROM k GROUP BY 1, 2) GROUP BY 1)
-    SELECT meeting_id, canonical AS date, (SELECT count(*) FROM doc_records r WHERE r.meeting_id = d.meeting_id) AS source_count, (SELECT bool_and(procedural_only) FROM doc_records r WHERE r.meeting_id = d.meeting_id) AS procedural_only,
-      items, (SELECT string_agg(DISTINCT doc_type, ',' ORDER BY doc_type) FROM k WHERE k.meeting_id = d.meeting_id) AS doc_types FROM d JOIN i USING (meeting_id)""", "doc_records")
+def full_records(t):
+    """The bound records in the layout of extracted documents, and the dates in their texts."""
+    rows = t("full_records")
+    some = lambda c, name="description": F.when(F.col(c).isNotNull(), F.array(F.struct(F.col(c).alias(name))))
+    lists = {
+        "votes": F.array(F.struct(F.col("vote_id").alias("item_id"), F.col("vote_item").alias("item"))), "council_positions": F.array(F.struct(F.col("position").alias("member"))), "key_quotes": F.array("quote"),
+        "housing_items": some("housing"), "fiscal_items": some("fiscal"), "legal_flags": F.array("legal"), "public_comments": F.array("comment"),
+    }
+    records = rows.select("doc_id", "meeting_id", "date", "body", "agency", "doc_type", "procedural_only", F.col("file").alias("_file"), *[v.alias(k) for k, v in lists.items()])
+    return records, rows.where("text_date is not null").select(F.regexp_replace("file", r"\.json$", "").alias("stem"), "text_date")
+
+
+_FILE_YEAR = "nullif(regexp_extract(file, '-(20\\d{2})_\\d{1,2}_\\d{1,2}', 1), '')"
+_MERGED = f"""counted AS (SELECT *, count(*) OVER (PARTITION BY meeting_id) AS n FROM full_records),
+    canon AS (SELECT meeting_id, arg_min(date, (-c, f)) AS canonical FROM (SELECT meeting_id, date, count(*) AS c, min(file) AS f FROM full_records WHERE date IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
+    used AS (SELECT c.*, coalesce(date = canonical, true) AND coalesce({_FILE_YEAR} = substr(canonical, 1, 4), true) AND coalesce(substr(text_date, 1, 4) = substr(canonical, 1, 4), true) AS ok,
+      coalesce(nullif(vote_id, ''), substr(lower(trim(vote_item)), 1, 80)) AS vk FROM counted c LEFT JOIN canon USING (meeting_id) WHERE NOT (procedural_only AND n > 1)),
+    votes AS (SELECT meeting_id, count(*) AS n_votes, string_agg(vk, ',' ORDER BY file) AS votes FROM (SELECT * FROM used WHERE ok QUALIFY vk = '' OR row_number() OVER (PARTITION BY meeting_id, vk ORDER BY file) = 1) GROUP BY 1),
+    quotes AS (SELECT meeting_id, string_agg(quote, ',' ORDER BY f) AS quotes FROM (SELECT meeting_id, quote, min(file) AS f FROM used WHERE ok GROUP BY 1, 2) GROUP BY 1),
+    flags AS (SELECT meeting_id, string_agg(legal, ',' ORDER BY f) AS flags FROM (SELECT meeting_id, legal, min(file) AS f FROM used GROUP BY 1, 2) GROUP BY 1),
+    comments AS (SELECT meeting_id, string_agg(comment, ',' ORDER BY f) AS comments FROM (SELECT meeting_id, comment, min(file) AS f FROM used GROUP BY 1, 2) GROUP BY 1),
+    held AS (SELECT meeting_id, arg_min(date, (-c, f)) AS date FROM (SELECT meeting_id, date, count(*) AS c, min(file) AS f FROM used WHERE date IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
+    agencies AS (SELECT meeting_id, arg_min(agency, (-c, f)) AS agency FROM (SELECT meeting_id, agency, count(*) AS c, min(file) AS f FROM used GROUP BY 1, 2) GROUP BY 1),
+    rest AS (SELECT meeting_id, min(body) AS body, string_agg(DISTINCT doc_type, ',' ORDER BY doc_type) AS doc_types, count(*) AS sources, count(*) FILTER (ok) AS matching, string_agg(position, ',' ORDER BY file) FILTER (ok) AS positions,
+      string_agg(housing, ',' ORDER BY file) AS housing, string_agg(fiscal, ',' ORDER BY file) AS fiscal, count(*) FILTER (ok) = 0 AND count(housing) = 0 AND count(fiscal) = 0 AS procedural_only FROM used GROUP BY 1),
+    merged AS (SELECT meeting_id, coalesce(d.date, '') AS date, coalesce(body, 'Unknown') AS body, coalesce(agency, 'Unknown') AS agency, source_count, coalesce(doc_types, '') AS doc_types, coalesce(sources, 0) AS sources, coalesce(matching, 0) AS matching,
+      coalesce(n_votes, 0) AS n_votes, coalesce(votes, '') AS votes, coalesce(positions, '') AS positions, coalesce(quotes, '') AS quotes, coalesce(housing, '') AS housing, coalesce(fiscal, '') AS fiscal, coalesce(flags, '') AS flags,
+      coalesce(comments, '') AS comments, coalesce(procedural_only, true) AS procedural_only
+      FROM (SELECT meeting_id, count(*) AS source_count FROM full_records GROUP BY 1) LEFT JOIN rest USING (meeting_id) LEFT JOIN held d USING (meeting_id) LEFT JOIN agencies USING (meeting_id)
+      LEFT JOIN votes USING (meeting_id) LEFT JOIN quotes USING (meeting_id) LEFT JOIN flags USING (meeting_id) LEFT JOIN comments USING (meeting_id))"""
+
+
+def _as_text(meetings):
+    """Merged meetings with their lists as text."""
+    join = lambda c, field=None: F.array_join(F.transform(c, lambda v: v[field]) if field else F.col(c), ",")
+    key = lambda v: F.coalesce(F.nullif(v["item_id"], F.lit("")), F.trim(F.lower(v["item"])))
+    return meetings.select(
+        "meeting_id", "date", "body", "agency", "source_count", join("doc_types").alias("doc_types"), F.size("sources").cast("long").alias("sources"), F.size(F.filter("sources", lambda s: s["date_match"])).cast("long").alias("matching"),
+        F.size("votes").cast("long").alias("n_votes"), F.array_join(F.transform("votes", key), ",").alias("votes"), join("council_positions", "member").alias("positions"), join("key_quotes").alias("quotes"), join("housing_items", "description").alias("housing"),
+        join("fiscal_items", "description").alias("fiscal"), join("legal_flags").alias("flags"), join("public_comments").alias("comments"), "procedural_only",
+    )
+
+
+@query(f"WITH {_MERGED} SELECT * FROM merged", "full_records")
 def a4_merged_meetings(t):
-    out = merged_meetings(t("doc_records"))
-    return out.withColumns({"items": F.array_join("items", ","), "doc_types": F.array_join("doc_types", ",")})
+    return _as_text(merged_meetings(*full_records(t)))
 
 
 @query("SELECT meeting_id, string_agg(item_id, ',' ORDER BY f) AS items FROM (SELECT meeting_id, item_id, min(doc_id) AS f FROM doc_records GROUP BY 1, 2) GROUP BY 1", "doc_records")
@@ -74,14 +112,47 @@ def a7_chunk_merge(t):
     return merged_chunks(parts, "agency", "doc_id").select("agency", "date", "procedural_only", F.size("items").cast("long").alias("n_items"))
 
 
-@query("""SELECT substr(date, 1, 7) AS month, count(DISTINCT meeting_id) AS meeting_count, count(DISTINCT CASE WHEN NOT procedural_only THEN meeting_id END) AS substantive_count,
-    string_agg(DISTINCT body, ',' ORDER BY body) AS bodies, count(DISTINCT item_id) AS items FROM doc_records GROUP BY 1""", "doc_records")
+_LATER = "CASE WHEN status IN ({0}) THEN CAST(CAST({1} AS DATE) + {2} AS VARCHAR) END"
+_COUNTS = "SELECT section, month, string_agg({0} || '=' || c, ',' ORDER BY c DESC, f) AS by_{0} FROM (SELECT section, month, {0}, count(*) AS c, min(seq) AS f FROM dated GROUP BY ALL) GROUP BY ALL"
+_DIGEST = f"""WITH {_MERGED}, ms AS (SELECT *, substr(date, 1, 7) AS month FROM merged WHERE date <> ''),
+    mm AS (SELECT month, count(*) AS meeting_count, count(*) FILTER (NOT procedural_only) AS substantive_count, string_agg(DISTINCT body, ',' ORDER BY body) AS bodies, string_agg(DISTINCT agency, ',' ORDER BY agency) AS agencies,
+      count(*) FILTER (n_votes > 0) AS meetings_with_votes, CAST(coalesce(sum(n_votes) FILTER (NOT procedural_only), 0) AS BIGINT) AS total_votes,
+      string_agg(votes, ',' ORDER BY meeting_id) FILTER (NOT procedural_only AND n_votes > 0) AS votes, string_agg(housing, ',' ORDER BY meeting_id) FILTER (NOT procedural_only AND housing <> '') AS housing FROM ms GROUP BY month),
+    told AS (SELECT month, meeting_id, generate_subscripts(cs, 1) AS i, unnest(cs) AS c FROM (SELECT month, meeting_id, string_split(comments, ',') AS cs FROM ms WHERE NOT procedural_only AND comments <> '')),
+    cc AS (SELECT month, string_agg(c, ',' ORDER BY f) AS comments FROM (SELECT month, c, min((meeting_id, i)) AS f FROM told GROUP BY 1, 2) GROUP BY 1),
+    days AS (SELECT *, {_ISO.format('applied')} AS iso FROM permits),
+    dated AS (SELECT seq, permit_no, type, status, coalesce(try_cast(regexp_extract(upper(description), '(\\d+)\\s*(?:UNIT|DU|DWELLING)', 1) AS INT), 1) AS units, x.s AS section, substr(x.d, 1, 7) AS month FROM (SELECT *, unnest([{{'s': 'permits', 'd': iso}},
+      {{'s': 'permits_approved', 'd': {_LATER.format("'FINALED', 'ISSUED'", 'iso', 20)}}}, {{'s': 'permits_issued', 'd': {_LATER.format("'FINALED'", 'iso', 40)}}}]) AS x FROM days) WHERE x.d IS NOT NULL),
+    ps AS (SELECT section, month, count(*) AS total, CAST(sum(units) AS BIGINT) AS units, any_value(by_type) AS by_type, any_value(by_status) AS by_status FROM dated JOIN ({_COUNTS.format('type')}) USING (section, month) JOIN ({_COUNTS.format('status')}) USING (section, month) GROUP BY ALL),
+    pj AS (SELECT month, string_agg(p || '=' || c, ',' ORDER BY c DESC, f) AS projects FROM (SELECT d.month, linked_parent AS p, count(*) AS c, min(d.seq) AS f FROM dated d JOIN permits USING (seq) WHERE section = 'permits' AND linked_parent IS NOT NULL GROUP BY 1, 2) GROUP BY 1),
+    ii AS (SELECT strftime(ts, '%Y-%m') AS month, count(*) AS intel, arg_min(title, event_id) AS first_intel FROM intel_items GROUP BY 1),
+    pp AS (SELECT substr(applied, 1, 7) AS month, count(*) AS planning, arg_min(project_no, ord) AS first_plan FROM planning GROUP BY 1),
+    months AS (SELECT month FROM mm UNION SELECT month FROM dated UNION SELECT month FROM ii UNION SELECT month FROM pp)
+    SELECT month, coalesce(meeting_count, 0) AS meeting_count, coalesce(substantive_count, 0) AS substantive_count, bodies, agencies, meetings_with_votes, total_votes, coalesce(votes, '') AS votes, coalesce(housing, '') AS housing, coalesce(comments, '') AS comments,
+      f.total AS filed, f.units AS units, f.by_type AS by_type, f.by_status AS by_status, projects, a.total AS approved, a.by_type AS approved_by_type, i.total AS issued, i.units AS issued_units, intel, first_intel, planning, first_plan
+    FROM months LEFT JOIN mm USING (month) LEFT JOIN cc USING (month) LEFT JOIN (FROM ps WHERE section = 'permits') f USING (month) LEFT JOIN (FROM ps WHERE section = 'permits_approved') a USING (month)
+    LEFT JOIN (FROM ps WHERE section = 'permits_issued') i USING (month) LEFT JOIN pj USING (month) LEFT JOIN ii USING (month) LEFT JOIN pp USING (month)"""
+
+
+@query(_DIGEST, "full_records permits intel_items planning")
 def a8_monthly_digest(t):
-    month = F.substring("date", 1, 7).alias("month")
-    meetings = t("doc_records").groupBy(month, "meeting_id").agg(F.bool_or(~F.col("procedural_only")).alias("substantive"), F.collect_set("body").alias("bodies"), F.collect_set("item_id").alias("items"))
-    return meetings.groupBy("month").agg(
-        F.count("*").alias("meeting_count"), F.count_if("substantive").alias("substantive_count"),
-        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("bodies")))), ",").alias("bodies"), F.size(F.array_distinct(F.flatten(F.collect_list("items")))).cast("long").alias("items"),
+    iso = F.to_date(lenient_date(F.col("applied")))
+    later = lambda days, *statuses: F.when(F.col("status").isin(*statuses), F.date_format(F.date_add(iso, days), "yyyy-MM-dd"))
+    permits = t("permits").withColumns({"ord": F.col("seq"), "approved": later(20, "FINALED", "ISSUED"), "issued": later(40, "FINALED")})
+    parents = t("permits").where("linked_parent is not null").groupBy(F.col("linked_parent").alias("project_id")).agg(F.count("*").alias("estimated_units"), F.collect_list("permit_no").alias("permits"))
+    projects = parents.withColumns({"project_name": F.col("project_id"), "ord": F.col("project_id"), "owner": F.lit("o"), "source": F.lit("linked_parent")})
+    intel = t("intel_items").select(F.col("event_id").alias("ord"), F.date_format("ts", "yyyy-MM").alias("month"), "source", "title", "url", F.lit(0).alias("relevance_score"))
+    d = monthly_digests(merged_meetings(*full_records(t)), permits, intel, t("planning"), projects)
+    counts = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
+    vote = lambda v: F.coalesce(F.nullif(v["item_id"], F.lit("")), F.trim(F.lower(v["item"])))
+    said = lambda c, f=lambda v: v: F.coalesce(F.array_join(F.transform(c, lambda v: f(v)), ","), F.lit(""))
+    return d.select(
+        "month", "meeting_count", "substantive_count", F.array_join("bodies", ",").alias("bodies"), F.array_join("agencies", ",").alias("agencies"), "activity_summary.meetings_with_votes", "activity_summary.total_votes",
+        said("votes", vote).alias("votes"), said("housing_items", lambda v: v["description"]).alias("housing"), said("public_comments").alias("comments"), F.col("permits.total").alias("filed"), F.col("permits.estimated_units").alias("units"),
+        counts("permits.by_type").alias("by_type"), counts("permits.by_status").alias("by_status"), F.array_join(F.transform("permits.projects", lambda p: F.concat_ws("=", p["project_name"], p["permits_this_month"].cast("string"))), ",").alias("projects"),
+        F.col("permits_approved.total").alias("approved"), counts("permits_approved.by_type").alias("approved_by_type"), F.col("permits_issued.total").alias("issued"), F.col("permits_issued.estimated_units").alias("issued_units"),
+        F.when(F.col("intel").isNotNull(), F.size("intel").cast("long")).alias("intel"), F.get(F.col("intel"), F.lit(0))["title"].alias("first_intel"),
+        F.col("planning_projects.total").alias("planning"), F.get(F.col("planning_projects.projects"), F.lit(0))["project_no"].alias("first_plan"),
     )
 
 
@@ -390,7 +461,7 @@ def u4_grouped_permits(t):
     return grouped.groupBy("seq").agg(F.count("*").alias("n")).agg(F.sum("n").alias("permits"))
 
 
-@query("SELECT meeting_id, doc_id FROM (SELECT *, bool_or(NOT procedural_only) OVER (PARTITION BY meeting_id) AS s FROM doc_records) WHERE NOT procedural_only OR NOT s", "doc_records")
+@query("SELECT meeting_id, doc_id FROM (SELECT *, count(*) OVER (PARTITION BY meeting_id) AS n FROM doc_records) WHERE NOT procedural_only OR n = 1", "doc_records")
 def a4_substantive_records(t):
     return keep_substantive(t("doc_records"), "meeting_id", "procedural_only").select("meeting_id", "doc_id")
 

@@ -117,9 +117,10 @@ _UNITS = "CASE WHEN regexp_matches({0}, '(\\d+)\\s*(UNIT|DU|DWELLING|APT|APARTME
 EST_UNITS = _UNITS.format("upper(description)") + " WHEN contains(upper(description), 'TRIPLEX') THEN 3 WHEN contains(upper(description), 'DUPLEX') THEN 2 ELSE 1 END"
 
 
-@query(f"SELECT seq, {EST_UNITS} AS units, {_UNITS.format('upper(description)')} END AS text_units FROM permits", "permits")
+@query(f"""SELECT seq, {EST_UNITS} AS units, {_UNITS.format('upper(description)')} END AS text_units,
+    coalesce(try_cast(regexp_extract(upper(description), '(\\d+)\\s*(?:UNIT|DU|DWELLING)', 1) AS INT), 1) AS digest_units FROM permits""", "permits")
 def f16_units(t):
-    return t("permits").select("seq", X.estimated_units(F.col("description")).alias("units"), X.units_in_text(F.col("description")).alias("text_units"))
+    return t("permits").select("seq", X.estimated_units(F.col("description")).alias("units"), X.units_in_text(F.col("description")).alias("text_units"), X.digest_units(F.col("description")).alias("digest_units"))
 
 
 NAMED = "CASE WHEN regexp_matches(description, 'LOT\\s+\\d+\\s*-\\s*PLAN\\s+TYPE') THEN trim(regexp_extract(description, 'LOT\\s+\\d+\\s*-\\s*PLAN\\s+TYPE\\s+\\w+\\s*-\\s*([\\w\\s]+?)\\s*-', 1)) END"

@@ -12,6 +12,7 @@ from civicspark.operators import textops as O
 from civicspark.operators.linkage import first_by
 from civicspark.operators.meetings import merged_meetings, sanitized_votes
 from civicspark.plans.registry import query
+from civicspark.plans.report_queries import _MERGED, _as_text, full_records
 from civicspark.session import shared_folder
 from civicspark.sources import io
 from civicspark.streaming import jobs
@@ -259,11 +260,15 @@ def f27_sanitized_votes(t):
     return sanitized_votes(rows).select("doc_id", F.size("votes").alias("votes"), F.size("council_positions").alias("positions"))
 
 
-def _stream(rows, files: int = 4):
-    """rows as a file stream, in files that come in order."""
-    path = _place(rows, "stream")
-    rows.repartitionByRange(files, rows.columns[0]).sortWithinPartitions(rows.columns[0]).write.parquet(path)
-    return rows.sparkSession.readStream.schema(rows.schema).parquet(path)
+def _stream(rows, batches: int = 4):
+    """rows as a file stream that comes in so many micro-batches, in the order of the first column."""
+    path, first = _place(rows, "stream"), rows.columns[0]
+    cuts = rows.select(F.col(first).cast("double").alias("x")).approxQuantile("x", [k / batches for k in range(1, batches)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None], strict=True):
+        part = rows if low is None else rows.where(F.col(first) > low)
+        part = part if high is None else part.where(F.col(first) <= high)
+        part.coalesce(1).write.mode("append").parquet(path)
+    return rows.sparkSession.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _result(rows, stream, mode: str = "append"):
@@ -281,16 +286,19 @@ def st1_new_items(t):
 @query("SELECT event_id, coalesce(title <> lag(title) OVER (PARTITION BY url ORDER BY event_id), true) AS changed FROM intel_items", "intel_items")
 def st2_page_changes(t):
     rows = t("intel_items").select(F.col("event_id").alias("at"), "url", F.col("title").alias("hash"))
-    return _result(rows, jobs.page_changes(_stream(rows, 1))).select("event_id", "changed")
+    return _result(rows, jobs.page_changes(_stream(rows))).select("event_id", "changed")
 
 
-@query("""WITH i AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY agency ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS g FROM probe_log),
-    s AS (SELECT agency, event_id, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY agency, g ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS INT) AS f FROM i),
-    q AS (SELECT agency, min(event_id) AS held FROM s WHERE f >= 3 GROUP BY 1)
-    SELECT event_id, CASE WHEN event_id > held THEN 3 ELSE f END AS failures, coalesce(event_id >= held, false) AS quarantined FROM s LEFT JOIN q USING (agency)""", "probe_log")
+@query("""WITH RECURSIVE r AS (SELECT *, row_number() OVER (PARTITION BY agency ORDER BY event_id) AS k FROM (SELECT event_id, agency, ok, event_id % 97 = 0 AS release FROM probe_log)),
+    s AS (SELECT agency, event_id, k, release, CASE WHEN release OR ok THEN 0 ELSE 1 END AS f, false AS q FROM r WHERE k = 1
+      UNION ALL SELECT r.agency, r.event_id, r.k, r.release, CASE WHEN r.release THEN CASE WHEN s.q THEN 0 ELSE s.f END WHEN s.q THEN s.f WHEN r.ok THEN 0 ELSE s.f + 1 END,
+        CASE WHEN r.release THEN false WHEN s.q THEN true ELSE NOT r.ok AND s.f + 1 >= 3 END FROM s JOIN r ON r.agency = s.agency AND r.k = s.k + 1)
+    SELECT event_id, CAST(f AS INT) AS failures, q AS quarantined FROM s WHERE NOT release""", "probe_log")
 def st3_health(t):
     rows = t("probe_log").select(F.col("event_id").alias("at"), "agency", "ok")
-    return _result(rows, jobs.health(_stream(rows, 1))).select("event_id", "failures", "quarantined")
+    stream = _stream(rows)
+    probes, releases = stream.where("at % 97 <> 0"), stream.where("at % 97 = 0")
+    return _result(rows, jobs.health(probes, releases)).select("event_id", "failures", "quarantined")
 
 
 @query("SELECT meeting_id FROM doc_records WHERE doc_id % 40 < 10 GROUP BY meeting_id", "doc_records")
@@ -309,15 +317,15 @@ def st5_hand_off(t):
 @query("SELECT strftime(ts, '%Y-%m-%d') AS day, agency, count(*) AS n FROM probe_log GROUP BY 1, 2", "probe_log")
 def st6_daily_volume(t):
     rows = t("probe_log").select("event_id", "ts", "agency")
-    return _result(rows, jobs.daily_volume(_stream(rows, 1)), "complete")
+    return _result(rows, jobs.daily_volume(_stream(rows)), "complete")
 
 
-@query("SELECT meeting_id, count(*) AS source_count FROM doc_records GROUP BY meeting_id", "doc_records")
+@query(f"WITH {_MERGED} SELECT * FROM merged", "full_records")
 def st7_late_sources(t):
-    rows = t("doc_records")
-    table, published = _place(rows, "table"), _place(rows, "published")
-    jobs.merge_late(_stream(rows), "meeting_id", table, _place(rows, "checkpoint"), merged_meetings, published)
-    return rows.sparkSession.read.parquet(published).select("meeting_id", "source_count")
+    records, dates = full_records(t)
+    table, published = _place(records, "table"), _place(records, "published")
+    jobs.merge_late(_stream(records), "meeting_id", ["doc_id"], table, _place(records, "checkpoint"), lambda rows: merged_meetings(rows, dates), published)
+    return _as_text(records.sparkSession.read.parquet(published))
 
 
 @query("SELECT doc_id, CAST(len(string_split(text, chr(10))) AS BIGINT) AS parts FROM documents")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -18,7 +19,8 @@ def new_items(stream: DataFrame, key: str = "hash", time: str | None = None, del
 
 
 class PageChanges(StatefulProcessor):
-    """Rows of a url whose hash differs from the one before; the first counts as new. Rows are taken in the order of at."""
+    """Rows of a url whose hash differs from the one before; the first counts as new. Rows of a micro-batch are taken in
+    the order of at, those of a later one after them. A task holds a url's rows of one micro-batch; the trigger bounds it."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "hash string")
@@ -34,7 +36,10 @@ class PageChanges(StatefulProcessor):
 
 
 class Health(StatefulProcessor):
-    """Consecutive failures per agency; at three it is quarantined, and frozen until released."""
+    """Consecutive failures per agency; at `limit` it is quarantined, and frozen until a release sets it to 0 again."""
+
+    def __init__(self, limit: int = 3):
+        self.limit = limit
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", "failures int, quarantined boolean")
@@ -42,26 +47,37 @@ class Health(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
         state = self.state.get()
         failures, held = (state[0], state[1]) if state else (0, False)
-        out = []
-        for r in pd.concat(list(rows)).sort_values("at").itertuples():
-            if not held:
-                failures = 0 if r.ok else failures + 1
-                held = failures >= 3
-            out.append((r.at, key[0], failures, held))
+        all_ = pd.concat(list(rows)).sort_values(["at", "release"])
+        after = []
+        for ok, release in zip(all_["ok"].tolist(), all_["release"].tolist(), strict=True):
+            if release:
+                failures, held = (0, False) if held else (failures, held)
+            elif not held:
+                failures = 0 if ok else failures + 1
+                held = failures >= self.limit
+            after.append((failures, held))
         self.state.update((failures, held))
-        yield pd.DataFrame(out, columns=["event_id", "agency", "failures", "quarantined"])
+        out = pd.DataFrame(after, columns=["failures", "quarantined"]).assign(event_id=all_["at"].to_numpy(), agency=key[0])
+        yield out.loc[~all_["release"].to_numpy(), ["event_id", "agency", "failures", "quarantined"]]
 
 
 def page_changes(stream: DataFrame) -> DataFrame:
     return stream.groupBy("url").transformWithStateInPandas(PageChanges(), "event_id long, url string, changed boolean", "Append", "None")
 
 
-def health(stream: DataFrame) -> DataFrame:
-    return stream.groupBy("agency").transformWithStateInPandas(Health(), "event_id long, agency string, failures int, quarantined boolean", "Append", "None")
+def health(probes: DataFrame, releases: DataFrame | None = None, limit: int = 3) -> DataFrame:
+    """(event_id, agency, failures, quarantined) after each probe of a stream (at, agency, ok). A second stream (at,
+    agency) releases agencies from quarantine; a release of an agency that isn't quarantined changes nothing. Rows of one
+    micro-batch are taken in the order of at, a release after a probe of the same at."""
+    all_ = probes.select("at", "agency", "ok", F.lit(False).alias("release"))
+    if releases is not None:
+        all_ = all_.unionByName(releases.select("at", "agency", F.lit(True).alias("ok"), F.lit(True).alias("release")))
+    return all_.groupBy("agency").transformWithStateInPandas(Health(limit), "event_id long, agency string, failures int, quarantined boolean", "Append", "None")
 
 
 def daily_volume(stream: DataFrame, time: str = "ts", delay: str = "1 hour") -> DataFrame:
-    """Rows per day and agency."""
+    """Rows per day and agency. In append mode a day comes once, when the watermark has passed its end, and rows that are
+    later than `delay` behind the newest one before their micro-batch are left out; in complete mode all rows count."""
     timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
     days = timed.groupBy(F.window(time, "1 day").alias("w"), "agency").agg(F.count("*").alias("n"))
     return days.select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), "agency", "n")
@@ -92,16 +108,39 @@ def changed_keys(new: DataFrame, old: DataFrame | None, key: str, print_col: str
     return new.join(was, key, "left").where(~F.col(print_col).eqNullSafe(F.col("__was"))).select(key)
 
 
-def merge_late(stream: DataFrame, key: str, table: str, checkpoint: str, rebuild: Callable[[DataFrame], DataFrame], published: str) -> None:
-    """Adds what arrives to `table` and rebuilds the published partitions of the keys it belongs to, from the whole
-    table: a late source changes its meeting as an early one would. Each batch is a partition of its own, which a
-    repeated batch overwrites, so a retry adds nothing twice."""
+def merge_late(stream: DataFrame, key: str, row_id: list[str], table: str, checkpoint: str, rebuild: Callable[[DataFrame], DataFrame], published: str, buckets: int = 64) -> None:
+    """Adds what arrives to `table` and rebuilds the published groups that it belongs to from the whole table: a late
+    source changes its meeting as an early one would.
+
+    Both tables are dealt into `buckets` folders by a hash of the key, so that a batch reads and rewrites only the
+    buckets it touches, however many keys and batches there are. A batch is a folder of its own, named by the query's run
+    id and its number: a repeated batch overwrites itself, and a query that starts anew with another checkpoint can't
+    overwrite what an earlier one has added. Rows that come again are known by `row_id` and count once.
+    """
 
     def batch(df: DataFrame, number: int) -> None:
         spark = df.sparkSession
-        df.withColumn("_batch", F.lit(number)).write.mode("overwrite").partitionBy("_batch").option("partitionOverwriteMode", "dynamic").parquet(table)
-        keys = df.select(key).distinct()
-        rows = spark.read.parquet(table).drop("_batch").join(keys, key, "left_semi")
-        rebuild(rows).write.mode("overwrite").partitionBy(key).option("partitionOverwriteMode", "dynamic").parquet(published)
-
+        placed = df.withColumns({"_bucket": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"), "_batch": F.lit(f"{run}-{number}")})
+        placed.write.mode("overwrite").partitionBy("_bucket", "_batch").option("partitionOverwriteMode", "dynamic").parquet(table)
+        schema = placed.schema
+        touched = [r._bucket for r in spark.read.schema(schema).parquet(table).where(F.col("_batch") == f"{run}-{number}").select("_bucket").distinct().collect()]
+        if touched:
+            rows = spark.read.schema(schema).parquet(table).where(F.col("_bucket").isin(touched)).dropDuplicates(row_id).drop("_bucket", "_batch")
+            out = rebuild(rows).withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+            out.write.mode("overwrite").partitionBy("_bucket").option("partitionOverwriteMode", "dynamic").parquet(published)
+
+    run = _run_of(stream.sparkSession, checkpoint)
     stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def _run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the query that a checkpoint belongs to, made when the checkpoint is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/merge-run")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path):
+        return spark.read.text(f"{checkpoint}/merge-run").first()[0]
+    run = uuid.uuid4().hex[:12]
+    out = files.create(path)
+    out.write(bytearray(run.encode()))
+    out.close()
+    return run
