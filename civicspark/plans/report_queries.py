@@ -6,8 +6,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from civicspark.functions.dates import lenient_date, month_key
-from civicspark.functions.text import HOUSING_TYPES, content_hash, estimated_units
+from civicspark.functions.text import HOUSING_TYPES, STREET_WORDS, content_hash, estimated_units
 from civicspark.operators.digest import monthly_digests
+from civicspark.operators.housing import housing_projects
 from civicspark.operators.linkage import first_by
 from civicspark.operators.logs import attributed_errors, blocking_files, gap_stops, health_report, phase_durations, run_durations
 from civicspark.operators.meetings import in_order, keep_substantive, majority, merged_meetings
@@ -226,17 +227,77 @@ def a18_location(t):
     return planned.join(filed, "apn", "left").select("apn", F.coalesce("f", "p").alias("address"))
 
 
-@query(f"""WITH pr AS ({_PROJECTS}), f AS (SELECT apn, sum(tot_approved_units) AS a, sum(tot_proposed_units) AS p, count(*) AS n FROM apr_filings GROUP BY 1), q AS (SELECT apn, count(*) AS n FROM planning GROUP BY 1)
-    SELECT project, estimated_units, CASE WHEN a > 0 THEN CAST(a AS BIGINT) WHEN p > 0 THEN CAST(p AS BIGINT) ELSE estimated_units END AS best, coalesce(f.n, 0) AS filings, coalesce(q.n, 0) AS plans FROM pr LEFT JOIN f USING (apn) LEFT JOIN q USING (apn)
-    UNION ALL SELECT 'plan ' || apn, NULL, NULL, 0, count(*) FROM planning WHERE apn NOT IN (SELECT apn FROM pr WHERE apn IS NOT NULL) GROUP BY apn""", "permits apr_filings planning")
+_ABBREVIATED = "upper({0})"
+for _full, _short in STREET_WORDS:
+    _ABBREVIATED = f"regexp_replace({_ABBREVIATED}, '\\b{_full}\\b', '{_short}', 'g')"
+_AT = "trim(regexp_replace(" + _ABBREVIATED + ", '[#,.]', '', 'g'))"
+_SOME_WORDS = "list_filter(list_distinct(regexp_extract_all({0}, '[A-Z]+')), lambda x: x NOT IN ('ST','AVE','BLVD','DR','LN','CT','RD','HWY','N','S','E','W','CA'))"
+_NEAR = "regexp_extract(x, '^(\\d+)', 1) = regexp_extract(y, '^(\\d+)', 1) AND regexp_extract(x, '^(\\d+)', 1) <> '' AND len(list_intersect(" + _SOME_WORDS.format("x") + ", " + _SOME_WORDS.format("y") + ")) >= 1"
+_LONG = "list_filter(list_distinct(regexp_split_to_array(upper({0}), '\\W+')), lambda w: length(w) > 3)"
+_UNIFIED = f"""WITH pp AS (SELECT id, name, 'HP-' || id AS pid, apn, [ref] AS refs, address, id % 7 AS units, ['D24-' || lpad(CAST(id AS VARCHAR), 7, '0')] AS permits, CASE id % 4 WHEN 0 THEN ['ISSUED'] WHEN 1 THEN ['EXPIRED'] ELSE [] END AS statuses, '2025-01-' || lpad(CAST(1 + id % 28 AS VARCHAR), 2, '0') AS applied FROM named_projects WHERE id % 11 <> 0),
+    pl AS (SELECT seq AS ord, project_no, CASE seq % 3 WHEN 0 THEN 'DEVELOPMENT PLAN' WHEN 1 THEN 'DENSITY BONUS APPLICATION' ELSE 'SIGN PERMIT' END AS type, CASE seq % 5 WHEN 0 THEN 'APPROVED' ELSE 'IN REVIEW' END AS status, regexp_replace(description, '^.*for the ', '') AS description, '2024-02-' || lpad(CAST(1 + seq % 28 AS VARCHAR), 2, '0') AS applied, coalesce(address, '') AS address, apn FROM mentions),
+    fl AS (SELECT ord, year, apn, street_address, tot_proposed_units AS p, tot_approved_units AS a, vlow_income_dr + low_income_ndr + mod_income_dr + above_mod_income AS tiers, density_bonus_received AS db, 'D24-' || lpad(CAST(CAST(split_part(ord, '-', 1) AS BIGINT) % 1000 AS VARCHAR), 7, '0') AS permit, right(ord, 10) AS day FROM apr_filings),
+    it AS (SELECT seq AS ord, meeting_id, '2026-03-' || lpad(CAST(1 + seq % 28 AS VARCHAR), 2, '0') AS date, CASE WHEN seq % 6 = 0 THEN 'approved' ELSE 'held' END AS outcome, substr(description, 1, 80) AS item, address, upper(description) AS text, list_filter(list_distinct(list_concat([upper(trim(coalesce(filing_number, '')))],
+      regexp_extract_all(description, '\\b(?:D|RD|DB|ZA|CUP|RC|RRP|SC|GPA|EXT|TPM|H)\\d{{2}}-\\d{{4,5}}\\b'))), lambda x: x <> '') AS cases FROM mentions),
+    pw AS (SELECT id, unnest({_LONG.format('name')}) AS w FROM pp), lw AS (SELECT project_no, unnest({_LONG.format('description')}) AS w FROM pl),
+    pa AS (SELECT id, {_AT.format('address')} AS x FROM pp), la AS (SELECT project_no, {_AT.format('address')} AS y FROM pl WHERE address <> ''), ia AS (SELECT meeting_id, item, {_AT.format('address')} AS y FROM it WHERE address IS NOT NULL),
+    pm AS (SELECT pid, project_no, min(m) AS m FROM (SELECT id, project_no, 1 AS m FROM pp JOIN pl USING (apn) WHERE apn <> '' UNION ALL SELECT id, project_no, 2 FROM (SELECT id, unnest(refs) AS project_no FROM pp) JOIN pl USING (project_no)
+      UNION ALL SELECT id, project_no, 3 FROM pa JOIN la ON {_NEAR} UNION ALL SELECT id, project_no, 4 FROM pw JOIN lw USING (w) GROUP BY id, project_no HAVING count(*) >= 2) JOIN pp USING (id) GROUP BY ALL),
+    cl AS (SELECT coalesce(nullif(trim(apn), ''), project_no) AS k, 'HP-PLAN-' || arg_min(project_no, ord) AS pid, arg_min(description, (-length(description), ord)) AS name, coalesce(arg_min(address, ord) FILTER (address <> ''), '') AS address, coalesce(arg_min(apn, ord) FILTER (apn <> ''), '') AS apn,
+      list(project_no) AS refs, bool_or(type LIKE 'DENSITY BONUS%') AS bonus, bool_or(status = 'APPROVED') AS approved, min(applied) AS first, max(applied) AS last FROM pl WHERE type <> 'SIGN PERMIT' AND project_no NOT IN (SELECT project_no FROM pm) GROUP BY 1),
+    byp AS (SELECT permit, arg_max(ord, ord) AS ord FROM fl GROUP BY 1),
+    fm AS (SELECT pid, ord FROM (SELECT pid, f.ord, f.year, f.apn, 0 AS r FROM (SELECT pid, unnest(permits) AS permit FROM pp) JOIN byp b USING (permit) JOIN fl f ON f.ord = b.ord UNION ALL SELECT pid, f.ord, f.year, f.apn, 1 FROM pp JOIN fl f USING (apn) WHERE apn <> '')
+      QUALIFY row_number() OVER (PARTITION BY pid, year, apn ORDER BY r, ord) = 1 UNION ALL SELECT pid, ord FROM cl JOIN fl USING (apn) WHERE apn <> ''),
+    ask AS (SELECT pid, address, name FROM pp UNION ALL SELECT pid, address, name FROM cl), nos AS (SELECT pid, project_no AS c FROM pm UNION SELECT pid, unnest(refs) FROM cl),
+    aa AS (SELECT pid, {_AT.format('address')} AS x FROM ask), aw AS (SELECT pid, unnest(list_filter(regexp_split_to_array(upper(name), '\\W+'), lambda w: length(w) > 3)) AS w FROM ask WHERE length(name) > 5),
+    tx AS (SELECT DISTINCT meeting_id, item, text FROM it WHERE len(cases) > 0), tw AS (SELECT DISTINCT w FROM aw), hit AS (SELECT w, meeting_id, item, text FROM tw JOIN tx ON contains(text, w)),
+    mm AS (SELECT DISTINCT pid, meeting_id, item FROM (SELECT pid, meeting_id, item FROM nos JOIN (SELECT meeting_id, item, unnest(cases) AS c FROM it) USING (c) UNION ALL SELECT pid, meeting_id, item FROM aa JOIN ia ON {_NEAR}
+      UNION ALL SELECT pid, meeting_id, item FROM aw JOIN hit USING (w) GROUP BY pid, meeting_id, item, text HAVING count(*) >= 2)),
+    im AS (SELECT meeting_id, item, arg_min(date, ord) AS date, arg_min(outcome, ord) AS outcome FROM it GROUP BY 1, 2),
+    al AS (SELECT pid, project_no FROM pm UNION ALL SELECT pid, unnest(refs) FROM cl),
+    ps AS (SELECT pid, count(*) AS plans, bool_or(status = 'APPROVED') AS approved, min(applied) AS f, max(applied) AS l FROM al JOIN pl USING (project_no) GROUP BY 1),
+    pf AS (SELECT pid, pl.address FROM pm JOIN pl USING (project_no) WHERE address <> '' QUALIFY row_number() OVER (PARTITION BY pid ORDER BY m, ord) = 1),
+    fs AS (SELECT pid, count(*) AS filings, CAST(sum(p) AS BIGINT) AS p, CAST(sum(a) AS BIGINT) AS a, CAST(sum(tiers) AS BIGINT) AS tiers, bool_or(db = 'Yes') AS db, min(day) AS f, max(day) AS l FROM fm JOIN fl USING (ord) GROUP BY 1),
+    ms AS (SELECT pid, count(*) AS meetings, bool_or(outcome = 'approved') AS agreed, min(date) AS f, max(date) AS l FROM mm JOIN im USING (meeting_id, item) GROUP BY 1),
+    base AS (SELECT pid, name, address, apn, CAST(units AS BIGINT) AS units, statuses, applied AS d, NULL AS bonus, NULL AS first, NULL AS last, false AS lone FROM pp UNION ALL SELECT pid, name, address, apn, NULL, [], NULL, bonus, first, last, true FROM cl)
+    SELECT pid AS project_id, name AS project_name, coalesce(nullif(base.address, ''), '') AS address, apn, CASE WHEN a > 0 THEN a WHEN p > 0 THEN p ELSE coalesce(units, 0) END AS best, CASE WHEN a > 0 OR p > 0 THEN 'apr' ELSE 'permits' END AS best_source,
+      CASE WHEN statuses = ['ISSUED'] THEN 'under_construction' WHEN statuses = ['EXPIRED'] THEN 'expired' WHEN coalesce(ps.approved, false) OR coalesce(agreed, false) THEN 'entitled' ELSE 'planning' END AS status, coalesce(bonus, db, false) AS density_bonus, nullif(tiers, 0) AS tiers,
+      coalesce(plans, 0) AS plans, coalesce(filings, 0) AS filings, coalesce(meetings, 0) AS meetings, CASE WHEN lone THEN first ELSE least(d, ps.f, fs.f, ms.f) END AS first_activity, CASE WHEN lone THEN last ELSE greatest(d, ps.l, fs.l, ms.l) END AS last_activity
+    FROM base LEFT JOIN ps USING (pid) LEFT JOIN fs USING (pid) LEFT JOIN ms USING (pid)
+    UNION ALL SELECT 'HP-' || id, name, '', '', id % 7, 'permits', 'aggregate', false, NULL, 0, 0, 0, '2025-01-' || lpad(CAST(1 + id % 28 AS VARCHAR), 2, '0'), '2025-01-' || lpad(CAST(1 + id % 28 AS VARCHAR), 2, '0') FROM named_projects WHERE id % 11 = 0"""
+
+
+@query(_UNIFIED, "named_projects mentions apr_filings")
 def a19_housing_projects(t):
-    projects = build_projects(_parents(t))
-    filed = t("apr_filings").groupBy("apn").agg(F.sum("tot_approved_units").alias("a"), F.sum("tot_proposed_units").alias("p"), F.count("*").alias("filings"))
-    planned = t("planning").groupBy("apn").agg(F.count("*").alias("plans"))
-    best = F.when(F.col("a") > 0, F.col("a")).when(F.col("p") > 0, F.col("p")).otherwise(F.col("estimated_units"))
-    known = projects.join(filed, "apn", "left").join(planned, "apn", "left").select("project", "estimated_units", best.alias("best"), F.coalesce("filings", F.lit(0)).alias("filings"), F.coalesce("plans", F.lit(0)).alias("plans"))
-    rest = planned.join(projects, "apn", "left_anti").select(F.concat(F.lit("plan "), "apn").alias("project"), F.lit(0).cast("long").alias("filings"), "plans")
-    return known.unionByName(rest, allowMissingColumns=True)
+    day = lambda start, c: F.concat(F.lit(start), F.lpad((1 + F.col(c) % 28).cast("string"), 2, "0"))
+    number = lambda c: F.concat(F.lit("D24-"), F.lpad(c.cast("string"), 7, "0"))
+    statuses = F.when(F.col("id") % 4 == 0, F.array(F.lit("ISSUED"))).when(F.col("id") % 4 == 1, F.array(F.lit("EXPIRED"))).otherwise(F.array().cast("array<string>"))
+    projects = t("named_projects").select(
+        F.concat(F.lit("PRJ-"), "id").alias("project_id"), F.col("name").alias("project_name"), F.lit("a").alias("agency"), F.when(F.col("id") % 11 == 0, "type_aggregate").otherwise("named").alias("source"), F.array(number(F.col("id"))).alias("permits"),
+        F.lit(1).alias("permit_count"), (F.col("id") % 7).alias("estimated_units"), statuses.alias("statuses"), day("2025-01-", "id").alias("first_applied"), day("2025-01-", "id").alias("last_applied"), F.array("ref").alias("entitlement_refs"), "address", "apn",
+    )
+    kind = F.when(F.col("seq") % 3 == 0, "DEVELOPMENT PLAN").when(F.col("seq") % 3 == 1, "DENSITY BONUS APPLICATION").otherwise("SIGN PERMIT")
+    plans = t("mentions").select(
+        F.col("seq").alias("ord"), "project_no", kind.alias("type"), F.when(F.col("seq") % 5 == 0, "APPROVED").otherwise("IN REVIEW").alias("status"), F.lit("").alias("name"), F.regexp_replace("description", "^.*for the ", "").alias("description"), day("2024-02-", "seq").alias("applied"), F.lit("").alias("approved"),
+        F.coalesce("address", F.lit("")).alias("address"), "apn", F.lit("a").alias("agency"),
+    )
+    named = number(F.split_part("ord", F.lit("-"), F.lit(1)).cast("long") % 1000)
+    zero, none = F.lit(0), lambda kind: F.lit(None).cast(kind)
+    filings = t("apr_filings").withColumns({
+        "tracking_id": F.col("ord"), "vlow_income_ndr": zero, "low_income_dr": zero, "mod_income_ndr": zero, "app_submitted_sb35": none("string"), "app_submit_dt": F.right("ord", F.lit(10)), "latitude": none("double"), "longitude": none("double"),
+        "is_downtown": none("boolean"), "permits": F.array(named),
+    })
+    items = t("mentions").select(
+        F.col("seq").alias("ord"), "meeting_id", day("2026-03-", "seq").alias("date"), F.lit("item").alias("type"), F.when(F.col("seq") % 6 == 0, "approved").otherwise("held").alias("outcome"), F.when(F.col("filing_number").isNotNull(), F.array("filing_number")).alias("filing_numbers"),
+        "address", "description",
+    )
+    h = housing_projects(projects, plans, filings, items)
+    tiers = F.col("income_tiers.very_low") + F.col("income_tiers.low") + F.col("income_tiers.moderate") + F.col("income_tiers.above_moderate")
+    count = lambda c: F.size(f"sources.{c}").cast("long")
+    return h.select(
+        "project_id", "project_name", "address", "apn", "units.best", "units.best_source", "status", "density_bonus", tiers.alias("tiers"), count("planning_projects").alias("plans"), count("apr_filings").alias("filings"), count("meeting_mentions").alias("meetings"),
+        "first_activity", "last_activity",
+    )
 
 
 @query("SELECT status, count(*) AS n, count(CASE WHEN apn <> '' THEN 1 END) AS with_apn, count(linked_parent) AS with_parent FROM permits GROUP BY status", "permits")
