@@ -159,6 +159,12 @@ def nearest_day(left: DataFrame, right: DataFrame, key: str, day: str, left_id:
     return first_by(met, [left_id], F.abs("gap"), right_id).select(left_id, right_id, F.abs("gap").alias("gap"))
 
 
+def meeting_videos(videos: DataFrame, meetings: DataFrame, key: str, day: str, video: str, meeting: str, within: int = 1) -> DataFrame:
+    """(video, meeting, gap): each video with its nearest meeting (nearest_day), where each meeting keeps its first video;
+    a video whose meeting has one already is left out."""
+    return first_by(nearest_day(videos, meetings, key, day, video, meeting, within), [meeting], video)
+
+
 def longest_prefix(names: DataFrame, ids: DataFrame, name: str, id_: str, separator: str = "-") -> DataFrame:
     """(name, id) of the longest id that is the name's start up to a separator; null without one."""
     parts = F.split(name, separator)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from civicspark.functions import text as X
-from civicspark.operators.linkage import entitlement_links, filing_permits, first_by, longest_prefix, meeting_links, nearest_day, planning_links, prioritized, scored_links, upsert
+from civicspark.operators.linkage import entitlement_links, filing_permits, first_by, longest_prefix, meeting_links, meeting_videos, planning_links, prioritized, scored_links, upsert
 from civicspark.operators.overlap import token_pairs
+from civicspark.operators.reports import fallback_zones
 from civicspark.plans.registry import query
 from civicspark.plans.scalar_queries import _ABBR, _ADDR
 
@@ -136,10 +137,10 @@ def j11_unmatched(t):
     return t("lihtc").join(t("planning"), F.col("hud_id") == F.col("apn"), "left_anti").select("hud_id")
 
 
-@query("""SELECT video, arg_min(meeting, (gap, meeting)) AS meeting, CAST(min(gap) AS INT) AS gap FROM (
-    SELECT v.id AS video, m.id AS meeting, abs(v.date - m.date) AS gap FROM videos v JOIN meetings_meta m ON v.body = m.body AND abs(v.date - m.date) <= 1) GROUP BY video""", "videos meetings_meta")
+@query("""SELECT video, meeting, gap FROM (SELECT video, arg_min(meeting, (gap, meeting)) AS meeting, CAST(min(gap) AS INT) AS gap FROM (
+    SELECT v.id AS video, m.id AS meeting, abs(v.date - m.date) AS gap FROM videos v JOIN meetings_meta m ON v.body = m.body AND abs(v.date - m.date) <= 1) GROUP BY video) QUALIFY row_number() OVER (PARTITION BY meeting ORDER BY video) = 1""", "videos meetings_meta")
 def j12_nearest_date(t):
-    return nearest_day(t("videos").withColumnRenamed("id", "video"), t("meetings_meta").withColumnRenamed("id", "meeting"), "body", "date", "video", "meeting")
+    return meeting_videos(t("videos").withColumnRenamed("id", "video"), t("meetings_meta").withColumnRenamed("id", "meeting"), "body", "date", "video", "meeting")
 
 
 @query("SELECT id FROM videos WHERE id NOT IN (SELECT event_id FROM events WHERE user_id % 3 = 0)", "videos")
@@ -190,13 +191,19 @@ def j19_orphans(t):
     return gone.groupBy(F.substring("date", 1, 7).alias("month")).agg(F.count("*").alias("orphans"))
 
 
-@query("""SELECT f.ord, coalesce(a.zone_code, b.zone_code, '') AS zone FROM apr_filings f LEFT JOIN (SELECT * FROM parcels WHERE CAST(apn AS INT) % 2 = 0) a USING (apn)
-    LEFT JOIN (SELECT address, min(zone_code) AS zone_code FROM parcels WHERE CAST(address AS INT) > 120 GROUP BY address) b ON split_part(f.street_address, ' ', 1) = b.address""", "apr_filings parcels")
+@query("""WITH asked AS (SELECT ord, CASE WHEN unit_cat = 'SFD' THEN '' ELSE apn END AS apn, CASE WHEN tot_proposed_units % 5 = 0 THEN 0 ELSE 33 + (tot_proposed_units % 40) / 3e6 END AS lat, -117.0::DOUBLE AS lon FROM apr_filings),
+    z AS (SELECT apn, [zone_code] AS zones, zone_code = 'D-1' AS d, CAST(apn AS INT) % 6 = 0 AS lost FROM parcels WHERE CAST(apn AS INT) % 2 = 0),
+    p AS (SELECT printf('%.6f', 33 + (CAST(apn AS INT) % 25) / 3e6) AS point, arg_min(zone_code, CAST(apn AS INT)) AS zone FROM parcels GROUP BY 1),
+    met AS (SELECT a.ord, z.zones, z.d, z.lost, CASE WHEN lat <> 0 THEN printf('%.6f', lat) END AS point, p.zone FROM asked a LEFT JOIN z ON z.apn = nullif(a.apn, '') LEFT JOIN p ON lat <> 0 AND printf('%.6f', lat) = p.point),
+    s AS (SELECT *, CASE WHEN NOT lost THEN 'apn' WHEN point IS NOT NULL THEN CASE WHEN zone IS NOT NULL THEN 'point' ELSE 'none' END WHEN zones IS NOT NULL THEN 'apn' ELSE 'none' END AS step FROM met)
+    SELECT ord, step, coalesce(CASE step WHEN 'apn' THEN zones[1] WHEN 'point' THEN zone END, '') AS zone, coalesce(CASE step WHEN 'apn' THEN d WHEN 'point' THEN zone = 'D-1' END, false) AS is_downtown FROM s""", "apr_filings parcels")
 def j20_fallback_lookup(t):
-    cache = t("parcels").where("cast(apn as int) % 2 = 0").select("apn", F.col("zone_code").alias("z1"))
-    near = t("parcels").where("cast(address as int) > 120").groupBy(F.col("address").alias("n")).agg(F.min("zone_code").alias("z2"))
-    asked = t("apr_filings").select("ord", "apn", X.street_number(F.col("street_address")).alias("n"))
-    return asked.join(cache, "apn", "left").join(near, "n", "left").select("ord", F.coalesce("z1", "z2", F.lit("")).alias("zone"))
+    lat = F.when(F.col("tot_proposed_units") % 5 == 0, F.lit(0.0)).otherwise(33 + (F.col("tot_proposed_units") % 40) / 3e6)
+    asked = t("apr_filings").select("ord", F.when(F.col("unit_cat") == "SFD", "").otherwise(F.col("apn")).alias("apn"), lat.alias("latitude"), F.lit(-117.0).alias("longitude"))
+    zones, number = [F.array("zone_code").alias("zones"), (F.col("zone_code") == "D-1").alias("is_downtown")], F.col("apn").cast("int")
+    by_parcel = t("parcels").where(number % 2 == 0).select("apn", *zones, F.when(number % 6 == 0, "parcel_not_found").alias("error"))
+    by_point = t("parcels").select(number.alias("ord"), (33 + (number % 25) / 3e6).alias("latitude"), F.lit(-117.0).alias("longitude"), *zones)
+    return fallback_zones(asked, by_parcel, by_point).select("ord", "step", F.coalesce(F.get("zones", F.lit(0)), F.lit("")).alias("zone"), "is_downtown")
 
 
 @query("""WITH m AS (SELECT DISTINCT substr(date, 1, 7) AS month FROM doc_records UNION SELECT DISTINCT strftime(ts, '%Y-%m') FROM intel_items UNION SELECT DISTINCT substr(applied, 1, 7) FROM planning)

@@ -13,6 +13,7 @@ from civicspark.operators.linkage import first_by
 from civicspark.operators.logs import attributed_errors, blocking_files, gap_stops, health_report, phase_durations, run_durations
 from civicspark.operators.meetings import in_order, keep_substantive, majority, merged_meetings
 from civicspark.operators.projects import breakdown, build_projects, common_prefix, group_permits, income_tiers, islands, reconciled_units, status_of
+from civicspark.operators.reports import volume_report
 from civicspark.plans.registry import query
 from civicspark.plans.scalar_queries import _ISO, EST_UNITS
 
@@ -267,8 +268,8 @@ _UNIFIED = f"""WITH pp AS (SELECT id, name, 'HP-' || id AS pid, apn, [ref] AS re
     UNION ALL SELECT 'HP-' || id, name, '', '', id % 7, 'permits', 'aggregate', false, NULL, 0, 0, 0, '2025-01-' || lpad(CAST(1 + id % 28 AS VARCHAR), 2, '0'), '2025-01-' || lpad(CAST(1 + id % 28 AS VARCHAR), 2, '0') FROM named_projects WHERE id % 11 = 0"""
 
 
-@query(_UNIFIED, "named_projects mentions apr_filings")
-def a19_housing_projects(t):
+def bound_housing(t):
+    """The unified projects of the bound tables."""
     day = lambda start, c: F.concat(F.lit(start), F.lpad((1 + F.col(c) % 28).cast("string"), 2, "0"))
     number = lambda c: F.concat(F.lit("D24-"), F.lpad(c.cast("string"), 7, "0"))
     statuses = F.when(F.col("id") % 4 == 0, F.array(F.lit("ISSUED"))).when(F.col("id") % 4 == 1, F.array(F.lit("EXPIRED"))).otherwise(F.array().cast("array<string>"))
@@ -291,7 +292,12 @@ def a19_housing_projects(t):
         F.col("seq").alias("ord"), "meeting_id", day("2026-03-", "seq").alias("date"), F.lit("item").alias("type"), F.when(F.col("seq") % 6 == 0, "approved").otherwise("held").alias("outcome"), F.when(F.col("filing_number").isNotNull(), F.array("filing_number")).alias("filing_numbers"),
         "address", "description",
     )
-    h = housing_projects(projects, plans, filings, items)
+    return housing_projects(projects, plans, filings, items)
+
+
+@query(_UNIFIED, "named_projects mentions apr_filings")
+def a19_housing_projects(t):
+    h = bound_housing(t)
     tiers = F.col("income_tiers.very_low") + F.col("income_tiers.low") + F.col("income_tiers.moderate") + F.col("income_tiers.above_moderate")
     count = lambda c: F.size(f"sources.{c}").cast("long")
     return h.select(
@@ -353,6 +359,28 @@ def a26_day_grid(t):
     return grid.join(rows.groupBy("day").agg(F.count("*").alias("total")), "day")
 
 
+_AGENCIES = "SELECT agency, max(n) % 5 = 0 AS tally_only, max(n) % 3 = 0 AS forward_only FROM (SELECT concat('agency_', CAST(user_id % 22 AS STRING)) AS agency, user_id % 22 AS n FROM events) GROUP BY agency"
+
+
+@query(f"""WITH ag AS ({_AGENCIES} UNION ALL SELECT 'agency_never', false, true), listed AS (SELECT agency, CASE WHEN tally_only THEN 'TALLY' WHEN forward_only THEN 'FORWARD' ELSE 'FULL' END AS tier FROM ag),
+    d AS (SELECT agency, strftime(ts, '%Y-%m-%d') AS day FROM probe_log WHERE agency <> 'agency_7' OR ts < TIMESTAMP '2024-01-10' UNION ALL SELECT 'agency_new', '2024-01-20'),
+    n AS (SELECT greatest(count(DISTINCT day), 1) AS days FROM d WHERE day >= '2024-01-12'), o AS (SELECT agency, count(*) FILTER (day >= '2024-01-12') AS docs, max(day) AS last_day FROM d GROUP BY 1),
+    a AS (SELECT coalesce(l.agency, o.agency) AS name, coalesce(tier, '?') AS tier, coalesce(docs, 0) AS docs, last_day FROM listed l FULL JOIN o ON l.agency = o.agency),
+    s AS (SELECT sum(docs) AS al, coalesce(sum(docs) FILTER (tier = 'FULL'), 0) AS fu, coalesce(sum(docs) FILTER (tier = 'FORWARD'), 0) AS fo, coalesce(sum(docs) FILTER (tier = 'TALLY'), 0) AS ta FROM a),
+    u AS (SELECT 'agency' AS block, name, tier, docs FROM a WHERE docs > 0 UNION ALL SELECT 'total', 'TOTAL', NULL, al FROM s UNION ALL SELECT 'tier', 'FULL', 'FULL', fu FROM s UNION ALL SELECT 'tier', 'FORWARD', 'FORWARD', fo FROM s UNION ALL SELECT 'tier', 'TALLY', 'TALLY', ta FROM s
+      UNION ALL SELECT 'scenario', 'Current (FULL only)', 'FULL', fu FROM s UNION ALL SELECT 'scenario', '+ FORWARD agencies', 'FORWARD', fu + fo FROM s UNION ALL SELECT 'scenario', '+ TALLY -> FORWARD', 'TALLY', fu + fo + ta FROM s)
+    SELECT block, name, tier, CAST(docs AS BIGINT) AS docs, round(docs / days, 6) AS per_day, CASE WHEN block = 'scenario' THEN round(docs / days * 30, 6) END AS per_month, CAST(NULL AS VARCHAR) AS last_day FROM u, n
+    UNION ALL SELECT 'zero', name, tier, 0, NULL, NULL, last_day FROM a WHERE docs = 0 AND tier IN ('FULL', 'FORWARD')""", "probe_log")
+def a26_volume_report(t):
+    events = t("events")
+    agencies = events.select(F.concat(F.lit("agency_"), (F.col("user_id") % 22).cast("string")).alias("agency"), (F.col("user_id") % 22).alias("n")).groupBy("agency").agg((F.max("n") % 5 == 0).alias("tally_only"), (F.max("n") % 3 == 0).alias("forward_only"))
+    never = events.limit(1).select(F.lit("agency_never").alias("agency"), F.lit(False).alias("tally_only"), F.lit(True).alias("forward_only"))
+    docs = t("probe_log").where("agency <> 'agency_7' or ts < timestamp'2024-01-10'").select("agency", F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    docs = docs.union(events.limit(1).select(F.lit("agency_new"), F.lit("2024-01-20")))
+    out = volume_report(docs, agencies.union(never), "2024-01-12")
+    return out.withColumns({"per_day": F.round("per_day", 6), "per_month": F.round("per_month", 6)})
+
+
 @query("SELECT agency, " + ", ".join(f"count(CASE WHEN year = {y} THEN 1 END) AS y{y}" for y in range(1995, 2002)) + " FROM permits GROUP BY agency", "permits")
 def a27_body_by_year(t):
     years = list(range(1995, 2002))

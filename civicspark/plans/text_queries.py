@@ -8,11 +8,12 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from civicspark.operators import publish as P
 from civicspark.operators import textops as O
 from civicspark.operators.linkage import first_by
 from civicspark.operators.meetings import merged_meetings, sanitized_votes
 from civicspark.plans.registry import query
-from civicspark.plans.report_queries import _MERGED, _as_text, full_records
+from civicspark.plans.report_queries import _MERGED, _UNIFIED, _as_text, bound_housing, full_records
 from civicspark.session import shared_folder
 from civicspark.sources import io
 from civicspark.streaming import jobs
@@ -245,11 +246,84 @@ def s16_csv_report(t):
     return rows.sparkSession.read.option("header", True).csv(path)
 
 
-@query("SELECT 'permits' AS name, count(*) AS n FROM permits UNION ALL SELECT 'planning_projects', count(*) FROM planning UNION ALL SELECT 'apr_filings', count(*) FROM apr_filings", "permits planning apr_filings")
-def s17_published_tables(t):
-    made = [("permits", "permits"), ("planning_projects", "planning"), ("apr_filings", "apr_filings")]
-    parts = [io.published_table(t(bound), name).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, bound in made]
-    return parts[0].union(parts[1]).union(parts[2])
+def _published(df, name: str):
+    """df written as the published table and read back."""
+    path = _place(df, "s17")
+    io.publish(df, path, P.columns_of(name))
+    back = df.sparkSession.read.parquet(path)
+    if [(f.name, f.dataType.simpleString()) for f in back.schema.fields] != list(P.columns_of(name).items()):
+        raise ValueError(f"{name} was not written in its layout")
+    return back
+
+
+def _zoning(t):
+    return t("parcels").select("apn", "zone_code", F.lower("zone_code").alias("zone_category"), "density", F.concat(F.col("address"), F.lit(" FT")).alias("height"))
+
+
+_FLAT = "coalesce({0}, '') AS {0}"
+_PARCELS = "zp AS (SELECT apn, address || ' ' || street AS parcel_address, zone_code AS z, lower(zone_code) AS zc, CAST(nullif(regexp_extract(density, '([\\d.]+)\\s*du', 1), '') AS DOUBLE) AS dens, address || ' FT' AS height FROM parcels)"
+
+
+@query(f"""WITH {_PARCELS}, m AS (SELECT permit_no, linked_parent AS project_id FROM permits WHERE linked_parent IS NOT NULL)
+    SELECT p.permit_no, p.year, p.agency, p.type, '' AS subtype, description, status, strftime(o_orderdate, '%Y-%m-%d') AS applied, CAST(NULL AS VARCHAR) AS approved, CASE WHEN seq % 2 = 0 THEN '2020-01-02' END AS issued, coalesce(p.apn, '') AS apn, '' AS owner,
+      CASE WHEN seq % 3 <> 0 THEN '1 OWN ST' ELSE coalesce(parcel_address, '') END AS address, CASE WHEN seq % 5 = 0 THEN 'OWN' ELSE coalesce(z, '') END AS zone_code, coalesce(zc, '') AS zone_category, dens AS max_density, coalesce(height, '') AS max_height,
+      seq % 2 = 0 AS is_downtown, coalesce(project_id, '') AS project_id FROM permits p JOIN orders ON seq = o_orderkey LEFT JOIN zp USING (apn) LEFT JOIN m ON m.permit_no = p.permit_no""", "permits parcels")
+def s17_permits_table(t):
+    rows = t("permits").withColumns({
+        "subtype": F.lit(None).cast("string"), "approved": F.lit("soon"), "issued": F.when(F.col("seq") % 2 == 0, "1/2/2020").otherwise(""), "owner": F.lit(None).cast("string"), "address": F.when(F.col("seq") % 3 != 0, "1 OWN ST"),
+        "zone_code": F.when(F.col("seq") % 5 == 0, "OWN").otherwise(""), "is_downtown": F.col("seq") % 2 == 0,
+    })
+    projects = t("permits").where("linked_parent is not null").groupBy(F.col("linked_parent").alias("project_id")).agg(F.min("seq").alias("ord"), F.collect_list("permit_no").alias("permits"))
+    return _published(P.permits_table(rows, projects, t("parcels"), _zoning(t)), "permits")
+
+
+@query("""SELECT linked_parent AS project_id, 'P ' || linked_parent AS project_name, 'linked_parent' AS source, CAST(count(*) AS INT) AS permit_count, CAST(0 AS INT) AS estimated_units, coalesce(min(nullif(apn, '')), '') AS apn, '' AS owner, '' AS address,
+    strftime(min(o_orderdate), '%Y-%m-%d') AS first_applied, CAST(NULL AS VARCHAR) AS last_applied, CASE WHEN count(*) % 2 = 0 THEN '["E1","E2"]' ELSE '' END AS entitlement_refs FROM permits JOIN orders ON seq = o_orderkey WHERE linked_parent IS NOT NULL GROUP BY linked_parent""", "permits")
+def s17_projects_table(t):
+    from civicspark.functions.dates import lenient_date
+
+    rows = t("permits").where("linked_parent is not null").groupBy(F.col("linked_parent").alias("project_id")).agg(F.count("*").alias("permit_count"), F.min(F.nullif("apn", F.lit(""))).alias("apn"), F.min(lenient_date(F.col("applied"))).alias("first_applied"))
+    refs = F.when(F.col("permit_count") % 2 == 0, F.array(F.lit("E1"), F.lit("E2"))).otherwise(F.array().cast("array<string>"))
+    none = F.lit(None).cast("string")
+    rows = rows.withColumns({"project_name": F.concat(F.lit("P "), "project_id"), "source": F.lit("linked_parent"), "estimated_units": none, "owner": none, "address": none, "last_applied": F.lit("x"), "entitlement_refs": refs})
+    return _published(P.permit_projects_table(rows), "permit_projects")
+
+
+@query("""SELECT year, apn, CASE WHEN tot_proposed_units % 2 = 0 THEN street_address ELSE 'STD' END AS street_address, '' AS project_name, ord AS tracking_id, unit_cat, '' AS tenure, '' AS app_submit_dt, '' AS application_status, '' AS project_type,
+    tot_proposed_units, tot_approved_units, CAST(0 AS INT) AS tot_disapproved_units, above_mod_income, CAST(0 AS INT) AS affordable_units, density_bonus_received AS density_bonus, '' AS sb35, 0.5::DOUBLE AS latitude, 0.0::DOUBLE AS longitude, tot_approved_units > 0 AS is_downtown,
+    CASE WHEN tot_approved_units > 0 THEN 'D-1,R-3' ELSE '' END AS zones, false AS has_building_permit, '' AS match_method FROM apr_filings""", "apr_filings")
+def s17_filings_table(t):
+    none = F.lit(None).cast("string")
+    rows = t("apr_filings").withColumns({
+        "street_address": F.when(F.col("tot_proposed_units") % 2 == 0, F.col("street_address")).otherwise(""), "std_address": F.lit("STD"), "jurs_tracking_id": F.col("ord"), "latitude": F.lit(0.5), "longitude": none, "tot_disapproved_units": F.lit("x"),
+        "is_downtown": F.when(F.col("tot_approved_units") > 0, True), "zones": F.when(F.col("tot_approved_units") > 0, F.array(F.lit("D-1"), F.lit("R-3"))),
+        **{c: none for c in ("project_name", "tenure", "app_submit_dt", "application_status", "project_type", "affordable_units", "app_submitted_sb35", "has_building_permit", "match_method")},
+    })
+    return _published(P.filings_table(rows), "apr_filings")
+
+
+@query(f"""WITH {_PARCELS} SELECT project_no, CAST(substr(applied, 1, 4) AS INT) AS year, 'a' AS agency, type, status, '' AS name, description, applied, '' AS approved, CASE WHEN ord % 2 = 0 THEN coalesce(parcel_address, '') ELSE planning.address END AS address, apn,
+    '' AS planner, coalesce(z, '') AS zone_code, dens AS max_density, coalesce(height, '') AS max_height FROM planning LEFT JOIN zp USING (apn)""", "planning parcels")
+def s17_planning_table(t):
+    none = F.lit(None).cast("string")
+    rows = t("planning").withColumns({"year": F.left("applied", F.lit(4)), "agency": F.lit("a"), "name": none, "approved": none, "planner": none, "address": F.when(F.col("ord") % 2 == 0, "").otherwise(F.col("address"))})
+    return _published(P.planning_table(rows, t("parcels"), _zoning(t)), "planning_projects")
+
+
+@query(f"""WITH {_PARCELS}, u AS ({_UNIFIED}) SELECT project_id, project_name, coalesce(nullif(u.address, ''), parcel_address, '') AS address, u.apn, coalesce(z, '') AS zone_code, coalesce(zc, '') AS zone_category, dens AS max_density, coalesce(height, '') AS max_height,
+    CAST(best AS INT) AS units_best, best_source AS units_source, status, density_bonus, coalesce(first_activity, '') AS first_activity, coalesce(last_activity, '') AS last_activity, CAST(meetings AS INT) AS meeting_mention_count FROM u LEFT JOIN zp ON zp.apn = u.apn""", "named_projects mentions apr_filings parcels")
+def s17_housing_table(t):
+    back = _published(P.housing_table(bound_housing(t), t("parcels"), _zoning(t)), "housing_projects")
+    return back.select(
+        "project_id", "project_name", "address", "apn", "zone_code", "zone_category", "max_density", "max_height", "units_best", "units_source", "status", "density_bonus", "first_activity", "last_activity", "meeting_mention_count"
+    )
+
+
+@query("SELECT CAST(s_suppkey AS INT) AS account, s_name AS business, CASE WHEN s_suppkey % 2 = 0 THEN 'Active' ELSE '' END AS license_status, '' AS business_area, '' AS rental_type, '' AS address, CAST(s_nationkey AS VARCHAR) AS apn, '' AS property_manager, s_acctbal AS latitude, 0.0::DOUBLE AS longitude FROM supplier")
+def s17_licenses_table(t):
+    none = F.lit(None).cast("string")
+    rows = t("supplier").select(F.col("s_suppkey").alias("account"), F.col("s_name").alias("business"), F.when(F.col("s_suppkey") % 2 == 0, "Active").alias("license_status"), F.col("s_nationkey").alias("apn"), F.col("s_acctbal").alias("latitude"))
+    return _published(P.licenses_table(rows.withColumns({c: none for c in ("business_area", "rental_type", "address", "property_manager", "longitude")})), "str_licenses")
 
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 1 END AS votes, CASE WHEN doc_id % 3 = 0 THEN 0 ELSE 1 END AS positions FROM doc_records", "doc_records")

@@ -83,15 +83,3 @@ def read_log(spark: SparkSession, path: str, schema: str, since: str) -> DataFra
 def publish_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
-
-# Columns and types of the published tables.
-PUBLISHED = {
-    "permits": {"seq": "int", "agency": "string", "year": "int", "permit_no": "string", "type": "string", "status": "string", "applied": "string", "description": "string", "apn": "string"},
-    "planning_projects": {"ord": "int", "project_no": "string", "type": "string", "status": "string", "description": "string", "apn": "string", "address": "string", "applied": "string"},
-    "apr_filings": {"ord": "string", "year": "int", "apn": "string", "tot_proposed_units": "int", "tot_approved_units": "int", "density_bonus_received": "string", "unit_cat": "string", "street_address": "string"},
-}
-
-
-def published_table(df: DataFrame, name: str) -> DataFrame:
-    """df in the published layout: its columns in order, typed, missing strings as ''."""
-    return df.select(*[(F.coalesce(F.col(c).cast(k), F.lit("")) if k == "string" else F.col(c).cast(k)).alias(c) for c, k in PUBLISHED[name].items()])
