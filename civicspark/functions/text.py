@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -27,8 +28,20 @@ CROSSREF_TYPES = [
 ]
 CROSSREF_WORDS = ["UNIT", "DWELLING", "ADU", "SFR", "DUPLEX", "TRIPLEX", "CONDO", "APARTMENT", "TOWNHOME"]
 PLANNING_TYPES = ["DEVELOPMENT PLAN", "DENSITY BONUS"]
-PROCEDURAL = ["consent calendar", "roll call", "pledge of allegiance", "adjournment", "proclamation", "presentation"]
-SUBSTANTIVE = ["motion", "vote", "approved", "denied", "ordinance", "resolution", "zoning", "permit", "license", "budget", "housing"]
+# Words of procedure and of substance in meeting texts, and file names that are never read.
+PROCEDURAL = [
+    "consent calendar", "roll call", "pledge of allegiance", "invocation", "approval of minutes", "adjournment", "public comment period",
+    "ceremonial", "proclamation", "presentation", "recognition", "warrant register", "treasurer report", "city manager report",
+    "moment of silence", "flag salute",
+]
+SUBSTANTIVE = [
+    "motion", "second", "vote", "aye", "nay", "approved", "denied", "continued", "tabled", "public hearing", "ordinance", "resolution",
+    "zoning", "permit", "variance", "conditional use", "general plan", "specific plan", "ceqa", "eir", "subdivision", "development",
+    "budget", "bond", "tax", "fee", "assessment", "grant", "appropriat", "revenue", "expenditure", "contract", "violation", "enforcement",
+    "litigation", "compliance", "penalty", "lawsuit", "state law", "appeal", "housing", "density", "affordable", "rezone",
+    "infrastructure", "traffic", "water", "sewer", "utilities", "public safety", "fire", "police", "emergency", "park", "recreation",
+    "library", "transit",
+]
 SKIPPED_NAMES = ["bid.?tabulation", "warrant.?register", "check.?register", "treasurer.?report", "vendor.?list"]
 
 
@@ -87,22 +100,35 @@ def content_hash(*columns: str) -> Column:
     return F.substring(F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256), 1, 16)
 
 
-def project_name(description: Column, rules: list[tuple[str, str, int]]) -> Column:
-    """struct(name, method) by the first of (pattern, method, group) that matches; both null without one."""
+def project_name(description: Column, rules: list[tuple[str, str, str]] | None = None) -> Column:
+    """struct(name, method) by the first of (pattern, method, name) that matches, where {1} and {2} in a name stand for
+    the pattern's groups; names have single blanks, "PA 1" for "PA1" and "N" for "NORTH". Both are null without a match."""
     upper = F.trim(F.upper(description))
     out = F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("method"))
-    for pattern, method, group in reversed(rules):
-        name = F.regexp_replace(F.trim(F.regexp_extract(upper, pattern, group)), r"\s+", " ")
-        name = F.regexp_replace(F.regexp_replace(name, r"PA *(\d)", "PA $1"), r"\bNORTH\b", "N")
-        out = F.when(upper.rlike(pattern), F.struct(name.alias("name"), F.lit(method).alias("method"))).otherwise(out)
+    for pattern, method, form in reversed(rules or NAME_RULES):
+        parts = [F.trim(F.regexp_extract(upper, pattern, int(p))) if p in ("1", "2") else F.lit(p) for p in re.split(r"\{(\d)\}", form) if p]
+        name = F.regexp_replace(F.regexp_replace(F.concat(*parts), r"\s+", " "), r"PA\s*(\d)", "PA $1")
+        out = F.when(upper.rlike(pattern), F.struct(F.regexp_replace(name, r"\bNORTH\b", "N").alias("name"), F.lit(method).alias("method"))).otherwise(out)
     return out
 
 
-# Default rules as (pattern, method, group).
+# Default rules as (pattern, method, name), in order.
 NAME_RULES = [
-    (r"LOT\s+\d+\s*-\s*PLAN\s+TYPE\s+\w+\s*-\s*([\w\s]+?)\s*-", "lot_plan", 1),
-    (r"(OLIVE\s+PARK)", "named_project", 1),
-    (r"(COAST\s+VILLAS)", "named_project", 1),
+    (r"LOT\s+\d+\s*[-–]\s*PLAN\s+TYPE\s+\w+\s*[-–]\s*([\w\s]+?)\s*[-–]", "lot_plan", "{1}"),
+    (r"((?:MONARCH|MAGNOLIA|MAHOGANY|CYPRESS|MONTEREY)\s+(?:N|NORTH)\s+RIVER\s+FARMS)", "river_farms", "{1}"),
+    (r"MELRO[SE]+\s+H(?:EI|GH)?(?:TS|GHTS)\s+(PA\s*\d+\s*(?:HARBOR|STRAND|SUNSET))", "melrose_heights", "MELROSE HEIGHTS {1}"),
+    (r"PH\s*\d+\s+MELRO[SE]+\s+H(?:EI|GH)?(?:TS|GHTS)\s+(PA\s*\d+\s*(?:HARBOR|STRAND|SUNSET))", "melrose_heights", "MELROSE HEIGHTS {1}"),
+    (r"PA\s*([123])\s*(HARBOR|STRAND|SUNSET)", "melrose_pa_num", "MELROSE HEIGHTS PA {1} {2}"),
+    (r"(PA\s*1)\s+PHASE", "melrose_pa", "MELROSE HEIGHTS {1}"),
+    (r"PA\s*2\s+(?:PLAN|LOT)", "melrose_pa2", "MELROSE HEIGHTS PA 2"),
+    (r"(NEPTUNE)", "named_project", "{1}"),
+    (r"(MODERA\s+MELROSE)", "named_project", "{1}"),
+    (r"(OLIVE\s+PARK)", "named_project", "{1}"),
+    (r"(COAST\s+VILLAS)", "named_project", "{1}"),
+    (r"(SANDPIPER\s+VILLA)", "named_project", "{1}"),
+    (r"(GREENBRIER\s+VILLAGE)", "named_project", "{1}"),
+    (r"(SOUTH\s+RIVER\s+VILLAGE)", "named_project", "{1}"),
+    (r"(AVOCADO\s+ROAD)", "named_project", "{1}"),
 ]
 
 
