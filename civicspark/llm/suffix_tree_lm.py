@@ -24,16 +24,15 @@ _HALF = float(np.log10(0.5))
 
 
 def token_bytes(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each text as its lower-cased words with one blank between them and a newline at the end; and the offsets."""
+    """Each text as its lower-cased words, each with a blank after it, and a newline at the end; and the offsets.
+
+    So no token's spelling starts another's: the probabilities of all tokens that can come next sum to at most 1."""
     counts = np.diff(first)
-    empty = counts == 0
-    sizes = ends - starts + 1
-    total = np.r_[0, np.cumsum(sizes)]
-    out_offsets = np.r_[0, np.cumsum(total[first[1:]] - total[first[:-1]] + empty)]
+    total = np.r_[0, np.cumsum(ends - starts + 1)]
+    out_offsets = np.r_[0, np.cumsum(total[first[1:]] - total[first[:-1]] + 1)]
     out = np.full(out_offsets[-1], 32, np.uint8)
-    after = total[1:] + np.repeat(np.r_[0, np.cumsum(empty)][:-1], counts) - 1  # the byte that follows each word
     inside = np.ones(len(out), bool)
-    inside[after] = False
+    inside[total[1:] - 1 + np.repeat(np.arange(len(counts)), counts)] = False  # the blank after each word
     inside[out_offsets[1:] - 1] = False
     out[inside] = _LOWER[data[~_SPACE[data]]]
     out[out_offsets[1:] - 1] = _NEWLINE
@@ -220,9 +219,11 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per document: (id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Learns from the documents whose crc32(id as text) mod `folds` is not `held_out`. score: the sum over tokens of the
-    log10 of half the token's spelled probability and half its share as a whole word (that of the base score), so
-    that every word of the training documents, however rare, is part of the model. A token is spelled as the bytes of
-    its lower-cased letters and a blank, the end as a newline, under a suffix tree: contexts of up to `depth` bytes
+    log10 of half the token's spelled probability and half its probability as a whole word, which is that of the base
+    score for words that training has; the base score's class of unknown words shares its probability out by their
+    spelling. So every word of the training documents, however rare, is part of the model, and the probabilities of all
+    texts sum to at most 1. A token is spelled as the bytes of its lower-cased letters and a blank, the end as a newline,
+    under a suffix tree: contexts of up to `depth` bytes
     that make up `least_share` of all places and whose next byte differs from that after the shorter context by
     `least_gain` bits over the corpus (count-weighted KL divergence). These contexts, their prefixes and their suffixes
     are the states; next-byte distributions are smoothed with the shorter context's as `strength` more observations,
@@ -254,6 +255,7 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     below = n_train + 0.5 * (v_train + 1)
     n_end = words.where(F.col("key") == END_KEY).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     end = float(np.log10((n_end + 0.5) / below))
+    new = float(np.log10((1 + 0.5 / below) / 2))  # of a token that training lacks, besides its spelling
     shared = spark.sparkContext.broadcast((tree.arrays(), head["key"].to_numpy(), head["n"].to_numpy()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,9 +272,8 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 bytes_ = byte_scores(tree, stream, edges)
                 sums = np.r_[0, np.cumsum(bytes_)]
                 sizes = ends - starts + 1
-                at = np.cumsum(sizes) - sizes + np.r_[0, np.cumsum(np.diff(first) == 0)][doc]
-                last = np.arange(len(starts)) == first[doc + 1] - 1
-                spelled = sums[at + sizes - last] - sums[at]  # of each word with the blank that ends it; the last word's newline is the end
+                at = np.cumsum(sizes) - sizes + doc
+                spelled = sums[at + sizes] - sums[at]  # of each word with the blank that ends it
                 each, at = np.unique(hashes, return_inverse=True)
                 place = np.minimum(np.searchsorted(keys, each), max(0, len(keys) - 1))
                 hit = keys[place] == each if len(keys) else np.zeros(len(each), bool)
@@ -280,7 +281,8 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 log = logs[place[at[known]]] if len(logs) else np.zeros(0)
                 base = np.bincount(doc[known], log, docs).astype(np.float64)
                 score = np.bincount(doc[known], np.logaddexp(log * _LN10, spelled[known] * _LN10) / _LN10 + _HALF, docs).astype(np.float64)
-                score += np.logaddexp(end * _LN10, bytes_[edges[1:] - 1] * _LN10) / _LN10 + _HALF
+                newline = bytes_[edges[1:] - 1]
+                score += np.logaddexp(end * _LN10, newline * _LN10) / _LN10 + _HALF if n_end else newline + new
                 n_known = np.bincount(doc[known], minlength=docs)
                 lists = np.r_[0, np.cumsum(np.bincount(doc[~known], minlength=docs))].astype(np.int32)
                 tag = [_digest(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
@@ -293,12 +295,13 @@ def suffix_tree_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     scored = cut(texts.select("id", "text", "out").mapInArrow(run, "id long, held_out boolean, tag long, n_tokens long, known long, base double, score double, rest array<long>, spelled array<double>"))
     rest = scored.select("id", "tag", F.inline(F.arrays_zip("rest", "spelled"))).withColumnRenamed("rest", "key")
     share = (F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(below))
+    known = F.log10((share + F.pow(F.lit(10.0), F.greatest("spelled", F.lit(-300.0)))) / 2)
     exact = lambda x: F.sum(x.cast("decimal(38,18)")).cast("double")
     sums = (
         rest.join(words, "key", "left").groupBy("id", "tag")
         .agg(
             exact(F.log10(share)).alias("more"),
-            exact(F.log10((share + F.pow(F.lit(10.0), F.greatest("spelled", F.lit(-300.0)))) / 2)).alias("more_score"),
+            exact(F.when(F.col("n") > 0, known).otherwise(F.col("spelled") + F.lit(new))).alias("more_score"),
             F.count(F.when(F.col("n") > 0, 1)).alias("found"),
         )
     )

@@ -1,6 +1,7 @@
 """The ten operators and the pipeline against brute force, and on nulls, empty tables, repeats and clashing columns."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -302,22 +303,40 @@ def test_suffix_tree_score_is_that_of_a_naive_tree(spark):
     train = [n for n, (i, _) in enumerate(rows) if zlib.crc32(str(i).encode()) % 5 != 1]
     counts = Counter(w for n in train for w in [*tokens[n], 0])
     below = sum(counts.values()) + 0.5 * (len(counts) + 1)
-    log10 = naive_tree([(" ".join(tokens[n]) + "\n").encode() for n in train], 4, 1e-3, 5.0, 4.0)
+    log10 = naive_tree([("".join(w + " " for w in tokens[n]) + "\n").encode() for n in train], 4, 1e-3, 5.0, 4.0)
     got = {}
     for r in suffix_tree_scores(spark.createDataFrame(rows, "doc_id long, text string").withColumn("key", F.lit(1)), depth=4, least_share=1e-3, least_gain=5.0, head_tokens=60).collect():
         got.setdefault(r.doc_id, []).append(r.score)
     for n, (i, _) in enumerate(rows):
         said, score = b"", 0.0
-        for k, w in enumerate([*tokens[n], 0]):
-            spelled = b"\n" if w == 0 else w.encode() + (b" " if k < len(tokens[n]) - 1 else b"")
+        for w in [*tokens[n], 0]:
+            spelled = b"\n" if w == 0 else w.encode() + b" "
             each = 0.0
             for x in spelled:
                 each += log10(said, x)
                 said += bytes([x])
-            score += math.log10((10**each + (counts[w] + 0.5) / below) / 2)
+            whole = (counts[w] + 0.5) / below if counts[w] else 10**each * 0.5 / below
+            score += math.log10((10**each + whole) / 2)
         assert all(abs(g - score) < 1e-3 * max(1, abs(score)) for g in got[i]), (i, got[i], score)
 
 
+@pytest.mark.parametrize("head", [0, 1_000_000])
+def test_suffix_tree_probabilities_sum_to_at_most_one(spark, head):
+    """All texts over {a, b} of up to 7 letters in one word, and of two words of up to 3 letters each."""
+    rng = random.Random(2)
+    train = [(i, " ".join("".join(rng.choices("ab", k=rng.randrange(1, 4))) for _ in range(rng.randrange(5)))) for i in range(300)]
+    train = [t for t in train if zlib.crc32(str(t[0]).encode()) % 5 != 1]
+    letters = lambda n: ["".join(x) for k in range(1, n + 1) for x in itertools.product("ab", repeat=k)]
+    asked = ["", *letters(7), *(f"{a} {b}" for a in letters(3) for b in letters(3))]
+    free = (i for i in itertools.count(10_000) if zlib.crc32(str(i).encode()) % 5 == 1)  # held out
+    rows = [(next(free), t) for t in asked]
+    got = suffix_tree_scores(spark.createDataFrame(train + rows, "doc_id long, text string"), depth=3, least_share=1e-3, least_gain=1.0, head_tokens=head).where("held_out").collect()
+    total = sum(10**r.score for r in got)
+    assert len(got) == len(asked) and 0.3 < total <= 1 + 1e-6
+    alone = suffix_tree_scores(spark.createDataFrame(rows, "doc_id long, text string"), depth=3).collect()  # without training rows
+    assert sum(10**r.score for r in alone) <= 1 + 1e-6
+
+
 def test_suffix_tree_on_executors_without_the_package(tmp_path):
     import os
     import subprocess
