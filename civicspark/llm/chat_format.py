@@ -102,32 +102,33 @@ def format_chats(turns: DataFrame, budget: int = 1024, history: int = 2, target:
     the conversation's system turn (its first row, if that is of role system), then up to `history` turns before it,
     then new turns, up to `budget` tokens; a larger single turn has a window of its own, never cut. `n_repeated` turns
     at the start of a window are repeated and masked; `loss` has the character spans of the new turns of role
-    `target`, so each such text is learned once. Windows also break after every 64 numbers of `turn`: such a block is
-    the most that a task holds, however long a conversation is (rows that share one number stay together).
+    `target`, so each such text is learned once. Windows also break after every 64 turns (or `history`, if more): such a
+    block, with the history before it, is the most that a task holds, however long a conversation is. Blocks are of
+    ranks, so sparse turn numbers give the same windows as dense ones.
 
     Null role or text: empty. Null turn: before all others. Null conv: a conversation of its own. Other columns are
     not read. An empty table gives none.
     """
+    size = max(_BLOCK, history)
     rows = turns.select(
         F.col(conv_col).cast("long").alias("conv"),
         F.coalesce(F.col(turn_col).cast("long"), F.lit(-(2**62))).alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("body"),
-    ).select("*", F.floor(F.col("turn") / _BLOCK).cast("long").alias("block"), (F.ceil(F.octet_length("body") / 4) + 4).cast("int").alias("tokens"))
-    first = rows.groupBy("conv").agg(F.min("turn").alias("t0"), F.max("turn").alias("t1"))
-    start = rows.join(first, F.col("turn").eqNullSafe(F.col("t0")) & rows.conv.eqNullSafe(first.conv), "left_semi")
-    order = Window.partitionBy("conv").orderBy("turn", "role", "body")
-    system = start.withColumn("at", F.row_number().over(order)).where("at = 1 and role = 'system'").selectExpr("conv sc", "block sb", "role", "body", "tokens")
-    blocks = rows.select("conv", "block").distinct()
-    heads = system.join(blocks, F.col("sc").eqNullSafe(F.col("conv"))).where("block <> sb").selectExpr("conv", "block", "0 kind", "0L at", "role", "body", "tokens")
-    from_end = Window.partitionBy("conv", "block").orderBy(F.desc("turn"), F.desc("role"), F.desc("body"))
-    place = Window.partitionBy("conv", "block").orderBy("turn", "role", "body")
-    placed = rows.withColumn("at", F.row_number().over(place)).withColumn("back", F.row_number().over(from_end))
-    is_head = (F.col("at") == 1) & (F.col("role") == "system") & (F.col("turn") == F.col("t0"))
-    placed = placed.join(first.withColumnRenamed("conv", "fc"), F.col("conv").eqNullSafe(F.col("fc")))
-    own = placed.select("conv", "block", F.when(is_head, 2).otherwise(3).alias("kind"), F.col("at").cast("long").alias("at"), "role", "body", "tokens")
-    past = placed.where((F.col("back") <= history) & ~is_head).selectExpr("conv", "block + 1 block", "1 kind", "cast(at as long) at", "role", "body", "tokens")
-    past = past.join(blocks.selectExpr("conv bc", "block bb"), F.col("conv").eqNullSafe(F.col("bc")) & (F.col("block") == F.col("bb")), "left_semi")
+    ).select("*", F.floor(F.col("turn") / size).cast("long").alias("numbers"), (F.ceil(F.octet_length("body") / 4) + 4).cast("int").alias("tokens"))
+    # a turn's rank in its conversation: the rows of smaller ranges of numbers, and its rank in its own range
+    counts = rows.groupBy(F.col("conv").alias("c"), F.col("numbers").alias("b")).agg(F.count("*").alias("n"))
+    earlier = F.coalesce(F.sum("n").over(Window.partitionBy("c").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranges = counts.select("c", "b", earlier.alias("before"), F.sum("n").over(Window.partitionBy("c")).alias("total"))
+    inside = F.row_number().over(Window.partitionBy("conv", "numbers").orderBy("turn", "role", "body"))
+    placed = rows.withColumn("inside", inside).join(ranges, F.col("conv").eqNullSafe(F.col("c")) & (F.col("numbers") == F.col("b"))).withColumn("rank", F.col("before") + F.col("inside") - 1)
+    placed = placed.withColumns({"block": F.floor(F.col("rank") / size).cast("long"), "at": F.col("rank") % size + 1})
+    is_head = (F.col("rank") == 0) & (F.col("role") == "system")
+    later = F.explode(F.sequence(F.lit(1).cast("long"), F.floor((F.col("total") - 1) / size).cast("long")))
+    heads = placed.where(is_head & (F.col("total") > size)).select("conv", later.alias("block"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("at"), "role", "body", "tokens")
+    own = placed.select("conv", "block", F.when(is_head, 2).otherwise(3).alias("kind"), "at", "role", "body", "tokens")
+    follows = (F.col("block") + 1) * size < F.col("total")
+    past = placed.where((F.col("at") > size - history) & follows & ~is_head).selectExpr("conv", "block + 1 block", "1 kind", "at", "role", "body", "tokens")
     all_ = heads.unionByName(own).unionByName(past)
     n = int(turns.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     streams = all_.repartition(n, "conv", "block").sortWithinPartitions("conv", "block", "kind", "at").select("conv", "block", "kind", "role", "body", "tokens")

@@ -451,6 +451,15 @@ def test_chats_round_trip(spark):
         assert got[c].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
     assert format_chats(turns.limit(0)).count() == 0
     assert unescape(escape("\\### a: </turn>\n")) == "\\### a: </turn>\n"
+    few = [(9, 100 * k, "user", f"turn {k}") for k in range(6)]
+    long = [(8, k * k * 7 - 300, "system" if k == 0 else "assistant", f"turn {k} " + "x" * (k % 50)) for k in range(300)] + [(7, None, "user", None), (7, None, "user", "b"), (None, 3, "a", "t"), (None, 3, "a", "t")]
+    dense = {(9, 100 * k): k for k in range(6)} | {(8, k * k * 7 - 300): k for k in range(300)}
+    schema = "conv_id long, turn long, role string, text string"
+    made = [format_chats(spark.createDataFrame([(c, f(c, n), r, t) for c, n, r, t in few + long], schema), budget=150) for f in (lambda c, n: n, lambda c, n: dense.get((c, n), n))]
+    assert sorted(map(repr, made[0].collect())) == sorted(map(repr, made[1].collect()))
+    assert made[0].where("conv = 9").count() == 1 and made[0].where("conv = 8 and n_repeated = 0").count() == 1  # every later window repeats the system turn or history
+    told = {r.conv: r.n_turns for r in read_back(made[0]).collect()}
+    assert told == {9: 6, 8: 300, 7: 2, None: 2}
     assert spans([(5, False)] * 5, 12, 1) == [(0, 0, 2), (1, 2, 3), (2, 3, 4), (3, 4, 5)]
 
 
