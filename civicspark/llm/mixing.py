@@ -67,8 +67,8 @@ def find_exponent(sources: DataFrame, budget_share: float, entropy: float, most_
     return max(edge(spread_enough, True), edge(few_repeats, False))
 
 
-def _placed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", budget_share: float = 1.0, entropy: float = 0.98, most_repeats: float = 2.0, block_tokens: int = 200_000, schedule_blocks: int | None = None, seed: int = 17) -> DataFrame:
-    """(row: struct of all columns, tokens, weight, epochs, position, copies: array of (copy, block, order))."""
+def _placed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", budget_share: float = 1.0, entropy: float = 0.98, most_repeats: float = 2.0, block_tokens: int = 200_000, schedule_blocks: int | None = None, seed: int = 17) -> tuple[DataFrame, int]:
+    """(row: struct of all columns, tokens, weight, epochs, position, copies: array of (copy, block, order)), and the number of blocks."""
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.coalesce(F.col(f"`{source_col}`").cast("string"), F.lit("")).alias("src"),
@@ -105,7 +105,7 @@ def _placed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     copies = F.when(times > 0, F.transform(F.sequence(F.lit(0), times - 1), copy)).otherwise(F.array().cast("array<struct<copy:int,block:int,order:bigint>>"))
     known = placed.select(*of, "key", "weight", "epochs", "position", copies.alias("copies"))
     out = rows.join(known, [*of, "key"])
-    return reading(out.drop(*of, "key"), narrow, by_source, plan)
+    return reading(out.drop(*of, "key"), narrow, by_source, plan), blocks
 
 
 def mix_sources(docs: DataFrame, **options) -> DataFrame:
@@ -125,19 +125,20 @@ def mix_sources(docs: DataFrame, **options) -> DataFrame:
     may be of any length. An empty table gives none. Columns of docs keep their names and values; one named `mix` is
     replaced.
     """
-    out = _placed(docs, **options)
+    out, _ = _placed(docs, **options)
     blocks = F.transform("copies", lambda c: c["block"])
     mix = F.struct("tokens", "weight", "epochs", F.size("copies").alias("copies"), "position", F.get(blocks, F.lit(0)).alias("block"), blocks.alias("blocks"))
     return reading(out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns if c != "mix"], mix.alias("mix")), out)
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs as they are to be read: a row for each copy, none for 0 copies, in the schedule's order: every
-    partition holds whole blocks, one after the other, with the copies in them in the order of a seeded hash.
+    """The rows of docs as they are to be read: a row for each copy, none for 0 copies, in the schedule's order: read one
+    after the other, the partitions hold the blocks in order, with the copies in a block in the order of a seeded hash.
 
     Same columns, whatever they are called. Options, nulls, repeats and empty tables as for mix_sources.
     """
-    out = _placed(docs, **options)
+    out, blocks = _placed(docs, **options)
     each = out.select("row", F.explode("copies").alias("copy")).select("row", "copy.block", "copy.order")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return reading(each.repartition(n, "block").sortWithinPartitions("block", "order").select("row.*"), out)
+    dealt = each.repartitionById(n, F.floor(F.col("block") * n / blocks).cast("int"))
+    return reading(dealt.sortWithinPartitions("block", "order").select("row.*"), out)

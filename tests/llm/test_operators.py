@@ -208,6 +208,9 @@ def test_mixing_equals_plain_bisection_and_realises_all_copies(spark):
         assert all(a + n == b for (a, n), (b, _) in zip(places, places[1:], strict=False))
         out = mixed(df, entropy=entropy, most_repeats=most, block_tokens=200, schedule_blocks=10)
         assert out.columns == df.columns
+        block = {r.doc_id: r.mix.blocks[0] for r in got if r.mix.copies == 1 and r.doc_id not in (None, 7)}
+        read = [block[r.doc_id] for r in out.collect() if r.doc_id in block]
+        assert len(read) == len(block) and read == sorted(read) and len(set(read)) > 5
         assert Counter((r.doc_id, r.text, r.source) for r in out.collect() if r.mix == "own") == sum((Counter({(r.doc_id, r.text, r.source): r.mix.copies}) for r in got), Counter())
 
 
