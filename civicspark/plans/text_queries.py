@@ -136,20 +136,45 @@ def s3_array_union(t):
     return io.read_json_arrays(plans.sparkSession, [one, two], "apn string, file string", "apn").select("apn", "file")
 
 
-@query("SELECT ord, tot_proposed_units, 0 AS bad FROM apr_filings WHERE unit_cat = 'ADU'", "apr_filings")
-def s4_csv_filings(t):
-    rows = t("apr_filings").select("ord", "tot_proposed_units", "unit_cat", F.lit("abc").alias("bad"))
-    path = _place(rows, "s4")
+# Raw columns of the two tables by their SQL over the bound ones; others hold their own name in blanks.
+_RAW_FILING = {
+    "YEAR": "CAST(year AS STRING)", "APN": "concat('1-', apn, '-0')", "STREET_ADDRESS": "street_address", "JURS_TRACKING_ID": "ord", "UNIT_CAT": "unit_cat", "TOT_PROPOSED_UNITS": "concat(' ', CAST(tot_proposed_units AS STRING), ' ')",
+    "TOT_APPROVED_UNITS": "CASE WHEN tot_approved_units = 0 THEN 'none' ELSE CAST(tot_approved_units AS STRING) END", "VLOW_INCOME_DR": "CAST(vlow_income_dr AS STRING)", "LOW_INCOME_NDR": "CAST(low_income_ndr AS STRING)",
+    "MOD_INCOME_DR": "CASE WHEN mod_income_dr = 0 THEN '' ELSE CAST(mod_income_dr AS STRING) END", "ABOVE_MOD_INCOME": "CAST(above_mod_income AS STRING)", "LATITUDE": "CASE WHEN unit_cat = 'SFD' THEN 'north' ELSE '33.25' END", "LONGITUDE": "'-117.5'",
+    "JURIS_NAME": "CASE WHEN unit_cat = 'ADU' THEN ' Vista ' WHEN unit_cat = 'SFD' THEN 'VISTA' ELSE 'Elsewhere' END",
+}
+_RAW_CREDIT = {
+    "HUD_ID": "hud_id", "PROJECT": "project", "PROJ_ADD": "proj_add", "PROJ_CTY": "lower(proj_cty)", "PROJ_ST": "CASE WHEN n_units % 3 = 0 THEN 'NV' ELSE ' ca' END", "N_UNITS": "CAST(n_units AS STRING)", "LI_UNITS": "CASE WHEN li_units < 9 THEN 'few' ELSE CAST(li_units AS STRING) END",
+    "YR_PIS": "'1999'", "LATITUDE": "'33.5'",
+}
+
+
+def _read_column(name: str, raw: dict[str, str], numbers: dict[str, str], zero: bool) -> str:
+    value = f"trim({raw.get(name, repr(' ' + name + ' '))})"
+    if name not in numbers:
+        return value
+    number = f"try_cast({value} AS {numbers[name]})"
+    return f"coalesce({number}, 0)" if zero and numbers[name] == "int" else number
+
+
+def _csv(t, bound: str, raw: dict[str, str], names: list[str], place: str) -> str:
+    rows = t(bound).select(*[F.expr(raw.get(c, repr(" " + c + " "))).alias(c) for c in names])
+    path = _place(rows, place)
     io.publish_csv(rows, path)
-    return io.read_csv(rows.sparkSession, path, {"ord": "string", "tot_proposed_units": "int", "bad": "int"}, F.trim(F.upper("unit_cat")) == "ADU")
+    return path
+
 
+_FILED = {c: _read_column(c, _RAW_FILING, io.FILING_NUMBERS, True) for c in io.FILING_FIELDS}
 
-@query("SELECT hud_id, n_units FROM lihtc WHERE proj_cty IN ('VISTA')", "lihtc")
+
+@query(f"SELECT {', '.join((f"replace({v}, '-', '')" if c == "APN" else v) + f' AS {c.lower()}' for c, v in _FILED.items())}, CAST({' + '.join(_FILED[c] for c in io.AFFORDABLE_FIELDS)} AS INT) AS affordable_units FROM apr_filings WHERE unit_cat IN ('ADU', 'SFD')", "apr_filings")
+def s4_csv_filings(t):
+    return io.read_filings(t("apr_filings").sparkSession, _csv(t, "apr_filings", _RAW_FILING, [*io.FILING_FIELDS, "JURIS_NAME"], "s4"), "VISTA")
+
+
+@query(f"SELECT {', '.join(_read_column(c, _RAW_CREDIT, io.CREDIT_NUMBERS, False) + f' AS {c.lower()}' for c in io.CREDIT_FIELDS)} FROM lihtc WHERE proj_cty = 'VISTA' AND n_units % 3 <> 0", "lihtc")
 def s5_credit_table(t):
-    rows = t("lihtc")
-    path = _place(rows, "s5")
-    io.publish_csv(rows, path)
-    return io.read_csv(rows.sparkSession, path, {"hud_id": "string", "n_units": "int"}, F.col("proj_cty").isin("VISTA"))
+    return io.read_credits(t("lihtc").sparkSession, _csv(t, "lihtc", _RAW_CREDIT, io.CREDIT_FIELDS, "s5"), "CA", ["VISTA", "NOWHERE"])
 
 
 @query("SELECT doc_id, meeting_id FROM doc_records WHERE doc_id % 5 <> 0", "doc_records")

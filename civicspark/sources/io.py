@@ -30,15 +30,6 @@ def read_json_arrays(spark: SparkSession, paths: list[str], schema: str | T.Stru
     return union.withColumn("_r", rank).where("_r = 1").drop("_r")
 
 
-def read_csv(spark: SparkSession, path: str, casts: dict[str, str], where: Column | None = None) -> DataFrame:
-    """Named columns of a CSV with header, leniently cast: a bad int is 0, a bad other number null."""
-    rows = spark.read.option("header", True).csv(path)
-    if where is not None:
-        rows = rows.where(where)
-    cast = lambda c, kind: F.coalesce(F.col(c).try_cast(kind), F.lit(0)) if kind == "int" else F.col(c).try_cast(kind)
-    return rows.select(*[cast(c, kind).alias(c) for c, kind in casts.items()])
-
-
 def read_texts(spark: SparkSession, paths: str) -> DataFrame:
     """(file_name, text) of whole text files."""
     return spark.read.text(paths, wholetext=True).select(F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("file_name"), F.col("value").alias("text"))
@@ -83,3 +74,47 @@ def read_log(spark: SparkSession, path: str, schema: str, since: str) -> DataFra
 def publish_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
+
+
+# The columns kept of the statewide housing filings, which of them are whole numbers and decimals, and the
+# income columns that count as affordable; and the columns kept of the national table of housing credits.
+FILING_FIELDS = [
+    "YEAR", "PRIOR_APN", "APN", "STREET_ADDRESS", "PROJECT_NAME", "JURS_TRACKING_ID", "UNIT_CAT", "TENURE", "APP_SUBMIT_DT",
+    "ACUTELY_LOW_INCOME_DR", "ACUTELY_LOW_INCOME_NDR", "EXTREMELY_LOW_INCOME_DR", "EXTREMELY_LOW_INCOME_NDR",
+    "VLOW_INCOME_DR", "VLOW_INCOME_NDR", "LOW_INCOME_DR", "LOW_INCOME_NDR", "MOD_INCOME_DR", "MOD_INCOME_NDR", "ABOVE_MOD_INCOME",
+    "TOT_PROPOSED_UNITS", "TOT_APPROVED_UNITS", "TOT_DISAPPROVED_UNITS", "APP_SUBMITTED_SB35", "DENSITY_BONUS_RECEIVED",
+    "DENSITY_BONUS_APPROVED", "APPLICATION_STATUS", "PROJECT_TYPE", "NOTES", "LATITUDE", "LONGITUDE", "STD_ADDRESS",
+]
+AFFORDABLE_FIELDS = FILING_FIELDS[9:19]
+FILING_NUMBERS = {**dict.fromkeys(FILING_FIELDS[9:23], "int"), "LATITUDE": "double", "LONGITUDE": "double"}
+CREDIT_FIELDS = [
+    "HUD_ID", "PROJECT", "PROJ_ADD", "PROJ_CTY", "PROJ_ST", "PROJ_ZIP", "LATITUDE", "LONGITUDE", "N_UNITS", "LI_UNITS", "YR_ALLOC",
+    "YR_PIS", "CREDIT", "TYPE", "STATE_ID", "FIPS2010",
+]
+CREDIT_NUMBERS = {"LATITUDE": "double", "LONGITUDE": "double", **dict.fromkeys(["N_UNITS", "LI_UNITS", "YR_ALLOC", "YR_PIS"], "int")}
+
+
+def _trimmed(name: str) -> Column:
+    return F.btrim(F.coalesce(F.col(name), F.lit("")), F.lit(" \t\n\x0b\f\r"))
+
+
+def _said(name: str, *values: str) -> Column:
+    return F.upper(_trimmed(name)).isin(*values)
+
+
+def read_filings(spark: SparkSession, path: str, jurisdiction: str) -> DataFrame:
+    """The filings of one jurisdiction from the statewide CSV with header: FILING_FIELDS in lower case, trimmed; a bad
+    whole number is 0, a bad decimal null, a missing text ''; apn without dashes; and affordable_units, the sum of the
+    affordable income columns. The filter on JURIS_NAME is on trimmed upper case."""
+    rows = spark.read.option("header", True).csv(path).where(_said("JURIS_NAME", jurisdiction))
+    number = lambda c, kind: F.coalesce(_trimmed(c).try_cast("int"), F.lit(0)) if kind == "int" else _trimmed(c).try_cast(kind)
+    out = rows.select(*[(number(c, FILING_NUMBERS[c]) if c in FILING_NUMBERS else _trimmed(c)).alias(c.lower()) for c in FILING_FIELDS])
+    affordable = sum((F.col(c.lower()) for c in AFFORDABLE_FIELDS[1:]), F.col(AFFORDABLE_FIELDS[0].lower()))
+    return out.withColumns({"apn": F.replace("apn", F.lit("-"), F.lit("")), "affordable_units": affordable})
+
+
+def read_credits(spark: SparkSession, path: str, state: str, cities: list[str]) -> DataFrame:
+    """Housing credit projects of a state's cities from the national table, a CSV with header: CREDIT_FIELDS in lower
+    case, trimmed; a bad number is null, a missing text ''. Filters are on trimmed upper case, first the state."""
+    rows = spark.read.option("header", True).csv(path).where(_said("PROJ_ST", state) & _said("PROJ_CTY", *cities))
+    return rows.select(*[(_trimmed(c).try_cast(CREDIT_NUMBERS[c]) if c in CREDIT_NUMBERS else _trimmed(c)).alias(c.lower()) for c in CREDIT_FIELDS])
