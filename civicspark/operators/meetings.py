@@ -22,6 +22,12 @@ def in_order(value: Column | str, order: str) -> Column:
     return F.transform(listed, lambda x: x["v"])
 
 
+def first_votes(rows: DataFrame, key: str, by: str, order: str) -> DataFrame:
+    """The first row of each (key, by); rows without a value of `by` all stay."""
+    named = F.coalesce(F.col(by), F.lit("")) != ""
+    return first_by(rows.where(named), [key, by], order).unionByName(rows.where(~named))
+
+
 def keep_substantive(records: DataFrame, key: str, procedural: str) -> DataFrame:
     """records without procedural ones, except where they are the only one of their key."""
     counts = records.groupBy(key).agg(F.count("*").alias("__n"))

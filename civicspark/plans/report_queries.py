@@ -11,7 +11,7 @@ from civicspark.operators.digest import monthly_digests
 from civicspark.operators.housing import housing_projects
 from civicspark.operators.linkage import first_by
 from civicspark.operators.logs import attributed_errors, blocking_files, gap_stops, health_report, phase_durations, run_durations
-from civicspark.operators.meetings import in_order, keep_substantive, majority, merged_meetings
+from civicspark.operators.meetings import first_votes, in_order, keep_substantive, majority, merged_meetings
 from civicspark.operators.projects import breakdown, build_projects, common_prefix, group_permits, income_tiers, islands, reconciled_units, status_of
 from civicspark.operators.reports import volume_report
 from civicspark.plans.registry import query
@@ -22,7 +22,7 @@ _PARENTS = f"""SELECT linked_parent AS project, count(*) AS permit_count, CAST(s
 
 
 def _breakdown(by: str) -> str:
-    return f"SELECT project, string_agg({by} || '=' || n, ',' ORDER BY {by}) AS {by}_breakdown FROM (SELECT linked_parent AS project, {by}, count(*) AS n FROM permits WHERE linked_parent IS NOT NULL GROUP BY 1, 2) GROUP BY 1"
+    return f"SELECT project, string_agg({by} || '=' || n, ',' ORDER BY n DESC, f) AS {by}_breakdown FROM (SELECT linked_parent AS project, {by}, count(*) AS n, min(seq) AS f FROM permits WHERE linked_parent IS NOT NULL GROUP BY 1, 2) GROUP BY 1"
 
 
 _PROJECTS = f"SELECT * FROM ({_PARENTS}) JOIN ({_breakdown('type')}) USING (project) JOIN ({_breakdown('status')}) USING (project)"
@@ -100,10 +100,12 @@ def a5_ordered_dedup(t):
     return t("doc_records").groupBy("meeting_id").agg(F.array_join(F.array_distinct(in_order("item_id", "doc_id")), ",").alias("items"))
 
 
-@query("SELECT meeting_id, key, min(doc_id) AS doc_id FROM (SELECT meeting_id, doc_id, CASE WHEN doc_id % 3 = 0 THEN item_id ELSE substr(lower(trim(body || ' ' || agency)), 1, 80) END AS key FROM doc_records) GROUP BY 1, 2", "doc_records")
+_VOTE_KEY = "CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN item_id ELSE substr(lower(trim(concat(body, ' ', agency))), 1, 80) END"
+
+
+@query(f"SELECT meeting_id, key, doc_id FROM (SELECT meeting_id, doc_id, {_VOTE_KEY} AS key FROM doc_records) QUALIFY key = '' OR row_number() OVER (PARTITION BY meeting_id, key ORDER BY doc_id) = 1", "doc_records")
 def a6_vote_dedup(t):
-    key = F.coalesce(F.when(F.col("doc_id") % 3 == 0, F.col("item_id")), F.left(F.lower(F.trim(F.concat_ws(" ", "body", "agency"))), F.lit(80)))
-    return first_by(t("doc_records").withColumn("key", key), ["meeting_id", "key"], "doc_id").select("meeting_id", "key", "doc_id")
+    return first_votes(t("doc_records").select("meeting_id", "doc_id", F.expr(_VOTE_KEY).alias("key")), "meeting_id", "key", "doc_id")
 
 
 @query("SELECT agency, arg_min(date, doc_id) AS date, bool_and(procedural_only) AS procedural_only, count(DISTINCT item_id) AS n_items FROM doc_records GROUP BY agency", "doc_records")
@@ -194,9 +196,10 @@ def a13_units(t):
 
 
 @query("""SELECT apn, CASE WHEN s > 0 THEN a END AS very_low, CASE WHEN s > 0 THEN b END AS low, CASE WHEN s > 0 THEN c END AS moderate, CASE WHEN s > 0 THEN d END AS above_moderate FROM (
-    SELECT apn, CAST(sum(vlow_income_dr) AS BIGINT) AS a, CAST(sum(low_income_ndr) AS BIGINT) AS b, CAST(sum(mod_income_dr) AS BIGINT) AS c, CAST(sum(above_mod_income) AS BIGINT) AS d, sum(vlow_income_dr + low_income_ndr + mod_income_dr + above_mod_income) AS s FROM apr_filings GROUP BY 1)""", "apr_filings")
+    SELECT apn, CAST(sum(vlow_income_dr * 2) AS BIGINT) AS a, CAST(sum(low_income_ndr + 1) AS BIGINT) AS b, CAST(sum(mod_income_dr) AS BIGINT) AS c, CAST(sum(above_mod_income) AS BIGINT) AS d, sum(vlow_income_dr * 2 + low_income_ndr + 1 + mod_income_dr + above_mod_income) AS s FROM apr_filings GROUP BY 1)""", "apr_filings")
 def a14_income_tiers(t):
-    return income_tiers(t("apr_filings"), "apn")
+    more = {"vlow_income_ndr": F.col("vlow_income_dr"), "low_income_dr": F.lit(1), "mod_income_ndr": F.lit(None).cast("int")}
+    return income_tiers(t("apr_filings").withColumns(more), "apn")
 
 
 @query("""SELECT apn, CASE WHEN n > 0 THEN CASE WHEN f THEN 'built' WHEN i THEN 'under_construction' ELSE 'permitted' END WHEN e THEN 'entitled' ELSE 'planning' END AS status FROM (
@@ -484,12 +487,12 @@ def w3_runs(t):
 
 
 @query("""WITH i AS (SELECT *, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY agency ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS g FROM probe_log)
-    SELECT event_id, streak, streak >= 3 AS quarantine FROM (SELECT event_id, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY agency, g ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS streak FROM i)""", "probe_log")
+    SELECT event_id, streak, streak >= 3 AS quarantine, streak >= 5 AS breaker FROM (SELECT event_id, CAST(sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY agency, g ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS streak FROM i)""", "probe_log")
 def w4_failure_streak(t):
     w = Window.partitionBy("agency").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     runs = t("probe_log").withColumn("g", F.sum(F.col("ok").cast("int")).over(w))
     v = Window.partitionBy("agency", "g").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return runs.select("event_id", F.sum((~F.col("ok")).cast("int")).over(v).alias("streak")).withColumn("quarantine", F.col("streak") >= 3)
+    return runs.select("event_id", F.sum((~F.col("ok")).cast("int")).over(v).alias("streak")).withColumns({"quarantine": F.col("streak") >= 3, "breaker": F.col("streak") >= 5})
 
 
 @query("SELECT doc_id, CASE WHEN count(*) OVER (PARTITION BY meeting_id, item_id) = 1 THEN item_id ELSE item_id || chr(96 + CAST(least(row_number() OVER (PARTITION BY meeting_id, item_id ORDER BY doc_id), 26) AS INT)) END AS label FROM doc_records", "doc_records")
