@@ -16,6 +16,21 @@ def agency_tier() -> Column:
     return F.when(F.coalesce("tally_only", F.lit(False)), "TALLY").when(F.coalesce("forward_only", F.lit(False)), "FORWARD").otherwise("FULL")
 
 
+def work_queues(docs: DataFrame, agencies: DataFrame, hot_since: str) -> DataFrame:
+    """docs (agency, date, transcript, ...) with `queue`: transcripts are hot; documents of agencies that are only counted
+    are tally; of agencies that are only read forward those since their enabled_date are forward, others cold; of all
+    others those since `hot_since` are hot, others cold, also those without a date. `agencies` is a small dimension
+    (agency, tally_only, forward_only, enabled_date); what it lacks has no flags."""
+    known = docs.join(agencies.select("agency", agency_tier().alias("__tier"), F.col("enabled_date").alias("__from")), "agency", "left")
+    since = lambda day: F.coalesce(F.col("date") >= day, F.lit(False))
+    queue = (
+        F.when(F.col("transcript"), "hot").when(F.col("__tier") == "TALLY", "tally")
+        .when(F.col("__tier") == "FORWARD", F.when(since(F.coalesce("__from", F.lit(""))), "forward").otherwise("cold"))
+        .when(since(F.lit(hot_since)), "hot").otherwise("cold")
+    )
+    return known.withColumn("queue", queue).drop("__tier", "__from")
+
+
 def volume_report(docs: DataFrame, agencies: DataFrame, since: str) -> DataFrame:
     """(block, name, tier, docs, per_day, per_month, last_day) of documents (agency, day) of agencies (agency,
     tally_only, forward_only) since a day. Rates are per day of the window that has documents.

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from civicspark.functions import dates as D
 from civicspark.functions import text as X
+from civicspark.operators.reports import work_queues
 from civicspark.plans.registry import query
 
 _ISO = "printf('%04d-%02d-%02d', CAST(split_part({0}, '/', 3) AS INT), CAST(split_part({0}, '/', 1) AS INT), CAST(split_part({0}, '/', 2) AS INT))"
@@ -248,12 +249,12 @@ def f30_zone_pick(t):
     return t("parcels").select("apn", F.coalesce(F.try_element_at(town, F.lit(1)), F.try_element_at(zones, F.lit(1)), F.lit("")).alias("zone"), (F.size(town) > 0).alias("is_downtown"))
 
 
-@query("""SELECT doc_id, CASE WHEN doc_type = 'minutes' THEN 'hot' WHEN r_name IS NOT NULL AND date >= '2026-06-01' THEN 'forward' WHEN date >= '2026-09-01' THEN 'hot' ELSE 'cold' END AS queue
-    FROM doc_records LEFT JOIN (SELECT DISTINCT 'src' || CAST(r_regionkey AS VARCHAR) AS agency, r_name FROM region) USING (agency)""", "doc_records")
+@query("""SELECT doc_id, CASE WHEN doc_type = 'minutes' THEN 'hot' WHEN k % 2 = 1 THEN 'tally' WHEN k IS NOT NULL THEN CASE WHEN date >= '2026-06-01' THEN 'forward' ELSE 'cold' END WHEN date >= '2026-09-01' THEN 'hot' ELSE 'cold' END AS queue
+    FROM (SELECT doc_id, CASE WHEN doc_id % 13 <> 0 THEN date END AS date, agency, doc_type FROM doc_records) LEFT JOIN (SELECT DISTINCT 'src' || CAST(r_regionkey AS VARCHAR) AS agency, r_regionkey AS k FROM region) USING (agency)""", "doc_records")
 def f31_work_queue(t):
-    flags = t("region").select(F.concat(F.lit("src"), F.col("r_regionkey").cast("string")).alias("agency"), F.lit(True).alias("forward"))
-    queue = F.when(F.col("doc_type") == "minutes", "hot").when(F.col("forward") & (F.col("date") >= "2026-06-01"), "forward").when(F.col("date") >= "2026-09-01", "hot").otherwise("cold")
-    return t("doc_records").join(flags, "agency", "left").select("doc_id", queue.alias("queue"))
+    agencies = t("region").select(F.concat(F.lit("src"), F.col("r_regionkey").cast("string")).alias("agency"), (F.col("r_regionkey") % 2 == 1).alias("tally_only"), F.lit(True).alias("forward_only"), F.lit("2026-06-01").alias("enabled_date"))
+    docs = t("doc_records").select("doc_id", "agency", F.when(F.col("doc_id") % 13 != 0, F.col("date")).alias("date"), (F.col("doc_type") == "minutes").alias("transcript"))
+    return work_queues(docs, agencies, "2026-09-01").select("doc_id", "queue")
 
 
 @query("SELECT vec_id, round(list_avg(list_transform(embedding, lambda x: x::DOUBLE)), 6) AS mean FROM embeddings")
