@@ -19,6 +19,7 @@ from civicspark.sources import io
 from civicspark.streaming import jobs
 
 _WORDS = ["license", "the", "permit"]
+_TEXTS_A_FILE = 200  # a file is read as one value
 
 
 def _place(df, name: str) -> str:
@@ -190,7 +191,7 @@ def s6_nested_records(t):
 def s7_whole_texts(t):
     docs = t("documents").select("text")
     path = _place(docs, "s7")
-    docs.select(F.to_json(F.struct("text")).alias("value")).write.text(path)
+    docs.select(F.to_json(F.struct("text")).alias("value")).write.option("maxRecordsPerFile", _TEXTS_A_FILE).text(path)
     lines = io.read_texts(docs.sparkSession, f"{path}/*.txt").select(F.explode(F.split(F.rtrim("text", F.lit("\n")), "\n")).alias("line"))
     return lines.agg(F.count("*").alias("docs"), F.sum(F.length(F.from_json("line", "text string")["text"])).alias("chars"))
 
