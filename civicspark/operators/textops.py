@@ -44,7 +44,7 @@ HEADINGS = r"^(STAFF REPORT|AGENDA ITEM|ITEM NO\.?|PUBLIC HEARING|RESOLUTION NO\
 
 def split_oversized(docs: DataFrame, id_col: str, text_col: str, target: int = 500_000, least: int = 100, headings: str = HEADINGS) -> DataFrame:
     """(id, part, text): texts over `target` characters in parts that start at headings where there are any, else at
-    lines; parts under `least` characters are dropped."""
+    lines; parts under `least` characters are dropped. Python is given rows in small batches and holds one text's parts."""
     heading = re.compile(headings)
 
     def parts(text: str) -> list[str]:
@@ -61,13 +61,8 @@ def split_oversized(docs: DataFrame, id_col: str, text_col: str, target: int = 5
         out.append("".join(now))
         return [p[k : k + 2 * target] for p in out for k in range(0, len(p), 2 * target)]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            rows = [(i, k, p) for i, x in zip(f["id"], f["text"], strict=True) for k, p in enumerate(q for q in parts(x or "") if len(q) >= least)]
-            yield pd.DataFrame(rows, columns=["id", "part", "text"])
-
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return texts.mapInPandas(run, "id long, part int, text string").withColumnRenamed("id", id_col)
+    kept = F.udf(lambda text: [p for p in parts(text or "") if len(p) >= least], "array<string>", useArrow=False)
+    return docs.select(F.col(id_col).cast("long").alias(id_col), F.posexplode(kept(F.col(text_col))).alias("part", "text"))
 
 
 def packet_items(docs: DataFrame, id_col: str, text_col: str, page: str = "\f", marker: str = r"(?i)item:? *(\d+)", least_pages: int = 3, least_items: int = 2) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
 
 
@@ -36,3 +37,12 @@ def test_whole_texts_are_small_files(spark, monkeypatch):
     monkeypatch.setattr(text_queries.io, "read_texts", watched)
     got = catalog.QUERIES["s7_whole_texts"](spark, "/root/testdata/sf0.01").first()
     assert got.docs == spark.read.parquet("/root/testdata/sf0.01/documents.parquet").count() > 200 >= most[0]
+
+
+def test_long_texts_reach_python_in_small_batches(spark):
+    docs = spark.createDataFrame([(1, "x" * 99), (2, "y" * 100), (3, "z\n" * 600), (4, None)], "id int, text string")
+    parts = split_oversized(docs, "id", "text", 500)
+    rows = sorted(parts.collect())
+    assert [(r.id, r.part) for r in rows] == [(2, 0), (3, 0), (3, 1), (3, 2)] and "".join(r.text for r in rows if r.id == 3) == "z\n" * 600
+    plan = parts._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "MapInPandas" not in plan
