@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from civicspark.operators.linkage import scored_links
 from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
 
@@ -46,3 +47,10 @@ def test_long_texts_reach_python_in_small_batches(spark):
     assert [(r.id, r.part) for r in rows] == [(2, 0), (3, 0), (3, 1), (3, 2)] and "".join(r.text for r in rows if r.id == 3) == "z\n" * 600
     plan = parts._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" in plan and "MapInPandas" not in plan
+
+
+def test_copies_of_addresses_make_no_pairs(spark):
+    left = spark.range(3000).select(F.col("id").cast("string").alias("id"), F.lit("HARBOR VIEW").alias("name"), F.lit("10 ELM ST").alias("address"))
+    right = spark.range(3000).select(F.format_string("r%05d", "id").alias("id"), F.lit("HARBOR VIEW").alias("name"), F.lit("10 ELM ST").alias("address"))
+    rows, most = most_rows(scored_links(left, right))
+    assert len(rows) == 3000 and {tuple(r)[1:] for r in rows} == {("r00000", 95.0)} and most <= 10_000
