@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from civicspark.operators.linkage import scored_links
+from civicspark.operators.linkage import meeting_videos, scored_links
 from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
 
@@ -54,3 +54,9 @@ def test_copies_of_addresses_make_no_pairs(spark):
     right = spark.range(3000).select(F.format_string("r%05d", "id").alias("id"), F.lit("HARBOR VIEW").alias("name"), F.lit("10 ELM ST").alias("address"))
     rows, most = most_rows(scored_links(left, right))
     assert len(rows) == 3000 and {tuple(r)[1:] for r in rows} == {("r00000", 95.0)} and most <= 10_000
+
+
+def test_a_day_of_many_meetings_makes_no_pairs(spark):
+    day = lambda name, first: spark.range(first, first + 3000).select(F.col("id").alias(name), F.lit("b").alias("body"), F.lit("2026-01-01").cast("date").alias("day"))
+    rows, most = most_rows(meeting_videos(day("video", 0), day("meeting", 5000), "body", "day", "video", "meeting"))
+    assert [tuple(r) for r in rows] == [(0, 5000, 0)] and most <= 10_000
