@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from civicspark.operators.digest import intel_entries, intel_section, planning_entries, planning_section
 from civicspark.operators.linkage import meeting_videos, scored_links
 from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
@@ -60,3 +61,12 @@ def test_a_day_of_many_meetings_makes_no_pairs(spark):
     day = lambda name, first: spark.range(first, first + 3000).select(F.col("id").alias(name), F.lit("b").alias("body"), F.lit("2026-01-01").cast("date").alias("day"))
     rows, most = most_rows(meeting_videos(day("video", 0), day("meeting", 5000), "body", "day", "video", "meeting"))
     assert [tuple(r) for r in rows] == [(0, 5000, 0)] and most <= 10_000
+
+
+def test_a_month_of_many_items_stays_a_small_row(spark):
+    intel = spark.range(2000).selectExpr("id ord", "'2026-01' month", "'s' source", "concat('t', id) title", "'u' url", "0 relevance_score")
+    planning = spark.range(2000).selectExpr("id ord", "concat('D', id) project_no", "'SIGN PERMIT' type", "'x' description", "'1 A ST' address", "'2026-01-02' applied")
+    head = intel_section(intel, lists=False).first().intel
+    assert (head.total, head.first.title) == (2000, "t0") and intel_entries(intel).count() == 2000 == len(intel_section(intel).first().intel)
+    plans = planning_section(planning, lists=False).first().planning_projects
+    assert (plans.total, plans.first.project_no, plans.by_type) == (2000, "D0", {"SIGN PERMIT": 2000}) and planning_entries(planning).count() == 2000
