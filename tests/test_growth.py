@@ -1,9 +1,12 @@
 """Copies and hot keys must not multiply rows or memory."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from civicspark.operators.digest import intel_entries, intel_section, planning_entries, planning_section
 from civicspark.operators.linkage import meeting_videos, scored_links
+from civicspark.operators.overlap import best_keyword_match
 from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
 
@@ -70,3 +73,24 @@ def test_a_month_of_many_items_stays_a_small_row(spark):
     assert (head.total, head.first.title) == (2000, "t0") and intel_entries(intel).count() == 2000 == len(intel_section(intel).first().intel)
     plans = planning_section(planning, lists=False).first().planning_projects
     assert (plans.total, plans.first.project_no, plans.by_type) == (2000, "D0", {"SIGN PERMIT": 2000}) and planning_entries(planning).count() == 2000
+
+
+def test_the_best_text_of_a_name_by_plain_loops(spark):
+    words = [f"WORD{k}" for k in range(12)]
+    rng = random.Random(4)
+    names = sorted({" ".join(rng.choices(words, k=rng.randrange(1, 6))) for _ in range(200)})
+    texts = [(k, " ".join(rng.choices(words[:6] + ["XWORD1X", "other"], k=rng.randrange(1, 6)))) for k in range(60)]
+    want = {}
+    for n in names:
+        hits = [(-sum(w in x for w in n.split()), k) for k, x in texts]
+        if min(hits)[0] <= -2:
+            want[n] = (min(hits)[1], -min(hits)[0])
+    got = best_keyword_match(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame(texts, "k int, text string"), "name", "k", "text")
+    assert {r.name: (r.k, r.hits) for r in got.collect()} == want and {h for _, h in want.values()} > {2, 3}
+
+
+def test_names_of_common_words_make_no_pairs_with_texts(spark):
+    names = spark.range(1500).select(F.format_string("HARBOR N%05d harbor", "id").alias("name"))
+    texts = spark.range(1500).select(F.col("id").alias("k"), F.format_string("T%05d of HARBOR", "id").alias("text"))
+    rows, most = most_rows(best_keyword_match(names, texts, "name", "k", "text"))
+    assert len(rows) == 1500 and {(r.k, r.hits) for r in rows} == {(0, 2)} and most <= 50_000
