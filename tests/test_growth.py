@@ -5,8 +5,8 @@ import random
 from pyspark.sql import functions as F
 
 from civicspark.operators.digest import intel_entries, intel_section, planning_entries, planning_section
-from civicspark.operators.linkage import meeting_videos, scored_links
-from civicspark.operators.overlap import best_keyword_match
+from civicspark.operators.linkage import address_pairs, meeting_videos, scored_links
+from civicspark.operators.overlap import best_keyword_match, spread_pairs
 from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
 
@@ -75,6 +75,18 @@ def test_a_month_of_many_items_stays_a_small_row(spark):
     assert (plans.total, plans.first.project_no, plans.by_type) == (2000, "D0", {"SIGN PERMIT": 2000}) and planning_entries(planning).count() == 2000
 
 
+def test_hot_addresses_are_compared_once_and_dealt(spark):
+    left = spark.range(2000).select(F.col("id").alias("ord"), F.lit("10 North Elm Street").alias("address"))
+    right = spark.range(2000).select(F.col("id").alias("apn"), F.when(F.col("id") % 2 == 0, "10 ELM ST").otherwise("10 OAK ST").alias("address"))
+    pairs = address_pairs(left, right)
+    assert pairs.count() == pairs.distinct().count() == 2000 * 1000
+    by_class = lambda df: df.withColumnRenamed("address", "class")
+    met = spark.createDataFrame([("10 North Elm Street", "10 ELM ST")], "l string, r string")
+    dealt = spread_pairs(met, by_class(left).withColumnRenamed("class", "l"), by_class(right).withColumnRenamed("class", "r"), "l", "r", most=100_000)
+    assert dealt.count() == dealt.distinct().count() == 2000 * 1000
+    assert "regexp_extract_all" not in dealt._jdf.queryExecution().executedPlan().toString()
+
+
 def test_the_best_text_of_a_name_by_plain_loops(spark):
     words = [f"WORD{k}" for k in range(12)]
     rng = random.Random(4)
