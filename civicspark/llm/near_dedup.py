@@ -108,6 +108,11 @@ def _sets(width: int):
     return run
 
 
+def _sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    own = texts_of(texts, wanted)
+    return reading(own.mapInArrow(_sets(width), "id long, shingles array<long>"), own)
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough. A b of many pairs is spread over tasks."""
     one = sets.selectExpr("id a", "shingles sa")
@@ -137,7 +142,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     found = cut(texts.mapInArrow(_signatures(width, bands, rows), "id long, n_shingles long, one long, two long, bands array<long>"))
-    out = with_components(found, lambda wanted: texts.join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id long, shingles array<long>"), percent)
+    out = with_components(found, lambda wanted: _sets_of(texts, wanted, width), percent)
     rows = out.select(
         F.col("id").alias(id_col),
         "n_shingles",
@@ -148,6 +153,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return reading(rows, out)
 
 
+_BITS = 1 << 15  # of a row of bitmap_construct_agg
+
+
+def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of texts whose id is among the distinct ids `wanted`. A bitmap of hashed ids, 16 bits for each, is broadcast
+    first, so that of the other texts one in 16 at most is shuffled."""
+    ids = cut(wanted)
+    rows = ids.count() * 16 // _BITS + 1
+    place = F.pmod(F.xxhash64("id"), F.lit(rows * _BITS))
+    row, bit = F.floor(place / _BITS).cast("int"), F.pmod(place, F.lit(_BITS))
+    marks = ids.groupBy(row.alias("row")).agg(F.bitmap_construct_agg(bit).alias("marks"))
+    byte = F.conv(F.hex(F.substring(F.col("marks"), F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = F.expr("shiftright(byte, bit % 8) & 1") == 1
+    some = texts.withColumns({"row": row, "bit": bit.cast("int")}).join(F.broadcast(marks), "row").withColumn("byte", byte).where(marked).select(*texts.columns)
+    return reading(some.join(ids, "id").select(*texts.columns), ids)  # a semi join would be moved below the bitmap's
+
+
 _CLASS = ["one", "two", "n_shingles"]
 
 
@@ -168,8 +190,9 @@ def with_components(found: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     buckets = cut(spread_join(keys, hubs.select("key", "hub"), ["key"], hubs.select("key", "n"), ["id"]).select("id", "hub").distinct())
     _drop(keys, hubs)
     stars = cut(buckets.where("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b")))
-    sets = cut(sets_of(buckets.select("id").distinct()))
-    _drop(buckets)
+    wanted = sets_of(buckets.select("id").distinct())
+    sets = cut(wanted)
+    _drop(wanted, buckets)
     links = cut(_confirmed(stars, sets, percent))
     labels = connected_components(links, "a", "b")
     rest = cut(_unsettled(stars, labels))

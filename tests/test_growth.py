@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from civicspark.llm.near_dedup import texts_of
 from civicspark.operators.digest import intel_entries, intel_section, planning_entries, planning_section
 from civicspark.operators.linkage import address_pairs, meeting_videos, scored_links
 from civicspark.operators.overlap import best_keyword_match, spread_pairs
@@ -31,6 +32,25 @@ def most_rows(df):
     return rows, max(most)
 
 
+def shuffled_rows(df):
+    """The rows of df, and the rows that its plan has shuffled."""
+    rows, sent = df.collect(), {}
+
+    def walk(node):
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        found = node.metrics().get("shuffleRecordsWritten")
+        if found.isDefined():
+            sent[found.get().id()] = found.get().value()
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            walk(node.plan())
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return rows, sum(sent.values())
+
+
 def test_whole_texts_are_small_files(spark, monkeypatch):
     most, read = [], text_queries.io.read_texts
 
@@ -106,3 +126,16 @@ def test_names_of_common_words_make_no_pairs_with_texts(spark):
     texts = spark.range(1500).select(F.col("id").alias("k"), F.format_string("T%05d of HARBOR", "id").alias("text"))
     rows, most = most_rows(best_keyword_match(names, texts, "name", "k", "text"))
     assert len(rows) == 1500 and {(r.k, r.hits) for r in rows} == {(0, 2)} and most <= 50_000
+
+
+def test_few_texts_are_shuffled_for_their_sets(spark):
+    texts = spark.range(20_000).select(F.col("id"), F.concat(F.lit("text "), "id").alias("text")).union(spark.sql("select cast(null as long), 'none'"))
+    wanted = spark.range(0, 20_000, 40)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the ids are many
+    try:
+        rows, sent = shuffled_rows(texts_of(texts, wanted))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted(tuple(r) for r in rows) == [(k, f"text {k}") for k in range(0, 20_000, 40)] and sent <= 20_000 / 16 + 4 * 500
+    assert texts_of(texts, wanted.limit(0)).count() == 0
