@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState
 
 
 def new_items(stream: DataFrame, key: str = "hash", time: str | None = None, delay: str = "30 days") -> DataFrame:
@@ -18,21 +19,17 @@ def new_items(stream: DataFrame, key: str = "hash", time: str | None = None, del
     return stream.dropDuplicates([key])
 
 
-class PageChanges(StatefulProcessor):
+def _changes(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Rows of a url whose hash differs from the one before; the first counts as new. Rows of a micro-batch are taken in
     the order of at, those of a later one after them. A task holds a url's rows of one micro-batch; the trigger bounds it."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "hash string")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
-        state = self.last.get()
-        last = state[0] if state else None
-        all_ = pd.concat(list(rows)).sort_values("at")
-        before = all_["hash"].shift()
-        before.iloc[0] = last
-        self.last.update((all_["hash"].iloc[-1],))
-        yield pd.DataFrame({"event_id": all_["at"], "url": key[0], "changed": (all_["hash"] != before).tolist()})
+    last = state.get[0] if state.exists else None
+    all_ = sorted((r for part in rows for r in zip(part["at"].tolist(), part["hash"].tolist(), strict=True)), key=lambda r: r[0])
+    changed = []
+    for _, hash_ in all_:
+        changed.append(last is None or hash_ is None or hash_ != last)
+        last = hash_
+    state.update((last,))
+    yield pd.DataFrame({"event_id": [at for at, _ in all_], "url": [key[0]] * len(all_), "changed": changed})
 
 
 class Health(StatefulProcessor):
@@ -62,7 +59,8 @@ class Health(StatefulProcessor):
 
 
 def page_changes(stream: DataFrame) -> DataFrame:
-    return stream.groupBy("url").transformWithStateInPandas(PageChanges(), "event_id long, url string, changed boolean", "Append", "None")
+    """The state of a url travels with its rows: a call of the state store for each url took most of the time."""
+    return stream.groupBy("url").applyInPandasWithState(_changes, "event_id long, url string, changed boolean", "hash string", "append", "NoTimeout")
 
 
 def health(probes: DataFrame, releases: DataFrame | None = None, limit: int = 3) -> DataFrame:

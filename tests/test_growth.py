@@ -10,6 +10,7 @@ from civicspark.operators.linkage import address_pairs, meeting_videos, scored_l
 from civicspark.operators.overlap import best_keyword_match, spread_pairs
 from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
+from civicspark.streaming import jobs
 
 
 def most_rows(df):
@@ -139,3 +140,13 @@ def test_few_texts_are_shuffled_for_their_sets(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert sorted(tuple(r) for r in rows) == [(k, f"text {k}") for k in range(0, 20_000, 40)] and sent <= 20_000 / 16 + 4 * 500
     assert texts_of(texts, wanted.limit(0)).count() == 0
+
+
+def test_page_states_travel_with_their_rows(spark, tmp_path):
+    rows = [(1, "u", "x"), (2, "u", None), (3, "u", None), (4, "u", "x"), (5, "u", "x"), (6, "v", None)]
+    spark.createDataFrame(rows, "at long, url string, hash string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    changes = jobs.page_changes(spark.readStream.schema("at long, url string, hash string").parquet(str(tmp_path / "in")))
+    assert "FlatMapGroupsInPandasWithState" in changes._jdf.queryExecution().analyzed().toString()
+    jobs.run_available(spark, changes, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    got = {r.event_id: r.changed for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {1: True, 2: True, 3: True, 4: True, 5: False, 6: True}
