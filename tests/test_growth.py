@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from civicspark.llm.near_dedup import texts_of
 from civicspark.operators.digest import intel_entries, intel_section, planning_entries, planning_section
 from civicspark.operators.linkage import address_pairs, meeting_videos, scored_links
+from civicspark.operators.meetings import merged_meetings
 from civicspark.operators.overlap import best_keyword_match, spread_pairs
 from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
@@ -150,3 +151,19 @@ def test_page_states_travel_with_their_rows(spark, tmp_path):
     jobs.run_available(spark, changes, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     got = {r.event_id: r.changed for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got == {1: True, 2: True, 3: True, 4: True, 5: False, 6: True}
+
+
+def test_meetings_of_many_documents_are_dealt_over_tasks(spark):
+    text = F.array(F.struct(F.concat(F.lit("x"), "id").alias("description")))
+    records = spark.range(4000).select(
+        F.concat(F.lit("m"), F.col("id") % 40).alias("meeting_id"), F.lit("2026-01-02").alias("date"), F.lit("b").alias("body"), F.lit("a").alias("agency"), F.lit("minutes").alias("doc_type"), F.lit(False).alias("procedural_only"),
+        F.format_string("f%05d", "id").alias("_file"), F.array(F.struct(F.lit("").alias("item_id"), F.lit("motion").alias("item"))).alias("votes"), F.array(F.struct(F.lit("p").alias("member"))).alias("council_positions"), F.array(F.lit("q")).alias("key_quotes"),
+        text.alias("housing_items"), text.alias("fiscal_items"), F.array(F.lit("l")).alias("legal_flags"), F.array(F.lit("c")).alias("public_comments"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as where the rows are large
+    try:
+        rows = merged_meetings(records).select("meeting_id", F.size("housing_items").alias("n"), F.spark_partition_id().alias("part")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len({r.meeting_id for r in rows}) == len(rows) == 40 and {r.n for r in rows} == {100} and len({r.part for r in rows}) > 4
