@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicspark.llm.components import connected_components
-from civicspark.llm.joins import spread_join
+from civicspark.llm.joins import looked_up, spread_join
 from civicspark.llm.words import mix, shingle_hashes, text_blocks, word_hashes, word_spans
 from civicspark.session import cut, drop_cut, reading
 
@@ -114,11 +114,11 @@ def _sets_of(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough. A b of many pairs is spread over tasks."""
+    """The pairs (a, b), a written table, whose full sets are similar enough. A b of many pairs is spread over tasks."""
     one = sets.selectExpr("id a", "shingles sa")
     two = sets.selectExpr("id b", "shingles sb")
     return (
-        spread_join(pairs.join(one, "a"), two, ["b"], pairs.groupBy("b").agg(F.count("*").alias("n")), ["a"])
+        spread_join(pairs.join(one, "a"), two, ["b"], pairs.groupBy("b").agg(F.count("*").alias("n")), ["a"], total=pairs.count())
         .where(F.least(F.size("sa"), F.size("sb")) * 100 >= F.greatest(F.size("sa"), F.size("sb")) * percent)
         .withColumn("common", F.size(F.array_intersect("sa", "sb")).cast("long"))
         .where(F.col("common") * 100 >= (F.size("sa") + F.size("sb") - F.col("common")) * percent)
@@ -195,12 +195,12 @@ def with_components(found: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
     _drop(wanted, buckets)
     links = cut(_confirmed(stars, sets, percent))
     labels = connected_components(links, "a", "b")
-    rest = cut(_unsettled(stars, labels))
+    rest = cut(_unsettled(stars, looked_up(labels)))
     _drop(stars)
     places = _early_places(rest, sets, percent)
     for pairs_of in (_bucket_stars, _bucket_pairs):
         if not places.isEmpty():
-            places = _in_components(places, labels, percent)
+            places = _in_components(places, looked_up(labels), percent)
             pairs = cut(pairs_of(places, percent))
             more = cut(_confirmed(pairs, sets, percent))
             _drop(pairs)
@@ -210,7 +210,7 @@ def with_components(found: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
                 labels = connected_components(links, "a", "b")
     _drop(links, rest, places, sets)
 
-    same = classes.join(labels, classes.class_id == labels.node, "left")
+    same = classes.join(looked_up(labels).withColumnRenamed("node", "class_id"), "class_id", "left")
     if shared_only:
         same = same.where("n > 1 or component is not null")
     same = same.select(*_CLASS, "class_id", F.coalesce("component", "class_id").alias("component"))
@@ -243,7 +243,7 @@ def _early_places(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """
     member = sets.selectExpr("id", "shingles sa")
     centre = sets.selectExpr("id centre", "shingles sh")
-    apart = spread_join(rest.join(member, "id"), centre, ["centre"], rest.groupBy("centre").agg(F.count("*").alias("n")), ["id"]).select(
+    apart = spread_join(rest.join(member, "id"), centre, ["centre"], rest.groupBy("centre").agg(F.count("*").alias("n")), ["id"], total=rest.count()).select(
         "centre", "id", F.size("sa").alias("n"),
         F.concat(F.array_except("sa", "sh"), F.transform(F.array_except("sh", "sa"), lambda x: F.bitwise_not(x))).alias("d"),
     )
@@ -252,7 +252,7 @@ def _early_places(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     own = Window.partitionBy("centre", "id")
     early = F.expr(f"(2L * (r - 1) - m) * {(100 + percent) * percent} <= {100 - percent}L * (n * {percent}L + n * 100L)")
     places = cut(
-        spread_join(each, often, ["centre", "s"], often.withColumnRenamed("c", "n"), ["id"])
+        spread_join(each, often, ["centre", "s"], often.withColumnRenamed("c", "n"), ["id"], total=each.count())
         .withColumn("r", F.col("m") - F.count("*").over(own) + F.row_number().over(own.orderBy("c", "s")))
         .where(early).select("centre", "id", "n", "m", "s", "r")
     )
