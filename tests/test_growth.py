@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from civicspark.llm.near_dedup import texts_of
 from civicspark.operators.digest import intel_entries, intel_section, planning_entries, planning_section
-from civicspark.operators.linkage import address_pairs, meeting_videos, scored_links
+from civicspark.operators.linkage import address_pairs, meeting_links, meeting_videos, planning_links, scored_links
 from civicspark.operators.meetings import merged_meetings
-from civicspark.operators.overlap import best_keyword_match, spread_pairs
+from civicspark.operators.overlap import best_keyword_match, met, signed, spread_pairs
 from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
 from civicspark.streaming import jobs
@@ -167,3 +167,37 @@ def test_meetings_of_many_documents_are_dealt_over_tasks(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len({r.meeting_id for r in rows}) == len(rows) == 40 and {r.n for r in rows} == {100} and len({r.part for r in rows}) > 4
+
+
+def test_linked_pairs_are_not_shuffled(spark):
+    """Each project and plan share an address, a third a parcel too and half two words: a pair has its first method, once."""
+    n = 400
+    own = lambda key: spark.range(n).select(F.col("id").alias(key), (F.col("id") % 3).cast("string").alias("apn"), F.array(F.lit("none")).alias("refs"), F.lit("10 North Elm Street").alias("address"), F.concat(F.lit("HARBOR VIEW "), F.col("id") % 2).alias("name"))
+    plans = own("project_no").withColumn("description", F.col("name")).withColumn("address", F.when(F.col("project_no") % 2 == 0, F.lit("10 ELM ST")))
+    rows, sent = shuffled_rows(planning_links(own("id"), plans))
+    want = {(a, b): "apn" if a % 3 == b % 3 else "address" if b % 2 == 0 else "name_fuzzy" for a in range(n) for b in range(n)}
+    assert {(r.id, r.project_no): r.method for r in rows} == want and len(rows) == n * n > 20 * sent
+
+
+def test_mentions_are_not_shuffled_as_pairs(spark):
+    n = 400
+    projects = spark.range(n).select("id", F.array(F.format_string("D24-%05d", "id")).alias("refs"), F.lit("10 Elm Street").alias("address"), F.lit("HARBOR harbor").alias("name"))
+    items = spark.range(n).select(F.format_string("m%03d", "id").alias("meeting_id"), F.array(F.format_string("d24-%05d", "id")).alias("filing_numbers"), F.when(F.col("id") % 2 == 0, "10 ELM ST").alias("address"), F.lit("the harborside").alias("description"))
+    rows, sent = shuffled_rows(meeting_links(projects, items))
+    want = {(a, f"m{b:03d}"): "project_ref" if a == b else "address" if b % 2 == 0 else "name_fuzzy" for a in range(n) for b in range(n)}
+    assert {(r.id, r.meeting_id): r.method for r in rows} == want and len(rows) == n * n > 20 * sent
+
+
+def test_rows_meet_under_their_first_sign_in_any_parts(spark):
+    rng = random.Random(7)
+    some = lambda n: [(k, rng.randrange(3), f"s{rng.randrange(8)}") for k in range(n) for _ in range(rng.randrange(4))]
+    a, b = some(120), some(150)
+    want = {}
+    for i, r, s in a:
+        for j, q, t in b:
+            if (r, s) == (q, t):
+                want[i, j] = min(r, want.get((i, j), r))
+    left, right = signed(spark.createDataFrame(a, "i int, rank int, sign string"), spark.createDataFrame(b, "j int, rank int, sign string"), ["i"], ["j"])
+    for most in (1, 50, 4_000_000):
+        got = met(left, right, most).collect()
+        assert {(r.i, r.j): r["rank"] for r in got} == want and len(got) == len(want)
