@@ -8,7 +8,7 @@ from civicspark.llm.near_dedup import texts_of
 from civicspark.operators.digest import intel_entries, intel_section, planning_entries, planning_section
 from civicspark.operators.linkage import address_pairs, meeting_links, meeting_videos, planning_links, scored_links
 from civicspark.operators.meetings import merged_meetings
-from civicspark.operators.overlap import best_keyword_match, met, signed, spread_pairs
+from civicspark.operators.overlap import best_keyword_match, met, overlap_pairs_within, signed, spread_pairs
 from civicspark.operators.textops import split_oversized
 from civicspark.plans import catalog, text_queries
 from civicspark.streaming import jobs
@@ -201,3 +201,23 @@ def test_rows_meet_under_their_first_sign_in_any_parts(spark):
     for most in (1, 50, 4_000_000):
         got = met(left, right, most).collect()
         assert {(r.i, r.j): r["rank"] for r in got} == want and len(got) == len(want)
+
+
+def test_rows_of_a_hot_class_are_copied_for_few_parts(spark):
+    side = lambda key, c: spark.range(1000).select(F.col("id").alias(key), F.lit(c).alias(c))
+    pairs = spark.createDataFrame([("l", "r")], "l string, r string")
+    rows, sent = shuffled_rows(spread_pairs(pairs, side("i", "l"), side("j", "r"), "l", "r", most=2500))
+    assert len(rows) == len({(r.i, r.j) for r in rows}) == 1_000_000 and sent <= 2 * 1000 * 20 + 10_000
+    alone, sent = shuffled_rows(spread_pairs(pairs, side("i", "l"), side("j", "r").where("j < 5"), "l", "r", most=50))
+    assert len(alone) == 5000 and sent <= 5 * 100 + 10_000
+
+
+def test_each_two_rows_meet_once(spark):
+    n = 1000
+    rows = spark.range(n).select("id", F.array(F.lit("x"), F.lit("y"), F.concat(F.lit("z"), F.col("id") % 2)).alias("words"))
+    found, most = most_rows(overlap_pairs_within(rows, "id", "words", "a", "b"))
+    assert {(r.a, r.b, r.shared) for r in found} == {(a, b, 3 - (a - b) % 2) for a in range(n) for b in range(a + 1, n)} and len(found) == n * (n - 1) // 2
+    assert most < 0.8 * n * n  # as pairs in both orders they were n * n
+    sets = rows.where("id < 100").withColumnRenamed("words", "set")
+    parted = spread_pairs(spark.createDataFrame([(["q"], ["q"], True)], "l array<string>, r array<string>, same boolean"), *[sets.select(F.col("id").alias(k), F.array(F.lit("q")).alias(c)) for k, c in (("i", "l"), ("j", "r"))], "l", "r", most=400, within="same").collect()
+    assert len(parted) == len({frozenset((r.i, r.j)) for r in parted}) == 100 * 99 // 2
