@@ -221,3 +221,16 @@ def test_each_two_rows_meet_once(spark):
     sets = rows.where("id < 100").withColumnRenamed("words", "set")
     parted = spread_pairs(spark.createDataFrame([(["q"], ["q"], True)], "l array<string>, r array<string>, same boolean"), *[sets.select(F.col("id").alias(k), F.array(F.lit("q")).alias(c)) for k, c in (("i", "l"), ("j", "r"))], "l", "r", most=400, within="same").collect()
     assert len(parted) == len({frozenset((r.i, r.j)) for r in parted}) == 100 * 99 // 2
+
+
+def test_links_of_a_hot_address_are_counted_where_they_meet(spark):
+    from tests import test_housing as H
+
+    n = 300
+    projects = [(f"PRJ-{k}", "Sea", "a", "named", [f"P{k}"], 1, 1, [], "2025-03-01", "2025-03-02", [], "7 Oak Ave", "") for k in range(n)]
+    plans = [(k, f"D25-{k:05d}", "SIGN PERMIT", "APPROVED" if k == 5 else "x", "sign", "4 UNITS", f"2025-01-{1 + k % 28:02d}", "", "7 Oak Avenue", "", "a") for k in range(n)]
+    items = [(k, f"m{k}", f"2026-02-{1 + k % 28:02d}", "hearing", f"o{k}", [], "7 OAK AVE", "x") for k in range(n)]
+    tables = [spark.createDataFrame(r, s) for r, s in ((projects, H.PROJECTS), (plans, H.PLANS), ([], H.FILINGS), (items, H.ITEMS))]
+    rows, sent = shuffled_rows(H.housing_projects(*tables, lists={}))
+    assert {(r.counts.planning_projects, r.counts.apr_filings, r.counts.meeting_mentions) for r in rows} == {(n, 0, n)} and len(rows) == n and sent < n * n / 2
+    assert {(r.status, r.units.planning_units, r.first_activity, r.last_activity, tuple(r.latest_meeting)) for r in rows} == {("entitled", 4 * n, "2025-01-01", "2026-02-28", ("2026-02-28", "o27"))}
